@@ -211,7 +211,7 @@ def _dists_sql(part: str, order: str, k: int = 5) -> str:
     w = f"(PARTITION BY {part} ORDER BY {order})"
     items = [f"abs(z - lead(z, {i}) OVER {w})" for i in range(1, k + 1)]
     items += [f"abs(z - lag(z, {i}) OVER {w})" for i in range(1, k + 1)]
-    return "list_filter([" + ", ".join(items) + "], d -> d IS NOT NULL)"
+    return "list_filter([" + ", ".join(items) + "], lambda d: d IS NOT NULL)"
 
 
 def _mean_k_sql(ds: str, k: int = 5) -> str:
@@ -236,7 +236,7 @@ def _knn_exact_scores_sql(table: str, c: Cols) -> str:
 def _knn_lsh_scores_sql(table: str, c: Cols, max_group_rows: int = 250_000) -> str:
     small = f"""
       SELECT {_cols_sql(c)}, z,
-             coalesce({_mean_k_sql('list_filter(ds, d -> d < 1.5)')}, 0.0) AS knn_dist
+             coalesce({_mean_k_sql('list_filter(ds, lambda d: d < 1.5)')}, 0.0) AS knn_dist
       FROM (SELECT *, {_dists_sql(c.sys + ', cell', 'z, ' + _time_order(c))} AS ds
             FROM (SELECT *, floor(z / 1.0) AS cell FROM ({_scored_sql(table, c)})
                   WHERE {c.sys} IS NOT NULL AND n <= {max_group_rows}))"""
