@@ -14,14 +14,24 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tablewatch.functions.exprs import round_doubles
+from tablewatch.functions.exprs import quote_ident, round_doubles
 from tablewatch.operators import (input_profile, iqr_bounds, iqr_outliers, iqr_outliers_detailed,
                                   kmeans_anomalies, knn_exact, knn_lsh, knn_time,
                                   knn_time_scores, prepare, suspects_topk, system_sizes, zscore,
                                   zscore_outliers)
 from tablewatch.params import Cols, Scale
+from tablewatch.plans.catalog import catalog_report, run_sql
+from tablewatch.session import scratch_path
+from tablewatch.sources.derived import epoch_micros, write_folders, write_uint64
+from tablewatch.sources.footers import schema_census
+from tablewatch.sources.ingest import file_manifest, register_folders
+from tablewatch.sources.sanitize import plan_casts, sanitize
+from tablewatch.streaming.incremental import ingest_new_files
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -144,6 +154,111 @@ def q_small_big_systems(spark, sf_dir):
     return system_sizes(_table(spark, sf_dir, "events"), EV, max_group_rows=65)
 
 
+def _namespace() -> str:
+    return f"tw_{uuid.uuid4().hex[:10]}"
+
+
+def _ingest_tree(spark, sf_dir) -> str:
+    """events / lineitem / orders as three folders (mixed case, nested)."""
+    root = scratch_path(spark, "ingest")
+    write_folders({
+        "Events": _table(spark, sf_dir, "events"),
+        "lineitem/2024/q1": _table(spark, sf_dir, "lineitem"),
+        "orders": _table(spark, sf_dir, "orders"),
+    }, root)
+    return root
+
+
+def q_folder_ingest_summary(spark, sf_dir):
+    summary = register_folders(spark, _ingest_tree(spark, sf_dir), _namespace())
+    return summary.select("table", "n_rows", "status")
+
+
+def q_file_manifest(spark, sf_dir):
+    m = file_manifest(spark, _ingest_tree(spark, sf_dir))
+    return m.groupBy("table").agg(F.sum("n_rows").cast("bigint").alias("n_rows"),
+                                  F.count_if(F.col("error").isNotNull()).alias("n_bad"))
+
+
+def q_sql_by_system(spark, sf_dir):
+    ns = _namespace()
+    register_folders(spark, _ingest_tree(spark, sf_dir), ns)
+    return run_sql(spark, "SELECT user_id, count(*) AS n, round(sum(value), 2) AS total_value "
+                          "FROM events GROUP BY user_id", namespace=ns)
+
+
+def q_catalog_report(spark, sf_dir):
+    ns = _namespace()
+    root = _ingest_tree(spark, sf_dir)
+    register_folders(spark, root, ns)
+    spark.sql(f"CREATE OR REPLACE VIEW {quote_ident(ns, 'big_events')} AS "
+              f"SELECT * FROM {quote_ident(ns, 'events')} WHERE value > 50")
+    spark.sql(f"CREATE TABLE {quote_ident(ns, 'gone')} USING parquet "
+              f"LOCATION '{root}/orders'")
+    spark.sql(f"CREATE OR REPLACE VIEW {quote_ident(ns, 'orphan_view')} AS "
+              f"SELECT * FROM {quote_ident(ns, 'gone')}")
+    spark.sql(f"DROP TABLE {quote_ident(ns, 'gone')}")
+    return catalog_report(spark, ns).select("name", "kind", "n_columns", "n_rows")
+
+
+def _sanitize_input(spark, sf_dir, unsigned: bool) -> str:
+    ev = _table(spark, sf_dir, "events")
+    root = scratch_path(spark, "sanitize-in")
+    if unsigned:
+        src = ev.select("event_id", "user_id", epoch_micros("ts").alias("timestamp"), "value")
+        write_uint64(src.repartition(3), f"{root}/counters/2024",
+                     ["event_id", "user_id", "timestamp"]).collect()
+    else:
+        src = ev.select("event_id", "user_id",
+                        epoch_micros("ts").cast("decimal(20,0)").alias("timestamp"), "value")
+        src.repartition(3).write.parquet(f"{root}/counters")
+    return root
+
+
+def q_sanitize_timestamp(spark, sf_dir):
+    root = _sanitize_input(spark, sf_dir, unsigned=False)
+    out = scratch_path(spark, "sanitize-out")
+    sanitize(spark, root, out).count()
+    got = spark.read.parquet(f"{out}/counters")
+    return round_doubles(got.select("event_id", "user_id",
+                                    F.col("timestamp").cast("timestamp_ntz").alias("ts"), "value"))
+
+
+def q_sanitize_decimal(spark, sf_dir):
+    root = _sanitize_input(spark, sf_dir, unsigned=True)
+    out = scratch_path(spark, "sanitize-out")
+    sanitize(spark, root, out).count()
+    got = spark.read.parquet(f"{out}/counters/2024")
+    return round_doubles(got.select("event_id", "user_id",
+                                    F.col("timestamp").cast("timestamp_ntz").alias("ts"), "value"))
+
+
+def q_cast_plan(spark, sf_dir):
+    root = _sanitize_input(spark, sf_dir, unsigned=True)
+    return plan_casts(schema_census(spark, root)).select("rel_dir", "column", "from_type",
+                                                         "to_type")
+
+
+def q_schema_census(spark, sf_dir):
+    return schema_census(spark, _ingest_tree(spark, sf_dir)).select(
+        "folder", "rel_dir", "n_rows", "column", "arrow_type", "error")
+
+
+def q_stream_ingest(spark, sf_dir):
+    """Two arrivals of events files and one idle rerun, ingested exactly once."""
+    ev = _table(spark, sf_dir, "events")
+    src, sink, ckpt = (scratch_path(spark, n) for n in ("stream-src", "stream-sink", "stream-ckpt"))
+    first = ev.filter(F.col("event_type").isin("click", "view"))
+    rest = ev.filter(~F.col("event_type").isin("click", "view"))
+    first.write.parquet(f"{src}/batch=1")
+    ingest_new_files(spark, src, sink, ckpt, schema=ev.schema)
+    rest.write.parquet(f"{src}/batch=2")
+    ingest_new_files(spark, src, sink, ckpt, schema=ev.schema)
+    ingest_new_files(spark, src, sink, ckpt, schema=ev.schema)
+    return (spark.read.parquet(sink).groupBy("event_type")
+            .agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 6).alias("total")))
+
+
 # --------------------------------------------------------------------------
 # Oracle SQL (DuckDB)
 # --------------------------------------------------------------------------
@@ -296,6 +411,46 @@ _ORACLE: dict[str, str] = {
         SELECT user_id, count(*) AS n,
                CASE WHEN count(*) <= 65 THEN 'small' ELSE 'big' END AS size_class
         FROM events GROUP BY user_id""",
+    "folder_ingest_summary": """
+        SELECT 'events' AS "table", count(*) AS n_rows, 'created' AS status FROM events
+        UNION ALL SELECT 'lineitem', count(*), 'created' FROM lineitem
+        UNION ALL SELECT 'orders', count(*), 'created' FROM orders""",
+    "file_manifest": """
+        SELECT 'events' AS "table", count(*) AS n_rows, CAST(0 AS BIGINT) AS n_bad FROM events
+        UNION ALL SELECT 'lineitem', count(*), 0 FROM lineitem
+        UNION ALL SELECT 'orders', count(*), 0 FROM orders""",
+    "sql_by_system": """
+        SELECT user_id, count(*) AS n, round(sum(value), 2) AS total_value
+        FROM events GROUP BY user_id""",
+    "catalog_report": """
+        SELECT 'events' AS name, 'table' AS kind,
+               CAST((SELECT count(*) FROM information_schema.columns
+                     WHERE table_name = 'events') AS INTEGER) AS n_columns,
+               count(*) AS n_rows FROM events
+        UNION ALL
+        SELECT 'lineitem', 'table',
+               CAST((SELECT count(*) FROM information_schema.columns
+                     WHERE table_name = 'lineitem') AS INTEGER), count(*) FROM lineitem
+        UNION ALL
+        SELECT 'orders', 'table',
+               CAST((SELECT count(*) FROM information_schema.columns
+                     WHERE table_name = 'orders') AS INTEGER), count(*) FROM orders
+        UNION ALL
+        SELECT 'big_events', 'view',
+               CAST((SELECT count(*) FROM information_schema.columns
+                     WHERE table_name = 'events') AS INTEGER), count(*)
+        FROM events WHERE value > 50
+        UNION ALL
+        SELECT 'orphan_view', 'view', CAST(NULL AS INTEGER), CAST(NULL AS BIGINT)""",
+    "sanitize_timestamp": """
+        SELECT event_id, user_id, ts, round(value, 6) AS value FROM events""",
+    "sanitize_decimal": """
+        SELECT CAST(event_id AS DECIMAL(20,0)) AS event_id,
+               CAST(user_id AS DECIMAL(20,0)) AS user_id, ts, round(value, 6) AS value
+        FROM events""",
+    "stream_ingest": """
+        SELECT event_type, count(*) AS n, round(sum(value), 6) AS total
+        FROM events GROUP BY event_type""",
 }
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -321,6 +476,15 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "knn_lsh_outliers_by_type": q_knn_lsh_outliers_by_type,
     "input_profile": q_input_profile,
     "small_big_systems": q_small_big_systems,
+    "folder_ingest_summary": q_folder_ingest_summary,
+    "file_manifest": q_file_manifest,
+    "sql_by_system": q_sql_by_system,
+    "catalog_report": q_catalog_report,
+    "sanitize_timestamp": q_sanitize_timestamp,
+    "sanitize_decimal": q_sanitize_decimal,
+    "cast_plan": q_cast_plan,
+    "schema_census": q_schema_census,
+    "stream_ingest": q_stream_ingest,
 }
 
 

@@ -1,7 +1,7 @@
 """Relational operators of the anomaly job (K0-K6) and their skew-safe
 building blocks."""
 
-from tablewatch.operators.iqr import (iqr_bounds, iqr_outliers, iqr_outliers_detailed,  # noqa: F401
+from tablewatch.operators.iqr import (iqr_all, iqr_bounds, iqr_outliers, iqr_outliers_detailed,  # noqa: F401
                                       quartiles, with_bounds)
 from tablewatch.operators.joins import attach_small, materialize  # noqa: F401
 from tablewatch.operators.kmeans import kmeans_anomalies, kmeans_scores  # noqa: F401

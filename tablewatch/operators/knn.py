@@ -40,36 +40,40 @@ def _out_cols(cols: Cols) -> list[str]:
     return [cols.sys, cols.ts, cols.x, *cols.tie_break, "z", "knn_dist"]
 
 
-def knn_time_scores(scored: DataFrame, cols: Cols, k: int = 5,
-                    scale: Scale = Scale()) -> DataFrame:
+def knn_time_scores(scored: DataFrame, cols: Cols, k: int = 5, scale: Scale = Scale(),
+                    sizes: DataFrame | None = None) -> DataFrame:
     """Every row with knn_dist = mean of the k smallest |z - z'| among the k
     previous and k next rows of its system in time (NULL if none)."""
     nd = neighbor_diffs(_base(scored, cols), [cols.sys], [cols.ts, *cols.tie_break], "z", k, D,
-                        scale)
+                        scale, sizes=sizes)
     return nd.withColumn("knn_dist", mean_k_smallest(F.col(D), k)).select(*_out_cols(cols))
 
 
-def knn_exact_scores(scored: DataFrame, cols: Cols, k: int = 5,
-                     scale: Scale = Scale()) -> DataFrame:
+def knn_exact_scores(scored: DataFrame, cols: Cols, k: int = 5, scale: Scale = Scale(),
+                     sizes: DataFrame | None = None) -> DataFrame:
     """knn_dist = mean distance to the k nearest rows of the system by z."""
     nd = neighbor_diffs(_base(scored, cols), [cols.sys], ["z", cols.ts, *cols.tie_break], "z",
-                        k, D, scale)
+                        k, D, scale, sizes=sizes)
     return nd.withColumn("knn_dist", mean_k_smallest(F.col(D), k)).select(*_out_cols(cols))
 
 
 def knn_lsh_scores(scored: DataFrame, cols: Cols, k: int = 5, bucket: float = 1.0,
                    dist_thresh: float = 1.5, max_group_rows: int = 250_000,
-                   isolated: float | None = 0.0, scale: Scale = Scale()) -> DataFrame:
+                   isolated: float | None = 0.0, scale: Scale = Scale(),
+                   sizes: DataFrame | None = None) -> DataFrame:
     """Rows of non-NULL systems with knn_dist.  Small systems: k nearest
     within the same grid cell and closer than ``dist_thresh``; a row with no
     such neighbour gets ``isolated`` (0.0 in the reference).  Big systems:
     time-adjacent distances."""
     base = _base(scored, cols)
-    sizes = group_sizes(base, [cols.sys]).filter(F.col(quote_ident(cols.sys)).isNotNull())
+    if sizes is None:
+        sizes = group_sizes(base, [cols.sys])
+    sizes = sizes.filter(F.col(quote_ident(cols.sys)).isNotNull())
     small = sizes.filter(F.col(N) <= max_group_rows).select(cols.sys)
-    big = sizes.filter(F.col(N) > max_group_rows).select(cols.sys)
+    big = sizes.filter(F.col(N) > max_group_rows)
     small_rows = attach_small(base, small, [cols.sys], "left_semi", scale=scale, null_safe=False)
-    big_rows = attach_small(base, big, [cols.sys], "left_semi", scale=scale, null_safe=False)
+    big_rows = attach_small(base, big.select(cols.sys), [cols.sys], "left_semi", scale=scale,
+                            null_safe=False)
 
     z = F.col("z")
     cell = F.when(z.isNull() | F.isnan(z), F.lit(None)).otherwise(F.floor(z / F.lit(bucket)))
@@ -80,34 +84,43 @@ def knn_lsh_scores(scored: DataFrame, cols: Cols, k: int = 5, bucket: float = 1.
     if isolated is not None:
         dist = F.coalesce(dist, F.lit(float(isolated)))
     small_scores = nd.withColumn("knn_dist", dist).select(*_out_cols(cols))
-    big_scores = knn_time_scores(big_rows, cols, k, scale)
+    big_scores = knn_time_scores(big_rows, cols, k, scale, sizes=big)
     return small_scores.unionByName(big_scores)
 
 
 def knn_rank_cut(scores: DataFrame, cols: Cols, pr_cutoff: float = 0.99,
-                 scale: Scale = Scale()) -> DataFrame:
+                 scale: Scale = Scale(), sizes: DataFrame | None = None) -> DataFrame:
     """Keep rows whose percent_rank of knn_dist within the system is >=
-    ``pr_cutoff``.  Ranked on knn_dist rounded to 9 decimals."""
+    ``pr_cutoff``.  Ranked on knn_dist rounded to 9 decimals.  ``sizes`` are
+    the per-system row counts of ``scores`` if already known."""
     ranked = percent_rank_at_least(scores.withColumn(RK, rank_key(F.col("knn_dist"))),
-                                   [cols.sys], RK, pr_cutoff, "knn_pr", scale)
+                                   [cols.sys], RK, pr_cutoff, "knn_pr", scale, sizes=sizes)
     return ranked.select(*_out_cols(cols), "knn_pr")
 
 
 def knn_time(scored: DataFrame, cols: Cols, k: int = 5, pr_cutoff: float = 0.99,
              scale: Scale = Scale()) -> DataFrame:
-    return knn_rank_cut(knn_time_scores(scored, cols, k, scale), cols, pr_cutoff, scale)
+    sizes = group_sizes(_base(scored, cols), [cols.sys])
+    return knn_rank_cut(knn_time_scores(scored, cols, k, scale, sizes), cols, pr_cutoff, scale,
+                        sizes)
 
 
 def knn_exact(scored: DataFrame, cols: Cols, k: int = 5, pr_cutoff: float = 0.99,
               scale: Scale = Scale()) -> DataFrame:
-    return knn_rank_cut(knn_exact_scores(scored, cols, k, scale), cols, pr_cutoff, scale)
+    sizes = group_sizes(_base(scored, cols), [cols.sys])
+    return knn_rank_cut(knn_exact_scores(scored, cols, k, scale, sizes), cols, pr_cutoff, scale,
+                        sizes)
 
 
 def knn_lsh(scored: DataFrame, cols: Cols, k: int = 5, pr_cutoff: float = 0.99,
             bucket: float = 1.0, dist_thresh: float = 1.5, max_group_rows: int = 250_000,
             isolated: float | None = 0.0, scale: Scale = Scale()) -> DataFrame:
-    scores = knn_lsh_scores(scored, cols, k, bucket, dist_thresh, max_group_rows, isolated, scale)
-    return knn_rank_cut(scores, cols, pr_cutoff, scale)
+    sizes = group_sizes(_base(scored, cols), [cols.sys])
+    scores = knn_lsh_scores(scored, cols, k, bucket, dist_thresh, max_group_rows, isolated, scale,
+                            sizes)
+    # NULL systems drop out of both branches (inner joins in the reference).
+    return knn_rank_cut(scores, cols, pr_cutoff, scale,
+                        sizes.filter(F.col(quote_ident(cols.sys)).isNotNull()))
 
 
 def knn(scored: DataFrame, cols: Cols, mode: str = "time", **kw) -> DataFrame:
