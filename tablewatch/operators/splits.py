@@ -139,6 +139,9 @@ def percent_rank_at_least(df: DataFrame, part: list[str], key: str, cutoff: floa
     big, g, _ = _big_groups(sizes, scale)
     if g == 0:
         return _plain_percent_rank(df, part, key, cutoff, out)
+    # The split plan reads its input up to four times; compute it once and
+    # cut the lineage (reliable checkpoint: survives a lost executor).
+    df = materialize(df)
     small_rows = attach_small(df, big.select(*part), part, "left_anti", scale=scale, n_rows=g)
     big_rows = attach_small(df, big, part, "inner", scale=scale, n_rows=g)
     ranked_small = _plain_percent_rank(small_rows, part, key, cutoff, out)

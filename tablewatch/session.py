@@ -26,6 +26,7 @@ DEFAULT_CONF = {
     "spark.sql.files.maxPartitionBytes": "64m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 

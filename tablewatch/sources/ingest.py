@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 
 from tablewatch.functions.exprs import quote_ident
 from tablewatch.operators.joins import materialize
-from tablewatch.sources.files import PARQUET_GLOB, is_parquet_path, list_files, with_relative
+from tablewatch.sources.files import (PARQUET_GLOB, _strip_scheme, is_parquet_path, list_files,
+                                      with_relative)
 from tablewatch.sources.footers import read_footers
 
 SUMMARY_SCHEMA = ("folder string, table string, n_files bigint, n_rows bigint, status string, "
@@ -44,7 +45,7 @@ def ensure_namespace(spark: SparkSession, namespace: str) -> None:
 
 
 def _location(spark: SparkSession, namespace: str, table: str) -> str | None:
-    if not spark.catalog.tableExists(table, namespace):
+    if not spark.catalog.tableExists(quote_ident(namespace, table)):
         return None
     rows = spark.sql(f"DESCRIBE TABLE EXTENDED {quote_ident(namespace, table)}").collect()
     for r in rows:
@@ -53,10 +54,14 @@ def _location(spark: SparkSession, namespace: str, table: str) -> str | None:
     return None
 
 
+def _norm(path: str) -> str:
+    return _strip_scheme(path).rstrip("/")
+
+
 def _register(spark: SparkSession, namespace: str, table: str, path: str) -> str:
     ident = quote_ident(namespace, table)
     current = _location(spark, namespace, table)
-    if current is not None and current.rstrip("/") != path.rstrip("/"):
+    if current is not None and _norm(current) != _norm(path):
         spark.sql(f"DROP TABLE IF EXISTS {ident}")
         current = None
     if current is None:
