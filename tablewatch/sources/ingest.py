@@ -35,9 +35,11 @@ def file_manifest(spark: SparkSession, root: str) -> DataFrame:
     files = with_relative(list_files(spark, root, PARQUET_GLOB), root).filter(
         F.col("folder").isNotNull())
     foot = read_footers(spark, files)
+    schema = F.array_join(F.transform("fields", lambda f: F.concat_ws(
+        ":", f["name"], f["arrow_type"])), ",")
     return (files.join(foot, "path", "left")
             .select("folder", F.lower("folder").alias("table"), "path", "size", "n_rows",
-                    F.lit("PARQUET").alias("format"), "error"))
+                    F.lit("PARQUET").alias("format"), schema.alias("schema"), "error"))
 
 
 def ensure_namespace(spark: SparkSession, namespace: str) -> None:
@@ -90,6 +92,7 @@ def register_folders(spark: SparkSession, root: str, namespace: str = "nyc") ->
         F.sum("n_rows").alias("n_rows"),
         F.first("error", ignorenulls=True).alias("error"),
         F.first(F.when(F.col("error").isNotNull(), F.col("path")), ignorenulls=True).alias("bad"),
+        F.count_distinct("schema").alias("n_schemas"),
     ).collect()}
     by_table: dict[str, list[str]] = {}
     summary = []
@@ -105,12 +108,17 @@ def register_folders(spark: SparkSession, root: str, namespace: str = "nyc") ->
             continue
         path = f"{root.rstrip('/')}/{name}"
         by_table.setdefault(table, []).append((name, path, m))
+
+    def note(m):
+        # Like the reference, the table takes one file's schema; say so when
+        # the files disagree (the census lists them, the sanitiser fixes them).
+        return f"mixed schemas: {m['n_schemas']} distinct" if m["n_schemas"] > 1 else None
     for table, entries in by_table.items():
         if len(entries) == 1:
             name, path, m = entries[0]
             try:
                 status = _register(spark, namespace, table, path)
-                summary.append((name, table, m["n_files"], m["n_rows"], status, None))
+                summary.append((name, table, m["n_files"], m["n_rows"], status, note(m)))
             except Exception as e:  # noqa: BLE001 - reported, other folders continue
                 summary.append((name, table, m["n_files"], None, "error", str(e)[:500]))
             continue
@@ -120,7 +128,7 @@ def register_folders(spark: SparkSession, root: str, namespace: str = "nyc") ->
             try:
                 status = _register(spark, namespace, part, path)
                 parts.append(part)
-                summary.append((name, table, m["n_files"], m["n_rows"], status, None))
+                summary.append((name, table, m["n_files"], m["n_rows"], status, note(m)))
             except Exception as e:  # noqa: BLE001
                 summary.append((name, table, m["n_files"], None, "error", str(e)[:500]))
         if parts:
@@ -141,3 +149,21 @@ def create_table(spark: SparkSession, name: str, schema: str, replace: bool = Tr
         spark.sql(f"DROP TABLE IF EXISTS {ident}")
     spark.sql(f"CREATE TABLE IF NOT EXISTS {ident} ({schema}) USING parquet")
     return ident
+
+
+def main(argv: list[str] | None = None) -> None:
+    """python -m tablewatch.sources.ingest DATA_DIR [--namespace nyc]"""
+    import argparse
+
+    from tablewatch.session import get_session
+    ap = argparse.ArgumentParser(description="Register every sub-folder as a Parquet table.")
+    ap.add_argument("root")
+    ap.add_argument("--namespace", default="nyc")
+    a = ap.parse_args(argv)
+    spark = get_session(app="tablewatch-ingest")
+    register_folders(spark, a.root, a.namespace).show(1000, truncate=False)
+    spark.stop()
+
+
+if __name__ == "__main__":
+    main()

@@ -105,3 +105,32 @@ def sanitize_summary(census: DataFrame, plan: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("files_scanned"),
                  F.count_if(F.col("_n") > 0).alias("files_changed"),
                  F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("casts")))
+
+
+def main(argv: list[str] | None = None) -> None:
+    """python -m tablewatch.sources.sanitize --in DIR --out DIR [--overwrite]
+    [--dry-run] [--compression snappy]"""
+    import argparse
+
+    from tablewatch.session import get_session
+    ap = argparse.ArgumentParser(description=(
+        "Rewrite Parquet files: UINT64 columns to DECIMAL(20,0), a column named 'timestamp' "
+        "(epoch micros) to TIMESTAMP."))
+    ap.add_argument("--in", dest="in_dir", required=True)
+    ap.add_argument("--out", dest="out_dir", required=True)
+    ap.add_argument("--overwrite", action="store_true")
+    ap.add_argument("--dry-run", action="store_true")
+    ap.add_argument("--compression", default="snappy")
+    a = ap.parse_args(argv)
+    spark = get_session(app="tablewatch-sanitize")
+    census = materialize(schema_census(spark, a.in_dir))
+    if census.filter(F.col("path").isNotNull()).isEmpty():
+        raise FileNotFoundError(f"No Parquet files under {a.in_dir}")
+    report = sanitize(spark, a.in_dir, a.out_dir, a.overwrite, True, a.compression, a.dry_run)
+    report.orderBy("path", "column").show(10_000, truncate=False)
+    sanitize_summary(census, plan_casts(census)).show(truncate=False)
+    spark.stop()
+
+
+if __name__ == "__main__":
+    main()

@@ -129,3 +129,20 @@ def test_catalog_report_with_orphan_view(spark, tmp):
     assert rep["orphan"]["n_rows"] is None and "CREATE" in rep["orphan"]["definition"]
     assert run_sql(spark, "SELECT count(*) FROM for_hire", "nyc_t3").first()[0] == 6
     assert catalog_report(spark, "nyc_t3").count() == 4
+
+
+def test_mixed_schema_folder_is_flagged(spark, tmp):
+    write(f"{tmp}/yellow_taxi/one.parquet", pa.table({"c": pa.array([1, 2], pa.int32())}))
+    write(f"{tmp}/yellow_taxi/two.parquet", pa.table({"c": pa.array([3], pa.uint64())}))
+    s = register_folders(spark, tmp, "nyc_t4").first()
+    assert s["status"] == "created" and s["n_rows"] == 3
+    assert s["error"] == "mixed schemas: 2 distinct"
+
+
+def test_create_table_drops_and_recreates(spark):
+    from tablewatch.sources.ingest import create_table
+    ident = create_table(spark, "table_name", "id INT NOT NULL, data STRING", namespace="ns_demo")
+    spark.sql(f"INSERT INTO {ident} VALUES (1, 'a')")
+    create_table(spark, "table_name", "id INT NOT NULL, data STRING", namespace="ns_demo")
+    assert spark.table(ident).count() == 0
+    assert [f.name for f in spark.table(ident).schema] == ["id", "data"]
