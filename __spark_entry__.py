@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 
 from tablewatch.functions.exprs import quote_ident, round_doubles
 from tablewatch.operators import (input_profile, iqr_bounds, iqr_outliers, iqr_outliers_detailed,
-                                  kmeans_anomalies, knn_exact, knn_lsh, knn_time,
-                                  knn_time_scores, prepare, suspects_topk, system_sizes, zscore,
+                                  kmeans_anomalies, knn_exact, knn_exact_scores, knn_lsh,
+                                  knn_lsh_scores, knn_time, knn_time_scores, prepare, suspects_topk, system_sizes, zscore,
                                   zscore_outliers)
 from tablewatch.params import Cols, Scale
 from tablewatch.plans.catalog import catalog_report, run_sql
@@ -146,6 +146,24 @@ def q_knn_lsh_outliers_by_type(spark, sf_dir):
     return round_doubles(knn_lsh(s, ET, 5, 0.99, scale=SPLIT_TYPE))
 
 
+def q_knn_exact_scores(spark, sf_dir):
+    return round_doubles(knn_exact_scores(_scored(spark, sf_dir, "events", EV), EV, 5))
+
+
+def q_knn_lsh_scores(spark, sf_dir):
+    return round_doubles(knn_lsh_scores(_scored(spark, sf_dir, "events", EV), EV, 5))
+
+
+def q_iqr_outliers_detailed_lineitem(spark, sf_dir):
+    # Uniform prices leave nothing outside 1.5 IQR; a 0.5 multiplier does.
+    return round_doubles(iqr_outliers_detailed(prepare(_table(spark, sf_dir, "lineitem"), LI),
+                                               LI, mult=0.5))
+
+
+def q_suspects_topk_lineitem(spark, sf_dir):
+    return round_doubles(suspects_topk(_scored(spark, sf_dir, "lineitem", LI), LI, 50))
+
+
 def q_input_profile(spark, sf_dir):
     return input_profile(prepare(_table(spark, sf_dir, "events"), EV), EV)
 
@@ -295,12 +313,12 @@ def _zscore_outliers_sql(table: str, c: Cols, z_thresh: float = 2.0) -> str:
                FROM ({_scored_sql(table, c)}) WHERE n >= 20 AND abs(z) > {z_thresh}"""
 
 
-def _iqr_sql(table: str, c: Cols, detailed: str) -> str:
+def _iqr_sql(table: str, c: Cols, detailed: str, mult: float = 1.5) -> str:
     withb = f"""
       SELECT t.{c.sys} AS {c.sys}, t.{c.ts} AS {c.ts}, t.{c.x} AS {c.x},
              {', '.join('t.' + b + ' AS ' + b for b in c.tie_break)},
              q.q1, q.q3, q.q3 - q.q1 AS iqr,
-             q.q1 - 1.5 * (q.q3 - q.q1) AS low, q.q3 + 1.5 * (q.q3 - q.q1) AS high
+             q.q1 - {mult} * (q.q3 - q.q1) AS low, q.q3 + {mult} * (q.q3 - q.q1) AS high
       FROM {table} t LEFT JOIN (
         SELECT {c.sys}, quantile_disc({c.x}, 0.25) AS q1, quantile_disc({c.x}, 0.75) AS q3
         FROM {table} GROUP BY {c.sys}) q ON t.{c.sys} = q.{c.sys}"""
@@ -402,6 +420,19 @@ _ORACLE: dict[str, str] = {
     "knn_lsh_outliers": _knn_cut_sql(_knn_lsh_scores_sql("events", EV), EV),
     "knn_split_outliers": _knn_cut_sql(_knn_lsh_scores_sql("events", EV, 65), EV),
     "knn_lsh_outliers_by_type": _knn_cut_sql(_knn_lsh_scores_sql("events", ET), ET),
+    "knn_exact_scores": f"""
+        SELECT {_base_sel(EV)}, {_r('z', 'z')}, {_r('knn_dist', 'knn_dist')}
+        FROM ({_knn_exact_scores_sql('events', EV)})""",
+    "knn_lsh_scores": f"""
+        SELECT {_base_sel(EV)}, {_r('z', 'z')}, {_r('knn_dist', 'knn_dist')}
+        FROM ({_knn_lsh_scores_sql('events', EV)})""",
+    "iqr_outliers_detailed_lineitem": _iqr_sql("lineitem", LI, "detailed", 0.5),
+    "suspects_topk_lineitem": f"""
+        SELECT {_base_sel(LI)}, {_r('z', 'z')}, {_r('abs(z)', 'abs_z')}
+        FROM ({_scored_sql('lineitem', LI)})
+        ORDER BY round(abs(z), 9) DESC NULLS LAST, l_suppkey NULLS FIRST, l_shipdate NULLS FIRST,
+                 l_orderkey NULLS FIRST, l_linenumber NULLS FIRST
+        LIMIT 50""",
     "input_profile": """
         SELECT count(*) AS rows,
                CAST(count(DISTINCT user_id) + max(CASE WHEN user_id IS NULL THEN 1 ELSE 0 END)
@@ -474,6 +505,10 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "knn_lsh_outliers": q_knn_lsh_outliers,
     "knn_split_outliers": q_knn_split_outliers,
     "knn_lsh_outliers_by_type": q_knn_lsh_outliers_by_type,
+    "knn_exact_scores": q_knn_exact_scores,
+    "knn_lsh_scores": q_knn_lsh_scores,
+    "iqr_outliers_detailed_lineitem": q_iqr_outliers_detailed_lineitem,
+    "suspects_topk_lineitem": q_suspects_topk_lineitem,
     "input_profile": q_input_profile,
     "small_big_systems": q_small_big_systems,
     "folder_ingest_summary": q_folder_ingest_summary,

@@ -11,5 +11,6 @@ from tablewatch.operators.prepare import prepare, require_columns  # noqa: F401
 from tablewatch.operators.profile import input_profile, system_sizes  # noqa: F401
 from tablewatch.operators.splits import (group_sizes, neighbor_diffs,  # noqa: F401
                                          percent_rank_at_least, range_splits)
-from tablewatch.operators.zscore import (suspects_topk, system_stats, zscore,  # noqa: F401
-                                         zscore_outliers)
+from tablewatch.operators.zscore import (sizes_from_stats, suspects_topk,  # noqa: F401
+                                         system_stats, zscore, zscore_outliers,
+                                         zscore_with_stats)

@@ -27,13 +27,26 @@ def system_stats(df: DataFrame, cols: Cols) -> DataFrame:
     )
 
 
-def zscore(df: DataFrame, cols: Cols, scale: Scale = Scale()) -> DataFrame:
-    """Input columns + n, mean_feat, std_feat, z, abs_z.  NULL systems form
-    one group, as in a window partition."""
+def zscore_with_stats(df: DataFrame, cols: Cols,
+                      scale: Scale = Scale()) -> tuple[DataFrame, DataFrame]:
+    """(scored rows, per-system stats table).  The stats table (sys, n,
+    mean_feat, std_feat) is checkpointed; its ``n`` doubles as the group sizes
+    the split plans need, so callers can skip a recount."""
     stats = materialize(system_stats(df, cols))
     scored = attach_small(df, stats, [cols.sys], "left", scale=scale, null_safe=True)
     z = zscore_expr(F.col(quote_ident(cols.x)), F.col("mean_feat"), F.col("std_feat"))
-    return scored.withColumn("z", z).withColumn("abs_z", F.abs(F.col("z")))
+    return scored.withColumn("z", z).withColumn("abs_z", F.abs(F.col("z"))), stats
+
+
+def zscore(df: DataFrame, cols: Cols, scale: Scale = Scale()) -> DataFrame:
+    """Input columns + n, mean_feat, std_feat, z, abs_z.  NULL systems form
+    one group, as in a window partition."""
+    return zscore_with_stats(df, cols, scale)[0]
+
+
+def sizes_from_stats(stats: DataFrame, cols: Cols) -> DataFrame:
+    """Group sizes in the layout of ``splits.group_sizes``."""
+    return stats.select(F.col(quote_ident(cols.sys)), F.col("n").alias("_tw_n"))
 
 
 def _out(cols: Cols, *extra: str) -> list:

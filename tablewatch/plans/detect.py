@@ -25,7 +25,8 @@ from tablewatch.operators.knn import (_base, knn_exact_scores, knn_lsh_scores, k
 from tablewatch.operators.prepare import prepare
 from tablewatch.operators.profile import input_profile
 from tablewatch.operators.splits import group_sizes
-from tablewatch.operators.zscore import suspects_topk, zscore, zscore_outliers
+from tablewatch.operators.zscore import (sizes_from_stats, suspects_topk, zscore_outliers,
+                                         zscore_with_stats)
 from tablewatch.params import Params
 from tablewatch.sources.sinks import quicklook, write_all
 
@@ -35,9 +36,12 @@ def load_input(spark: SparkSession, p: Params) -> DataFrame:
     return prepare(spark.read.parquet(p.input_path), p.cols, p.ts_unit, p.nan_as_null)
 
 
-def knn_outliers(scored: DataFrame, p: Params) -> DataFrame:
+def knn_outliers(scored: DataFrame, p: Params, sizes: DataFrame | None = None) -> DataFrame:
+    """KNN outliers in the configured mode.  ``sizes``: rows per system when
+    already known (the z-score statistics carry them)."""
     cols, scale = p.cols, p.scale
-    sizes = group_sizes(_base(scored, cols), [cols.sys])
+    if sizes is None:
+        sizes = group_sizes(_base(scored, cols), [cols.sys])
     mode = p.knn_mode.lower()
     if mode == "time":
         scores = knn_time_scores(scored, cols, p.knn_k, scale, sizes)
@@ -57,7 +61,7 @@ def detect_all(spark: SparkSession, p: Params, df: DataFrame | None = None) -> d
     if df is None:
         df = load_input(spark, p)
     cols = p.cols
-    scored = zscore(df, cols, p.scale)
+    scored, stats = zscore_with_stats(df, cols, p.scale)
     iqr = iqr_all(df, cols, p.iqr_mult, scale=p.scale)
     return {
         "temp_outliers_zscore": zscore_outliers(scored, cols, p.z_thresh, p.min_points),
@@ -65,7 +69,7 @@ def detect_all(spark: SparkSession, p: Params, df: DataFrame | None = None) -> d
         "temp_outliers_iqr": iqr["iqr_outliers"],
         "temp_outliers_kmeans": kmeans_anomalies(scored, cols, p.kmeans_k, p.km_pr_cutoff,
                                                  p.kmeans_seed, scale=p.scale),
-        "temp_outliers_knn": knn_outliers(scored, p),
+        "temp_outliers_knn": knn_outliers(scored, p, sizes_from_stats(stats, cols)),
         "iqr_bounds": iqr["iqr_bounds"],
         "iqr_outliers_detailed": iqr["iqr_outliers_detailed"],
     }
