@@ -8,6 +8,7 @@ Column roles used throughout:
   events   by user:   system=user_id,    time=ts,         feature=value,           tie=event_id
   events   by type:   system=event_type, time=ts,         feature=value,           tie=event_id
   lineitem by supp:   system=l_suppkey,  time=l_shipdate, feature=l_extendedprice, tie=l_orderkey,l_linenumber
+  lineitem by flag:   system=l_returnflag (3 hot keys, a third of the rows each), same roles
 """
 
 from __future__ import annotations
@@ -38,11 +39,14 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 EV = Cols("user_id", "ts", "value", ("event_id",))
 ET = Cols("event_type", "ts", "value", ("event_id",))
 LI = Cols("l_suppkey", "l_shipdate", "l_extendedprice", ("l_orderkey", "l_linenumber"))
+# Hot keys: three return flags, each holding a third of lineitem.
+LR = Cols("l_returnflag", "l_shipdate", "l_extendedprice", ("l_orderkey", "l_linenumber"))
 
 # Small split sizes force the range-split (hot system) plans on the test
 # tables; their answers must equal the single-window plans.
 SPLIT_USER = Scale(split_rows=20, max_splits=8)
 SPLIT_TYPE = Scale(split_rows=400, max_splits=64)
+SPLIT_HOT = Scale(split_rows=4000, max_splits=64)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -164,6 +168,38 @@ def q_suspects_topk_lineitem(spark, sf_dir):
     return round_doubles(suspects_topk(_scored(spark, sf_dir, "lineitem", LI), LI, 50))
 
 
+def q_zscore_outliers_hot(spark, sf_dir):
+    s = _scored(spark, sf_dir, "lineitem", LR, SPLIT_HOT)
+    return round_doubles(zscore_outliers(s, LR, z_thresh=1.5))
+
+
+def q_iqr_bounds_hot(spark, sf_dir):
+    # Exact quartiles: a third of the table per system, beyond what the
+    # default sketch accuracy resolves exactly.
+    return round_doubles(iqr_bounds(prepare(_table(spark, sf_dir, "lineitem"), LR), LR,
+                                    scale=SPLIT_HOT, exact=True))
+
+
+def q_iqr_bounds_exact(spark, sf_dir):
+    return round_doubles(iqr_bounds(prepare(_table(spark, sf_dir, "events"), EV), EV,
+                                    exact=True))
+
+
+def q_knn_time_outliers_hot(spark, sf_dir):
+    s = _scored(spark, sf_dir, "lineitem", LR, SPLIT_HOT)
+    return round_doubles(knn_time(s, LR, 5, 0.99, scale=SPLIT_HOT))
+
+
+def q_knn_exact_outliers_hot(spark, sf_dir):
+    s = _scored(spark, sf_dir, "lineitem", LR, SPLIT_HOT)
+    return round_doubles(knn_exact(s, LR, 5, 0.99, scale=SPLIT_HOT))
+
+
+def q_knn_lsh_outliers_hot(spark, sf_dir):
+    s = _scored(spark, sf_dir, "lineitem", LR, SPLIT_HOT)
+    return round_doubles(knn_lsh(s, LR, 5, 0.99, scale=SPLIT_HOT))
+
+
 def q_input_profile(spark, sf_dir):
     return input_profile(prepare(_table(spark, sf_dir, "events"), EV), EV)
 
@@ -433,6 +469,12 @@ _ORACLE: dict[str, str] = {
         ORDER BY round(abs(z), 9) DESC NULLS LAST, l_suppkey NULLS FIRST, l_shipdate NULLS FIRST,
                  l_orderkey NULLS FIRST, l_linenumber NULLS FIRST
         LIMIT 50""",
+    "zscore_outliers_hot": _zscore_outliers_sql("lineitem", LR, 1.5),
+    "iqr_bounds_hot": _iqr_sql("lineitem", LR, "bounds"),
+    "iqr_bounds_exact": _iqr_sql("events", EV, "bounds"),
+    "knn_time_outliers_hot": _knn_cut_sql(_knn_time_scores_sql("lineitem", LR), LR),
+    "knn_exact_outliers_hot": _knn_cut_sql(_knn_exact_scores_sql("lineitem", LR), LR),
+    "knn_lsh_outliers_hot": _knn_cut_sql(_knn_lsh_scores_sql("lineitem", LR), LR),
     "input_profile": """
         SELECT count(*) AS rows,
                CAST(count(DISTINCT user_id) + max(CASE WHEN user_id IS NULL THEN 1 ELSE 0 END)
@@ -509,6 +551,12 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "knn_lsh_scores": q_knn_lsh_scores,
     "iqr_outliers_detailed_lineitem": q_iqr_outliers_detailed_lineitem,
     "suspects_topk_lineitem": q_suspects_topk_lineitem,
+    "zscore_outliers_hot": q_zscore_outliers_hot,
+    "iqr_bounds_hot": q_iqr_bounds_hot,
+    "iqr_bounds_exact": q_iqr_bounds_exact,
+    "knn_time_outliers_hot": q_knn_time_outliers_hot,
+    "knn_exact_outliers_hot": q_knn_exact_outliers_hot,
+    "knn_lsh_outliers_hot": q_knn_lsh_outliers_hot,
     "input_profile": q_input_profile,
     "small_big_systems": q_small_big_systems,
     "folder_ingest_summary": q_folder_ingest_summary,

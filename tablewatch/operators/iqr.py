@@ -7,12 +7,18 @@ from pyspark.sql import functions as F
 
 from tablewatch.functions.exprs import quote_ident
 from tablewatch.operators.joins import attach_small, materialize
+from tablewatch.operators.splits import exact_quantiles
 from tablewatch.params import Cols, Scale
 
 
-def quartiles(df: DataFrame, cols: Cols, accuracy: int = 10_000) -> DataFrame:
-    """q1/q3 per system from mergeable quantile sketches (partial aggregation
-    map-side, so a hot system costs one small sketch per task)."""
+def quartiles(df: DataFrame, cols: Cols, accuracy: int = 10_000, exact: bool = False,
+              scale: Scale = Scale()) -> DataFrame:
+    """q1/q3 per system.  Default: mergeable quantile sketches with the
+    reference's accuracy (partial aggregation map-side, so a hot system costs
+    one small sketch per task).  ``exact``: the discrete quantiles
+    (``percentile_disc``), still without gathering a system in one task."""
+    if exact:
+        return exact_quantiles(df, [cols.sys], cols.x, [0.25, 0.75], ["q1", "q3"], scale)
     x = F.col(quote_ident(cols.x))
     return df.groupBy(F.col(quote_ident(cols.sys))).agg(
         F.percentile_approx(x, 0.25, accuracy).alias("q1"),
@@ -22,12 +28,12 @@ def quartiles(df: DataFrame, cols: Cols, accuracy: int = 10_000) -> DataFrame:
 
 def with_bounds(df: DataFrame, cols: Cols, mult: float = 1.5, accuracy: int = 10_000,
                 scale: Scale = Scale(), null_safe: bool = False,
-                q: DataFrame | None = None) -> DataFrame:
+                q: DataFrame | None = None, exact: bool = False) -> DataFrame:
     """Rows + q1, q3, iqr, low, high.  Like the reference's equi-join, a NULL
     system matches nothing (NULL bounds) unless ``null_safe``.  ``q`` may be
     a quartile table computed once and shared by several outputs."""
     if q is None:
-        q = materialize(quartiles(df, cols, accuracy))
+        q = materialize(quartiles(df, cols, accuracy, exact, scale))
     out = attach_small(df, q, [cols.sys], "left", scale=scale, null_safe=null_safe)
     iqr = F.col("q3") - F.col("q1")
     return out.withColumns({"iqr": iqr}).withColumns({
@@ -42,9 +48,10 @@ def _outside(cols: Cols):
 
 
 def iqr_bounds(df: DataFrame, cols: Cols, mult: float = 1.5, accuracy: int = 10_000,
-               scale: Scale = Scale(), q: DataFrame | None = None) -> DataFrame:
+               scale: Scale = Scale(), q: DataFrame | None = None,
+               exact: bool = False) -> DataFrame:
     """One row per system: q1, q3, iqr, low, high, n (all rows), n_outliers."""
-    b = with_bounds(df, cols, mult, accuracy, scale, q=q)
+    b = with_bounds(df, cols, mult, accuracy, scale, q=q, exact=exact)
     return b.groupBy(F.col(quote_ident(cols.sys))).agg(
         F.first("q1").alias("q1"), F.first("q3").alias("q3"), F.first("iqr").alias("iqr"),
         F.first("low").alias("low"), F.first("high").alias("high"),
@@ -55,11 +62,11 @@ def iqr_bounds(df: DataFrame, cols: Cols, mult: float = 1.5, accuracy: int = 10_
 
 def iqr_outliers_detailed(df: DataFrame, cols: Cols, mult: float = 1.5,
                           accuracy: int = 10_000, scale: Scale = Scale(),
-                          q: DataFrame | None = None) -> DataFrame:
+                          q: DataFrame | None = None, exact: bool = False) -> DataFrame:
     """Every row outside [low, high] with the side ("where") and the distance
     from the violated bound."""
     x = F.col(quote_ident(cols.x))
-    b = with_bounds(df, cols, mult, accuracy, scale, q=q)
+    b = with_bounds(df, cols, mult, accuracy, scale, q=q, exact=exact)
     below = x < F.col("low")
     return (b.filter(_outside(cols))
             .withColumn("where", F.when(below, F.lit("below_low")).otherwise(F.lit("above_high")))
@@ -70,15 +77,16 @@ def iqr_outliers_detailed(df: DataFrame, cols: Cols, mult: float = 1.5,
 
 
 def iqr_outliers(df: DataFrame, cols: Cols, mult: float = 1.5, accuracy: int = 10_000,
-                 scale: Scale = Scale(), q: DataFrame | None = None) -> DataFrame:
-    return iqr_outliers_detailed(df, cols, mult, accuracy, scale, q=q).select(
+                 scale: Scale = Scale(), q: DataFrame | None = None,
+                 exact: bool = False) -> DataFrame:
+    return iqr_outliers_detailed(df, cols, mult, accuracy, scale, q=q, exact=exact).select(
         *[F.col(quote_ident(c)) for c in [cols.sys, cols.ts, cols.x, *cols.tie_break]])
 
 
 def iqr_all(df: DataFrame, cols: Cols, mult: float = 1.5, accuracy: int = 10_000,
-            scale: Scale = Scale()) -> dict[str, DataFrame]:
+            scale: Scale = Scale(), exact: bool = False) -> dict[str, DataFrame]:
     """The three IQR outputs from one quartile pass."""
-    q = materialize(quartiles(df, cols, accuracy))
+    q = materialize(quartiles(df, cols, accuracy, exact, scale))
     return {
         "iqr_bounds": iqr_bounds(df, cols, mult, accuracy, scale, q=q),
         "iqr_outliers_detailed": iqr_outliers_detailed(df, cols, mult, accuracy, scale, q=q),

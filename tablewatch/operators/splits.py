@@ -163,24 +163,107 @@ def percent_rank_at_least(df: DataFrame, part: list[str], key: str, cutoff: floa
                      .agg(F.count(F.lit(1)).alias(C), F.first(N).alias(N)))
     dsizes = materialize(dv.groupBy(*[_c(p) for p in part])
                          .agg(F.count(F.lit(1)).alias(N), F.sum(C).alias(NC)))
-    dvs, split = range_splits(dv, part, key, dsizes.select(*part, N), scale)
+    dvs = running_below(dv, part, key, C, BELOW, scale, dsizes.select(*part, N))
+    dvs = attach_small(dvs, dsizes.select(*part, NC), part, "left", scale=scale, n_rows=g)
+    below = F.col(BELOW) + F.col(N) - F.col(NC)
+    pr = F.when(F.col(N) > 1, below / (F.col(N) - 1)).otherwise(F.lit(0.0))
+    kept = dvs.select(*[_c(p) for p in part], _c(key), pr.alias(out)).filter(F.col(out) >= cutoff)
+    kept = materialize(kept)
+    ranked_big = attach_small(cand.drop(N), kept, [*part, key], "inner", scale=scale)
+    return ranked_small.unionByName(ranked_big.select(*ranked_small.columns))
+
+
+def running_below(dv: DataFrame, part: list[str], key: str, count_col: str, out: str,
+                  scale: Scale, sizes: DataFrame | None = None) -> DataFrame:
+    """On a table of distinct (part, key) with row counts, add ``out`` = the
+    number of rows of the group with a strictly smaller key (NULL keys sort
+    first).  Big groups are split into key ranges; each range adds the totals
+    of the ranges before it (a running sum over at most max_splits rows)."""
+    if sizes is None:
+        sizes = group_sizes(dv, part)
+    dvs, split = range_splits(dv, part, key, sizes, scale)
     w = (Window.partitionBy(*[_c(p) for p in part], F.col(SPLIT))
          .orderBy(_c(key).asc_nulls_first())
          .rowsBetween(Window.unboundedPreceding, -1))
-    dvs = dvs.withColumn(BELOW, F.coalesce(F.sum(C).over(w), F.lit(0)))
+    dvs = dvs.withColumn(out, F.coalesce(F.sum(count_col).over(w), F.lit(0)))
     if split:
-        per = dvs.groupBy(*[_c(p) for p in part], F.col(SPLIT)).agg(F.sum(C).alias("_tw_sc"))
+        per = dvs.groupBy(*[_c(p) for p in part], F.col(SPLIT)).agg(
+            F.sum(count_col).alias("_tw_sc"))
         wo = (Window.partitionBy(*[_c(p) for p in part]).orderBy(SPLIT)
               .rowsBetween(Window.unboundedPreceding, -1))
         offsets = materialize(per.select(*[_c(p) for p in part], F.col(SPLIT),
                                          F.coalesce(F.sum("_tw_sc").over(wo), F.lit(0))
                                          .alias("_tw_off")))
         dvs = attach_small(dvs, offsets, [*part, SPLIT], "left", scale=scale)
-        dvs = dvs.withColumn(BELOW, F.col(BELOW) + F.col("_tw_off")).drop("_tw_off")
-    dvs = attach_small(dvs, dsizes.select(*part, NC), part, "left", scale=scale, n_rows=g)
-    below = F.col(BELOW) + F.col(N) - F.col(NC)
-    pr = F.when(F.col(N) > 1, below / (F.col(N) - 1)).otherwise(F.lit(0.0))
-    kept = dvs.select(*[_c(p) for p in part], _c(key), pr.alias(out)).filter(F.col(out) >= cutoff)
-    kept = materialize(kept)
-    ranked_big = attach_small(cand.drop(N), kept, [*part, key], "inner", scale=scale)
-    return ranked_small.unionByName(ranked_big.select(*ranked_small.columns))
+        dvs = dvs.withColumn(out, F.col(out) + F.col("_tw_off")).drop("_tw_off")
+    return dvs.drop(SPLIT, HAS_SPLIT)
+
+
+def exact_quantiles(df: DataFrame, part: list[str], x: str, probs: list[float],
+                    names: list[str], scale: Scale) -> DataFrame:
+    """Exact discrete quantiles per group: for each p the smallest value v
+    with count(x <= v) >= max(1, ceil(p * n)), n = non-NULL values (the
+    definition of ``percentile_disc``).
+
+    No group is gathered in one task: a sketch brackets each quantile within
+    a few n/accuracy ranks, only rows inside the bracket are counted by
+    distinct value, and those counts get running sums (split for big groups).
+    A bracket that misses its quantile (excluded by the sketch's error
+    bound, but checked) is recomputed for its group without a bracket."""
+    acc = scale.quantile_accuracy
+    m = 3.0 / acc
+    xs = _c(x)
+    rows = df.select(*[_c(p) for p in part], xs).filter(xs.isNotNull())
+    stats = rows.groupBy(*[_c(p) for p in part]).agg(
+        F.count(F.lit(1)).alias(N),
+        F.percentile_approx(xs, [max(0.0, p - m) for p in probs], acc).alias("_tw_lo"),
+        F.percentile_approx(xs, [min(1.0, p + m) for p in probs], acc).alias("_tw_hi"))
+    stats = materialize(stats)
+    result = _quantiles_in_brackets(rows, part, x, probs, names, stats, scale)
+    # Groups whose bracket missed (sketch error beyond its bound): redo them
+    # with open brackets.
+    bad = materialize(result.filter(F.greatest(*[F.col(n).isNull() for n in names]))
+                      .select(*part))
+    if bad.isEmpty():
+        return result
+    open_stats = attach_small(stats, bad, part, "left_semi", scale=scale).select(
+        *part, N, F.lit(None).cast("array<double>").alias("_tw_lo"),
+        F.lit(None).cast("array<double>").alias("_tw_hi"))
+    redo = _quantiles_in_brackets(attach_small(rows, bad, part, "left_semi", scale=scale),
+                                  part, x, probs, names, materialize(open_stats), scale)
+    good = attach_small(result, bad, part, "left_anti", scale=scale)
+    return good.unionByName(redo)
+
+
+def _quantiles_in_brackets(rows: DataFrame, part, x, probs, names, stats, scale) -> DataFrame:
+    xs = _c(x)
+    with_b = attach_small(rows, stats, part, "left", scale=scale)
+    lo = [F.element_at("_tw_lo", i + 1) for i in range(len(probs))]
+    hi = [F.element_at("_tw_hi", i + 1) for i in range(len(probs))]
+    inside = [(F.col("_tw_lo").isNull() | (xs >= lo[i])) & (F.col("_tw_hi").isNull() | (xs <= hi[i]))
+              for i in range(len(probs))]
+    below = materialize(with_b.groupBy(*[_c(p) for p in part]).agg(
+        *[F.count_if(F.col("_tw_lo").isNotNull() & (xs < lo[i])).alias(f"_tw_below{i}")
+          for i in range(len(probs))]))
+    which = F.filter(F.array(*[F.when(inside[i], F.lit(i)) for i in range(len(probs))]),
+                     lambda v: v.isNotNull())
+    cand = (with_b.select(*[_c(p) for p in part], xs, F.explode(which).alias("_tw_i")))
+    dv = materialize(cand.groupBy(*[_c(p) for p in part], F.col("_tw_i"), xs)
+                     .agg(F.count(F.lit(1)).alias("_tw_c")))
+    ranked = running_below(dv, [*part, "_tw_i"], x, "_tw_c", "_tw_lt", scale)
+    ranked = attach_small(ranked, below, part, "left", scale=scale)
+    ranked = attach_small(ranked, stats.select(*part, N), part, "left", scale=scale)
+    base = F.element_at(F.array(*[F.col(f"_tw_below{i}") for i in range(len(probs))]),
+                        F.col("_tw_i") + 1)
+    target = F.element_at(F.array(*[F.greatest(F.lit(1), F.ceil(F.lit(p) * F.col(N)))
+                                    for p in probs]), F.col("_tw_i") + 1)
+    # First value whose cumulative count reaches the target rank; the
+    # bracket is valid when fewer than target rows lie below it.
+    hit = (base < target) & (base + F.col("_tw_lt") < target) & \
+          (base + F.col("_tw_lt") + F.col("_tw_c") >= target)
+    found = ranked.filter(hit).groupBy(*[_c(p) for p in part], "_tw_i").agg(F.min(xs).alias("_tw_q"))
+    groups = stats.select(*part)
+    out = found.groupBy(*[_c(p) for p in part]).agg(
+        *[F.max(F.when(F.col("_tw_i") == i, F.col("_tw_q"))).alias(n) for i, n in enumerate(names)])
+    # Groups with no hit at all still appear (with NULLs) so they are redone.
+    return attach_small(groups, out, part, "left", scale=scale)

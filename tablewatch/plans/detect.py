@@ -62,7 +62,7 @@ def detect_all(spark: SparkSession, p: Params, df: DataFrame | None = None) -> d
         df = load_input(spark, p)
     cols = p.cols
     scored, stats = zscore_with_stats(df, cols, p.scale)
-    iqr = iqr_all(df, cols, p.iqr_mult, scale=p.scale)
+    iqr = iqr_all(df, cols, p.iqr_mult, scale=p.scale, exact=p.iqr_exact)
     return {
         "temp_outliers_zscore": zscore_outliers(scored, cols, p.z_thresh, p.min_points),
         "temp_suspects_topk": suspects_topk(scored, cols, p.topk),

@@ -59,3 +59,17 @@ def test_percent_rank_split_equals_window(spark, cutoff, ties, nulls):
     assert set(got) == set(want)
     for k in want:
         assert got[k] == pytest.approx(want[k], abs=1e-12)
+
+
+@pytest.mark.parametrize("ties,accuracy", [(False, 10_000), (True, 10_000), (True, 50),
+                                           (False, 50)])
+def test_exact_quantiles_equal_percentile_disc(spark, ties, accuracy):
+    from tablewatch.operators.splits import exact_quantiles
+    df = data(spark, 21, n_groups=4, n=300, ties=ties, nulls=True)
+    scale = Scale(split_rows=25, max_splits=16, quantile_accuracy=accuracy)
+    got = {r["g"]: (r["q1"], r["q3"]) for r in
+           exact_quantiles(df, ["g"], "v", [0.25, 0.75], ["q1", "q3"], scale).collect()}
+    want = {r["g"]: (r["q1"], r["q3"]) for r in df.groupBy("g").agg(
+        F.expr("percentile_disc(0.25) WITHIN GROUP (ORDER BY v)").alias("q1"),
+        F.expr("percentile_disc(0.75) WITHIN GROUP (ORDER BY v)").alias("q3")).collect()}
+    assert got == want
