@@ -1,17 +1,26 @@
 """K3: one global k-means over the z-score; per-system percent rank of the
 distance to the assigned centre.
 
-MLlib does the fitting (a Pipeline of VectorAssembler, StandardScaler and
-KMeans, as in the reference).  The distance to the centre is a native array
-expression instead of the reference's row-at-a-time Python UDF.
+MLlib fits the model (VectorAssembler + KMeans in a Pipeline, as in the
+reference).  Everything around the fit is native column arithmetic:
+
+* the global standardisation (the reference's StandardScaler: mean and
+  unbiased standard deviation) is one aggregate;
+* assignment and distance use the k centres as literals: the nearest centre
+  by squared distance (lowest index on ties, like ``KMeansModel.predict``),
+  instead of the reference's row-at-a-time Python UDF.
+
+``fit_digits`` (opt-in) fits on distinct values rounded to that many
+decimals, weighted by their counts: with one feature this is a histogram of
+at most a few million points however many rows there are, so the fitting
+input is not cached at full size.  ``None`` fits on every row.
 """
 
 from __future__ import annotations
 
 from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,43 +30,52 @@ from tablewatch.params import Cols, Scale
 
 
 def kmeans_scores(scored: DataFrame, cols: Cols, k: int = 2, seed: int = 42,
-                  fit_partitions: int | None = None) -> DataFrame:
+                  fit_partitions: int | None = None, fit_digits: int | None = None) -> DataFrame:
     """Rows with a usable z + cluster (int) and km_dist.
 
     Rows whose z is NULL or NaN are skipped (the reference's assembler would
     abort the run on them).  k-means with a fixed seed still depends on how
-    the input is partitioned; ``fit_partitions`` range-partitions the fitting
-    input on z and sorts it, which makes the centres repeatable.
+    the fitting input is partitioned; ``fit_partitions`` range-partitions it
+    on the feature and sorts it, which makes the centres repeatable.
     """
     keep = [cols.sys, cols.ts, cols.x, *cols.tie_break, "z"]
     base = (scored.select(*[F.col(quote_ident(c)) for c in keep])
             .filter(F.col("z").isNotNull() & ~F.isnan(F.col("z"))))
-    pipe = Pipeline(stages=[
-        VectorAssembler(inputCols=["z"], outputCol="_tw_raw"),
-        StandardScaler(inputCol="_tw_raw", outputCol="_tw_feat", withMean=True, withStd=True),
-        KMeans(k=k, seed=seed, featuresCol="_tw_feat", predictionCol="cluster"),
-    ])
-    fit_in = base.select("z")
+    g = base.agg(F.avg("z").alias("m"), F.stddev_samp("z").alias("s")).first()
+    mean = g["m"] if g["m"] is not None else 0.0
+    std = g["s"]
+    feat = (F.col("z") - F.lit(mean)) / F.lit(std) if std else F.lit(0.0)
+
+    if fit_digits is None:
+        fit_in = base.select(feat.alias("_tw_f"))
+        weight = None
+    else:
+        fit_in = (base.select(F.round(feat, fit_digits).alias("_tw_f"))
+                  .groupBy("_tw_f").agg(F.count(F.lit(1)).cast("double").alias("_tw_w")))
+        weight = "_tw_w"
     if fit_partitions:
-        fit_in = fit_in.repartitionByRange(fit_partitions, "z").sortWithinPartitions("z")
-    model = pipe.fit(fit_in)
-    centers = model.stages[-1].clusterCenters()  # k x d, tiny
-    centers_lit = F.array(*[F.array(*[F.lit(float(v)) for v in c]) for c in centers])
-    out = model.transform(base)
-    feat = vector_to_array(F.col("_tw_feat"))
-    center = F.element_at(centers_lit, F.col("cluster") + 1)
-    sq = F.aggregate(F.zip_with(feat, center, lambda a, b: (a - b) * (a - b)), F.lit(0.0),
-                     lambda acc, v: acc + v)
-    return (out.withColumn("km_dist", F.sqrt(sq))
-            .withColumn("cluster", F.col("cluster").cast("int"))
+        fit_in = fit_in.repartitionByRange(fit_partitions, "_tw_f").sortWithinPartitions("_tw_f")
+    km = KMeans(k=k, seed=seed, featuresCol="_tw_v", predictionCol="cluster")
+    if weight:
+        km = km.setWeightCol(weight)
+    model = Pipeline(stages=[VectorAssembler(inputCols=["_tw_f"], outputCol="_tw_v"), km]).fit(
+        fit_in)
+    centers = [float(c[0]) for c in model.stages[-1].clusterCenters()]  # k numbers
+
+    f = F.col("_tw_f")
+    sq = F.array(*[(f - F.lit(c)) * (f - F.lit(c)) for c in centers])
+    best = F.array_min(sq)
+    return (base.withColumn("_tw_f", feat)
+            .withColumn("cluster", (F.array_position(sq, best) - 1).cast("int"))
+            .withColumn("km_dist", F.sqrt(best))
             .select(*[F.col(quote_ident(c)) for c in keep], "cluster", "km_dist"))
 
 
 def kmeans_anomalies(scored: DataFrame, cols: Cols, k: int = 2, pr_cutoff: float = 0.99,
                      seed: int = 42, fit_partitions: int | None = None,
-                     scale: Scale = Scale()) -> DataFrame:
+                     fit_digits: int | None = None, scale: Scale = Scale()) -> DataFrame:
     """sys, ts, x, z, cluster, km_dist, km_pr for rows with km_pr >= cutoff."""
-    s = kmeans_scores(scored, cols, k, seed, fit_partitions)
+    s = kmeans_scores(scored, cols, k, seed, fit_partitions, fit_digits)
     ranked = percent_rank_at_least(s.withColumn("_tw_rk", rank_key(F.col("km_dist"))),
                                    [cols.sys], "_tw_rk", pr_cutoff, "km_pr", scale)
     return ranked.select(*[F.col(quote_ident(c)) for c in

@@ -60,6 +60,7 @@ class Params:
     kmeans_k: int = 2
     km_pr_cutoff: float = 0.99
     kmeans_seed: int = 42
+    kmeans_fit_digits: int | None = None
     knn_mode: str = "time"
     knn_k: int = 5
     knn_pr_cutoff: float = 0.99
@@ -102,6 +103,7 @@ class Params:
             min_points=int(g("MIN_POINTS", "20")),
             topk=int(g("TOPK", "50")),
             kmeans_k=int(g("KMEANS_K", "2")),
+            kmeans_fit_digits=int(g("KMEANS_FIT_DIGITS")) if g("KMEANS_FIT_DIGITS") else None,
             km_pr_cutoff=float(g("KM_PR_CUTOFF", "0.99")),
             knn_mode=g("KNN_MODE", "time"),
             knn_k=int(g("KNN_K", "5")),

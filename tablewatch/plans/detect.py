@@ -68,7 +68,8 @@ def detect_all(spark: SparkSession, p: Params, df: DataFrame | None = None) -> d
         "temp_suspects_topk": suspects_topk(scored, cols, p.topk),
         "temp_outliers_iqr": iqr["iqr_outliers"],
         "temp_outliers_kmeans": kmeans_anomalies(scored, cols, p.kmeans_k, p.km_pr_cutoff,
-                                                 p.kmeans_seed, scale=p.scale),
+                                                 p.kmeans_seed, fit_digits=p.kmeans_fit_digits,
+                                                 scale=p.scale),
         "temp_outliers_knn": knn_outliers(scored, p, sizes_from_stats(stats, cols)),
         "iqr_bounds": iqr["iqr_bounds"],
         "iqr_outliers_detailed": iqr["iqr_outliers_detailed"],

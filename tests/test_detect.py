@@ -78,3 +78,37 @@ def test_knn_time_plan_shuffles_rows_once(spark):
     plan = df._jdf.queryExecution().sparkPlan().toString()
     text = df._jdf.queryExecution().executedPlan().toString()
     assert text.count("Exchange hashpartitioning") <= 1 or plan.count("Exchange") <= 1
+
+
+def test_kmeans_matches_mllib_transform(spark):
+    """Native assignment/distance equal MLlib's own pipeline on the same fit."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.feature import StandardScaler, VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+    s = zscore(spark.read.parquet(f"{SF_SMALL}/events.parquet"), E.EV)
+    ours = {r["event_id"]: (r["cluster"], r["km_dist"])
+            for r in kmeans_scores(s, E.EV, k=2, seed=42, fit_partitions=1).collect()}
+    fit_in = s.select("event_id", "z").repartitionByRange(1, "z").sortWithinPartitions("z")
+    pipe = Pipeline(stages=[VectorAssembler(inputCols=["z"], outputCol="raw"),
+                            StandardScaler(inputCol="raw", outputCol="f", withMean=True,
+                                           withStd=True),
+                            KMeans(k=2, seed=42, featuresCol="f", predictionCol="cluster")])
+    model = pipe.fit(fit_in.select("z"))
+    centers = [c[0] for c in model.stages[-1].clusterCenters()]
+    out = model.transform(fit_in).select("event_id", "cluster",
+                                         vector_to_array("f")[0].alias("f")).collect()
+    for r in out:
+        c, d = ours[r["event_id"]]
+        assert c == r["cluster"]
+        assert d == pytest.approx(abs(r["f"] - centers[r["cluster"]]), abs=1e-9)
+
+
+def test_kmeans_weighted_fit_close_to_full_fit(spark):
+    s = zscore(spark.read.parquet(f"{SF_SMALL}/events.parquet"), E.EV)
+    full = kmeans_scores(s, E.EV, k=2, seed=42, fit_partitions=1)
+    hist = kmeans_scores(s, E.EV, k=2, seed=42, fit_partitions=1, fit_digits=3)
+    a = {r["event_id"]: r["cluster"] for r in full.collect()}
+    b = {r["event_id"]: r["cluster"] for r in hist.collect()}
+    agree = sum(a[k] == b[k] for k in a) / len(a)
+    assert agree > 0.99 or agree < 0.01   # same partition up to label order
