@@ -4,7 +4,7 @@ building blocks."""
 from tablewatch.operators.iqr import (iqr_all, iqr_bounds, iqr_outliers, iqr_outliers_detailed,  # noqa: F401
                                       quartiles, with_bounds)
 from tablewatch.operators.joins import attach_small, materialize  # noqa: F401
-from tablewatch.operators.kmeans import kmeans_anomalies, kmeans_scores  # noqa: F401
+from tablewatch.operators.kmeans import kmeans_anomalies, kmeans_cut, kmeans_scores  # noqa: F401
 from tablewatch.operators.knn import (knn, knn_exact, knn_exact_scores, knn_lsh,  # noqa: F401
                                       knn_lsh_scores, knn_rank_cut, knn_time, knn_time_scores)
 from tablewatch.operators.prepare import prepare, require_columns  # noqa: F401

@@ -76,6 +76,13 @@ def kmeans_anomalies(scored: DataFrame, cols: Cols, k: int = 2, pr_cutoff: float
                      fit_digits: int | None = None, scale: Scale = Scale()) -> DataFrame:
     """sys, ts, x, z, cluster, km_dist, km_pr for rows with km_pr >= cutoff."""
     s = kmeans_scores(scored, cols, k, seed, fit_partitions, fit_digits)
+    return kmeans_cut(s, cols, pr_cutoff, scale)
+
+
+def kmeans_cut(s: DataFrame, cols: Cols, pr_cutoff: float = 0.99,
+               scale: Scale = Scale()) -> DataFrame:
+    """Rows of ``kmeans_scores`` whose per-system percent rank of km_dist is
+    >= ``pr_cutoff`` (ranked on km_dist rounded to 9 decimals)."""
     ranked = percent_rank_at_least(s.withColumn("_tw_rk", rank_key(F.col("km_dist"))),
                                    [cols.sys], "_tw_rk", pr_cutoff, "km_pr", scale)
     return ranked.select(*[F.col(quote_ident(c)) for c in

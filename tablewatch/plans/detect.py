@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tablewatch.functions.exprs import quote_ident
 from tablewatch.operators.iqr import iqr_all
-from tablewatch.operators.kmeans import kmeans_anomalies
+from tablewatch.operators.kmeans import kmeans_cut, kmeans_scores
 from tablewatch.operators.knn import (_base, knn_exact_scores, knn_lsh_scores, knn_rank_cut,
                                       knn_time_scores)
 from tablewatch.operators.prepare import prepare
@@ -56,20 +56,24 @@ def knn_outliers(scored: DataFrame, p: Params, sizes: DataFrame | None = None) -
     return knn_rank_cut(scores, cols, p.knn_pr_cutoff, scale, sizes)
 
 
-def detect_all(spark: SparkSession, p: Params, df: DataFrame | None = None) -> dict[str, DataFrame]:
-    """The seven results of the reference job, keyed by output folder name."""
+def detect_all(spark: SparkSession, p: Params, df: DataFrame | None = None,
+               extras: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+    """The seven results of the reference job, keyed by output folder name.
+    ``extras``, if given, receives intermediate frames for the quick-look
+    (``kmeans_scores``: every row with its cluster and distance)."""
     if df is None:
         df = load_input(spark, p)
     cols = p.cols
     scored, stats = zscore_with_stats(df, cols, p.scale)
     iqr = iqr_all(df, cols, p.iqr_mult, scale=p.scale, exact=p.iqr_exact)
+    km = kmeans_scores(scored, cols, p.kmeans_k, p.kmeans_seed, fit_digits=p.kmeans_fit_digits)
+    if extras is not None:
+        extras["kmeans_scores"] = km
     return {
         "temp_outliers_zscore": zscore_outliers(scored, cols, p.z_thresh, p.min_points),
         "temp_suspects_topk": suspects_topk(scored, cols, p.topk),
         "temp_outliers_iqr": iqr["iqr_outliers"],
-        "temp_outliers_kmeans": kmeans_anomalies(scored, cols, p.kmeans_k, p.km_pr_cutoff,
-                                                 p.kmeans_seed, fit_digits=p.kmeans_fit_digits,
-                                                 scale=p.scale),
+        "temp_outliers_kmeans": kmeans_cut(km, cols, p.km_pr_cutoff, p.scale),
         "temp_outliers_knn": knn_outliers(scored, p, sizes_from_stats(stats, cols)),
         "iqr_bounds": iqr["iqr_bounds"],
         "iqr_outliers_detailed": iqr["iqr_outliers_detailed"],
@@ -78,14 +82,15 @@ def detect_all(spark: SparkSession, p: Params, df: DataFrame | None = None) -> d
 
 def run(spark: SparkSession, p: Params, n_files: int | None = None, show: bool = True) -> dict:
     df = load_input(spark, p)
-    results = detect_all(spark, p, df)
+    extras: dict[str, DataFrame] = {}
+    results = detect_all(spark, p, df, extras)
     paths = write_all(results, p.out_dir, n_files)
     prof = input_profile(df, p.cols).first()
     if show:
         print("rows:", prof["rows"], "systems:", prof["systems"])
         print(f"feature: {p.feature}, z-threshold: {p.z_thresh}, "
               f"min points per system: {p.min_points}")
-        for name, view in quicklook(results, p.cols, limit=p.print_limit).items():
+        for name, view in quicklook(results, p.cols, extras, limit=p.print_limit).items():
             print(f"\n--- {name} ---")
             view.show(p.print_limit, truncate=False)
     return {"paths": paths, "rows": prof["rows"], "systems": prof["systems"]}

@@ -112,3 +112,20 @@ def test_kmeans_weighted_fit_close_to_full_fit(spark):
     b = {r["event_id"]: r["cluster"] for r in hist.collect()}
     agree = sum(a[k] == b[k] for k in a) / len(a)
     assert agree > 0.99 or agree < 0.01   # same partition up to label order
+
+
+def test_command_line_job(tmp):
+    import os
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = dict(os.environ, PYTHONPATH=root, PRINT_LIMIT="2", KNN_MODE="lsh",
+               MAX_GROUP_ROWS="65")
+    out = subprocess.run(
+        [sys.executable, "-m", "tablewatch.plans.detect", "-i", f"{SF_SMALL}/events.parquet",
+         "-f", "value", "--timestamp-col", "ts", "--system-col", "user_id",
+         "--tie-break", "event_id", "-o", f"{tmp}/preds"],
+        env=env, capture_output=True, text=True, timeout=600, cwd=tmp)
+    assert out.returncode == 0, out.stderr[-2000:]
+    assert "rows: 1000 systems: 15" in out.stdout and "kmeans_top" in out.stdout
+    assert sorted(os.listdir(f"{tmp}/preds")) == sorted(RESULT_NAMES)
