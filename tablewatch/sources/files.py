@@ -63,3 +63,18 @@ def _re_escape(s: str) -> str:
     for ch in s:
         out.append("\\" + ch if ch in r".^$*+?{}[]\|()" else ch)
     return "".join(out)
+
+
+def list_subfolders(spark: SparkSession, root: str) -> list[str] | None:
+    """Names of the directories directly under ``root`` (empty ones too),
+    through Hadoop's FileSystem of the session: one metadata call, no file
+    content.  ``None`` when the JVM gateway is not reachable (e.g. a Spark
+    Connect session); callers then derive folders from the file listing."""
+    try:
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        path = jvm.org.apache.hadoop.fs.Path(root)
+        fs = path.getFileSystem(conf)
+        return sorted(st.getPath().getName() for st in fs.listStatus(path) if st.isDirectory())
+    except Exception:  # noqa: BLE001 - fall back to the file listing
+        return None

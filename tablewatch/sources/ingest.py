@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from tablewatch.functions.exprs import quote_ident
 from tablewatch.operators.joins import materialize
 from tablewatch.sources.files import (PARQUET_GLOB, _strip_scheme, is_parquet_path, list_files,
-                                      with_relative)
+                                      list_subfolders, with_relative)
 from tablewatch.sources.footers import read_footers
 
 SUMMARY_SCHEMA = ("folder string, table string, n_files bigint, n_rows bigint, status string, "
@@ -83,9 +83,13 @@ def register_folders(spark: SparkSession, root: str, namespace: str = "nyc") ->
     ensure_namespace(spark, namespace)
     ensure_namespace(spark, "default")
     listing = with_relative(list_files(spark, root), root).filter(F.col("folder").isNotNull())
-    folders = (listing.groupBy("folder")
-               .agg(F.count_if(is_parquet_path(F.col("path"))).alias("n_parquet"))
-               .orderBy("folder").collect())
+    counted = {r["folder"]: r["n_parquet"] for r in listing.groupBy("folder")
+               .agg(F.count_if(is_parquet_path(F.col("path"))).alias("n_parquet")).collect()}
+    names = list_subfolders(spark, root)
+    if names is None:
+        names = sorted(counted)
+    folders = [{"folder": n, "n_parquet": counted.get(n, 0)} for n in names
+               if not n.startswith((".", "_"))]
     manifest = materialize(file_manifest(spark, root))
     per_folder = {r["folder"]: r for r in manifest.groupBy("folder").agg(
         F.count(F.lit(1)).alias("n_files"),

@@ -56,13 +56,22 @@ def sanitize(spark: SparkSession, root: str, out: str, overwrite: bool = False,
              dry_run: bool = False) -> DataFrame:
     """Rewrite the Parquet files under ``root`` into ``out``, mirroring the
     folder layout (one dataset per folder and schema).  Returns the report:
-    path, rel_dir, column, from_type, to_type, written, out_path.  An existing
-    output folder is an error unless ``overwrite``."""
+    path, rel_dir, column, from_type, to_type, out_path, written, error — one
+    row per cast, plus one row per file whose footer could not be read.  An
+    existing output folder is an error unless ``overwrite``."""
     census = materialize(schema_census(spark, root))
     plan = materialize(plan_casts(census))
+    unreadable = (census.filter(F.col("error").isNotNull())
+                  .select("path", "rel_dir", F.lit(None).cast("string").alias("column"),
+                          F.lit(None).cast("string").alias("from_type"),
+                          F.lit(None).cast("string").alias("to_type"),
+                          F.lit(None).cast("string").alias("out_path"),
+                          F.lit(False).alias("written"), "error"))
     if dry_run:
-        return (plan.withColumn("written", F.lit(False))
-                .withColumn("out_path", F.lit(None).cast("string")))
+        return (plan.withColumn("out_path", F.lit(None).cast("string"))
+                .withColumn("written", F.lit(False))
+                .withColumn("error", F.lit(None).cast("string"))
+                .unionByName(unreadable))
     ok = census.filter(F.col("error").isNull())
     sig = ok.groupBy("path", "rel_dir").agg(
         F.array_sort(F.collect_list(F.concat_ws(":", "column", "arrow_type"))).alias("sig"))
@@ -95,7 +104,9 @@ def sanitize(spark: SparkSession, root: str, out: str, overwrite: bool = False,
     done = spark.createDataFrame(written, "path string, out_path string") if written else \
         spark.createDataFrame([], "path string, out_path string")
     return (plan.join(done, "path", "left")
-            .withColumn("written", F.col("out_path").isNotNull()))
+            .withColumn("written", F.col("out_path").isNotNull())
+            .withColumn("error", F.lit(None).cast("string"))
+            .unionByName(unreadable))
 
 
 def sanitize_summary(census: DataFrame, plan: DataFrame) -> DataFrame:

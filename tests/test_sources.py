@@ -56,8 +56,12 @@ def test_sanitize_writes_changed_files_and_refuses_overwrite(spark, tmp):
     counters_tree(src)
     dry = sanitize(spark, src, out, dry_run=True)
     assert dry.count() == 3 and not os.path.exists(out)
+    with open(f"{src}/other/broken.parquet", "w") as f:
+        f.write("not parquet")
     report = sanitize(spark, src, out)
     assert report.filter("written").count() == 3
+    bad = report.filter("error IS NOT NULL").collect()
+    assert len(bad) == 1 and bad[0]["path"].endswith("broken.parquet")
     got = spark.read.parquet(f"{out}/counters")
     types = dict(got.dtypes)
     assert types["timestamp"] == "timestamp" and types["in_octets"] == "decimal(20,0)"
@@ -72,7 +76,7 @@ def test_sanitize_writes_changed_files_and_refuses_overwrite(spark, tmp):
     assert again.count() == 0                         # idempotent
     census = schema_census(spark, src)
     s = sanitize_summary(census, plan_casts(census)).first()
-    assert (s["files_scanned"], s["files_changed"], s["casts"]) == (3, 2, 3)
+    assert (s["files_scanned"], s["files_changed"], s["casts"]) == (4, 2, 3)
 
 
 def trip_tree(root):
@@ -97,6 +101,7 @@ def test_register_folders_summary_and_rerun(spark, tmp):
     assert s["Green_Taxi"]["table"] == "green_taxi" and s["Green_Taxi"]["n_files"] == 2
     assert s["broken"]["status"] == "error" and "bad.parquet" in s["broken"]["error"]
     assert "loose.parquet" not in s
+    assert s["test"]["status"] == "skipped" and s["test"]["table"] is None
     assert spark.table("nyc_t1.green_taxi").count() == 4
     again = {r["folder"]: r["status"] for r in register_folders(spark, tmp, "nyc_t1").collect()}
     assert again["for_hire"] == "refreshed"
