@@ -8,9 +8,10 @@
                  random projection hashes z to floor(+-z / bucket), so two rows
                  collide when they share a grid cell.  The k nearest inside a
                  cell are again the k before/after in value order within the
-                 cell: a window partitioned by (system, cell) replaces the
-                 self-join.  Systems above ``max_group_rows`` use ``knn_time``,
-                 as in the reference.
+                 cell, and cells are contiguous in value order: the value-
+                 ordered window over the system, counting only neighbours of
+                 the same cell, replaces the self-join.  Systems above
+                 ``max_group_rows`` use ``knn_time``, as in the reference.
 
 Every window goes through ``neighbor_diffs`` (hot groups are split into
 ranges) and every cut through ``percent_rank_at_least``.
@@ -77,8 +78,13 @@ def knn_lsh_scores(scored: DataFrame, cols: Cols, k: int = 5, bucket: float = 1.
 
     z = F.col("z")
     cell = F.when(z.isNull() | F.isnan(z), F.lit(None)).otherwise(F.floor(z / F.lit(bucket)))
-    nd = neighbor_diffs(small_rows.withColumn(CELL, cell), [cols.sys, CELL],
-                        ["z", cols.ts, *cols.tie_break], "z", k, D, scale)
+    # Cells are contiguous in z order, so the window over the system in z
+    # order, counting only neighbours of the same cell, is the per-cell
+    # window; it shares the system partitioning with the rank cut.
+    small_sizes = attach_small(sizes, small, [cols.sys], "left_semi", scale=scale)
+    nd = neighbor_diffs(small_rows.withColumn(CELL, cell), [cols.sys],
+                        ["z", cols.ts, *cols.tie_break], "z", k, D, scale, sizes=small_sizes,
+                        same=CELL)
     near = F.filter(F.col(D), lambda d: d < F.lit(dist_thresh))
     dist = mean_k_smallest(near, k)
     if isolated is not None:

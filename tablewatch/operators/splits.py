@@ -28,7 +28,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablewatch.functions.exprs import abs_diffs, quote_ident
+from tablewatch.functions.exprs import quote_ident
 from tablewatch.operators.joins import attach_small, materialize
 from tablewatch.params import Scale
 
@@ -90,19 +90,25 @@ def range_splits(df: DataFrame, part: list[str], key: str, sizes: DataFrame,
 
 
 def neighbor_diffs(df: DataFrame, part: list[str], order: list[str], value: str, k: int,
-                   out: str, scale: Scale, sizes: DataFrame | None = None) -> DataFrame:
+                   out: str, scale: Scale, sizes: DataFrame | None = None,
+                   same: str | None = None) -> DataFrame:
     """Add ``out`` = array(|v - lead(v, i)| for i in 1..k, |v - lag(v, i)| for
     i in 1..k), neighbours taken within ``part`` in ``order`` (NULL where
     absent), exactly as one window per group would, without one task per
-    group."""
+    group.  ``same``: a neighbour only counts when it has the same value in
+    this column (used for grid cells that are contiguous in ``order``)."""
     if sizes is None:
         sizes = group_sizes(df, part)
     sdf, split = range_splits(df, part, order[0], sizes, scale)
     v = _c(value)
 
     def diffs(w):
-        return abs_diffs(v, [F.lead(v, i).over(w) for i in range(1, k + 1)]
-                         + [F.lag(v, i).over(w) for i in range(1, k + 1)])
+        near = [(F.lead(v, i).over(w), F.lead(_c(same), i).over(w) if same else None)
+                for i in range(1, k + 1)]
+        near += [(F.lag(v, i).over(w), F.lag(_c(same), i).over(w) if same else None)
+                 for i in range(1, k + 1)]
+        return F.array(*[F.abs(v - nv) if same is None else
+                         F.when(ns == _c(same), F.abs(v - nv)) for nv, ns in near])
 
     w = Window.partitionBy(*[_c(p) for p in part], F.col(SPLIT)).orderBy(*[_c(o) for o in order])
     if not split:
