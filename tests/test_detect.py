@@ -73,11 +73,24 @@ def test_anomaly_plans_have_no_python_udf(spark):
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, name
 
 
-def test_knn_time_plan_shuffles_rows_once(spark):
-    df = E.queries()["knn_time_outliers"](spark, SF_SMALL)
-    plan = df._jdf.queryExecution().sparkPlan().toString()
-    text = df._jdf.queryExecution().executedPlan().toString()
-    assert text.count("Exchange hashpartitioning") <= 1 or plan.count("Exchange") <= 1
+def _shuffles(df):
+    return _plan(df).count("Exchange hashpartitioning")
+
+
+@pytest.mark.parametrize("name,expected", [
+    ("zscore_outliers", 0),          # stats aggregate is checkpointed, joined by broadcast
+    ("iqr_outliers_detailed", 0),    # quartiles likewise
+    ("knn_time_outliers", 1),        # lead/lag and percent_rank share one partitioning
+    ("knn_exact_outliers", 1),
+    ("knn_lsh_outliers", 2),         # small-system grid branch + big-system time branch
+])
+def test_row_shuffles_per_plan(spark, name, expected):
+    assert _shuffles(E.queries()[name](spark, SF_SMALL)) == expected
+
+
+def test_topk_is_take_ordered(spark):
+    plan = _plan(E.queries()["suspects_topk"](spark, SF_SMALL))
+    assert "TakeOrderedAndProject" in plan and "Exchange rangepartitioning" not in plan
 
 
 def test_kmeans_matches_mllib_transform(spark):
