@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablewatch.functions.exprs import quote_ident
-from tablewatch.operators.joins import attach_small, materialize
+from tablewatch.operators.joins import attach_small, materialize_observed
 from tablewatch.operators.splits import exact_quantiles
 from tablewatch.params import Cols, Scale
 
@@ -26,15 +26,25 @@ def quartiles(df: DataFrame, cols: Cols, accuracy: int = 10_000, exact: bool = F
     )
 
 
+def quartile_table(df: DataFrame, cols: Cols, accuracy: int = 10_000, exact: bool = False,
+                   scale: Scale = Scale()) -> tuple[DataFrame, int]:
+    """Checkpointed quartiles and their row count (observed, no extra job)."""
+    q, m = materialize_observed(quartiles(df, cols, accuracy, exact, scale),
+                                rows=F.count(F.lit(1)))
+    return q, int(m["rows"])
+
+
 def with_bounds(df: DataFrame, cols: Cols, mult: float = 1.5, accuracy: int = 10_000,
                 scale: Scale = Scale(), null_safe: bool = False,
-                q: DataFrame | None = None, exact: bool = False) -> DataFrame:
+                q: tuple[DataFrame, int] | None = None, exact: bool = False) -> DataFrame:
     """Rows + q1, q3, iqr, low, high.  Like the reference's equi-join, a NULL
     system matches nothing (NULL bounds) unless ``null_safe``.  ``q`` may be
-    a quartile table computed once and shared by several outputs."""
+    a ``quartile_table`` computed once and shared by several outputs."""
     if q is None:
-        q = materialize(quartiles(df, cols, accuracy, exact, scale))
-    out = attach_small(df, q, [cols.sys], "left", scale=scale, null_safe=null_safe)
+        q = quartile_table(df, cols, accuracy, exact, scale)
+    q_df, q_rows = q
+    out = attach_small(df, q_df, [cols.sys], "left", scale=scale, null_safe=null_safe,
+                       n_rows=q_rows)
     iqr = F.col("q3") - F.col("q1")
     return out.withColumns({"iqr": iqr}).withColumns({
         "low": F.col("q1") - F.lit(mult) * F.col("iqr"),
@@ -48,7 +58,7 @@ def _outside(cols: Cols):
 
 
 def iqr_bounds(df: DataFrame, cols: Cols, mult: float = 1.5, accuracy: int = 10_000,
-               scale: Scale = Scale(), q: DataFrame | None = None,
+               scale: Scale = Scale(), q: tuple[DataFrame, int] | None = None,
                exact: bool = False) -> DataFrame:
     """One row per system: q1, q3, iqr, low, high, n (all rows), n_outliers."""
     b = with_bounds(df, cols, mult, accuracy, scale, q=q, exact=exact)
@@ -62,7 +72,7 @@ def iqr_bounds(df: DataFrame, cols: Cols, mult: float = 1.5, accuracy: int = 10_
 
 def iqr_outliers_detailed(df: DataFrame, cols: Cols, mult: float = 1.5,
                           accuracy: int = 10_000, scale: Scale = Scale(),
-                          q: DataFrame | None = None, exact: bool = False) -> DataFrame:
+                          q: tuple[DataFrame, int] | None = None, exact: bool = False) -> DataFrame:
     """Every row outside [low, high] with the side ("where") and the distance
     from the violated bound."""
     x = F.col(quote_ident(cols.x))
@@ -77,7 +87,7 @@ def iqr_outliers_detailed(df: DataFrame, cols: Cols, mult: float = 1.5,
 
 
 def iqr_outliers(df: DataFrame, cols: Cols, mult: float = 1.5, accuracy: int = 10_000,
-                 scale: Scale = Scale(), q: DataFrame | None = None,
+                 scale: Scale = Scale(), q: tuple[DataFrame, int] | None = None,
                  exact: bool = False) -> DataFrame:
     return iqr_outliers_detailed(df, cols, mult, accuracy, scale, q=q, exact=exact).select(
         *[F.col(quote_ident(c)) for c in [cols.sys, cols.ts, cols.x, *cols.tie_break]])
@@ -86,7 +96,7 @@ def iqr_outliers(df: DataFrame, cols: Cols, mult: float = 1.5, accuracy: int = 1
 def iqr_all(df: DataFrame, cols: Cols, mult: float = 1.5, accuracy: int = 10_000,
             scale: Scale = Scale(), exact: bool = False) -> dict[str, DataFrame]:
     """The three IQR outputs from one quartile pass."""
-    q = materialize(quartiles(df, cols, accuracy, exact, scale))
+    q = quartile_table(df, cols, accuracy, exact, scale)
     return {
         "iqr_bounds": iqr_bounds(df, cols, mult, accuracy, scale, q=q),
         "iqr_outliers_detailed": iqr_outliers_detailed(df, cols, mult, accuracy, scale, q=q),

@@ -11,7 +11,9 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, BinaryType, BooleanType, ByteType, DataType, DateType,
                                DecimalType, FloatType, IntegerType, MapType, ShortType, StringType,
@@ -51,6 +53,15 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def materialize_observed(df: DataFrame, **metrics: Column) -> tuple[DataFrame, dict]:
+    """``materialize`` that also returns aggregate metrics of the table
+    (e.g. its row count), collected by the same job through an Observation
+    instead of a second pass."""
+    obs = Observation(f"tw_{uuid.uuid4().hex[:12]}")
+    ck = df.observe(obs, *[c.alias(k) for k, c in metrics.items()]).checkpoint(eager=True)
+    return ck, dict(obs.get)
+
+
 def should_broadcast(n_rows: int, row_bytes: int, scale: Scale) -> bool:
     return n_rows * row_bytes <= scale.broadcast_bytes
 

@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 
 from tablewatch.functions.exprs import mean_k_smallest, quote_ident, rank_key
 from tablewatch.operators.joins import attach_small
-from tablewatch.operators.splits import N, group_sizes, neighbor_diffs, percent_rank_at_least
+from tablewatch.operators.splits import (N, _sizes_df, group_sizes, neighbor_diffs,
+                                         percent_rank_at_least)
 from tablewatch.params import Cols, Scale
 
 D = "_tw_d"
@@ -42,7 +43,7 @@ def _out_cols(cols: Cols) -> list[str]:
 
 
 def knn_time_scores(scored: DataFrame, cols: Cols, k: int = 5, scale: Scale = Scale(),
-                    sizes: DataFrame | None = None) -> DataFrame:
+                    sizes=None) -> DataFrame:
     """Every row with knn_dist = mean of the k smallest |z - z'| among the k
     previous and k next rows of its system in time (NULL if none)."""
     nd = neighbor_diffs(_base(scored, cols), [cols.sys], [cols.ts, *cols.tie_break], "z", k, D,
@@ -51,7 +52,7 @@ def knn_time_scores(scored: DataFrame, cols: Cols, k: int = 5, scale: Scale = Sc
 
 
 def knn_exact_scores(scored: DataFrame, cols: Cols, k: int = 5, scale: Scale = Scale(),
-                     sizes: DataFrame | None = None) -> DataFrame:
+                     sizes=None) -> DataFrame:
     """knn_dist = mean distance to the k nearest rows of the system by z."""
     nd = neighbor_diffs(_base(scored, cols), [cols.sys], ["z", cols.ts, *cols.tie_break], "z",
                         k, D, scale, sizes=sizes)
@@ -61,15 +62,15 @@ def knn_exact_scores(scored: DataFrame, cols: Cols, k: int = 5, scale: Scale = S
 def knn_lsh_scores(scored: DataFrame, cols: Cols, k: int = 5, bucket: float = 1.0,
                    dist_thresh: float = 1.5, max_group_rows: int = 250_000,
                    isolated: float | None = 0.0, scale: Scale = Scale(),
-                   sizes: DataFrame | None = None) -> DataFrame:
+                   sizes=None) -> DataFrame:
     """Rows of non-NULL systems with knn_dist.  Small systems: k nearest
     within the same grid cell and closer than ``dist_thresh``; a row with no
     such neighbour gets ``isolated`` (0.0 in the reference).  Big systems:
     time-adjacent distances."""
     base = _base(scored, cols)
     if sizes is None:
-        sizes = group_sizes(base, [cols.sys])
-    sizes = sizes.filter(F.col(quote_ident(cols.sys)).isNotNull())
+        sizes = group_sizes(base, [cols.sys], scale)
+    sizes = _sizes_df(sizes).filter(F.col(quote_ident(cols.sys)).isNotNull())
     small = sizes.filter(F.col(N) <= max_group_rows).select(cols.sys)
     big = sizes.filter(F.col(N) > max_group_rows)
     small_rows = attach_small(base, small, [cols.sys], "left_semi", scale=scale, null_safe=False)
@@ -95,7 +96,7 @@ def knn_lsh_scores(scored: DataFrame, cols: Cols, k: int = 5, bucket: float = 1.
 
 
 def knn_rank_cut(scores: DataFrame, cols: Cols, pr_cutoff: float = 0.99,
-                 scale: Scale = Scale(), sizes: DataFrame | None = None) -> DataFrame:
+                 scale: Scale = Scale(), sizes=None) -> DataFrame:
     """Keep rows whose percent_rank of knn_dist within the system is >=
     ``pr_cutoff``.  Ranked on knn_dist rounded to 9 decimals.  ``sizes`` are
     the per-system row counts of ``scores`` if already known."""
@@ -106,14 +107,14 @@ def knn_rank_cut(scores: DataFrame, cols: Cols, pr_cutoff: float = 0.99,
 
 def knn_time(scored: DataFrame, cols: Cols, k: int = 5, pr_cutoff: float = 0.99,
              scale: Scale = Scale()) -> DataFrame:
-    sizes = group_sizes(_base(scored, cols), [cols.sys])
+    sizes = group_sizes(_base(scored, cols), [cols.sys], scale)
     return knn_rank_cut(knn_time_scores(scored, cols, k, scale, sizes), cols, pr_cutoff, scale,
                         sizes)
 
 
 def knn_exact(scored: DataFrame, cols: Cols, k: int = 5, pr_cutoff: float = 0.99,
               scale: Scale = Scale()) -> DataFrame:
-    sizes = group_sizes(_base(scored, cols), [cols.sys])
+    sizes = group_sizes(_base(scored, cols), [cols.sys], scale)
     return knn_rank_cut(knn_exact_scores(scored, cols, k, scale, sizes), cols, pr_cutoff, scale,
                         sizes)
 
@@ -121,7 +122,7 @@ def knn_exact(scored: DataFrame, cols: Cols, k: int = 5, pr_cutoff: float = 0.99
 def knn_lsh(scored: DataFrame, cols: Cols, k: int = 5, pr_cutoff: float = 0.99,
             bucket: float = 1.0, dist_thresh: float = 1.5, max_group_rows: int = 250_000,
             isolated: float | None = 0.0, scale: Scale = Scale()) -> DataFrame:
-    sizes = group_sizes(_base(scored, cols), [cols.sys])
+    sizes = group_sizes(_base(scored, cols), [cols.sys], scale)
     scores = knn_lsh_scores(scored, cols, k, bucket, dist_thresh, max_group_rows, isolated, scale,
                             sizes)
     # NULL systems drop out of both branches (inner joins in the reference).

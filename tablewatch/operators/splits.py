@@ -24,12 +24,13 @@ exactly the plan the reference runs.
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewatch.functions.exprs import quote_ident
-from tablewatch.operators.joins import attach_small, materialize
+from tablewatch.operators.joins import attach_small, materialize, materialize_observed
 from tablewatch.params import Scale
 
 N = "_tw_n"
@@ -44,18 +45,55 @@ def _c(name: str) -> Column:
     return F.col(quote_ident(name))
 
 
-def group_sizes(df: DataFrame, part: list[str]) -> DataFrame:
+@dataclass(frozen=True)
+class Sizes:
+    """Rows per group (``df``: part..., _tw_n, checkpointed) with the summary
+    the plans branch on, observed while the table was written."""
+
+    df: DataFrame
+    groups: int
+    big: int
+    max_big: int
+    split_rows: int
+
+    def filter(self, cond: Column) -> DataFrame:
+        return self.df.filter(cond)
+
+
+def _observe_sizes(table: DataFrame, scale: Scale) -> Sizes:
+    n = F.col(N)
+    df, m = materialize_observed(table, groups=F.count(F.lit(1)),
+                                 big=F.count_if(n > scale.split_rows),
+                                 max_big=F.max(F.when(n > scale.split_rows, n)))
+    return Sizes(df, int(m["groups"] or 0), int(m["big"] or 0), int(m["max_big"] or 0),
+                 scale.split_rows)
+
+
+def group_sizes(df: DataFrame, part: list[str], scale: Scale = Scale()) -> Sizes:
     """Row count per group; partial counts are combined map-side."""
-    return materialize(df.groupBy(*[_c(p) for p in part]).agg(F.count(F.lit(1)).alias(N)))
+    return _observe_sizes(df.groupBy(*[_c(p) for p in part]).agg(F.count(F.lit(1)).alias(N)),
+                          scale)
+
+
+def as_sizes(sizes, scale: Scale) -> Sizes:
+    """Accept a ``Sizes`` or a (part..., _tw_n) frame."""
+    if isinstance(sizes, Sizes):
+        if sizes.split_rows == scale.split_rows:
+            return sizes
+        sizes = sizes.df
+    return _observe_sizes(sizes, scale)
+
+
+def _sizes_df(sizes) -> DataFrame:
+    return sizes.df if isinstance(sizes, Sizes) else sizes
 
 
-def _big_groups(sizes: DataFrame, scale: Scale) -> tuple[DataFrame, int, int]:
-    big = sizes.filter(F.col(N) > scale.split_rows)
-    row = big.agg(F.count(F.lit(1)).alias("g"), F.max(N).alias("m")).first()
-    return big, int(row["g"] or 0), int(row["m"] or 0)
+def _big_groups(sizes, scale: Scale) -> tuple[DataFrame, int, int]:
+    s = as_sizes(sizes, scale)
+    return s.df.filter(F.col(N) > scale.split_rows), s.big, s.max_big
 
 
-def range_splits(df: DataFrame, part: list[str], key: str, sizes: DataFrame,
+def range_splits(df: DataFrame, part: list[str], key: str, sizes,
                  scale: Scale) -> tuple[DataFrame, bool]:
     """Add ``_tw_split`` (range index in ``key`` order, 0 for small groups) and
     ``_tw_has_split``.  Equal keys always share a range; NULL keys go to range
@@ -75,10 +113,11 @@ def range_splits(df: DataFrame, part: list[str], key: str, sizes: DataFrame,
     bounds = attach_small(bounds, big, part, "inner", scale=scale, n_rows=g)
     want = F.ceil(F.col(N) / F.lit(scale.split_rows))
     stride = F.greatest(F.lit(1), F.floor(F.lit(m) / want)).cast("int")
-    bounds = materialize(bounds.select(
+    bounds, m_obs = materialize_observed(bounds.select(
         *[_c(p) for p in part],
-        F.filter(F.col(BOUNDS), lambda b, i: (i + 1) % stride == 0).alias(BOUNDS)))
-    total = bounds.agg(F.sum(F.size(BOUNDS))).first()[0] or 0
+        F.filter(F.col(BOUNDS), lambda b, i: (i + 1) % stride == 0).alias(BOUNDS)),
+        total=F.sum(F.size(BOUNDS)))
+    total = m_obs["total"] or 0
     with_b = attach_small(df, bounds, part, "left", scale=scale, n_rows=g,
                           row_bytes=64 + 8 * (int(total) // max(g, 1) + 1))
     split = F.when(F.col(BOUNDS).isNull(), F.lit(0)).otherwise(
@@ -90,7 +129,7 @@ def range_splits(df: DataFrame, part: list[str], key: str, sizes: DataFrame,
 
 
 def neighbor_diffs(df: DataFrame, part: list[str], order: list[str], value: str, k: int,
-                   out: str, scale: Scale, sizes: DataFrame | None = None,
+                   out: str, scale: Scale, sizes=None,
                    same: str | None = None) -> DataFrame:
     """Add ``out`` = array(|v - lead(v, i)| for i in 1..k, |v - lag(v, i)| for
     i in 1..k), neighbours taken within ``part`` in ``order`` (NULL where
@@ -98,7 +137,7 @@ def neighbor_diffs(df: DataFrame, part: list[str], order: list[str], value: str,
     group.  ``same``: a neighbour only counts when it has the same value in
     this column (used for grid cells that are contiguous in ``order``)."""
     if sizes is None:
-        sizes = group_sizes(df, part)
+        sizes = group_sizes(df, part, scale)
     sdf, split = range_splits(df, part, order[0], sizes, scale)
     v = _c(value)
 
@@ -137,11 +176,11 @@ def _plain_percent_rank(df: DataFrame, part: list[str], key: str, cutoff: float,
 
 
 def percent_rank_at_least(df: DataFrame, part: list[str], key: str, cutoff: float, out: str,
-                          scale: Scale, sizes: DataFrame | None = None) -> DataFrame:
+                          scale: Scale, sizes=None) -> DataFrame:
     """Rows whose ``percent_rank()`` over (partition by part order by key asc
     nulls first) is >= cutoff, with that rank in ``out``."""
     if sizes is None:
-        sizes = group_sizes(df, part)
+        sizes = group_sizes(df, part, scale)
     big, g, _ = _big_groups(sizes, scale)
     if g == 0:
         return _plain_percent_rank(df, part, key, cutoff, out)
@@ -180,13 +219,13 @@ def percent_rank_at_least(df: DataFrame, part: list[str], key: str, cutoff: floa
 
 
 def running_below(dv: DataFrame, part: list[str], key: str, count_col: str, out: str,
-                  scale: Scale, sizes: DataFrame | None = None) -> DataFrame:
+                  scale: Scale, sizes=None) -> DataFrame:
     """On a table of distinct (part, key) with row counts, add ``out`` = the
     number of rows of the group with a strictly smaller key (NULL keys sort
     first).  Big groups are split into key ranges; each range adds the totals
     of the ranges before it (a running sum over at most max_splits rows)."""
     if sizes is None:
-        sizes = group_sizes(dv, part)
+        sizes = group_sizes(dv, part, scale)
     dvs, split = range_splits(dv, part, key, sizes, scale)
     w = (Window.partitionBy(*[_c(p) for p in part], F.col(SPLIT))
          .orderBy(_c(key).asc_nulls_first())

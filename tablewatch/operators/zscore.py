@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablewatch.functions.exprs import quote_ident, rank_key, zscore_expr
-from tablewatch.operators.joins import attach_small, materialize
+from tablewatch.operators.joins import attach_small, materialize_observed
 from tablewatch.params import Cols, Scale
 
 SCORE_COLS = ["n", "mean_feat", "std_feat", "z", "abs_z"]
@@ -32,8 +32,9 @@ def zscore_with_stats(df: DataFrame, cols: Cols,
     """(scored rows, per-system stats table).  The stats table (sys, n,
     mean_feat, std_feat) is checkpointed; its ``n`` doubles as the group sizes
     the split plans need, so callers can skip a recount."""
-    stats = materialize(system_stats(df, cols))
-    scored = attach_small(df, stats, [cols.sys], "left", scale=scale, null_safe=True)
+    stats, m = materialize_observed(system_stats(df, cols), rows=F.count(F.lit(1)))
+    scored = attach_small(df, stats, [cols.sys], "left", scale=scale, null_safe=True,
+                          n_rows=m["rows"])
     z = zscore_expr(F.col(quote_ident(cols.x)), F.col("mean_feat"), F.col("std_feat"))
     return scored.withColumn("z", z).withColumn("abs_z", F.abs(F.col("z"))), stats
 
