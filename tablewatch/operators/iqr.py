@@ -7,29 +7,48 @@ from pyspark.sql import functions as F
 
 from tablewatch.functions.exprs import quote_ident
 from tablewatch.operators.joins import attach_small, materialize_observed
-from tablewatch.operators.splits import exact_quantiles
+from tablewatch.operators.splits import _big_groups, exact_quantiles, group_sizes
 from tablewatch.params import Cols, Scale
 
 
 def quartiles(df: DataFrame, cols: Cols, accuracy: int = 10_000, exact: bool = False,
-              scale: Scale = Scale()) -> DataFrame:
-    """q1/q3 per system.  Default: mergeable quantile sketches with the
-    reference's accuracy (partial aggregation map-side, so a hot system costs
-    one small sketch per task).  ``exact``: the discrete quantiles
-    (``percentile_disc``), still without gathering a system in one task."""
+              scale: Scale = Scale(), sizes=None) -> DataFrame:
+    """q1/q3 per system.
+
+    Default: ``percentile_approx`` with the reference's accuracy for systems
+    up to ``Scale.split_rows`` rows.  Above that a sketch per map task would
+    all be merged by the one reducer of the system, so big systems get the
+    exact quartiles instead (within any approximation bound, and split over
+    many tasks).  ``exact``: ``percentile_disc`` semantics for every system.
+    ``sizes``: rows per system if already known (e.g. from the z-score)."""
+    part = [cols.sys]
     if exact:
-        return exact_quantiles(df, [cols.sys], cols.x, [0.25, 0.75], ["q1", "q3"], scale)
+        return exact_quantiles(df, part, cols.x, [0.25, 0.75], ["q1", "q3"], scale)
     x = F.col(quote_ident(cols.x))
-    return df.groupBy(F.col(quote_ident(cols.sys))).agg(
-        F.percentile_approx(x, 0.25, accuracy).alias("q1"),
-        F.percentile_approx(x, 0.75, accuracy).alias("q3"),
-    )
+
+    def approx(d: DataFrame) -> DataFrame:
+        return d.groupBy(F.col(quote_ident(cols.sys))).agg(
+            F.percentile_approx(x, 0.25, accuracy).alias("q1"),
+            F.percentile_approx(x, 0.75, accuracy).alias("q3"))
+
+    if sizes is None:
+        sizes = group_sizes(df, part, scale)
+    big, g, _ = _big_groups(sizes, scale)
+    if g == 0:
+        return approx(df)
+    keys = big.select(*part)
+    small_q = approx(attach_small(df, keys, part, "left_anti", scale=scale, n_rows=g))
+    big_q = exact_quantiles(attach_small(df, keys, part, "left_semi", scale=scale, n_rows=g),
+                            part, cols.x, [0.25, 0.75], ["q1", "q3"], scale)
+    # A big system whose values are all NULL has no exact row: NULL bounds,
+    # as percentile_approx would give.
+    return small_q.unionByName(attach_small(keys, big_q, part, "left", scale=scale, n_rows=g))
 
 
 def quartile_table(df: DataFrame, cols: Cols, accuracy: int = 10_000, exact: bool = False,
-                   scale: Scale = Scale()) -> tuple[DataFrame, int]:
+                   scale: Scale = Scale(), sizes=None) -> tuple[DataFrame, int]:
     """Checkpointed quartiles and their row count (observed, no extra job)."""
-    q, m = materialize_observed(quartiles(df, cols, accuracy, exact, scale),
+    q, m = materialize_observed(quartiles(df, cols, accuracy, exact, scale, sizes),
                                 rows=F.count(F.lit(1)))
     return q, int(m["rows"])
 
@@ -94,9 +113,9 @@ def iqr_outliers(df: DataFrame, cols: Cols, mult: float = 1.5, accuracy: int = 1
 
 
 def iqr_all(df: DataFrame, cols: Cols, mult: float = 1.5, accuracy: int = 10_000,
-            scale: Scale = Scale(), exact: bool = False) -> dict[str, DataFrame]:
+            scale: Scale = Scale(), exact: bool = False, sizes=None) -> dict[str, DataFrame]:
     """The three IQR outputs from one quartile pass."""
-    q = quartile_table(df, cols, accuracy, exact, scale)
+    q = quartile_table(df, cols, accuracy, exact, scale, sizes)
     return {
         "iqr_bounds": iqr_bounds(df, cols, mult, accuracy, scale, q=q),
         "iqr_outliers_detailed": iqr_outliers_detailed(df, cols, mult, accuracy, scale, q=q),

@@ -93,25 +93,40 @@ def _big_groups(sizes, scale: Scale) -> tuple[DataFrame, int, int]:
     return s.df.filter(F.col(N) > scale.split_rows), s.big, s.max_big
 
 
+def sample_quantiles(df: DataFrame, part: list[str], key: str, fractions: list[float],
+                     sizes: DataFrame, per_group: Column, accuracy: int, out: str,
+                     seed: int = 17) -> DataFrame:
+    """Per-group quantiles of ``key`` estimated from a Bernoulli sample of
+    about ``per_group`` rows (an expression of the group size ``_tw_n``;
+    groups no larger than that are taken whole).  ``sizes`` (part..., _tw_n)
+    restricts the groups.  A quantile sketch over every row of a hot group
+    would make one reducer merge a partial sketch from every map task; the
+    sample keeps that merge to ``per_group`` rows.  Sampling only positions
+    the quantiles; callers check whatever correctness depends on."""
+    rows = attach_small(df.select(*[_c(p) for p in part], _c(key)), sizes, part, "inner",
+                        scale=Scale())
+    frac = F.least(F.lit(1.0), per_group / F.col(N))
+    sample = rows.filter((frac >= 1.0) | (F.rand(seed) < frac))
+    return sample.groupBy(*[_c(p) for p in part]).agg(
+        F.first(N).alias(N), F.percentile_approx(_c(key), fractions, accuracy).alias(out))
+
+
 def range_splits(df: DataFrame, part: list[str], key: str, sizes,
                  scale: Scale) -> tuple[DataFrame, bool]:
     """Add ``_tw_split`` (range index in ``key`` order, 0 for small groups) and
     ``_tw_has_split``.  Equal keys always share a range; NULL keys go to range
-    0 (they sort first).  Returns (frame, any_group_split)."""
+    0 (they sort first).  Returns (frame, any_group_split).  Range bounds
+    come from about 64 sampled rows per range, so ranges are near even."""
     big, g, max_n = _big_groups(sizes, scale)
     if g == 0:
         return df.withColumn(SPLIT, F.lit(0)).withColumn(HAS_SPLIT, F.lit(False)), False
     m = max(2, min(scale.max_splits, math.ceil(max_n / scale.split_rows)))
     fractions = [i / m for i in range(1, m)]
-    accuracy = max(scale.quantile_accuracy, 20 * m)
-    big_rows = attach_small(df.select(*[_c(p) for p in part], _c(key)), big.select(*part), part,
-                            "left_semi", scale=scale, n_rows=g)
-    bounds = big_rows.groupBy(*[_c(p) for p in part]).agg(
-        F.percentile_approx(_c(key), fractions, accuracy).alias(BOUNDS))
+    want = F.least(F.lit(m), F.ceil(F.col(N) / F.lit(scale.split_rows)))
+    bounds = sample_quantiles(df, part, key, fractions, big, F.lit(64) * want,
+                              max(scale.quantile_accuracy, 20 * m), BOUNDS)
     # A group of n rows needs only ceil(n / split_rows) ranges: keep every
     # stride-th boundary so the boundary table stays ~ rows / split_rows.
-    bounds = attach_small(bounds, big, part, "inner", scale=scale, n_rows=g)
-    want = F.ceil(F.col(N) / F.lit(scale.split_rows))
     stride = F.greatest(F.lit(1), F.floor(F.lit(m) / want)).cast("int")
     bounds, m_obs = materialize_observed(bounds.select(
         *[_c(p) for p in part],
@@ -128,6 +143,13 @@ def range_splits(df: DataFrame, part: list[str], key: str, sizes,
     return out, True
 
 
+def _margin(p: float, scale: Scale) -> float:
+    """Rank slack around a sampled quantile: sketch error plus 8 standard
+    deviations of the sample quantile's rank."""
+    return 3.0 / scale.quantile_accuracy + 8.0 * math.sqrt(max(p * (1 - p), 1e-4)
+                                                           / scale.sample_rows)
+
+
 def neighbor_diffs(df: DataFrame, part: list[str], order: list[str], value: str, k: int,
                    out: str, scale: Scale, sizes=None,
                    same: str | None = None) -> DataFrame:
@@ -184,38 +206,69 @@ def percent_rank_at_least(df: DataFrame, part: list[str], key: str, cutoff: floa
     big, g, _ = _big_groups(sizes, scale)
     if g == 0:
         return _plain_percent_rank(df, part, key, cutoff, out)
-    # The split plan reads its input up to four times; compute it once and
-    # cut the lineage (reliable checkpoint: survives a lost executor).
+    # The split plan reads its input several times; compute it once and cut
+    # the lineage (reliable checkpoint: survives a lost executor).
     df = materialize(df)
     small_rows = attach_small(df, big.select(*part), part, "left_anti", scale=scale, n_rows=g)
-    big_rows = attach_small(df, big, part, "inner", scale=scale, n_rows=g)
     ranked_small = _plain_percent_rank(small_rows, part, key, cutoff, out)
+    big_rows = attach_small(df, big, part, "inner", scale=scale, n_rows=g)
 
-    acc = scale.quantile_accuracy
-    frac = cutoff - 3.0 / acc
-    T, NC, C, BELOW = "_tw_t", "_tw_ncand", "_tw_c", "_tw_below"
+    frac = cutoff - _margin(cutoff, scale)
+    thresholds = None
     if frac > 0:
-        thresholds = materialize(big_rows.groupBy(*[_c(p) for p in part]).agg(
-            F.percentile_approx(_c(key), frac, acc).alias(T)))
-        big_rows = attach_small(big_rows, thresholds, part, "left", scale=scale, n_rows=g)
-        # Rows below T have at most (frac + 1/acc) * n smaller values, so
-        # their percent_rank is below the cutoff: they cannot pass.
-        cand = big_rows.filter(F.col(T).isNull() | (_c(key) >= F.col(T))).drop(T)
-    else:
-        cand = big_rows
+        thresholds = materialize(sample_quantiles(
+            big_rows, part, key, [frac], big, F.lit(scale.sample_rows),
+            scale.quantile_accuracy, "_tw_t").select(
+                *part, F.element_at("_tw_t", 1).alias("_tw_t")))
+    ranked_big, missed = _rank_candidates(big_rows, part, key, cutoff, out, scale, thresholds, g)
+    if missed is not None and not missed.isEmpty():
+        # A sampled threshold that landed above the cut (checked, not
+        # assumed): rank those groups over all their rows.
+        redo_rows = attach_small(big_rows, missed, part, "left_semi", scale=scale)
+        redo, _ = _rank_candidates(redo_rows, part, key, cutoff, out, scale, None, g)
+        ranked_big = attach_small(ranked_big, missed, part, "left_anti", scale=scale).unionByName(
+            redo)
+    return ranked_small.unionByName(ranked_big.select(*ranked_small.columns))
+
+
+def _rank_candidates(big_rows: DataFrame, part: list[str], key: str, cutoff: float, out: str,
+                     scale: Scale, thresholds: DataFrame | None,
+                     g: int) -> tuple[DataFrame, DataFrame | None]:
+    """Rank the rows at or above a per-group threshold (all rows without
+    one).  ``big_rows`` carries the group size ``_tw_n``.  Returns the ranked
+    rows and the groups whose threshold was too high (None if unchecked)."""
+    C, NC, BELOW = "_tw_c", "_tw_ncand", "_tw_below"
+    cand = big_rows
+    if thresholds is not None:
+        with_t = attach_small(big_rows, thresholds, part, "left", scale=scale, n_rows=g)
+        cand = with_t.filter(F.col("_tw_t").isNull() | (_c(key) >= F.col("_tw_t"))).drop("_tw_t")
     # Ties collapse into one row per distinct value before any ordering.
     dv = materialize(cand.groupBy(*[_c(p) for p in part], _c(key))
                      .agg(F.count(F.lit(1)).alias(C), F.first(N).alias(N)))
     dsizes = materialize(dv.groupBy(*[_c(p) for p in part])
-                         .agg(F.count(F.lit(1)).alias(N), F.sum(C).alias(NC)))
-    dvs = running_below(dv, part, key, C, BELOW, scale, dsizes.select(*part, N))
+                         .agg(F.count(F.lit(1)).alias("_tw_nd"), F.sum(C).alias(NC),
+                              F.first(N).alias(N)))
+    dvs = running_below(dv, part, key, C, BELOW, scale,
+                        dsizes.select(*part, F.col("_tw_nd").alias(N)))
     dvs = attach_small(dvs, dsizes.select(*part, NC), part, "left", scale=scale, n_rows=g)
+    # Rows below the threshold are all smaller than every candidate.
     below = F.col(BELOW) + F.col(N) - F.col(NC)
     pr = F.when(F.col(N) > 1, below / (F.col(N) - 1)).otherwise(F.lit(0.0))
-    kept = dvs.select(*[_c(p) for p in part], _c(key), pr.alias(out)).filter(F.col(out) >= cutoff)
-    kept = materialize(kept)
-    ranked_big = attach_small(cand.drop(N), kept, [*part, key], "inner", scale=scale)
-    return ranked_small.unionByName(ranked_big.select(*ranked_small.columns))
+    kept = materialize(dvs.select(*[_c(p) for p in part], _c(key), pr.alias(out))
+                       .filter(F.col(out) >= cutoff))
+    ranked = attach_small(cand.drop(N), kept, [*part, key], "inner", scale=scale)
+    missed = None
+    if thresholds is not None:
+        # The largest excluded row has at most n - ncand - 1 smaller rows; if
+        # that could reach the cut, the threshold was too high.
+        missed = materialize(dsizes.filter(
+            (F.col(N) - F.col(NC) > 0)
+            & ((F.col(N) - F.col(NC) - 1) >= F.lit(cutoff) * (F.col(N) - 1))).select(*part))
+        # Groups with no candidate at all have no row in dsizes.
+        none = attach_small(thresholds.select(*part), dsizes.select(*part), part, "left_anti",
+                            scale=scale)
+        missed = materialize(missed.unionByName(none))
+    return ranked, missed
 
 
 def running_below(dv: DataFrame, part: list[str], key: str, count_col: str, out: str,
@@ -250,23 +303,29 @@ def exact_quantiles(df: DataFrame, part: list[str], x: str, probs: list[float],
     with count(x <= v) >= max(1, ceil(p * n)), n = non-NULL values (the
     definition of ``percentile_disc``).
 
-    No group is gathered in one task: a sketch brackets each quantile within
-    a few n/accuracy ranks, only rows inside the bracket are counted by
-    distinct value, and those counts get running sums (split for big groups).
-    A bracket that misses its quantile (excluded by the sketch's error
-    bound, but checked) is recomputed for its group without a bracket."""
-    acc = scale.quantile_accuracy
-    m = 3.0 / acc
+    No group is gathered in one task: a bounded sample brackets each
+    quantile, only rows inside the bracket are counted by distinct value,
+    and those counts get running sums (split for big groups).  A bracket
+    that misses its quantile is detected and its group recomputed without a
+    bracket, so the answer is exact whatever the sample."""
     xs = _c(x)
     rows = df.select(*[_c(p) for p in part], xs).filter(xs.isNotNull())
-    stats = rows.groupBy(*[_c(p) for p in part]).agg(
-        F.count(F.lit(1)).alias(N),
-        F.percentile_approx(xs, [max(0.0, p - m) for p in probs], acc).alias("_tw_lo"),
-        F.percentile_approx(xs, [min(1.0, p + m) for p in probs], acc).alias("_tw_hi"))
-    stats = materialize(stats)
+    sizes = materialize(rows.groupBy(*[_c(p) for p in part]).agg(F.count(F.lit(1)).alias(N)))
+    tight = [3.0 / scale.quantile_accuracy for _ in probs]
+    wide = [_margin(p, scale) for p in probs]
+    fr = ([max(0.0, p - t) for p, t in zip(probs, tight)] + [min(1.0, p + t) for p, t in zip(probs, tight)]
+          + [max(0.0, p - w) for p, w in zip(probs, wide)] + [min(1.0, p + w) for p, w in zip(probs, wide)])
+    q = sample_quantiles(rows, part, x, fr, sizes, F.lit(scale.sample_rows),
+                         scale.quantile_accuracy, "_tw_qs")
+    k = len(probs)
+    whole = F.col(N) <= scale.sample_rows   # not sampled: only sketch error
+    pick = lambda off_t, off_w: F.array(*[
+        F.when(whole, F.element_at("_tw_qs", off_t + i + 1))
+         .otherwise(F.element_at("_tw_qs", off_w + i + 1)) for i in range(k)])
+    stats = materialize(q.select(*part, N, pick(0, 2 * k).alias("_tw_lo"),
+                                 pick(k, 3 * k).alias("_tw_hi")))
     result = _quantiles_in_brackets(rows, part, x, probs, names, stats, scale)
-    # Groups whose bracket missed (sketch error beyond its bound): redo them
-    # with open brackets.
+    # Groups whose bracket missed: redo them with open brackets.
     bad = materialize(result.filter(F.greatest(*[F.col(n).isNull() for n in names]))
                       .select(*part))
     if bad.isEmpty():

@@ -38,12 +38,15 @@ class Scale:
     this is cut into ordered ranges that become separate tasks.
     ``max_splits`` bounds the number of ranges per group.
     ``broadcast_bytes``: largest small side we broadcast after measuring it.
+    ``sample_rows``: rows sampled per big group to place thresholds and
+    quantile brackets (checked afterwards, so results stay exact).
     """
 
     split_rows: int = 2_000_000
-    max_splits: int = 4096
+    max_splits: int = 16_384
     broadcast_bytes: int = 64 * 1024 * 1024
     quantile_accuracy: int = 10_000
+    sample_rows: int = 1_000_000
 
 
 @dataclass(frozen=True)

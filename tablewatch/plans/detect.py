@@ -24,7 +24,7 @@ from tablewatch.operators.knn import (_base, knn_exact_scores, knn_lsh_scores, k
                                       knn_time_scores)
 from tablewatch.operators.prepare import prepare
 from tablewatch.operators.profile import input_profile
-from tablewatch.operators.splits import group_sizes
+from tablewatch.operators.splits import as_sizes, group_sizes
 from tablewatch.operators.zscore import (sizes_from_stats, suspects_topk, zscore_outliers,
                                          zscore_with_stats)
 from tablewatch.params import Params
@@ -65,7 +65,8 @@ def detect_all(spark: SparkSession, p: Params, df: DataFrame | None = None,
         df = load_input(spark, p)
     cols = p.cols
     scored, stats = zscore_with_stats(df, cols, p.scale)
-    iqr = iqr_all(df, cols, p.iqr_mult, scale=p.scale, exact=p.iqr_exact)
+    sizes = as_sizes(sizes_from_stats(stats, cols), p.scale)
+    iqr = iqr_all(df, cols, p.iqr_mult, scale=p.scale, exact=p.iqr_exact, sizes=sizes)
     km = kmeans_scores(scored, cols, p.kmeans_k, p.kmeans_seed, fit_digits=p.kmeans_fit_digits)
     if extras is not None:
         extras["kmeans_scores"] = km
@@ -74,7 +75,7 @@ def detect_all(spark: SparkSession, p: Params, df: DataFrame | None = None,
         "temp_suspects_topk": suspects_topk(scored, cols, p.topk),
         "temp_outliers_iqr": iqr["iqr_outliers"],
         "temp_outliers_kmeans": kmeans_cut(km, cols, p.km_pr_cutoff, p.scale),
-        "temp_outliers_knn": knn_outliers(scored, p, sizes_from_stats(stats, cols)),
+        "temp_outliers_knn": knn_outliers(scored, p, sizes),
         "iqr_bounds": iqr["iqr_bounds"],
         "iqr_outliers_detailed": iqr["iqr_outliers_detailed"],
     }

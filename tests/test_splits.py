@@ -73,3 +73,53 @@ def test_exact_quantiles_equal_percentile_disc(spark, ties, accuracy):
         F.expr("percentile_disc(0.25) WITHIN GROUP (ORDER BY v)").alias("q1"),
         F.expr("percentile_disc(0.75) WITHIN GROUP (ORDER BY v)").alias("q3")).collect()}
     assert got == want
+
+
+@pytest.mark.parametrize("cutoff", [0.5, 0.9, 0.99])
+def test_percent_rank_exact_when_sampled_threshold_misses(spark, monkeypatch, cutoff):
+    """Zero margin and a tiny sample make thresholds land above the cut; the
+    check must catch it and rank those groups over all rows."""
+    from tablewatch.operators import splits
+    monkeypatch.setattr(splits, "_margin", lambda p, scale: 0.0)
+    df = data(spark, 31, n_groups=4, n=200, ties=True)
+    scale = Scale(split_rows=15, max_splits=16, sample_rows=5, quantile_accuracy=100)
+    w = Window.partitionBy("g").orderBy(F.col("v").asc_nulls_first())
+    want = {r["rid"]: r["pr"] for r in
+            df.withColumn("pr", F.percent_rank().over(w)).filter(F.col("pr") >= cutoff).collect()}
+    got = {r["rid"]: r["pr"] for r in
+           splits.percent_rank_at_least(df, ["g"], "v", cutoff, "pr", scale).collect()}
+    assert set(got) == set(want)
+
+
+def test_exact_quantiles_when_sampled_bracket_misses(spark, monkeypatch):
+    from tablewatch.operators import splits
+    monkeypatch.setattr(splits, "_margin", lambda p, scale: 0.0)
+    df = data(spark, 41, n_groups=4, n=300, ties=False)
+    scale = Scale(split_rows=25, max_splits=16, sample_rows=5, quantile_accuracy=100)
+    got = {r["g"]: (r["q1"], r["q3"]) for r in
+           splits.exact_quantiles(df, ["g"], "v", [0.25, 0.75], ["q1", "q3"], scale).collect()}
+    want = {r["g"]: (r["q1"], r["q3"]) for r in df.groupBy("g").agg(
+        F.expr("percentile_disc(0.25) WITHIN GROUP (ORDER BY v)").alias("q1"),
+        F.expr("percentile_disc(0.75) WITHIN GROUP (ORDER BY v)").alias("q3")).collect()}
+    assert got == want
+
+
+def test_neighbor_diffs_with_sampled_bounds(spark):
+    df = data(spark, 51, n=400)
+    scale = Scale(split_rows=30, max_splits=32, sample_rows=5)
+    a = neighbor_diffs(df, ["g"], ["t", "rid"], "v", 3, "d", NO_SPLIT)
+    b = neighbor_diffs(df, ["g"], ["t", "rid"], "v", 3, "d", scale)
+    assert {r["rid"]: r["d"] for r in a.collect()} == {r["rid"]: r["d"] for r in b.collect()}
+
+
+def test_approx_quartiles_big_groups_are_exact(spark):
+    from tablewatch.operators.iqr import quartiles
+    from tablewatch.params import Cols
+    df = data(spark, 61, n_groups=3, n=200, nulls=True)
+    c = Cols("g", "t", "v")
+    got = {r["g"]: (r["q1"], r["q3"]) for r in
+           quartiles(df, c, scale=Scale(split_rows=50)).collect()}
+    want = {r["g"]: (r["q1"], r["q3"]) for r in df.groupBy("g").agg(
+        F.expr("percentile_disc(0.25) WITHIN GROUP (ORDER BY v)").alias("q1"),
+        F.expr("percentile_disc(0.75) WITHIN GROUP (ORDER BY v)").alias("q3")).collect()}
+    assert got == want
