@@ -7,8 +7,10 @@ to 9, so that two engines that sum in a different order agree.
 Column roles used throughout:
   events   by user:   system=user_id,    time=ts,         feature=value,           tie=event_id
   events   by type:   system=event_type, time=ts,         feature=value,           tie=event_id
-  lineitem by supp:   system=l_suppkey,  time=l_shipdate, feature=l_extendedprice, tie=l_orderkey,l_linenumber
-  lineitem by flag:   system=l_returnflag (3 hot keys, a third of the rows each), same roles
+  lineitem by supp:   system=l_suppkey,  time=l_shipdate, feature=l_extendedprice,
+                      tie=l_orderkey,l_linenumber,l_partkey
+  lineitem by flag:   system=l_returnflag (3 hot keys, a third of the rows each), same roles,
+                      tie=l_orderkey,l_linenumber,l_partkey,l_suppkey
 """
 
 from __future__ import annotations
@@ -38,9 +40,12 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 
 EV = Cols("user_id", "ts", "value", ("event_id",))
 ET = Cols("event_type", "ts", "value", ("event_id",))
-LI = Cols("l_suppkey", "l_shipdate", "l_extendedprice", ("l_orderkey", "l_linenumber"))
+# (l_orderkey, l_linenumber) repeats in these tables; with the part (and the
+# supplier, the system of LI) the order is total.
+LI = Cols("l_suppkey", "l_shipdate", "l_extendedprice", ("l_orderkey", "l_linenumber", "l_partkey"))
 # Hot keys: three return flags, each holding a third of lineitem.
-LR = Cols("l_returnflag", "l_shipdate", "l_extendedprice", ("l_orderkey", "l_linenumber"))
+LR = Cols("l_returnflag", "l_shipdate", "l_extendedprice",
+          ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
 
 # Small split sizes force the range-split (hot system) plans on the test
 # tables; their answers must equal the single-window plans.
@@ -467,7 +472,7 @@ _ORACLE: dict[str, str] = {
         SELECT {_base_sel(LI)}, {_r('z', 'z')}, {_r('abs(z)', 'abs_z')}
         FROM ({_scored_sql('lineitem', LI)})
         ORDER BY round(abs(z), 9) DESC NULLS LAST, l_suppkey NULLS FIRST, l_shipdate NULLS FIRST,
-                 l_orderkey NULLS FIRST, l_linenumber NULLS FIRST
+                 l_orderkey NULLS FIRST, l_linenumber NULLS FIRST, l_partkey NULLS FIRST
         LIMIT 50""",
     "zscore_outliers_hot": _zscore_outliers_sql("lineitem", LR, 1.5),
     "iqr_bounds_hot": _iqr_sql("lineitem", LR, "bounds"),

@@ -136,13 +136,33 @@ def range_splits(df: DataFrame, part: list[str], key: str, sizes,
     with_b = attach_small(df, bounds, part, "left", scale=scale, n_rows=g,
                           row_bytes=64 + 8 * (int(total) // max(g, 1) + 1))
     split = F.when(F.col(BOUNDS).isNull(), F.lit(0)).otherwise(
-        F.size(F.filter(F.col(BOUNDS), lambda b: b <= _c(key))))
+        count_at_most(F.col(BOUNDS), _c(key), m - 1))
     out = (with_b.withColumn(SPLIT, split)
            .withColumn(HAS_SPLIT, F.col(BOUNDS).isNotNull())
            .drop(BOUNDS))
     return out, True
 
 
+def count_at_most(bounds: Column, key: Column, max_len: int) -> Column:
+    """Number of entries of the ascending array ``bounds`` that are <= key
+    (0 for a NULL key).  Short arrays: a filter.  Long ones: a binary search
+    run as a fixed number of ``aggregate`` steps, O(log n) per row."""
+    if max_len <= 32:
+        return F.size(F.filter(bounds, lambda b: b <= key))
+    steps = max(1, math.ceil(math.log2(max_len + 1)))
+    init = F.struct(F.lit(0).alias("lo"), F.size(bounds).alias("hi"))
+
+    def step(acc, _):
+        lo, hi = acc["lo"], acc["hi"]
+        mid = ((lo + hi + 1) / 2).cast("int")
+        fits = F.element_at(bounds, F.greatest(mid, F.lit(1))) <= key
+        return (F.when(lo >= hi, acc)
+                .when(fits, F.struct(mid.alias("lo"), hi.alias("hi")))
+                .otherwise(F.struct(lo.alias("lo"), (mid - 1).alias("hi"))))
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step, lambda acc: acc["lo"])
+
+
 def _margin(p: float, scale: Scale) -> float:
     """Rank slack around a sampled quantile: sketch error plus 8 standard
     deviations of the sample quantile's rank."""

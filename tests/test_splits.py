@@ -123,3 +123,16 @@ def test_approx_quartiles_big_groups_are_exact(spark):
         F.expr("percentile_disc(0.25) WITHIN GROUP (ORDER BY v)").alias("q1"),
         F.expr("percentile_disc(0.75) WITHIN GROUP (ORDER BY v)").alias("q3")).collect()}
     assert got == want
+
+
+def test_count_at_most_binary_search(spark):
+    from tablewatch.operators.splits import count_at_most
+    import random
+    rnd = random.Random(3)
+    bounds = sorted(rnd.choice([rnd.uniform(-5, 5), 1.0]) for _ in range(100))
+    keys = [rnd.uniform(-6, 6) for _ in range(200)] + [1.0, bounds[0], bounds[-1], None]
+    df = spark.createDataFrame([(k,) for k in keys], "k double").withColumn(
+        "b", F.array(*[F.lit(b) for b in bounds]))
+    got = [r[0] for r in df.select(count_at_most(F.col("b"), F.col("k"), 100)).collect()]
+    want = [0 if k is None else sum(b <= k for b in bounds) for k in keys]
+    assert got == want
