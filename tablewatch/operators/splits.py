@@ -95,7 +95,7 @@ def _big_groups(sizes, scale: Scale) -> tuple[DataFrame, int, int]:
 
 def sample_quantiles(df: DataFrame, part: list[str], key: str, fractions: list[float],
                      sizes: DataFrame, per_group: Column, accuracy: int, out: str,
-                     seed: int = 17) -> DataFrame:
+                     scale: Scale = Scale(), seed: int = 17) -> DataFrame:
     """Per-group quantiles of ``key`` estimated from a Bernoulli sample of
     about ``per_group`` rows (an expression of the group size ``_tw_n``;
     groups no larger than that are taken whole).  ``sizes`` (part..., _tw_n)
@@ -104,7 +104,7 @@ def sample_quantiles(df: DataFrame, part: list[str], key: str, fractions: list[f
     sample keeps that merge to ``per_group`` rows.  Sampling only positions
     the quantiles; callers check whatever correctness depends on."""
     rows = attach_small(df.select(*[_c(p) for p in part], _c(key)), sizes, part, "inner",
-                        scale=Scale())
+                        scale=scale)
     frac = F.least(F.lit(1.0), per_group / F.col(N))
     sample = rows.filter((frac >= 1.0) | (F.rand(seed) < frac))
     return sample.groupBy(*[_c(p) for p in part]).agg(
@@ -124,7 +124,7 @@ def range_splits(df: DataFrame, part: list[str], key: str, sizes,
     fractions = [i / m for i in range(1, m)]
     want = F.least(F.lit(m), F.ceil(F.col(N) / F.lit(scale.split_rows)))
     bounds = sample_quantiles(df, part, key, fractions, big, F.lit(64) * want,
-                              max(scale.quantile_accuracy, 20 * m), BOUNDS)
+                              max(scale.quantile_accuracy, 20 * m), BOUNDS, scale)
     # A group of n rows needs only ceil(n / split_rows) ranges: keep every
     # stride-th boundary so the boundary table stays ~ rows / split_rows.
     stride = F.greatest(F.lit(1), F.floor(F.lit(m) / want)).cast("int")
@@ -238,7 +238,7 @@ def percent_rank_at_least(df: DataFrame, part: list[str], key: str, cutoff: floa
     if frac > 0:
         thresholds = materialize(sample_quantiles(
             big_rows, part, key, [frac], big, F.lit(scale.sample_rows),
-            scale.quantile_accuracy, "_tw_t").select(
+            scale.quantile_accuracy, "_tw_t", scale).select(
                 *part, F.element_at("_tw_t", 1).alias("_tw_t")))
     ranked_big, missed = _rank_candidates(big_rows, part, key, cutoff, out, scale, thresholds, g)
     if missed is not None and not missed.isEmpty():
@@ -261,7 +261,10 @@ def _rank_candidates(big_rows: DataFrame, part: list[str], key: str, cutoff: flo
     cand = big_rows
     if thresholds is not None:
         with_t = attach_small(big_rows, thresholds, part, "left", scale=scale, n_rows=g)
-        cand = with_t.filter(F.col("_tw_t").isNull() | (_c(key) >= F.col("_tw_t"))).drop("_tw_t")
+        # The survivors (about 1 - cutoff of the rows) are read twice below;
+        # keep them rather than rescanning every row.
+        cand = materialize(with_t.filter(F.col("_tw_t").isNull() | (_c(key) >= F.col("_tw_t")))
+                           .drop("_tw_t"))
     # Ties collapse into one row per distinct value before any ordering.
     dv = materialize(cand.groupBy(*[_c(p) for p in part], _c(key))
                      .agg(F.count(F.lit(1)).alias(C), F.first(N).alias(N)))
@@ -336,7 +339,7 @@ def exact_quantiles(df: DataFrame, part: list[str], x: str, probs: list[float],
     fr = ([max(0.0, p - t) for p, t in zip(probs, tight)] + [min(1.0, p + t) for p, t in zip(probs, tight)]
           + [max(0.0, p - w) for p, w in zip(probs, wide)] + [min(1.0, p + w) for p, w in zip(probs, wide)])
     q = sample_quantiles(rows, part, x, fr, sizes, F.lit(scale.sample_rows),
-                         scale.quantile_accuracy, "_tw_qs")
+                         scale.quantile_accuracy, "_tw_qs", scale)
     k = len(probs)
     whole = F.col(N) <= scale.sample_rows   # not sampled: only sketch error
     pick = lambda off_t, off_w: F.array(*[

@@ -133,3 +133,10 @@ def test_topk_is_global_and_ordered(spark):
     assert len(top) == 5
     vals = [r["abs_z"] for r in top]
     assert vals == sorted(vals, reverse=True) and not any(math.isnan(v) for v in vals)
+
+
+def test_required_columns_are_case_sensitive(spark):
+    df = spark.createDataFrame([("a", ts(0), 1.0)],
+                               "system_id string, timestamp timestamp, Temperature double")
+    with pytest.raises(ValueError):
+        prepare(df, C)
