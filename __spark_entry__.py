@@ -25,8 +25,9 @@ from pyspark.sql import functions as F
 from tablewatch.functions.exprs import quote_ident, round_doubles
 from tablewatch.operators import (input_profile, iqr_bounds, iqr_outliers, iqr_outliers_detailed,
                                   kmeans_anomalies, knn_exact, knn_exact_scores, knn_lsh,
-                                  knn_lsh_scores, knn_time, knn_time_scores, prepare, suspects_topk, system_sizes, zscore,
-                                  zscore_outliers)
+                                  knn_lsh_scores, knn_time, knn_time_scores, prepare,
+                                  sizes_from_stats, suspects_topk, system_sizes, zscore,
+                                  zscore_outliers, zscore_with_stats)
 from tablewatch.params import Cols, Scale
 from tablewatch.plans.catalog import catalog_report, run_sql
 from tablewatch.session import scratch_path
@@ -63,6 +64,14 @@ def _scored(spark: SparkSession, sf_dir: str, table: str, cols: Cols,
     return zscore(prepare(_table(spark, sf_dir, table), cols), cols, scale)
 
 
+def _scored_sizes(spark: SparkSession, sf_dir: str, table: str, cols: Cols,
+                  scale: Scale = Scale()):
+    """Scored rows and the per-system counts of the z-score statistics (the
+    KNN operators reuse them instead of counting again)."""
+    s, stats = zscore_with_stats(prepare(_table(spark, sf_dir, table), cols), cols, scale)
+    return s, sizes_from_stats(stats, cols)
+
+
 # --------------------------------------------------------------------------
 # Spark queries
 # --------------------------------------------------------------------------
@@ -117,25 +126,28 @@ def q_knn_time_scores(spark, sf_dir):
 
 
 def q_knn_time_outliers(spark, sf_dir):
-    return round_doubles(knn_time(_scored(spark, sf_dir, "events", EV), EV, 5, 0.99))
+    s, sizes = _scored_sizes(spark, sf_dir, "events", EV)
+    return round_doubles(knn_time(s, EV, 5, 0.99, sizes=sizes))
 
 
 def q_knn_time_outliers_split(spark, sf_dir):
-    s = _scored(spark, sf_dir, "events", EV, SPLIT_USER)
-    return round_doubles(knn_time(s, EV, 5, 0.99, scale=SPLIT_USER))
+    s, sizes = _scored_sizes(spark, sf_dir, "events", EV, SPLIT_USER)
+    return round_doubles(knn_time(s, EV, 5, 0.99, scale=SPLIT_USER, sizes=sizes))
 
 
 def q_knn_time_outliers_by_type(spark, sf_dir):
-    s = _scored(spark, sf_dir, "events", ET, SPLIT_TYPE)
-    return round_doubles(knn_time(s, ET, 5, 0.99, scale=SPLIT_TYPE))
+    s, sizes = _scored_sizes(spark, sf_dir, "events", ET, SPLIT_TYPE)
+    return round_doubles(knn_time(s, ET, 5, 0.99, scale=SPLIT_TYPE, sizes=sizes))
 
 
 def q_knn_time_outliers_lineitem(spark, sf_dir):
-    return round_doubles(knn_time(_scored(spark, sf_dir, "lineitem", LI), LI, 5, 0.99))
+    s, sizes = _scored_sizes(spark, sf_dir, "lineitem", LI)
+    return round_doubles(knn_time(s, LI, 5, 0.99, sizes=sizes))
 
 
 def q_knn_exact_outliers(spark, sf_dir):
-    return round_doubles(knn_exact(_scored(spark, sf_dir, "events", EV), EV, 5, 0.99))
+    s, sizes = _scored_sizes(spark, sf_dir, "events", EV)
+    return round_doubles(knn_exact(s, EV, 5, 0.99, sizes=sizes))
 
 
 def q_knn_exact_outliers_by_type(spark, sf_dir):
@@ -144,7 +156,8 @@ def q_knn_exact_outliers_by_type(spark, sf_dir):
 
 
 def q_knn_lsh_outliers(spark, sf_dir):
-    return round_doubles(knn_lsh(_scored(spark, sf_dir, "events", EV), EV, 5, 0.99))
+    s, sizes = _scored_sizes(spark, sf_dir, "events", EV)
+    return round_doubles(knn_lsh(s, EV, 5, 0.99, sizes=sizes))
 
 
 def q_knn_split_outliers(spark, sf_dir):
@@ -193,8 +206,8 @@ def q_iqr_bounds_exact(spark, sf_dir):
 
 
 def q_knn_time_outliers_hot(spark, sf_dir):
-    s = _scored(spark, sf_dir, "lineitem", LR, SPLIT_HOT)
-    return round_doubles(knn_time(s, LR, 5, 0.99, scale=SPLIT_HOT))
+    s, sizes = _scored_sizes(spark, sf_dir, "lineitem", LR, SPLIT_HOT)
+    return round_doubles(knn_time(s, LR, 5, 0.99, scale=SPLIT_HOT, sizes=sizes))
 
 
 def q_knn_exact_outliers_hot(spark, sf_dir):

@@ -106,28 +106,35 @@ def knn_rank_cut(scores: DataFrame, cols: Cols, pr_cutoff: float = 0.99,
 
 
 def knn_time(scored: DataFrame, cols: Cols, k: int = 5, pr_cutoff: float = 0.99,
-             scale: Scale = Scale()) -> DataFrame:
-    sizes = group_sizes(_base(scored, cols), [cols.sys], scale)
+             scale: Scale = Scale(), sizes=None) -> DataFrame:
+    """Time-adjacent KNN outliers.  ``sizes``: rows per system if known (e.g.
+    ``sizes_from_stats`` of the z-score statistics), saving a counting pass."""
+    if sizes is None:
+        sizes = group_sizes(_base(scored, cols), [cols.sys], scale)
     return knn_rank_cut(knn_time_scores(scored, cols, k, scale, sizes), cols, pr_cutoff, scale,
                         sizes)
 
 
 def knn_exact(scored: DataFrame, cols: Cols, k: int = 5, pr_cutoff: float = 0.99,
-              scale: Scale = Scale()) -> DataFrame:
-    sizes = group_sizes(_base(scored, cols), [cols.sys], scale)
+              scale: Scale = Scale(), sizes=None) -> DataFrame:
+    """Exact (value-ordered) KNN outliers; ``sizes`` as in ``knn_time``."""
+    if sizes is None:
+        sizes = group_sizes(_base(scored, cols), [cols.sys], scale)
     return knn_rank_cut(knn_exact_scores(scored, cols, k, scale, sizes), cols, pr_cutoff, scale,
                         sizes)
 
 
 def knn_lsh(scored: DataFrame, cols: Cols, k: int = 5, pr_cutoff: float = 0.99,
             bucket: float = 1.0, dist_thresh: float = 1.5, max_group_rows: int = 250_000,
-            isolated: float | None = 0.0, scale: Scale = Scale()) -> DataFrame:
-    sizes = group_sizes(_base(scored, cols), [cols.sys], scale)
+            isolated: float | None = 0.0, scale: Scale = Scale(), sizes=None) -> DataFrame:
+    """Grid-cell (LSH) KNN outliers; ``sizes`` as in ``knn_time``."""
+    if sizes is None:
+        sizes = group_sizes(_base(scored, cols), [cols.sys], scale)
     scores = knn_lsh_scores(scored, cols, k, bucket, dist_thresh, max_group_rows, isolated, scale,
                             sizes)
     # NULL systems drop out of both branches (inner joins in the reference).
     return knn_rank_cut(scores, cols, pr_cutoff, scale,
-                        sizes.filter(F.col(quote_ident(cols.sys)).isNotNull()))
+                        _sizes_df(sizes).filter(F.col(quote_ident(cols.sys)).isNotNull()))
 
 
 def knn(scored: DataFrame, cols: Cols, mode: str = "time", **kw) -> DataFrame:
