@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (DateType, NumericType, StringType, TimestampNTZType,
+from pyspark.sql.types import (DateType, DoubleType, NumericType, StringType, TimestampNTZType,
                                TimestampType)
 
 from tablewatch.functions.exprs import quote_ident
@@ -44,10 +44,14 @@ def prepare(df: DataFrame, cols: Cols, ts_unit: str = "s", nan_as_null: bool = F
         ts_expr = _TS_FROM_NUMBER[ts_unit](src)
     else:
         ts_expr = F.try_to_timestamp(ts.cast("string"))
-    x = F.col(quote_ident(cols.x)).try_cast("double")
+    repl = {}
+    if not isinstance(df.schema[cols.x].dataType, DoubleType):
+        repl[cols.x] = F.col(quote_ident(cols.x)).try_cast("double")
     if nan_as_null:
-        x = F.when(F.isnan(x), F.lit(None).cast("double")).otherwise(x)
-    repl = {cols.x: x}
+        x = repl.get(cols.x, F.col(quote_ident(cols.x)))
+        repl[cols.x] = F.when(F.isnan(x), F.lit(None).cast("double")).otherwise(x)
     if ts_expr is not None:
         repl[cols.ts] = ts_expr
-    return df.withColumns(repl)
+    # Columns that already have the right type are left untouched (no
+    # projection), which keeps identical sub-plans identical for reuse.
+    return df.withColumns(repl) if repl else df

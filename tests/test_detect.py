@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
-from tablewatch.operators import kmeans_scores, knn_exact_scores, zscore
+from tablewatch.operators import kmeans_scores, knn_exact_scores, knn_time_scores, zscore
 from tablewatch.params import Params
 from tablewatch.plans.detect import detect_all
 from tablewatch.sources.sinks import RESULT_NAMES, quicklook, write_all
@@ -142,3 +142,18 @@ def test_command_line_job(tmp):
     assert out.returncode == 0, out.stderr[-2000:]
     assert "rows: 1000 systems: 15" in out.stdout and "kmeans_top" in out.stdout
     assert sorted(os.listdir(f"{tmp}/preds")) == sorted(RESULT_NAMES)
+
+
+def test_split_plan_shuffles_rows_once(spark):
+    """The edge fix-up reads the same shuffled data as the main window: the
+    (system, range) exchange must run once and be reused."""
+    s, sizes = E._scored_sizes(spark, SF_SMALL, "lineitem", E.LR, E.SPLIT_HOT)
+    from tablewatch.params import Scale
+    scale = Scale(split_rows=500, max_splits=64)
+    df = knn_time_scores(s, E.LR, 5, scale, sizes)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "isFinalPlan=true" in final and final.count("ReusedExchange") >= 1
+    runs = [ln for ln in final.splitlines()
+            if "Exchange hashpartitioning" in ln and "_tw_split" in ln and "Reused" not in ln]
+    assert len(runs) == 1
