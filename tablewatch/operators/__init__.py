@@ -1,8 +1,8 @@
 """Relational operators of the anomaly job (K0-K6) and their skew-safe
 building blocks."""
 
-from tablewatch.operators.iqr import (iqr_all, iqr_bounds, iqr_outliers, iqr_outliers_detailed,  # noqa: F401
-                                      quartiles, with_bounds)
+from tablewatch.operators.iqr import (iqr_all, iqr_bounds, iqr_outliers,  # noqa: F401
+                                      iqr_outliers_detailed, quartiles, with_bounds)
 from tablewatch.operators.joins import attach_small, materialize  # noqa: F401
 from tablewatch.operators.kmeans import kmeans_anomalies, kmeans_cut, kmeans_scores  # noqa: F401
 from tablewatch.operators.knn import (knn, knn_exact, knn_exact_scores, knn_lsh,  # noqa: F401

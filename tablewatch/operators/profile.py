@@ -24,4 +24,5 @@ def system_sizes(df: DataFrame, cols: Cols, max_group_rows: int = 250_000) -> Da
     """sys, n, size_class: 'small' when n <= max_group_rows else 'big'."""
     return (df.groupBy(F.col(quote_ident(cols.sys))).agg(F.count(F.lit(1)).alias("n"))
             .withColumn("size_class",
-                        F.when(F.col("n") <= max_group_rows, F.lit("small")).otherwise(F.lit("big"))))
+                        F.when(F.col("n") <= max_group_rows, F.lit("small"))
+                        .otherwise(F.lit("big"))))

@@ -336,8 +336,10 @@ def exact_quantiles(df: DataFrame, part: list[str], x: str, probs: list[float],
     sizes = materialize(rows.groupBy(*[_c(p) for p in part]).agg(F.count(F.lit(1)).alias(N)))
     tight = [3.0 / scale.quantile_accuracy for _ in probs]
     wide = [_margin(p, scale) for p in probs]
-    fr = ([max(0.0, p - t) for p, t in zip(probs, tight)] + [min(1.0, p + t) for p, t in zip(probs, tight)]
-          + [max(0.0, p - w) for p, w in zip(probs, wide)] + [min(1.0, p + w) for p, w in zip(probs, wide)])
+    fr = ([max(0.0, p - t) for p, t in zip(probs, tight)]
+          + [min(1.0, p + t) for p, t in zip(probs, tight)]
+          + [max(0.0, p - w) for p, w in zip(probs, wide)]
+          + [min(1.0, p + w) for p, w in zip(probs, wide)])
     q = sample_quantiles(rows, part, x, fr, sizes, F.lit(scale.sample_rows),
                          scale.quantile_accuracy, "_tw_qs", scale)
     k = len(probs)
@@ -367,8 +369,8 @@ def _quantiles_in_brackets(rows: DataFrame, part, x, probs, names, stats, scale)
     with_b = attach_small(rows, stats, part, "left", scale=scale)
     lo = [F.element_at("_tw_lo", i + 1) for i in range(len(probs))]
     hi = [F.element_at("_tw_hi", i + 1) for i in range(len(probs))]
-    inside = [(F.col("_tw_lo").isNull() | (xs >= lo[i])) & (F.col("_tw_hi").isNull() | (xs <= hi[i]))
-              for i in range(len(probs))]
+    inside = [(F.col("_tw_lo").isNull() | (xs >= lo[i]))
+              & (F.col("_tw_hi").isNull() | (xs <= hi[i])) for i in range(len(probs))]
     below = materialize(with_b.groupBy(*[_c(p) for p in part]).agg(
         *[F.count_if(F.col("_tw_lo").isNotNull() & (xs < lo[i])).alias(f"_tw_below{i}")
           for i in range(len(probs))]))
@@ -388,7 +390,8 @@ def _quantiles_in_brackets(rows: DataFrame, part, x, probs, names, stats, scale)
     # bracket is valid when fewer than target rows lie below it.
     hit = (base < target) & (base + F.col("_tw_lt") < target) & \
           (base + F.col("_tw_lt") + F.col("_tw_c") >= target)
-    found = ranked.filter(hit).groupBy(*[_c(p) for p in part], "_tw_i").agg(F.min(xs).alias("_tw_q"))
+    found = (ranked.filter(hit).groupBy(*[_c(p) for p in part], "_tw_i")
+             .agg(F.min(xs).alias("_tw_q")))
     groups = stats.select(*part)
     out = found.groupBy(*[_c(p) for p in part]).agg(
         *[F.max(F.when(F.col("_tw_i") == i, F.col("_tw_q"))).alias(n) for i, n in enumerate(names)])
