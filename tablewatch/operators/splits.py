@@ -111,32 +111,43 @@ def sample_quantiles(df: DataFrame, part: list[str], key: str, fractions: list[f
         F.first(N).alias(N), F.percentile_approx(_c(key), fractions, accuracy).alias(out))
 
 
-def range_splits(df: DataFrame, part: list[str], key: str, sizes,
-                 scale: Scale) -> tuple[DataFrame, bool]:
-    """Add ``_tw_split`` (range index in ``key`` order, 0 for small groups) and
-    ``_tw_has_split``.  Equal keys always share a range; NULL keys go to range
-    0 (they sort first).  Returns (frame, any_group_split).  Range bounds
-    come from about 64 sampled rows per range, so ranges are near even."""
+def range_splits(df: DataFrame, part: list[str], keys, sizes,
+                 scale: Scale, seed: int = 23) -> tuple[DataFrame, bool]:
+    """Add ``_tw_split`` (range index in the order of ``keys``, 0 for small
+    groups) and ``_tw_has_split``.  Returns (frame, any_group_split).
+
+    Boundaries are values of the whole order key (a struct when there are
+    several columns), every 64th of a sorted per-group sample of about 64
+    rows per range.  With a unique order key no two rows tie, so even a
+    group that is constant in its first order column splits evenly; rows
+    with equal keys always share a range.  NULLs sort first, as in the
+    windows (ascending, nulls first)."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
     big, g, max_n = _big_groups(sizes, scale)
     if g == 0:
         return df.withColumn(SPLIT, F.lit(0)).withColumn(HAS_SPLIT, F.lit(False)), False
     m = max(2, min(scale.max_splits, math.ceil(max_n / scale.split_rows)))
-    fractions = [i / m for i in range(1, m)]
-    want = F.least(F.lit(m), F.ceil(F.col(N) / F.lit(scale.split_rows)))
-    bounds = sample_quantiles(df, part, key, fractions, big, F.lit(64) * want,
-                              max(scale.quantile_accuracy, 20 * m), BOUNDS, scale)
-    # A group of n rows needs only ceil(n / split_rows) ranges: keep every
-    # stride-th boundary so the boundary table stays ~ rows / split_rows.
-    stride = F.greatest(F.lit(1), F.floor(F.lit(m) / want)).cast("int")
-    bounds, m_obs = materialize_observed(bounds.select(
-        *[_c(p) for p in part],
-        F.filter(F.col(BOUNDS), lambda b, i: (i + 1) % stride == 0).alias(BOUNDS)),
+    per = 64
+    key = F.struct(*[_c(k) for k in keys]) if len(keys) > 1 else _c(keys[0])
+    rows = attach_small(df.select(*[_c(p) for p in part], key.alias("_tw_key")), big, part,
+                        "inner", scale=scale, n_rows=g)
+    want = F.least(F.lit(m), F.ceil(F.col(N) / F.lit(scale.split_rows))).cast("int")
+    frac = F.least(F.lit(1.0), F.lit(per) * want / F.col(N))
+    sample = rows.filter((frac >= 1.0) | (F.rand(seed) < frac))
+    srt = sample.groupBy(*[_c(p) for p in part]).agg(
+        F.array_sort(F.collect_list("_tw_key")).alias("_tw_s"), F.first(want).alias("_tw_w"))
+    n_s, w = F.size("_tw_s"), F.col("_tw_w")
+    picks = F.transform(F.sequence(F.lit(1), w - 1),
+                        lambda j: F.element_at("_tw_s", F.greatest(F.lit(1),
+                                                                   F.floor(j * n_s / w).cast("int"))))
+    bounds, m_obs = materialize_observed(
+        srt.select(*[_c(p) for p in part], F.when(n_s > 0, picks).alias(BOUNDS)),
         total=F.sum(F.size(BOUNDS)))
     total = m_obs["total"] or 0
     with_b = attach_small(df, bounds, part, "left", scale=scale, n_rows=g,
-                          row_bytes=64 + 8 * (int(total) // max(g, 1) + 1))
+                          row_bytes=64 + (8 * len(keys) + 16) * (int(total) // max(g, 1) + 1))
     split = F.when(F.col(BOUNDS).isNull(), F.lit(0)).otherwise(
-        count_at_most(F.col(BOUNDS), _c(key), m - 1))
+        count_at_most(F.col(BOUNDS), key, m - 1))
     out = (with_b.withColumn(SPLIT, split)
            .withColumn(HAS_SPLIT, F.col(BOUNDS).isNotNull())
            .drop(BOUNDS))
@@ -180,7 +191,7 @@ def neighbor_diffs(df: DataFrame, part: list[str], order: list[str], value: str,
     this column (used for grid cells that are contiguous in ``order``)."""
     if sizes is None:
         sizes = group_sizes(df, part, scale)
-    sdf, split = range_splits(df, part, order[0], sizes, scale)
+    sdf, split = range_splits(df, part, order, sizes, scale)
     v = _c(value)
 
     def diffs(w):
@@ -302,7 +313,7 @@ def running_below(dv: DataFrame, part: list[str], key: str, count_col: str, out:
     of the ranges before it (a running sum over at most max_splits rows)."""
     if sizes is None:
         sizes = group_sizes(dv, part, scale)
-    dvs, split = range_splits(dv, part, key, sizes, scale)
+    dvs, split = range_splits(dv, part, [key], sizes, scale)
     w = (Window.partitionBy(*[_c(p) for p in part], F.col(SPLIT))
          .orderBy(_c(key).asc_nulls_first())
          .rowsBetween(Window.unboundedPreceding, -1))

@@ -136,3 +136,21 @@ def test_count_at_most_binary_search(spark):
     got = [r[0] for r in df.select(count_at_most(F.col("b"), F.col("k"), 100)).collect()]
     want = [0 if k is None else sum(b <= k for b in bounds) for k in keys]
     assert got == want
+
+
+def test_constant_hot_group_splits_evenly(spark):
+    """A hot group that is constant in its first order column still splits
+    (boundaries use the whole order key) and gives the single-window answer."""
+    from tablewatch.operators.splits import range_splits, group_sizes
+    rows = ([("hot", 0.0, i, float(i % 7)) for i in range(600)]
+            + [("cold", float(i), i + 1000, float(i)) for i in range(20)])
+    df = spark.createDataFrame(rows, "g string, z double, rid long, v double")
+    scale = Scale(split_rows=50, max_splits=64)
+    sdf, split = range_splits(df, ["g"], ["z", "rid"], group_sizes(df, ["g"], scale), scale)
+    assert split
+    per = [r["c"] for r in sdf.filter("g = 'hot'").groupBy("_tw_split").count()
+           .withColumnRenamed("count", "c").collect()]
+    assert len(per) >= 8 and max(per) <= 3 * 600 / len(per)
+    a = neighbor_diffs(df, ["g"], ["z", "rid"], "v", 3, "d", NO_SPLIT)
+    b = neighbor_diffs(df, ["g"], ["z", "rid"], "v", 3, "d", scale)
+    assert {r["rid"]: r["d"] for r in a.collect()} == {r["rid"]: r["d"] for r in b.collect()}
