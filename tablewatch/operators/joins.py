@@ -21,6 +21,7 @@ from pyspark.sql.types import (ArrayType, BinaryType, BooleanType, ByteType, Dat
 
 from tablewatch.functions.exprs import quote_ident
 from tablewatch.params import Scale
+from tablewatch.session import ensure_checkpoint_dir
 
 
 def _width(t: DataType, array_len: int) -> int:
@@ -50,6 +51,7 @@ def materialize(df: DataFrame) -> DataFrame:
     a cluster), so a lost executor does not force recomputing the aggregate
     that produced it, and later counts/joins do not rescan the input.
     """
+    ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
@@ -57,6 +59,7 @@ def materialize_observed(df: DataFrame, **metrics: Column) -> tuple[DataFrame, d
     """``materialize`` that also returns aggregate metrics of the table
     (e.g. its row count), collected by the same job through an Observation
     instead of a second pass."""
+    ensure_checkpoint_dir(df.sparkSession)
     obs = Observation(f"tw_{uuid.uuid4().hex[:12]}")
     ck = df.observe(obs, *[c.alias(k) for k, c in metrics.items()]).checkpoint(eager=True)
     return ck, dict(obs.get)
