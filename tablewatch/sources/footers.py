@@ -9,6 +9,9 @@ in the package and it touches metadata, not rows.
 
 from __future__ import annotations
 
+import sys
+
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,6 +68,11 @@ def _footers(batches):
         yield pd.DataFrame(out, columns=["path", "n_rows", "n_row_groups", "fields", "error"])
 
 
+# The footer reader runs inside tasks: ship this module's functions with the
+# job instead of requiring the package to be installed on every executor.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 def read_footers(spark: SparkSession, files: DataFrame) -> DataFrame:
     """files (needs ``path``) -> path, n_rows, n_row_groups, fields, error.
     Files are spread round-robin so footers are read in parallel."""
