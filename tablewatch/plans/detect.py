@@ -63,6 +63,9 @@ def detect_all(spark: SparkSession, p: Params, df: DataFrame | None = None,
     (``kmeans_scores``: every row with its cluster and distance)."""
     if df is None:
         df = load_input(spark, p)
+    else:
+        # Validation and type normalisation; a no-op for typed columns.
+        df = prepare(df, p.cols, p.ts_unit, p.nan_as_null)
     cols = p.cols
     scored, stats = zscore_with_stats(df, cols, p.scale)
     sizes = as_sizes(sizes_from_stats(stats, cols), p.scale)

@@ -157,3 +157,22 @@ def test_split_plan_shuffles_rows_once(spark):
     runs = [ln for ln in final.splitlines()
             if "Exchange hashpartitioning" in ln and "_tw_split" in ln and "Reused" not in ln]
     assert len(runs) == 1
+
+
+def test_ingest_then_sql_then_detect(spark, tmp):
+    """Folder -> table -> SQL -> anomaly job, end to end on derived data."""
+    from tablewatch.plans.catalog import run_sql
+    from tablewatch.sources.derived import write_folders
+    from tablewatch.sources.ingest import register_folders
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    write_folders({"Stats_Table": ev}, f"{tmp}/data")
+    summary = register_folders(spark, f"{tmp}/data", "nyc_e2e").first()
+    assert summary["table"] == "stats_table" and summary["n_rows"] == ev.count()
+    busy = run_sql(spark, "SELECT user_id FROM stats_table GROUP BY user_id "
+                          "HAVING count(*) >= 20", "nyc_e2e").count()
+    assert busy > 0
+    p = Params(feature="value", ts_col="ts", sys_col="user_id", tie_break=("event_id",))
+    res = detect_all(spark, p, spark.table("nyc_e2e.stats_table"))
+    direct = detect_all(spark, p, ev)
+    for name in ("temp_outliers_zscore", "iqr_bounds", "temp_outliers_knn"):
+        assert res[name].count() == direct[name].count()

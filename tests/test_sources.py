@@ -151,3 +151,21 @@ def test_create_table_drops_and_recreates(spark):
     create_table(spark, "table_name", "id INT NOT NULL, data STRING", namespace="ns_demo")
     assert spark.table(ident).count() == 0
     assert [f.name for f in spark.table(ident).schema] == ["id", "data"]
+
+
+def test_footer_census_runs_where_workers_lack_the_package(tmp):
+    """Executors need not have the package: the task function ships with the
+    job.  The driver here finds the package only through its own sys.path."""
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    counters_tree(f"{tmp}/data")
+    code = (f"import sys; sys.path.insert(0, {root!r})\n"
+            "from pyspark.sql import SparkSession\n"
+            "spark = SparkSession.builder.master('local[2]').getOrCreate()\n"
+            "from tablewatch.sources.footers import schema_census\n"
+            f"print('ROWS', schema_census(spark, {tmp + '/data'!r}).count())\n")
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp, env=env, capture_output=True,
+                         text=True, timeout=300)
+    assert "ROWS 8" in out.stdout, out.stderr[-2000:]
