@@ -95,7 +95,8 @@ def _big_groups(sizes, scale: Scale) -> tuple[DataFrame, int, int]:
 
 def sample_quantiles(df: DataFrame, part: list[str], key: str, fractions: list[float],
                      sizes: DataFrame, per_group: Column, accuracy: int, out: str,
-                     scale: Scale = Scale(), seed: int = 17) -> DataFrame:
+                     scale: Scale = Scale(), seed: int = 17,
+                     n_groups: int | None = None) -> DataFrame:
     """Per-group quantiles of ``key`` estimated from a Bernoulli sample of
     about ``per_group`` rows (an expression of the group size ``_tw_n``;
     groups no larger than that are taken whole).  ``sizes`` (part..., _tw_n)
@@ -104,7 +105,7 @@ def sample_quantiles(df: DataFrame, part: list[str], key: str, fractions: list[f
     sample keeps that merge to ``per_group`` rows.  Sampling only positions
     the quantiles; callers check whatever correctness depends on."""
     rows = attach_small(df.select(*[_c(p) for p in part], _c(key)), sizes, part, "inner",
-                        scale=scale)
+                        scale=scale, n_rows=n_groups)
     frac = F.least(F.lit(1.0), per_group / F.col(N))
     sample = rows.filter((frac >= 1.0) | (F.rand(seed) < frac))
     return sample.groupBy(*[_c(p) for p in part]).agg(
@@ -146,14 +147,33 @@ def range_splits(df: DataFrame, part: list[str], keys, sizes,
     total = m_obs["total"] or 0
     with_b = attach_small(df, bounds, part, "left", scale=scale, n_rows=g,
                           row_bytes=64 + (8 * len(keys) + 16) * (int(total) // max(g, 1) + 1))
-    split = F.when(F.col(BOUNDS).isNull(), F.lit(0)).otherwise(
-        count_at_most(F.col(BOUNDS), key, m - 1))
-    out = (with_b.withColumn(SPLIT, split)
+    out = (with_range_index(with_b, F.col(BOUNDS), key, m - 1, SPLIT)
            .withColumn(HAS_SPLIT, F.col(BOUNDS).isNotNull())
            .drop(BOUNDS))
     return out, True
 
 
+def with_range_index(df: DataFrame, bounds: Column, key: Column, max_len: int,
+                     out: str) -> DataFrame:
+    """Add ``out`` = number of entries of the ascending array ``bounds``
+    (at most ``max_len`` long) that are <= key; 0 for a NULL key or NULL
+    bounds.  A binary search unrolled into one projection per step
+    (log2 steps), each step plain column arithmetic and ``element_at``, so it
+    stays inside whole-stage code generation; a higher-order-function
+    version is interpreted row by row and several times slower."""
+    steps = max(1, math.ceil(math.log2(max_len + 1)))
+    lo_c, hi_c = "_tw_lo", "_tw_hi"
+    df = df.withColumns({lo_c: F.lit(0), hi_c: F.coalesce(F.size(bounds), F.lit(0))})
+    for _ in range(steps):
+        lo, hi = F.col(lo_c), F.col(hi_c)
+        mid = ((lo + hi + 1) / 2).cast("int")
+        fits = (lo < hi) & F.coalesce(
+            F.element_at(bounds, F.greatest(mid, F.lit(1))) <= key, F.lit(False))
+        df = df.withColumns({lo_c: F.when(fits, mid).otherwise(lo),
+                             hi_c: F.when(fits | (lo >= hi), hi).otherwise(mid - 1)})
+    return df.withColumnRenamed(lo_c, out).drop(hi_c)
+
+
 def count_at_most(bounds: Column, key: Column, max_len: int) -> Column:
     """Number of entries of the ascending array ``bounds`` that are <= key
     (0 for a NULL key).  Short arrays: a filter.  Long ones: a binary search
@@ -249,10 +269,10 @@ def percent_rank_at_least(df: DataFrame, part: list[str], key: str, cutoff: floa
     if frac > 0:
         thresholds = materialize(sample_quantiles(
             big_rows, part, key, [frac], big, F.lit(scale.sample_rows),
-            scale.quantile_accuracy, "_tw_t", scale).select(
+            scale.quantile_accuracy, "_tw_t", scale, n_groups=g).select(
                 *part, F.element_at("_tw_t", 1).alias("_tw_t")))
     ranked_big, missed = _rank_candidates(big_rows, part, key, cutoff, out, scale, thresholds, g)
-    if missed is not None and not missed.isEmpty():
+    if missed is not None:
         # A sampled threshold that landed above the cut (checked, not
         # assumed): rank those groups over all their rows.
         redo_rows = attach_small(big_rows, missed, part, "left_semi", scale=scale)
@@ -267,7 +287,9 @@ def _rank_candidates(big_rows: DataFrame, part: list[str], key: str, cutoff: flo
                      g: int) -> tuple[DataFrame, DataFrame | None]:
     """Rank the rows at or above a per-group threshold (all rows without
     one).  ``big_rows`` carries the group size ``_tw_n``.  Returns the ranked
-    rows and the groups whose threshold was too high (None if unchecked)."""
+    rows and the groups whose threshold was too high (None when there are
+    none).  Counts needed for the decisions are observed while the small
+    tables are written, so they cost no extra pass."""
     C, NC, BELOW = "_tw_c", "_tw_ncand", "_tw_below"
     cand = big_rows
     if thresholds is not None:
@@ -279,30 +301,36 @@ def _rank_candidates(big_rows: DataFrame, part: list[str], key: str, cutoff: flo
     # Ties collapse into one row per distinct value before any ordering.
     dv = materialize(cand.groupBy(*[_c(p) for p in part], _c(key))
                      .agg(F.count(F.lit(1)).alias(C), F.first(N).alias(N)))
-    dsizes = materialize(dv.groupBy(*[_c(p) for p in part])
-                         .agg(F.count(F.lit(1)).alias("_tw_nd"), F.sum(C).alias(NC),
-                              F.first(N).alias(N)))
-    dvs = running_below(dv, part, key, C, BELOW, scale,
-                        dsizes.select(*part, F.col("_tw_nd").alias(N)))
-    dvs = attach_small(dvs, dsizes.select(*part, NC), part, "left", scale=scale, n_rows=g)
+    nd = F.col("_tw_nd")
+    # The largest excluded row has at most n - ncand - 1 smaller rows; if
+    # that could reach the cut, the group's threshold was too high.
+    too_high = (F.col(N) - F.col(NC) > 0) & (
+        (F.col(N) - F.col(NC) - 1) >= F.lit(cutoff) * (F.col(N) - 1))
+    dsizes, dm = materialize_observed(
+        dv.groupBy(*[_c(p) for p in part]).agg(F.count(F.lit(1)).alias("_tw_nd"),
+                                              F.sum(C).alias(NC), F.first(N).alias(N)),
+        groups=F.count(F.lit(1)), big=F.count_if(nd > scale.split_rows),
+        max_big=F.max(F.when(nd > scale.split_rows, nd)), missed=F.count_if(too_high))
+    dsz = Sizes(dsizes.select(*part, nd.alias(N)), int(dm["groups"] or 0), int(dm["big"] or 0),
+                int(dm["max_big"] or 0), scale.split_rows)
+    dvs = running_below(dv, part, key, C, BELOW, scale, dsz)
+    dvs = attach_small(dvs, dsizes.select(*part, NC), part, "left", scale=scale,
+                       n_rows=dsz.groups)
     # Rows below the threshold are all smaller than every candidate.
     below = F.col(BELOW) + F.col(N) - F.col(NC)
     pr = F.when(F.col(N) > 1, below / (F.col(N) - 1)).otherwise(F.lit(0.0))
-    kept = materialize(dvs.select(*[_c(p) for p in part], _c(key), pr.alias(out))
-                       .filter(F.col(out) >= cutoff))
-    ranked = attach_small(cand.drop(N), kept, [*part, key], "inner", scale=scale)
-    missed = None
-    if thresholds is not None:
-        # The largest excluded row has at most n - ncand - 1 smaller rows; if
-        # that could reach the cut, the threshold was too high.
-        missed = materialize(dsizes.filter(
-            (F.col(N) - F.col(NC) > 0)
-            & ((F.col(N) - F.col(NC) - 1) >= F.lit(cutoff) * (F.col(N) - 1))).select(*part))
-        # Groups with no candidate at all have no row in dsizes.
-        none = attach_small(thresholds.select(*part), dsizes.select(*part), part, "left_anti",
-                            scale=scale)
-        missed = materialize(missed.unionByName(none))
-    return ranked, missed
+    kept, km = materialize_observed(
+        dvs.select(*[_c(p) for p in part], _c(key), pr.alias(out)).filter(F.col(out) >= cutoff),
+        rows=F.count(F.lit(1)))
+    ranked = attach_small(cand.drop(N), kept, [*part, key], "inner", scale=scale,
+                          n_rows=int(km["rows"]))
+    if thresholds is None or (int(dm["missed"] or 0) == 0 and dsz.groups == g):
+        return ranked, None
+    missed = dsizes.filter(too_high).select(*part)
+    # Groups with no candidate at all have no row in dsizes.
+    none = attach_small(thresholds.select(*part), dsizes.select(*part), part, "left_anti",
+                        scale=scale, n_rows=dsz.groups)
+    return ranked, materialize(missed.unionByName(none))
 
 
 def running_below(dv: DataFrame, part: list[str], key: str, count_col: str, out: str,
@@ -323,10 +351,12 @@ def running_below(dv: DataFrame, part: list[str], key: str, count_col: str, out:
             F.sum(count_col).alias("_tw_sc"))
         wo = (Window.partitionBy(*[_c(p) for p in part]).orderBy(SPLIT)
               .rowsBetween(Window.unboundedPreceding, -1))
-        offsets = materialize(per.select(*[_c(p) for p in part], F.col(SPLIT),
-                                         F.coalesce(F.sum("_tw_sc").over(wo), F.lit(0))
-                                         .alias("_tw_off")))
-        dvs = attach_small(dvs, offsets, [*part, SPLIT], "left", scale=scale)
+        offsets, om = materialize_observed(
+            per.select(*[_c(p) for p in part], F.col(SPLIT),
+                       F.coalesce(F.sum("_tw_sc").over(wo), F.lit(0)).alias("_tw_off")),
+            rows=F.count(F.lit(1)))
+        dvs = attach_small(dvs, offsets, [*part, SPLIT], "left", scale=scale,
+                           n_rows=int(om["rows"]))
         dvs = dvs.withColumn(out, F.col(out) + F.col("_tw_off")).drop("_tw_off")
     return dvs.drop(SPLIT, HAS_SPLIT)
 
@@ -344,7 +374,10 @@ def exact_quantiles(df: DataFrame, part: list[str], x: str, probs: list[float],
     bracket, so the answer is exact whatever the sample."""
     xs = _c(x)
     rows = df.select(*[_c(p) for p in part], xs).filter(xs.isNotNull())
-    sizes = materialize(rows.groupBy(*[_c(p) for p in part]).agg(F.count(F.lit(1)).alias(N)))
+    sizes, sm = materialize_observed(
+        rows.groupBy(*[_c(p) for p in part]).agg(F.count(F.lit(1)).alias(N)),
+        groups=F.count(F.lit(1)))
+    ng = int(sm["groups"] or 0)
     tight = [3.0 / scale.quantile_accuracy for _ in probs]
     wide = [_margin(p, scale) for p in probs]
     fr = ([max(0.0, p - t) for p, t in zip(probs, tight)]
@@ -352,7 +385,7 @@ def exact_quantiles(df: DataFrame, part: list[str], x: str, probs: list[float],
           + [max(0.0, p - w) for p, w in zip(probs, wide)]
           + [min(1.0, p + w) for p, w in zip(probs, wide)])
     q = sample_quantiles(rows, part, x, fr, sizes, F.lit(scale.sample_rows),
-                         scale.quantile_accuracy, "_tw_qs", scale)
+                         scale.quantile_accuracy, "_tw_qs", scale, n_groups=ng)
     k = len(probs)
     whole = F.col(N) <= scale.sample_rows   # not sampled: only sketch error
     pick = lambda off_t, off_w: F.array(*[
@@ -360,24 +393,28 @@ def exact_quantiles(df: DataFrame, part: list[str], x: str, probs: list[float],
          .otherwise(F.element_at("_tw_qs", off_w + i + 1)) for i in range(k)])
     stats = materialize(q.select(*part, N, pick(0, 2 * k).alias("_tw_lo"),
                                  pick(k, 3 * k).alias("_tw_hi")))
-    result = _quantiles_in_brackets(rows, part, x, probs, names, stats, scale)
-    # Groups whose bracket missed: redo them with open brackets.
-    bad = materialize(result.filter(F.greatest(*[F.col(n).isNull() for n in names]))
-                      .select(*part))
-    if bad.isEmpty():
+    missing = F.greatest(*[F.col(n).isNull() for n in names])
+    result, rm = materialize_observed(
+        _quantiles_in_brackets(rows, part, x, probs, names, stats, scale, ng),
+        missed=F.count_if(missing))
+    if int(rm["missed"] or 0) == 0:
         return result
+    # Groups whose bracket missed: redo them with open brackets.
+    bad = materialize(result.filter(missing).select(*part))
     open_stats = attach_small(stats, bad, part, "left_semi", scale=scale).select(
         *part, N, F.lit(None).cast("array<double>").alias("_tw_lo"),
         F.lit(None).cast("array<double>").alias("_tw_hi"))
     redo = _quantiles_in_brackets(attach_small(rows, bad, part, "left_semi", scale=scale),
-                                  part, x, probs, names, materialize(open_stats), scale)
+                                  part, x, probs, names, materialize(open_stats), scale, ng)
     good = attach_small(result, bad, part, "left_anti", scale=scale)
     return good.unionByName(redo)
 
 
-def _quantiles_in_brackets(rows: DataFrame, part, x, probs, names, stats, scale) -> DataFrame:
+def _quantiles_in_brackets(rows: DataFrame, part, x, probs, names, stats, scale,
+                           n_groups: int) -> DataFrame:
+    """``n_groups`` bounds the row count of every per-group table here."""
     xs = _c(x)
-    with_b = attach_small(rows, stats, part, "left", scale=scale)
+    with_b = attach_small(rows, stats, part, "left", scale=scale, n_rows=n_groups)
     lo = [F.element_at("_tw_lo", i + 1) for i in range(len(probs))]
     hi = [F.element_at("_tw_hi", i + 1) for i in range(len(probs))]
     inside = [(F.col("_tw_lo").isNull() | (xs >= lo[i]))
@@ -391,8 +428,9 @@ def _quantiles_in_brackets(rows: DataFrame, part, x, probs, names, stats, scale)
     dv = materialize(cand.groupBy(*[_c(p) for p in part], F.col("_tw_i"), xs)
                      .agg(F.count(F.lit(1)).alias("_tw_c")))
     ranked = running_below(dv, [*part, "_tw_i"], x, "_tw_c", "_tw_lt", scale)
-    ranked = attach_small(ranked, below, part, "left", scale=scale)
-    ranked = attach_small(ranked, stats.select(*part, N), part, "left", scale=scale)
+    ranked = attach_small(ranked, below, part, "left", scale=scale, n_rows=n_groups)
+    ranked = attach_small(ranked, stats.select(*part, N), part, "left", scale=scale,
+                          n_rows=n_groups)
     base = F.element_at(F.array(*[F.col(f"_tw_below{i}") for i in range(len(probs))]),
                         F.col("_tw_i") + 1)
     target = F.element_at(F.array(*[F.greatest(F.lit(1), F.ceil(F.lit(p) * F.col(N)))
@@ -407,4 +445,4 @@ def _quantiles_in_brackets(rows: DataFrame, part, x, probs, names, stats, scale)
     out = found.groupBy(*[_c(p) for p in part]).agg(
         *[F.max(F.when(F.col("_tw_i") == i, F.col("_tw_q"))).alias(n) for i, n in enumerate(names)])
     # Groups with no hit at all still appear (with NULLs) so they are redone.
-    return attach_small(groups, out, part, "left", scale=scale)
+    return attach_small(groups, out, part, "left", scale=scale, n_rows=n_groups)

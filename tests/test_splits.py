@@ -136,6 +136,9 @@ def test_count_at_most_binary_search(spark):
     got = [r[0] for r in df.select(count_at_most(F.col("b"), F.col("k"), 100)).collect()]
     want = [0 if k is None else sum(b <= k for b in bounds) for k in keys]
     assert got == want
+    from tablewatch.operators.splits import with_range_index
+    got2 = [r["i"] for r in with_range_index(df, F.col("b"), F.col("k"), 100, "i").collect()]
+    assert got2 == want
 
 
 def test_constant_hot_group_splits_evenly(spark):
