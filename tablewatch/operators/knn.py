@@ -126,8 +126,16 @@ def knn_exact(scored: DataFrame, cols: Cols, k: int = 5, pr_cutoff: float = 0.99
 
 def knn_lsh(scored: DataFrame, cols: Cols, k: int = 5, pr_cutoff: float = 0.99,
             bucket: float = 1.0, dist_thresh: float = 1.5, max_group_rows: int = 250_000,
-            isolated: float | None = 0.0, scale: Scale = Scale(), sizes=None) -> DataFrame:
-    """Grid-cell (LSH) KNN outliers; ``sizes`` as in ``knn_time``."""
+            isolated: float | None = 0.0, scale: Scale = Scale(), sizes=None,
+            engine: str = "grid") -> DataFrame:
+    """Grid-cell (LSH) KNN outliers; ``sizes`` as in ``knn_time``.
+
+    ``engine``: only "grid" (the exact cell window).  MLlib's
+    ``approxSimilarityJoin`` would emit every pair inside a bucket, which a
+    hot bucket turns into a quadratic join, so it is not offered."""
+    if engine != "grid":
+        raise ValueError("knn_lsh supports engine='grid' only (exact, linear); a pairwise "
+                         "similarity join is quadratic in a hot bucket")
     if sizes is None:
         sizes = group_sizes(_base(scored, cols), [cols.sys], scale)
     scores = knn_lsh_scores(scored, cols, k, bucket, dist_thresh, max_group_rows, isolated, scale,
