@@ -19,7 +19,9 @@ def ingest_new_files(spark: SparkSession, source_dir: str, sink_dir: str, checkp
                      schema: StructType | None = None, max_files_per_trigger: int | None = None
                      ) -> int:
     """Copy rows of not-yet-seen Parquet files under ``source_dir`` into the
-    Parquet dataset ``sink_dir``; returns the number of rows ingested."""
+    Parquet dataset ``sink_dir``; returns the number of rows ingested, as
+    reported by the query's progress (its last
+    ``spark.sql.streaming.numRecentProgressUpdates`` micro-batches)."""
     if schema is None:
         schema = (spark.read.option("recursiveFileLookup", "true")
                   .option("pathGlobFilter", PARQUET_GLOB).parquet(source_dir).schema)
