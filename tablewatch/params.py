@@ -25,6 +25,12 @@ class Cols:
     x: str = "temperature"
     tie_break: tuple[str, ...] = ()
 
+    def __post_init__(self):
+        object.__setattr__(self, "tie_break", tuple(self.tie_break))
+        roles = [self.sys, self.ts, self.x, *self.tie_break]
+        if len(set(roles)) != len(roles):
+            raise ValueError(f"column roles must be distinct, got {roles}")
+
     @property
     def key(self) -> list[str]:
         return [self.sys, self.ts, self.x, *self.tie_break]

@@ -38,3 +38,11 @@ def test_ingest_new_files_is_exactly_once(spark, tmp):
     n2 = ingest_new_files(spark, src, sink, ckpt, schema=ev.schema)
     assert n1 + n2 == ev.count()
     assert spark.read.parquet(sink).count() == ev.count()
+
+
+def test_cols_reject_repeated_roles():
+    import pytest
+    from tablewatch.params import Cols
+    with pytest.raises(ValueError):
+        Cols("s", "t", "x", ("s",))
+    assert Cols("s", "t", "x", ["a"]).tie_break == ("a",)
