@@ -1,24 +1,28 @@
-"""Skew-safe per-group windows.
+"""Skew-safe per-group windows and quantiles.
 
 The reference computes every per-system statistic with a window partitioned
 by the system alone, so one system holding a third of all rows becomes one
-task.  The two helpers here keep exact results while cutting such a group
-into ordered ranges:
+task.  The helpers here keep exact results while cutting such a group into
+ordered ranges:
 
 * ``neighbor_diffs``: |v - lead/lag(v, 1..k)| in a given order.  Rows of a big
-  group get a range index from approximate quantiles of the leading order
-  column; the window runs per (group, range).  Only the first/last k rows of
-  each range can miss neighbours; they are recomputed from the first/last 2k
-  rows of every range (a set of at most 4k rows per range), then unioned back.
+  group get a range index (binary search over boundaries taken from a sorted
+  sample of the whole order key); the window runs per (group, range).  Only
+  the first/last k rows of each range can miss neighbours; they are
+  recomputed from the first/last 2k rows of every range (at most 4k rows per
+  range) and unioned back.  The main shuffle is shared by both parts.
 * ``percent_rank_at_least``: ``percent_rank() >= cutoff`` per group.  Small
-  groups use the plain window.  For big groups the rank of a row is the count
-  of smaller values: a per-group approximate quantile just below the cutoff
-  discards the rows that cannot pass (the sketch's rank error is bounded, so
-  none of them can), and the survivors are ranked by distinct value, again
-  split into ranges with running offsets.
-
-Groups up to ``Scale.split_rows`` rows take the single-window plan, which is
-exactly the plan the reference runs.
+  groups use the plain window.  For a big group the rank of a row is the
+  count of smaller values: a threshold from a bounded sample discards rows
+  below the cut, the survivors are ranked by distinct value (split into
+  ranges with running offsets), and a threshold that was too high is
+  detected from exact counts and the group re-ranked over all its rows.
+* ``exact_quantiles``: ``percentile_disc`` per group, by the same
+  bracket-count-verify pattern.
+
+Sketches only ever see bounded samples, so no reducer merges one partial
+sketch per map task.  Groups up to ``Scale.split_rows`` rows take the
+single-window plan, which is exactly the plan the reference runs.
 """
 
 from __future__ import annotations
@@ -174,26 +178,6 @@ def with_range_index(df: DataFrame, bounds: Column, key: Column, max_len: int,
     return df.withColumnRenamed(lo_c, out).drop(hi_c)
 
 
-def count_at_most(bounds: Column, key: Column, max_len: int) -> Column:
-    """Number of entries of the ascending array ``bounds`` that are <= key
-    (0 for a NULL key).  Short arrays: a filter.  Long ones: a binary search
-    run as a fixed number of ``aggregate`` steps, O(log n) per row."""
-    if max_len <= 32:
-        return F.size(F.filter(bounds, lambda b: b <= key))
-    steps = max(1, math.ceil(math.log2(max_len + 1)))
-    init = F.struct(F.lit(0).alias("lo"), F.size(bounds).alias("hi"))
-
-    def step(acc, _):
-        lo, hi = acc["lo"], acc["hi"]
-        mid = ((lo + hi + 1) / 2).cast("int")
-        fits = F.element_at(bounds, F.greatest(mid, F.lit(1))) <= key
-        return (F.when(lo >= hi, acc)
-                .when(fits, F.struct(mid.alias("lo"), hi.alias("hi")))
-                .otherwise(F.struct(lo.alias("lo"), (mid - 1).alias("hi"))))
-
-    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step, lambda acc: acc["lo"])
-
-
 def _margin(p: float, scale: Scale) -> float:
     """Rank slack around a sampled quantile: sketch error plus 8 standard
     deviations of the sample quantile's rank."""

@@ -125,20 +125,23 @@ def test_approx_quartiles_big_groups_are_exact(spark):
     assert got == want
 
 
-def test_count_at_most_binary_search(spark):
-    from tablewatch.operators.splits import count_at_most
+def test_range_index_binary_search(spark):
+    from tablewatch.operators.splits import with_range_index
     import random
     rnd = random.Random(3)
     bounds = sorted(rnd.choice([rnd.uniform(-5, 5), 1.0]) for _ in range(100))
     keys = [rnd.uniform(-6, 6) for _ in range(200)] + [1.0, bounds[0], bounds[-1], None]
     df = spark.createDataFrame([(k,) for k in keys], "k double").withColumn(
         "b", F.array(*[F.lit(b) for b in bounds]))
-    got = [r[0] for r in df.select(count_at_most(F.col("b"), F.col("k"), 100)).collect()]
     want = [0 if k is None else sum(b <= k for b in bounds) for k in keys]
+    got = [r["i"] for r in with_range_index(df, F.col("b"), F.col("k"), 100, "i").collect()]
     assert got == want
-    from tablewatch.operators.splits import with_range_index
-    got2 = [r["i"] for r in with_range_index(df, F.col("b"), F.col("k"), 100, "i").collect()]
-    assert got2 == want
+    for short in (1, 3, 7):   # short arrays: fewer steps, same answer
+        b2 = bounds[:short]
+        d2 = df.withColumn("b", F.array(*[F.lit(b) for b in b2]))
+        w2 = [0 if k is None else sum(b <= k for b in b2) for k in keys]
+        assert [r["i"] for r in with_range_index(d2, F.col("b"), F.col("k"), short, "i")
+                .collect()] == w2
 
 
 def test_constant_hot_group_splits_evenly(spark):
