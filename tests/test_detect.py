@@ -176,3 +176,22 @@ def test_ingest_then_sql_then_detect(spark, tmp):
     direct = detect_all(spark, p, ev)
     for name in ("temp_outliers_zscore", "iqr_bounds", "temp_outliers_knn"):
         assert res[name].count() == direct[name].count()
+
+
+def test_shuffle_join_fallback_matches_broadcast(spark):
+    """Beyond the measured broadcast limit the stats join is a shuffle join
+    (null-safe); results must not change."""
+    from tablewatch.params import Scale
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    no_bc = Scale(broadcast_bytes=0)
+    a = {r["event_id"]: (r["z"], r["n"]) for r in zscore(ev, E.EV).collect()}
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # no planner broadcast either
+    try:
+        df = zscore(ev, E.EV, no_bc)
+        assert "BroadcastHashJoin" not in _plan(df.select("z"))
+        b = {r["event_id"]: (r["z"], r["n"]) for r in df.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert a.keys() == b.keys()
+    assert all(a[k][1] == b[k][1] and abs(a[k][0] - b[k][0]) < 1e-12 for k in a)
