@@ -142,9 +142,10 @@ def range_splits(df: DataFrame, part: list[str], keys, sizes,
     srt = sample.groupBy(*[_c(p) for p in part]).agg(
         F.array_sort(F.collect_list("_tw_key")).alias("_tw_s"), F.first(want).alias("_tw_w"))
     n_s, w = F.size("_tw_s"), F.col("_tw_w")
-    picks = F.transform(F.sequence(F.lit(1), w - 1),
-                        lambda j: F.element_at("_tw_s", F.greatest(F.lit(1),
-                                                                   F.floor(j * n_s / w).cast("int"))))
+    def pick(j):
+        return F.element_at("_tw_s", F.greatest(F.lit(1), F.floor(j * n_s / w).cast("int")))
+
+    picks = F.transform(F.sequence(F.lit(1), w - 1), pick)
     bounds, m_obs = materialize_observed(
         srt.select(*[_c(p) for p in part], F.when(n_s > 0, picks).alias(BOUNDS)),
         total=F.sum(F.size(BOUNDS)))
