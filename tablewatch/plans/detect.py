@@ -84,11 +84,28 @@ def detect_all(spark: SparkSession, p: Params, df: DataFrame | None = None,
     }
 
 
+def write_results(spark: SparkSession, results: dict[str, DataFrame], out_dir: str, cols,
+                  n_files: int | None = None) -> dict[str, str]:
+    """Write the seven outputs.  The compact IQR output is a projection of
+    the detailed one, so it is read back from the written detailed output
+    instead of being recomputed from the input."""
+    first = {k: v for k, v in results.items() if k != "temp_outliers_iqr"}
+    paths = write_all(first, out_dir, n_files)
+    if "temp_outliers_iqr" in results:
+        if "iqr_outliers_detailed" in paths:
+            keep = [quote_ident(c) for c in [cols.sys, cols.ts, cols.x, *cols.tie_break]]
+            compact = spark.read.parquet(paths["iqr_outliers_detailed"]).select(*keep)
+        else:
+            compact = results["temp_outliers_iqr"]
+        paths.update(write_all({"temp_outliers_iqr": compact}, out_dir, n_files))
+    return paths
+
+
 def run(spark: SparkSession, p: Params, n_files: int | None = None, show: bool = True) -> dict:
     df = load_input(spark, p)
     extras: dict[str, DataFrame] = {}
     results = detect_all(spark, p, df, extras)
-    paths = write_all(results, p.out_dir, n_files)
+    paths = write_results(spark, results, p.out_dir, p.cols, n_files)
     prof = input_profile(df, p.cols).first()
     if show:
         print("rows:", prof["rows"], "systems:", prof["systems"])

@@ -9,7 +9,7 @@ from conftest import SF_SMALL
 from tablewatch.operators import kmeans_scores, knn_exact_scores, knn_time_scores, zscore
 from tablewatch.params import Params
 from tablewatch.plans.detect import detect_all
-from tablewatch.sources.sinks import RESULT_NAMES, quicklook, write_all
+from tablewatch.sources.sinks import RESULT_NAMES, quicklook
 
 F6 = {
     "temp_outliers_zscore": ["user_id", "ts", "value", "event_id", "z", "abs_z"],
@@ -30,7 +30,10 @@ def test_detect_all_writes_seven_outputs(spark, tmp, mode):
                sys_col="user_id", tie_break=("event_id",), knn_mode=mode)
     res = detect_all(spark, p)
     assert tuple(res) == RESULT_NAMES
-    paths = write_all(res, tmp)
+    from tablewatch.plans.detect import write_results
+    paths = write_results(spark, res, tmp, p.cols)
+    assert spark.read.parquet(paths["temp_outliers_iqr"]).count() == \
+        res["temp_outliers_iqr"].count()
     for name, cols in F6.items():
         back = spark.read.parquet(paths[name])
         assert back.columns == cols, name
