@@ -140,3 +140,16 @@ def test_required_columns_are_case_sensitive(spark):
                                "system_id string, timestamp timestamp, Temperature double")
     with pytest.raises(ValueError):
         prepare(df, C)
+
+
+def test_lsh_z_on_cell_edge_goes_to_upper_cell(spark):
+    """floor(z / bucket): a z exactly on an edge belongs to the cell above it
+    (deterministic; a random -1 projection could put it below)."""
+    from tablewatch.operators import knn_lsh_scores
+    # Build scored rows directly with chosen z values.
+    rows = [("a", ts(i), 0.0, i, z) for i, z in enumerate([0.2, 0.9, 1.0, 1.05, 1.9])]
+    s = spark.createDataFrame(rows, "system_id string, timestamp timestamp, temperature double, "
+                                    "rid long, z double")
+    d = by_rid(knn_lsh_scores(s, C, k=1), "knn_dist")
+    assert d[2] == pytest.approx(0.05)     # z=1.0 sits with 1.05 in cell [1, 2)
+    assert d[1] == pytest.approx(0.7)      # z=0.9 only sees 0.2 in cell [0, 1)
