@@ -16,7 +16,7 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 
 def _norm(v):
     if isinstance(v, float):
-        return "nan" if math.isnan(v) else f"{round(v, 6):.6f}"
+        return "nan" if math.isnan(v) else repr(v)   # exact comparison
     if hasattr(v, "isoformat"):
         return v.isoformat(sep=" ") if hasattr(v, "hour") else v.isoformat()
     return "NULL" if v is None else str(v)
