@@ -16,6 +16,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,10 +40,19 @@ def file_manifest(spark: SparkSession, root: str) -> DataFrame:
     schema = F.array_join(F.transform("fields", lambda f: F.concat_ws(
         ":", f["name"], f["arrow_type"])), ",")
     return (files.join(foot, "path", "left")
-            .select("folder", F.lower("folder").alias("table"), "path", "size", "n_rows",
+            .select("folder",
+                    F.regexp_replace(F.lower("folder"), "[^0-9a-z_]", "_").alias("table"),
+                    "path", "size", "n_rows",
                     F.lit("PARQUET").alias("format"), schema.alias("schema"), "error"))
 
 
+def table_name(folder: str) -> str:
+    """Lower-cased folder name (the reference's rule); characters the session
+    catalog does not accept in a table name become '_'."""
+    name = re.sub(r"[^0-9a-z_]", "_", folder.lower())
+    return name or "_"
+
+
 def ensure_namespace(spark: SparkSession, namespace: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {quote_ident(namespace)}")
 
@@ -102,7 +113,7 @@ def register_folders(spark: SparkSession, root: str, namespace: str = "nyc") ->
     summary = []
     for f in folders:
         name = f["folder"]
-        table = name.lower()
+        table = table_name(name)
         m = per_folder.get(name)
         if f["n_parquet"] == 0 or m is None:
             summary.append((name, None, 0, 0, "skipped", "no parquet files"))

@@ -169,3 +169,12 @@ def test_footer_census_runs_where_workers_lack_the_package(tmp):
     out = subprocess.run([sys.executable, "-c", code], cwd=tmp, env=env, capture_output=True,
                          text=True, timeout=300)
     assert "ROWS 8" in out.stdout, out.stderr[-2000:]
+
+
+def test_folder_names_with_spaces_become_valid_tables(spark, tmp):
+    write(f"{tmp}/My Folder/sub dir/x y.parquet", pa.table({"a": pa.array([1, 2], pa.int64())}))
+    write(f"{tmp}/My-Folder/z.parquet", pa.table({"a": pa.array([3], pa.int64())}))
+    s = {r["folder"]: r for r in register_folders(spark, tmp, "nyc_t5").collect()}
+    assert s["My Folder"]["table"] == "my_folder" and s["My Folder"]["status"] == "created"
+    # 'My-Folder' maps to the same name: both become one view over two tables
+    assert spark.table("nyc_t5.my_folder").count() == 3
