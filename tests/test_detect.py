@@ -198,3 +198,22 @@ def test_shuffle_join_fallback_matches_broadcast(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert a.keys() == b.keys()
     assert all(a[k][1] == b[k][1] and abs(a[k][0] - b[k][0]) < 1e-12 for k in a)
+
+
+@pytest.mark.parametrize("mode", ["time", "exact", "lsh"])
+def test_detect_all_on_awkward_input(spark, mode):
+    """NULL system, NaN and NULL features, a one-row system, a constant
+    system, string timestamps with junk: every output still computes."""
+    rows = []
+    for i in range(40):
+        rows.append(("busy", f"2024-01-01 00:{i:02d}:00", float(i % 9) if i != 7 else None, i))
+    rows += [("const", f"2024-01-02 00:{i:02d}:00", 5.0, 100 + i) for i in range(25)]
+    rows += [("one", "2024-01-03 00:00:00", 1.0, 200), (None, "2024-01-04 00:00:00", 2.0, 201),
+             (None, "junk", 3.0, 202), ("busy", "2024-01-05 00:00:00", float("nan"), 203)]
+    df = spark.createDataFrame(rows, "system_id string, timestamp string, temperature double, rid long")
+    p = Params(tie_break=("rid",), knn_mode=mode, max_group_rows=30, nan_as_null=True)
+    res = detect_all(spark, p, df)
+    counts = {k: v.count() for k, v in res.items()}
+    assert df.count() == 69
+    assert counts["iqr_bounds"] == 4          # busy, const, one and the NULL system
+    assert counts["temp_suspects_topk"] == 50
