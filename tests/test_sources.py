@@ -178,3 +178,18 @@ def test_folder_names_with_spaces_become_valid_tables(spark, tmp):
     assert s["My Folder"]["table"] == "my_folder" and s["My Folder"]["status"] == "created"
     # 'My-Folder' maps to the same name: both become one view over two tables
     assert spark.table("nyc_t5.my_folder").count() == 3
+
+
+def test_sanitize_then_ingest_command_lines(tmp):
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    counters_tree(f"{tmp}/in")
+    env = dict(os.environ, PYTHONPATH=root)
+    run = lambda *a: subprocess.run([sys.executable, "-m", *a], env=env, cwd=tmp,
+                                    capture_output=True, text=True, timeout=600)
+    out = run("tablewatch.sources.sanitize", "--in", f"{tmp}/in", "--out", f"{tmp}/out")
+    assert out.returncode == 0, out.stderr[-2000:]
+    assert os.path.isdir(f"{tmp}/out/counters")
+    out = run("tablewatch.sources.ingest", f"{tmp}/out", "--namespace", "nyc")
+    assert out.returncode == 0 and "created" in out.stdout, out.stderr[-2000:]
