@@ -7,6 +7,8 @@ partition inference, so folder names like ``year=2025`` stay plain folders.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +19,14 @@ PARQUET_EXTENSIONS = (".parquet", ".prq")
 PARQUET_GLOB = "*.{[pP][aA][rR][qQ][uU][eE][tT],[pP][rR][qQ]}"
 
 
+def qualify(root: str) -> str:
+    """Absolute form of a local root given relative to the working
+    directory; URIs (file:, hdfs:, s3a:, ...) are returned unchanged."""
+    if ":" in root.split("/")[0] or os.path.isabs(root):
+        return root.rstrip("/") or "/"
+    return os.path.abspath(root)
+
+
 def is_parquet_path(path: Column) -> Column:
     low = F.lower(path)
     return low.endswith(PARQUET_EXTENSIONS[0]) | low.endswith(PARQUET_EXTENSIONS[1])
@@ -25,6 +35,7 @@ def is_parquet_path(path: Column) -> Column:
 def list_files(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
     """Every file under ``root`` at any depth: path, size, modified.
     ``glob`` filters file names (e.g. ``PARQUET_GLOB``)."""
+    root = qualify(root)
     reader = (spark.read.format("binaryFile").option("recursiveFileLookup", "true"))
     if glob:
         reader = reader.option("pathGlobFilter", glob)
@@ -35,7 +46,7 @@ def list_files(spark: SparkSession, root: str, glob: str | None = None) -> DataF
 def with_relative(files: DataFrame, root: str) -> DataFrame:
     """Add ``rel`` (path below root), ``folder`` (first component, NULL for
     files directly in the root) and ``rel_dir`` (folder part of ``rel``)."""
-    base = root.rstrip("/")
+    base = qualify(root).rstrip("/")
     # Spark reports absolute, scheme-qualified paths; strip through the root.
     tail = F.regexp_extract(F.col("path"), r".*?" + _re_escape(_strip_scheme(base)) + r"/(.*)$",
                             1)

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from tablewatch.functions.exprs import quote_ident
 from tablewatch.operators.joins import materialize
 from tablewatch.sources.files import (PARQUET_GLOB, _strip_scheme, is_parquet_path, list_files,
-                                      list_subfolders, with_relative)
+                                      list_subfolders, qualify, with_relative)
 from tablewatch.sources.footers import read_footers
 
 SUMMARY_SCHEMA = ("folder string, table string, n_files bigint, n_rows bigint, status string, "
@@ -91,6 +91,7 @@ def register_folders(spark: SparkSession, root: str, namespace: str = "nyc") ->
     """Register every sub-folder of ``root`` as ``namespace.<lower-case folder
     name>``; returns the summary.  The namespaces ``namespace`` and
     ``default`` are created if absent."""
+    root = qualify(root)
     ensure_namespace(spark, namespace)
     ensure_namespace(spark, "default")
     listing = with_relative(list_files(spark, root), root).filter(F.col("folder").isNotNull())

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tablewatch.functions.exprs import epoch_micros_to_ts, quote_ident
 from tablewatch.operators.joins import materialize
+from tablewatch.sources.files import qualify
 from tablewatch.sources.footers import schema_census
 
 # The column name that carries epoch microseconds, the labels
@@ -59,6 +60,7 @@ def sanitize(spark: SparkSession, root: str, out: str, overwrite: bool = False,
     path, rel_dir, column, from_type, to_type, out_path, written, error — one
     row per cast, plus one row per file whose footer could not be read.  An
     existing output folder is an error unless ``overwrite``."""
+    root, out = qualify(root), qualify(out)
     census = materialize(schema_census(spark, root))
     plan = materialize(plan_casts(census))
     unreadable = (census.filter(F.col("error").isNotNull())

@@ -193,3 +193,11 @@ def test_sanitize_then_ingest_command_lines(tmp):
     assert os.path.isdir(f"{tmp}/out/counters")
     out = run("tablewatch.sources.ingest", f"{tmp}/out", "--namespace", "nyc")
     assert out.returncode == 0 and "created" in out.stdout, out.stderr[-2000:]
+
+
+def test_relative_root_is_resolved_from_the_working_directory(spark, tmp, monkeypatch):
+    write(f"{tmp}/data/events/a.parquet", pa.table({"a": pa.array([1, 2, 3], pa.int64())}))
+    monkeypatch.chdir(tmp)
+    s = register_folders(spark, "data", "nyc_t6").first()
+    assert s["status"] == "created" and s["n_rows"] == 3
+    assert spark.table("nyc_t6.events").count() == 3
