@@ -31,11 +31,13 @@ SUMMARY_SCHEMA = ("folder string, table string, n_files bigint, n_rows bigint, s
                   "error string")
 
 
-def file_manifest(spark: SparkSession, root: str) -> DataFrame:
+def file_manifest(spark: SparkSession, root: str, listing: DataFrame | None = None) -> DataFrame:
     """folder, table, path, size, n_rows, format, error for every Parquet file
-    under an immediate sub-folder of ``root``."""
-    files = with_relative(list_files(spark, root, PARQUET_GLOB), root).filter(
-        F.col("folder").isNotNull())
+    under an immediate sub-folder of ``root``.  ``listing``: a file listing
+    with relative paths already taken (reused instead of listing again)."""
+    if listing is None:
+        listing = with_relative(list_files(spark, root, PARQUET_GLOB), root)
+    files = listing.filter(F.col("folder").isNotNull() & is_parquet_path(F.col("path")))
     foot = read_footers(spark, files)
     schema = F.array_join(F.transform("fields", lambda f: F.concat_ws(
         ":", f["name"], f["arrow_type"])), ",")
@@ -94,7 +96,8 @@ def register_folders(spark: SparkSession, root: str, namespace: str = "nyc") ->
     root = qualify(root)
     ensure_namespace(spark, namespace)
     ensure_namespace(spark, "default")
-    listing = with_relative(list_files(spark, root), root).filter(F.col("folder").isNotNull())
+    listing = materialize(with_relative(list_files(spark, root), root)
+                          .filter(F.col("folder").isNotNull()))
     counted = {r["folder"]: r["n_parquet"] for r in listing.groupBy("folder")
                .agg(F.count_if(is_parquet_path(F.col("path"))).alias("n_parquet")).collect()}
     names = list_subfolders(spark, root)
@@ -102,7 +105,7 @@ def register_folders(spark: SparkSession, root: str, namespace: str = "nyc") ->
         names = sorted(counted)
     folders = [{"folder": n, "n_parquet": counted.get(n, 0)} for n in names
                if not n.startswith((".", "_"))]
-    manifest = materialize(file_manifest(spark, root))
+    manifest = materialize(file_manifest(spark, root, listing))
     per_folder = {r["folder"]: r for r in manifest.groupBy("folder").agg(
         F.count(F.lit(1)).alias("n_files"),
         F.sum("n_rows").alias("n_rows"),
@@ -110,7 +113,7 @@ def register_folders(spark: SparkSession, root: str, namespace: str = "nyc") ->
         F.first(F.when(F.col("error").isNotNull(), F.col("path")), ignorenulls=True).alias("bad"),
         F.count_distinct("schema").alias("n_schemas"),
     ).collect()}
-    by_table: dict[str, list[str]] = {}
+    by_table: dict[str, list[tuple]] = {}
     summary = []
     for f in folders:
         name = f["folder"]
