@@ -201,3 +201,12 @@ def test_relative_root_is_resolved_from_the_working_directory(spark, tmp, monkey
     s = register_folders(spark, "data", "nyc_t6").first()
     assert s["status"] == "created" and s["n_rows"] == 3
     assert spark.table("nyc_t6.events").count() == 3
+
+
+def test_sanitize_can_rewrite_unchanged_files_too(spark, tmp):
+    src, out = f"{tmp}/in", f"{tmp}/out"
+    counters_tree(src)
+    report = sanitize(spark, src, out, only_changed=False)
+    assert report.filter("written").count() == 3          # casts of the changed files
+    other = spark.read.parquet(f"{out}/other")              # unchanged file copied as is
+    assert dict(other.dtypes)["timestamp"] == "decimal(20,2)" and other.count() == 1
