@@ -151,8 +151,8 @@ def q_knn_exact_outliers(spark, sf_dir):
 
 
 def q_knn_exact_outliers_by_type(spark, sf_dir):
-    s = _scored(spark, sf_dir, "events", ET, SPLIT_TYPE)
-    return round_doubles(knn_exact(s, ET, 5, 0.99, scale=SPLIT_TYPE))
+    s, sizes = _scored_sizes(spark, sf_dir, "events", ET, SPLIT_TYPE)
+    return round_doubles(knn_exact(s, ET, 5, 0.99, scale=SPLIT_TYPE, sizes=sizes))
 
 
 def q_knn_lsh_outliers(spark, sf_dir):
@@ -161,13 +161,13 @@ def q_knn_lsh_outliers(spark, sf_dir):
 
 
 def q_knn_split_outliers(spark, sf_dir):
-    return round_doubles(knn_lsh(_scored(spark, sf_dir, "events", EV), EV, 5, 0.99,
-                                 max_group_rows=65))
+    s, sizes = _scored_sizes(spark, sf_dir, "events", EV)
+    return round_doubles(knn_lsh(s, EV, 5, 0.99, max_group_rows=65, sizes=sizes))
 
 
 def q_knn_lsh_outliers_by_type(spark, sf_dir):
-    s = _scored(spark, sf_dir, "events", ET, SPLIT_TYPE)
-    return round_doubles(knn_lsh(s, ET, 5, 0.99, scale=SPLIT_TYPE))
+    s, sizes = _scored_sizes(spark, sf_dir, "events", ET, SPLIT_TYPE)
+    return round_doubles(knn_lsh(s, ET, 5, 0.99, scale=SPLIT_TYPE, sizes=sizes))
 
 
 def q_knn_exact_scores(spark, sf_dir):
@@ -211,13 +211,13 @@ def q_knn_time_outliers_hot(spark, sf_dir):
 
 
 def q_knn_exact_outliers_hot(spark, sf_dir):
-    s = _scored(spark, sf_dir, "lineitem", LR, SPLIT_HOT)
-    return round_doubles(knn_exact(s, LR, 5, 0.99, scale=SPLIT_HOT))
+    s, sizes = _scored_sizes(spark, sf_dir, "lineitem", LR, SPLIT_HOT)
+    return round_doubles(knn_exact(s, LR, 5, 0.99, scale=SPLIT_HOT, sizes=sizes))
 
 
 def q_knn_lsh_outliers_hot(spark, sf_dir):
-    s = _scored(spark, sf_dir, "lineitem", LR, SPLIT_HOT)
-    return round_doubles(knn_lsh(s, LR, 5, 0.99, scale=SPLIT_HOT))
+    s, sizes = _scored_sizes(spark, sf_dir, "lineitem", LR, SPLIT_HOT)
+    return round_doubles(knn_lsh(s, LR, 5, 0.99, scale=SPLIT_HOT, sizes=sizes))
 
 
 def q_input_profile(spark, sf_dir):
