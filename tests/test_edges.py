@@ -153,3 +153,15 @@ def test_lsh_z_on_cell_edge_goes_to_upper_cell(spark):
     d = by_rid(knn_lsh_scores(s, C, k=1), "knn_dist")
     assert d[2] == pytest.approx(0.05)     # z=1.0 sits with 1.05 in cell [1, 2)
     assert d[1] == pytest.approx(0.7)      # z=0.9 only sees 0.2 in cell [0, 1)
+
+
+def test_kmeans_on_constant_feature(spark):
+    """Every system constant: z is 0 everywhere, the global spread is 0, and
+    the job still assigns clusters and distances without failing."""
+    from tablewatch.operators import kmeans_anomalies, kmeans_scores
+    rows = [(f"s{i % 3}", ts(i), 7.0, i) for i in range(60)]
+    s = zscore(frame(spark, rows), C)
+    km = kmeans_scores(s, C, k=2, fit_partitions=1).collect()
+    assert len(km) == 60 and all(r["km_dist"] == 0.0 for r in km)
+    # all distances tie: percent_rank 0 everywhere, nothing reaches 0.99
+    assert kmeans_anomalies(s, C, k=2, fit_partitions=1).count() == 0
