@@ -160,3 +160,34 @@ def test_constant_hot_group_splits_evenly(spark):
     a = neighbor_diffs(df, ["g"], ["z", "rid"], "v", 3, "d", NO_SPLIT)
     b = neighbor_diffs(df, ["g"], ["z", "rid"], "v", 3, "d", scale)
     assert {r["rid"]: r["d"] for r in a.collect()} == {r["rid"]: r["d"] for r in b.collect()}
+
+
+def test_percent_rank_property_random(spark):
+    """Hypothesis: random group sizes, value ranges (ties), NULLs, cutoffs and
+    split sizes; the split plan always equals Spark's percent_rank window."""
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    @settings(max_examples=6, deadline=None,
+              suppress_health_check=[HealthCheck.function_scoped_fixture])
+    @given(sizes=st.lists(st.integers(1, 120), min_size=1, max_size=3),
+           span=st.integers(1, 50), cutoff=st.sampled_from([0.0, 0.5, 0.9, 0.99]),
+           split=st.integers(5, 40), seed=st.integers(0, 10_000))
+    def check(sizes, span, cutoff, split, seed):
+        rnd = random.Random(seed)
+        rows, rid = [], 0
+        for g, n in enumerate(sizes):
+            for _ in range(n):
+                v = None if rnd.random() < 0.05 else float(rnd.randint(0, span))
+                rows.append((f"g{g}", rid, v))
+                rid += 1
+        df = spark.createDataFrame(rows, "g string, rid long, v double")
+        w = Window.partitionBy("g").orderBy(F.col("v").asc_nulls_first())
+        want = {r["rid"] for r in df.withColumn("pr", F.percent_rank().over(w))
+                .filter(F.col("pr") >= cutoff).collect()}
+        scale = Scale(split_rows=split, max_splits=16, sample_rows=max(3, split // 2))
+        got = {r["rid"] for r in percent_rank_at_least(df, ["g"], "v", cutoff, "pr", scale)
+               .collect()}
+        assert got == want
+
+    check()
