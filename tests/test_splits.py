@@ -191,3 +191,30 @@ def test_percent_rank_property_random(spark):
         assert got == want
 
     check()
+
+
+def test_neighbor_diffs_property_random(spark):
+    """Hypothesis: random sizes, k, tie density and split size; the split
+    neighbour window always equals the single window."""
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    @settings(max_examples=6, deadline=None,
+              suppress_health_check=[HealthCheck.function_scoped_fixture])
+    @given(sizes=st.lists(st.integers(1, 150), min_size=1, max_size=3),
+           k=st.integers(1, 4), span=st.integers(1, 30), split=st.integers(4, 40),
+           seed=st.integers(0, 10_000))
+    def check(sizes, k, span, split, seed):
+        rnd = random.Random(seed)
+        rows, rid = [], 0
+        for g, n in enumerate(sizes):
+            for _ in range(n):
+                rows.append((f"g{g}", rnd.randint(0, span), rid, rnd.random()))
+                rid += 1
+        df = spark.createDataFrame(rows, "g string, t int, rid long, v double")
+        a = neighbor_diffs(df, ["g"], ["t", "rid"], "v", k, "d", NO_SPLIT)
+        b = neighbor_diffs(df, ["g"], ["t", "rid"], "v", k, "d",
+                           Scale(split_rows=split, max_splits=32))
+        assert {r["rid"]: r["d"] for r in a.collect()} == {r["rid"]: r["d"] for r in b.collect()}
+
+    check()
