@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -378,7 +379,7 @@ def exact_quantiles(df: DataFrame, part: list[str], x: str, probs: list[float],
          .otherwise(F.element_at("_tw_qs", off_w + i + 1)) for i in range(k)])
     stats = materialize(q.select(*part, N, pick(0, 2 * k).alias("_tw_lo"),
                                  pick(k, 3 * k).alias("_tw_hi")))
-    missing = F.greatest(*[F.col(n).isNull() for n in names])
+    missing = reduce(lambda a, b: a | b, [F.col(n).isNull() for n in names])
     result, rm = materialize_observed(
         _quantiles_in_brackets(rows, part, x, probs, names, stats, scale, ng),
         missed=F.count_if(missing))

@@ -218,3 +218,30 @@ def test_neighbor_diffs_property_random(spark):
         assert {r["rid"]: r["d"] for r in a.collect()} == {r["rid"]: r["d"] for r in b.collect()}
 
     check()
+
+
+def test_exact_quantiles_property_random(spark):
+    """Hypothesis: random sizes, tie density, NULLs, probabilities and sample
+    sizes (small ones make brackets miss); always equal to percentile_disc."""
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+    from tablewatch.operators.splits import exact_quantiles
+
+    @settings(max_examples=6, deadline=None,
+              suppress_health_check=[HealthCheck.function_scoped_fixture])
+    @given(sizes=st.lists(st.integers(1, 120), min_size=1, max_size=3),
+           span=st.integers(1, 60), p=st.sampled_from([0.01, 0.25, 0.5, 0.75, 0.99]),
+           sample=st.integers(2, 200), seed=st.integers(0, 10_000))
+    def check(sizes, span, p, sample, seed):
+        rnd = random.Random(seed)
+        rows = [(f"g{g}", None if rnd.random() < 0.05 else float(rnd.randint(0, span)))
+                for g, n in enumerate(sizes) for _ in range(n)]
+        df = spark.createDataFrame(rows, "g string, v double")
+        scale = Scale(split_rows=20, max_splits=16, sample_rows=sample)
+        got = {r["g"]: r["q"] for r in exact_quantiles(df, ["g"], "v", [p], ["q"], scale).collect()}
+        want = {r["g"]: r["q"] for r in df.groupBy("g").agg(
+            F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY v)").alias("q")).collect()
+            if r["q"] is not None}
+        assert got == want
+
+    check()
