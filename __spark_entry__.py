@@ -591,6 +591,20 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
+try:
+    import corpus_pipeline
+    from tablewatch.llm import queries as llm_queries
+except ModuleNotFoundError as missing:  # the library also runs without these parts
+    if missing.name not in ("corpus_pipeline", "tablewatch.llm"):
+        raise
+else:
+    _QUERIES.update(llm_queries.QUERIES)
+    _ORACLE.update(llm_queries.ORACLE)
+    _QUERIES["pipeline"] = corpus_pipeline.run
+    if corpus_pipeline.ORACLE_SQL:
+        _ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: per-system z-score outliers of the events table."""
     return q_zscore_outliers(spark, SMOKE_DIR)
