@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewatch.session import scratch_path
@@ -96,6 +96,29 @@ def token_hashes(texts: list[bytes], lower: bool = True) -> Tokens:
     return t
 
 
+def per_doc(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    run = np.zeros(len(values) + 1, np.int64)
+    np.cumsum(values, out=run[1:])
+    return run[bounds[1:]] - run[bounds[:-1]]
+
+
+def repeated_words(t: Tokens) -> np.ndarray:
+    """Per text: words covered by three-word windows found twice or more in
+    the text."""
+    n = len(t.hash)
+    covered = np.zeros(n, bool)
+    if n >= 3:
+        ok = np.flatnonzero(t.doc[:-2] == t.doc[2:])
+        h = t.hash
+        key = mix64(h[ok] * np.uint64(0x9E3779B97F4A7C15) + mix64(h[ok + 1] + np.uint64(1)) * np.uint64(3)
+                    + mix64(h[ok + 2] ^ mix64(t.doc[ok].astype(np.uint64))))
+        values, inverse, count = np.unique(key, return_inverse=True, return_counts=True)
+        hit = ok[count[inverse] > 1]
+        for k in range(3):
+            covered[hit + k] = True
+    return per_doc(covered, t.first)
+
+
 def slices(texts: list[bytes], budget: int = 2 << 20) -> Iterator[tuple[int, int]]:
     """Runs of consecutive texts of about ``budget`` bytes; a longer text
     makes a run of its own."""
@@ -125,6 +148,19 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def fold(column, folds: int):
+def fold(column: Column, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds`` (null ids: of the empty text)."""
     return F.crc32(F.coalesce(column.cast("string"), F.lit(""))) % F.lit(folds)
+
+
+def text_key(text: Column) -> Column:
+    """64 bits that stand for a text in joins; null differs from empty."""
+    return F.xxhash64(text, text.isNull())
+
+
+def without(docs: DataFrame, rejected: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Rows of ``docs`` whose id and text are not among ``rejected`` (id and
+    ``__text_key``); null ids compare as equal."""
+    gone = rejected.select(F.col(id_col).alias("__gone_id"), F.col("__text_key").alias("__gone_key")).distinct()
+    return docs.join(gone, F.col(id_col).eqNullSafe(F.col("__gone_id"))
+                     & (text_key(F.col(text_col)) == F.col("__gone_key")), "left_anti")

@@ -6,16 +6,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablewatch.llm import mixing
+from tablewatch.llm import gam_quality, mixing, quality_rules
 from tablewatch.llm.common import read_table
 
 
+def op1_fertility_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(read_table(spark, sf_dir, "documents"))
+
+
 def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_table(spark, sf_dir, "documents"))
 
 
+def op7_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gam_quality.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_fertility_rules": op1_fertility_rules,
     "op5_source_mixing": op5_source_mixing,
+    "op7_quality_gam": op7_quality_gam,
 }
 
 ORACLE: dict[str, str] = {
