@@ -164,3 +164,30 @@ def without(docs: DataFrame, rejected: DataFrame, id_col: str, text_col: str) ->
     gone = rejected.select(F.col(id_col).alias("__gone_id"), F.col("__text_key").alias("__gone_key")).distinct()
     return docs.join(gone, F.col(id_col).eqNullSafe(F.col("__gone_id"))
                      & (text_key(F.col(text_col)) == F.col("__gone_key")), "left_anti")
+
+
+class HashCache:
+    """A worker's memory of one number per word hash, emptied beyond
+    ``limit`` words."""
+
+    def __init__(self, limit: int = 400_000):
+        self.limit = limit
+        self.keys, self.values = np.zeros(0, np.uint64), np.zeros(0)
+
+    def get(self, hashes: np.ndarray, compute) -> np.ndarray:
+        """Values of distinct, sorted ``hashes``; ``compute(indices)`` gives
+        those not known yet."""
+        if len(self.keys) > self.limit:
+            self.keys, self.values = np.zeros(0, np.uint64), np.zeros(0)
+        place = np.searchsorted(self.keys, hashes)
+        known = place < len(self.keys)
+        known[known] = self.keys[place[known]] == hashes[known]
+        out = np.zeros(len(hashes))
+        out[known] = self.values[place[known]]
+        new = np.flatnonzero(~known)
+        if len(new):
+            out[new] = compute(new)
+            keys = np.concatenate([self.keys, hashes[new]])
+            order = np.argsort(keys, kind="stable")
+            self.keys, self.values = keys[order], np.concatenate([self.values, out[new]])[order]
+        return out
