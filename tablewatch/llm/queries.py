@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablewatch.llm import gam_quality, mixing, quality_rules, toxicity
+from tablewatch.llm import gam_quality, minhash_dedup, mixing, quality_rules, toxicity
 from tablewatch.llm.common import read_table
 
 
@@ -26,11 +26,16 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fertility_rules": op1_fertility_rules,
     "op5_source_mixing": op5_source_mixing,
     "op7_quality_gam": op7_quality_gam,
     "op9_toxicity": op9_toxicity,
+    "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
 
 ORACLE: dict[str, str] = {
