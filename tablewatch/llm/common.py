@@ -191,3 +191,13 @@ class HashCache:
             order = np.argsort(keys, kind="stable")
             self.keys, self.values = keys[order], np.concatenate([self.values, out[new]])[order]
         return out
+
+
+def hash_spans(buf: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the spans that tile ``buf`` from each start to the next."""
+    size = np.diff(np.append(start, len(buf)))
+    offset = np.arange(len(buf)) - np.repeat(start, size)
+    part = _BYTE[buf] * _POS[offset & 1023]
+    if len(size) and size.max() > 1024:
+        part *= _POS_HIGH[(offset >> 10) & 4095]
+    return mix64(np.add.reduceat(part, start) + size.astype(np.uint64))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablewatch.llm import gam_quality, minhash_dedup, mixing, quality_rules, toxicity
+from tablewatch.llm import gam_quality, minhash_dedup, mixing, quality_rules, sentencepiece_sa, toxicity
 from tablewatch.llm.common import read_table
 
 
@@ -22,6 +22,10 @@ def op7_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gam_quality.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_sa.encode_documents(read_table(spark, sf_dir, "documents"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -34,6 +38,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fertility_rules": op1_fertility_rules,
     "op5_source_mixing": op5_source_mixing,
     "op7_quality_gam": op7_quality_gam,
+    "op8_sentencepiece": op8_sentencepiece,
     "op9_toxicity": op9_toxicity,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
