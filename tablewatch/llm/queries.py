@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablewatch.llm import gam_quality, minhash_dedup, mixing, quality_rules, sentencepiece_sa, toxicity
+from tablewatch.llm import bloom_lm, gam_quality, minhash_dedup, mixing, quality_rules, sentencepiece_sa, toxicity
 from tablewatch.llm.common import read_table
 
 
@@ -14,6 +14,10 @@ def op1_fertility_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(read_table(spark, sf_dir, "documents"))
 
 
+def op3_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bloom_lm.score_documents(read_table(spark, sf_dir, "documents"))
+
+
 def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_table(spark, sf_dir, "documents"))
 
@@ -36,6 +40,7 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fertility_rules": op1_fertility_rules,
+    "op3_bloom_lm": op3_bloom_lm,
     "op5_source_mixing": op5_source_mixing,
     "op7_quality_gam": op7_quality_gam,
     "op8_sentencepiece": op8_sentencepiece,
