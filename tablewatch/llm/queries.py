@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablewatch.llm import bloom_lm, gam_quality, minhash_dedup, mixing, quality_rules, sentencepiece_sa, toxicity
+from tablewatch.llm import bloom_lm, gam_quality, minhash_dedup, mixing, quality_rules, sentencepiece_sa, topk_search, toxicity
 from tablewatch.llm.common import read_table
 
 
@@ -14,6 +14,10 @@ def op1_fertility_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(read_table(spark, sf_dir, "documents"))
 
 
+def op2_histogram_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.search(read_table(spark, sf_dir, "embeddings"))
+
+
 def op3_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bloom_lm.score_documents(read_table(spark, sf_dir, "documents"))
 
@@ -40,6 +44,7 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fertility_rules": op1_fertility_rules,
+    "op2_histogram_topk": op2_histogram_topk,
     "op3_bloom_lm": op3_bloom_lm,
     "op5_source_mixing": op5_source_mixing,
     "op7_quality_gam": op7_quality_gam,
@@ -49,5 +54,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op2_histogram_topk": topk_search.ORACLE,
     "op5_source_mixing": mixing.ORACLE,
 }
