@@ -30,7 +30,7 @@ from tablewatch.operators import (input_profile, iqr_bounds, iqr_outliers, iqr_o
                                   zscore_outliers, zscore_with_stats)
 from tablewatch.params import Cols, Scale
 from tablewatch.plans.catalog import catalog_report, run_sql
-from tablewatch.session import scratch_path
+from tablewatch.session import library_on_workers, scratch_path
 from tablewatch.sources.derived import epoch_micros, write_folders, write_uint64
 from tablewatch.sources.footers import schema_census
 from tablewatch.sources.ingest import file_manifest, register_folders
@@ -607,11 +607,19 @@ else:
 
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: per-system z-score outliers of the events table."""
-    return q_zscore_outliers(spark, SMOKE_DIR)
+    return _from_here(q_zscore_outliers)(spark, SMOKE_DIR)
+
+
+def _from_here(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        library_on_workers(spark)
+        return query(spark, sf_dir)
+
+    return run
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return {name: _from_here(query) for name, query in _QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:

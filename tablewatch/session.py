@@ -51,9 +51,20 @@ def get_session(master: str | None = None, app: str = "tablewatch",
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    library_on_workers(spark)
     return spark
 
 
+def library_on_workers(spark: SparkSession) -> None:
+    """Lets Python workers import this library from where the driver has it
+    (the same path on every node; ship it with --py-files otherwise)."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    known = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in known:
+        env["PYTHONPATH"] = os.pathsep.join([root, *known])
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder, creating a private one only if
     the cluster names none (tests)."""
