@@ -16,7 +16,7 @@ Column roles used throughout:
 from __future__ import annotations
 
 from collections.abc import Callable
-
+from functools import reduce
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,17 +28,22 @@ from tablewatch.operators import (input_profile, iqr_bounds, iqr_outliers, iqr_o
                                   knn_lsh_scores, knn_time, knn_time_scores, prepare,
                                   sizes_from_stats, suspects_topk, system_sizes, zscore,
                                   zscore_outliers, zscore_with_stats)
-from tablewatch.params import Cols, Scale
+from tablewatch.params import Cols, Params, Scale
 from tablewatch.plans.catalog import catalog_report, run_sql
+from tablewatch.plans.detect import run as run_job
 from tablewatch.session import library_on_workers, scratch_path
 from tablewatch.sources.derived import epoch_micros, write_folders, write_uint64
 from tablewatch.sources.footers import schema_census
-from tablewatch.sources.ingest import file_manifest, register_folders
-from tablewatch.sources.sanitize import plan_casts, sanitize
+from tablewatch.sources.ingest import create_table, file_manifest, register_folders
+from tablewatch.sources.sanitize import plan_casts, sanitize, sanitize_summary
 from tablewatch.streaming.incremental import ingest_new_files
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
+# Two engines that add up in another order agree on ranks of values rounded to
+# this many decimals; the operators themselves rank the raw values.
+RANK_DIGITS = 9
+
 EV = Cols("user_id", "ts", "value", ("event_id",))
 ET = Cols("event_type", "ts", "value", ("event_id",))
 # (l_orderkey, l_linenumber) repeats in these tables; with the part (and the
@@ -95,7 +100,7 @@ def q_zscore_outliers_by_type(spark, sf_dir):
 
 
 def q_suspects_topk(spark, sf_dir):
-    return round_doubles(suspects_topk(_scored(spark, sf_dir, "events", EV), EV, 50))
+    return round_doubles(suspects_topk(_scored(spark, sf_dir, "events", EV), EV, 50, RANK_DIGITS))
 
 
 def q_iqr_bounds(spark, sf_dir):
@@ -116,9 +121,7 @@ def q_iqr_bounds_lineitem(spark, sf_dir):
 
 def q_kmeans_anomalies(spark, sf_dir):
     s = _scored(spark, sf_dir, "events", EV)
-    # Eight range partitions sorted by the feature: repeatable centres
-    # without funnelling the fit input through one task.
-    return round_doubles(kmeans_anomalies(s, EV, k=2, pr_cutoff=0.99, seed=42, fit_partitions=8))
+    return round_doubles(kmeans_anomalies(s, EV, k=2, pr_cutoff=0.99, rank_digits=RANK_DIGITS))
 
 
 def q_knn_time_scores(spark, sf_dir):
@@ -127,47 +130,47 @@ def q_knn_time_scores(spark, sf_dir):
 
 def q_knn_time_outliers(spark, sf_dir):
     s, sizes = _scored_sizes(spark, sf_dir, "events", EV)
-    return round_doubles(knn_time(s, EV, 5, 0.99, sizes=sizes))
+    return round_doubles(knn_time(s, EV, 5, 0.99, sizes=sizes, rank_digits=RANK_DIGITS))
 
 
 def q_knn_time_outliers_split(spark, sf_dir):
     s, sizes = _scored_sizes(spark, sf_dir, "events", EV, SPLIT_USER)
-    return round_doubles(knn_time(s, EV, 5, 0.99, scale=SPLIT_USER, sizes=sizes))
+    return round_doubles(knn_time(s, EV, 5, 0.99, scale=SPLIT_USER, sizes=sizes, rank_digits=RANK_DIGITS))
 
 
 def q_knn_time_outliers_by_type(spark, sf_dir):
     s, sizes = _scored_sizes(spark, sf_dir, "events", ET, SPLIT_TYPE)
-    return round_doubles(knn_time(s, ET, 5, 0.99, scale=SPLIT_TYPE, sizes=sizes))
+    return round_doubles(knn_time(s, ET, 5, 0.99, scale=SPLIT_TYPE, sizes=sizes, rank_digits=RANK_DIGITS))
 
 
 def q_knn_time_outliers_lineitem(spark, sf_dir):
     s, sizes = _scored_sizes(spark, sf_dir, "lineitem", LI)
-    return round_doubles(knn_time(s, LI, 5, 0.99, sizes=sizes))
+    return round_doubles(knn_time(s, LI, 5, 0.99, sizes=sizes, rank_digits=RANK_DIGITS))
 
 
 def q_knn_exact_outliers(spark, sf_dir):
     s, sizes = _scored_sizes(spark, sf_dir, "events", EV)
-    return round_doubles(knn_exact(s, EV, 5, 0.99, sizes=sizes))
+    return round_doubles(knn_exact(s, EV, 5, 0.99, sizes=sizes, rank_digits=RANK_DIGITS))
 
 
 def q_knn_exact_outliers_by_type(spark, sf_dir):
     s, sizes = _scored_sizes(spark, sf_dir, "events", ET, SPLIT_TYPE)
-    return round_doubles(knn_exact(s, ET, 5, 0.99, scale=SPLIT_TYPE, sizes=sizes))
+    return round_doubles(knn_exact(s, ET, 5, 0.99, scale=SPLIT_TYPE, sizes=sizes, rank_digits=RANK_DIGITS))
 
 
 def q_knn_lsh_outliers(spark, sf_dir):
     s, sizes = _scored_sizes(spark, sf_dir, "events", EV)
-    return round_doubles(knn_lsh(s, EV, 5, 0.99, sizes=sizes))
+    return round_doubles(knn_lsh(s, EV, 5, 0.99, sizes=sizes, rank_digits=RANK_DIGITS))
 
 
 def q_knn_split_outliers(spark, sf_dir):
     s, sizes = _scored_sizes(spark, sf_dir, "events", EV)
-    return round_doubles(knn_lsh(s, EV, 5, 0.99, max_group_rows=65, sizes=sizes))
+    return round_doubles(knn_lsh(s, EV, 5, 0.99, max_group_rows=65, sizes=sizes, rank_digits=RANK_DIGITS))
 
 
 def q_knn_lsh_outliers_by_type(spark, sf_dir):
     s, sizes = _scored_sizes(spark, sf_dir, "events", ET, SPLIT_TYPE)
-    return round_doubles(knn_lsh(s, ET, 5, 0.99, scale=SPLIT_TYPE, sizes=sizes))
+    return round_doubles(knn_lsh(s, ET, 5, 0.99, scale=SPLIT_TYPE, sizes=sizes, rank_digits=RANK_DIGITS))
 
 
 def q_knn_exact_scores(spark, sf_dir):
@@ -185,7 +188,7 @@ def q_iqr_outliers_detailed_lineitem(spark, sf_dir):
 
 
 def q_suspects_topk_lineitem(spark, sf_dir):
-    return round_doubles(suspects_topk(_scored(spark, sf_dir, "lineitem", LI), LI, 50))
+    return round_doubles(suspects_topk(_scored(spark, sf_dir, "lineitem", LI), LI, 50, RANK_DIGITS))
 
 
 def q_zscore_outliers_hot(spark, sf_dir):
@@ -194,30 +197,29 @@ def q_zscore_outliers_hot(spark, sf_dir):
 
 
 def q_iqr_bounds_hot(spark, sf_dir):
-    # Exact quartiles: a third of the table per system, beyond what the
-    # default sketch accuracy resolves exactly.
     return round_doubles(iqr_bounds(prepare(_table(spark, sf_dir, "lineitem"), LR), LR,
-                                    scale=SPLIT_HOT, exact=True))
+                                    scale=SPLIT_HOT))
 
 
 def q_iqr_bounds_exact(spark, sf_dir):
+    # Every system beyond split_rows: the bracketed quantile plan throughout.
     return round_doubles(iqr_bounds(prepare(_table(spark, sf_dir, "events"), EV), EV,
-                                    exact=True))
+                                    scale=SPLIT_USER))
 
 
 def q_knn_time_outliers_hot(spark, sf_dir):
     s, sizes = _scored_sizes(spark, sf_dir, "lineitem", LR, SPLIT_HOT)
-    return round_doubles(knn_time(s, LR, 5, 0.99, scale=SPLIT_HOT, sizes=sizes))
+    return round_doubles(knn_time(s, LR, 5, 0.99, scale=SPLIT_HOT, sizes=sizes, rank_digits=RANK_DIGITS))
 
 
 def q_knn_exact_outliers_hot(spark, sf_dir):
     s, sizes = _scored_sizes(spark, sf_dir, "lineitem", LR, SPLIT_HOT)
-    return round_doubles(knn_exact(s, LR, 5, 0.99, scale=SPLIT_HOT, sizes=sizes))
+    return round_doubles(knn_exact(s, LR, 5, 0.99, scale=SPLIT_HOT, sizes=sizes, rank_digits=RANK_DIGITS))
 
 
 def q_knn_lsh_outliers_hot(spark, sf_dir):
     s, sizes = _scored_sizes(spark, sf_dir, "lineitem", LR, SPLIT_HOT)
-    return round_doubles(knn_lsh(s, LR, 5, 0.99, scale=SPLIT_HOT, sizes=sizes))
+    return round_doubles(knn_lsh(s, LR, 5, 0.99, scale=SPLIT_HOT, sizes=sizes, rank_digits=RANK_DIGITS))
 
 
 def q_input_profile(spark, sf_dir):
@@ -276,61 +278,122 @@ def q_catalog_report(spark, sf_dir):
 
 
 def _sanitize_input(spark, sf_dir, unsigned: bool) -> str:
+    """events with its ids unsigned (or its time a decimal), all columns."""
     ev = _table(spark, sf_dir, "events")
     root = scratch_path(spark, "sanitize-in")
+    rest = [F.col(quote_ident(c)) for c in ev.columns if c not in ("event_id", "user_id", "ts")]
+    micros = epoch_micros("ts") if unsigned else epoch_micros("ts").cast("decimal(20,0)")
+    src = ev.select("event_id", "user_id", micros.alias("timestamp"), *rest)
     if unsigned:
-        src = ev.select("event_id", "user_id", epoch_micros("ts").alias("timestamp"), "value")
-        write_uint64(src.repartition(3), f"{root}/counters/2024",
-                     ["event_id", "user_id", "timestamp"]).collect()
+        write_uint64(src, f"{root}/counters/2024", ["event_id", "user_id", "timestamp"]).collect()
     else:
-        src = ev.select("event_id", "user_id",
-                        epoch_micros("ts").cast("decimal(20,0)").alias("timestamp"), "value")
-        src.repartition(3).write.parquet(f"{root}/counters")
+        src.write.parquet(f"{root}/counters")
     return root
 
 
-def q_sanitize_timestamp(spark, sf_dir):
-    root = _sanitize_input(spark, sf_dir, unsigned=False)
+def _sanitized(spark, sf_dir, unsigned: bool) -> str:
     out = scratch_path(spark, "sanitize-out")
-    sanitize(spark, root, out).count()
-    got = spark.read.parquet(f"{out}/counters")
-    return round_doubles(got.select("event_id", "user_id",
-                                    F.col("timestamp").cast("timestamp_ntz").alias("ts"), "value"))
+    sanitize(spark, _sanitize_input(spark, sf_dir, unsigned), out).count()
+    return out
+
+
+def _as_events(got: DataFrame) -> DataFrame:
+    return round_doubles(got.withColumn("ts", F.col("timestamp").cast("timestamp_ntz")).drop("timestamp"))
+
+
+def q_sanitize_timestamp(spark, sf_dir):
+    return _as_events(spark.read.parquet(f"{_sanitized(spark, sf_dir, False)}/counters"))
 
 
 def q_sanitize_decimal(spark, sf_dir):
-    root = _sanitize_input(spark, sf_dir, unsigned=True)
-    out = scratch_path(spark, "sanitize-out")
-    sanitize(spark, root, out).count()
-    got = spark.read.parquet(f"{out}/counters/2024")
-    return round_doubles(got.select("event_id", "user_id",
-                                    F.col("timestamp").cast("timestamp_ntz").alias("ts"), "value"))
+    return _as_events(spark.read.parquet(f"{_sanitized(spark, sf_dir, True)}/counters/2024"))
+
+
+def q_sanitize_footer(spark, sf_dir):
+    """What the sanitised files store, from their footers, and their rows."""
+    census = schema_census(spark, _sanitized(spark, sf_dir, True))
+    return (census.filter(F.col("column").isin("event_id", "user_id", "timestamp"))
+            .groupBy("rel_dir", "column", "arrow_type")
+            .agg(F.sum("n_rows").cast("bigint").alias("n_rows")))
+
+
+def q_sanitize_totals(spark, sf_dir):
+    census = schema_census(spark, _sanitize_input(spark, sf_dir, unsigned=True))
+    got = sanitize_summary(census, plan_casts(census))
+    # Files follow the input's partitions; casts per changed file do not.
+    return got.select((F.col("files_changed") == F.col("files_scanned")).alias("all_changed"),
+                      (F.col("casts") / F.col("files_changed")).cast("int").alias("casts_per_file"))
+
+
+def _typed_alike(spark, sf_dir, ts, unit="s"):
+    ev = _table(spark, sf_dir, "events")
+    src = ev.withColumns({"ts": ts, "value": F.col("value").cast("string")})
+    return round_doubles(prepare(src, EV, ts_unit=unit)
+                         .withColumn("ts", F.col("ts").cast("timestamp_ntz")))
+
+
+def q_prepare_strings(spark, sf_dir):
+    return _typed_alike(spark, sf_dir, F.col("ts").cast("string"))
+
+
+def q_prepare_epochs(spark, sf_dir):
+    return _typed_alike(spark, sf_dir, epoch_micros("ts"), "us")
+
+
+def q_create_table(spark, sf_dir):
+    """Drop and recreate: only the last contents stay."""
+    ns = _namespace()
+    ev = _table(spark, sf_dir, "events")
+    schema = ", ".join(f"{quote_ident(f.name)} {f.dataType.simpleString()}" for f in ev.schema)
+    for part in (ev.limit(0).unionAll(ev), ev.filter("value > 50")):
+        ident = create_table(spark, "copy", schema, namespace=ns)
+        part.write.insertInto(ident)
+    return round_doubles(spark.table(ident))
+
+
+def q_detect_all_outputs(spark, sf_dir):
+    """The whole job: its seven result folders, written and read again."""
+    out = scratch_path(spark, "job")
+    p = Params(input_path=f"{sf_dir}/events.parquet", feature="value", ts_col="ts", sys_col="user_id",
+               tie_break=("event_id",), out_dir=out, rank_digits=RANK_DIGITS)
+    paths = run_job(spark, p, show=False)["paths"]
+    frames = []
+    for name, measure in JOB_MEASURES.items():
+        got = spark.read.parquet(paths[name])
+        row = F.col("event_id") if "event_id" in got.columns else F.lit(-1).cast("bigint")
+        frames.append(got.select(F.lit(name).alias("output"), "user_id", row.alias("event_id"),
+                                 F.col(measure).cast("double").alias("measure")))
+    return round_doubles(reduce(DataFrame.unionByName, frames))
 
 
 def q_cast_plan(spark, sf_dir):
     root = _sanitize_input(spark, sf_dir, unsigned=True)
     return plan_casts(schema_census(spark, root)).select("rel_dir", "column", "from_type",
-                                                         "to_type")
+                                                         "to_type").distinct()
 
 
 def q_schema_census(spark, sf_dir):
-    return schema_census(spark, _ingest_tree(spark, sf_dir)).select(
-        "folder", "rel_dir", "n_rows", "column", "arrow_type", "error")
+    """Columns and rows per folder; how many files hold them does not matter."""
+    return (schema_census(spark, _ingest_tree(spark, sf_dir))
+            .groupBy("folder", "rel_dir", "column")
+            .agg(F.sum("n_rows").cast("bigint").alias("n_rows"),
+                 F.count_if(F.col("error").isNotNull()).alias("n_bad"),
+                 F.count_distinct("arrow_type").alias("n_types")))
 
 
 def q_stream_ingest(spark, sf_dir):
     """Two arrivals of events files and one idle rerun, ingested exactly once."""
     ev = _table(spark, sf_dir, "events")
     src, sink, ckpt = (scratch_path(spark, n) for n in ("stream-src", "stream-sink", "stream-ckpt"))
-    first = ev.filter(F.col("event_type").isin("click", "view"))
-    rest = ev.filter(~F.col("event_type").isin("click", "view"))
-    first.write.parquet(f"{src}/batch=1")
-    ingest_new_files(spark, src, sink, ckpt, schema=ev.schema)
-    rest.write.parquet(f"{src}/batch=2")
-    ingest_new_files(spark, src, sink, ckpt, schema=ev.schema)
-    ingest_new_files(spark, src, sink, ckpt, schema=ev.schema)
+    early = F.coalesce(F.col("event_type").isin("click", "view"), F.lit(False))
+    counts = []
+    for batch, part in ((1, ev.filter(early)), (2, ev.filter(~early)), (3, None)):
+        if part is not None:
+            part.write.parquet(f"{src}/batch={batch}")
+        counts.append(ingest_new_files(spark, src, sink, ckpt, schema=ev.schema))
     return (spark.read.parquet(sink).groupBy("event_type")
-            .agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 6).alias("total")))
+            .agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 6).alias("total"))
+            .withColumn("ingested", F.lit(sum(counts)).cast("bigint")))
 
 
 # --------------------------------------------------------------------------
@@ -422,7 +485,7 @@ def _knn_exact_scores_sql(table: str, c: Cols) -> str:
             FROM ({_scored_sql(table, c)}))"""
 
 
-def _knn_lsh_scores_sql(table: str, c: Cols, max_group_rows: int = 250_000) -> str:
+def _knn_lsh_scores_sql(table: str, c: Cols, max_group_rows: int = 2**62) -> str:
     small = f"""
       SELECT {_cols_sql(c)}, z,
              coalesce({_mean_k_sql('list_filter(ds, lambda d: d < 1.5)')}, 0.0) AS knn_dist
@@ -446,6 +509,33 @@ def _knn_cut_sql(scores: str, c: Cols, cutoff: float = 0.99) -> str:
       WHERE knn_pr >= {cutoff}"""
 
 
+def _kmeans_cut_sql(steps: int = 50) -> str:
+    """Lloyd's iteration for two centres from the quarter and three-quarter
+    quantiles of the standardised z."""
+    return f"""
+      WITH RECURSIVE s AS MATERIALIZED ({_scored_sql('events', EV)}),
+      f AS MATERIALIZED (SELECT *, (z - (SELECT avg(z) FROM s)) / (SELECT stddev_samp(z) FROM s) AS f
+                         FROM s WHERE z IS NOT NULL),
+      it(step, c0, c1) AS (
+        SELECT 0, round(quantile_disc(f, 0.25), 9), round(quantile_disc(f, 0.75), 9) FROM f
+        UNION ALL
+        SELECT step + 1, m0, m1 FROM (
+          SELECT it.step, round(avg(f) FILTER ((f - c0) * (f - c0) <= (f - c1) * (f - c1)), 9) AS m0,
+                 round(avg(f) FILTER ((f - c0) * (f - c0) > (f - c1) * (f - c1)), 9) AS m1
+          FROM it, f WHERE it.step < {steps} GROUP BY it.step, c0, c1)),
+      c AS (SELECT c0, c1 FROM it ORDER BY step DESC LIMIT 1)
+      SELECT * FROM (
+        SELECT *, percent_rank() OVER (PARTITION BY user_id ORDER BY round(km_dist, 9) NULLS FIRST) AS km_pr
+        FROM (SELECT f.*, CASE WHEN abs(f - c0) <= abs(f - c1) THEN 0 ELSE 1 END AS cluster,
+                     least(abs(f - c0), abs(f - c1)) AS km_dist FROM f, c))
+      WHERE km_pr >= 0.99"""
+
+
+# What each result folder of the job is compared by.
+JOB_MEASURES = {"temp_outliers_zscore": "abs_z", "temp_suspects_topk": "abs_z", "temp_outliers_iqr": "value",
+                "temp_outliers_kmeans": "km_dist", "temp_outliers_knn": "knn_dist", "iqr_bounds": "n_outliers",
+                "iqr_outliers_detailed": "dist_from_bound"}
+
 _ORACLE: dict[str, str] = {
     "zscore_scores": f"""
         SELECT user_id, ts, {_r('value', 'value')}, event_id, n, {_r('mean_feat', 'mean_feat')},
@@ -535,15 +625,57 @@ _ORACLE: dict[str, str] = {
         FROM events WHERE value > 50
         UNION ALL
         SELECT 'orphan_view', 'view', CAST(NULL AS INTEGER), CAST(NULL AS BIGINT)""",
-    "sanitize_timestamp": """
-        SELECT event_id, user_id, ts, round(value, 6) AS value FROM events""",
+    "sanitize_timestamp": "SELECT * EXCLUDE (value), round(value, 6) AS value FROM events",
     "sanitize_decimal": """
-        SELECT CAST(event_id AS DECIMAL(20,0)) AS event_id,
-               CAST(user_id AS DECIMAL(20,0)) AS user_id, ts, round(value, 6) AS value
+        SELECT CAST(event_id AS DECIMAL(20,0)) AS event_id, CAST(user_id AS DECIMAL(20,0)) AS user_id,
+               round(value, 6) AS value, * EXCLUDE (event_id, user_id, value)
         FROM events""",
     "stream_ingest": """
-        SELECT event_type, count(*) AS n, round(sum(value), 6) AS total
+        SELECT event_type, count(*) AS n, round(sum(value), 6) AS total,
+               (SELECT count(*) FROM events) AS ingested
         FROM events GROUP BY event_type""",
+    "sanitize_footer": """
+        SELECT 'counters/2024' AS rel_dir, c AS "column", t AS arrow_type,
+               (SELECT count(*) FROM events) AS n_rows
+        FROM (VALUES ('event_id', 'decimal128(20, 0)'), ('user_id', 'decimal128(20, 0)'),
+                     ('timestamp', 'timestamp[us, tz=UTC]')) v(c, t)""",
+    "sanitize_totals": "SELECT count(*) > 0 AS all_changed, 3 AS casts_per_file FROM events",
+    "prepare_strings": "SELECT event_id, user_id, ts, event_type, round(value, 6) AS value, "
+                       "* EXCLUDE (event_id, user_id, ts, event_type, value) FROM events",
+    "prepare_epochs": "SELECT event_id, user_id, ts, event_type, round(value, 6) AS value, "
+                      "* EXCLUDE (event_id, user_id, ts, event_type, value) FROM events",
+    "create_table": "SELECT * EXCLUDE (value), round(value, 6) AS value FROM events WHERE value > 50",
+    "cast_plan": """
+        SELECT 'counters/2024' AS rel_dir, c AS "column", 'uint64' AS from_type, t AS to_type
+        FROM (VALUES ('event_id', 'decimal128(20,0)'), ('user_id', 'decimal128(20,0)'),
+                     ('timestamp', 'timestamp(us, tz=''UTC'')')) v(c, t)
+        WHERE (SELECT count(*) FROM events) > 0""",
+    "schema_census": """
+        SELECT f AS folder, d AS rel_dir, column_name AS "column", n AS n_rows,
+               CAST(0 AS BIGINT) AS n_bad, CAST(1 AS BIGINT) AS n_types
+        FROM information_schema.columns
+        JOIN (SELECT 'events' AS t, 'Events' AS f, 'Events' AS d, count(*) AS n FROM events
+              UNION ALL SELECT 'lineitem', 'lineitem', 'lineitem/2024/q1', count(*) FROM lineitem
+              UNION ALL SELECT 'orders', 'orders', 'orders', count(*) FROM orders)
+          ON table_name = t""",
+    "kmeans_anomalies": f"""
+        SELECT {_base_sel(EV)}, {_r('z', 'z')}, cluster, {_r('km_dist', 'km_dist')}, {_r('km_pr', 'km_pr')}
+        FROM ({_kmeans_cut_sql()})""",
+    "detect_all_outputs": f"""
+        SELECT 'temp_outliers_zscore' AS output, user_id, event_id, abs_z AS measure
+        FROM ({_zscore_outliers_sql('events', EV)})
+        UNION ALL SELECT 'temp_suspects_topk', user_id, event_id, {_r('abs(z)', 'measure')} FROM (
+            SELECT * FROM ({_scored_sql('events', EV)})
+            ORDER BY round(abs(z), 9) DESC NULLS LAST, user_id NULLS FIRST, ts NULLS FIRST, event_id NULLS FIRST
+            LIMIT 50)
+        UNION ALL SELECT 'temp_outliers_iqr', user_id, event_id, value FROM ({_iqr_sql('events', EV, 'plain')})
+        UNION ALL SELECT 'temp_outliers_kmeans', user_id, event_id, {_r('km_dist', 'measure')} FROM ({_kmeans_cut_sql()})
+        UNION ALL SELECT 'temp_outliers_knn', user_id, event_id, knn_dist
+        FROM ({_knn_cut_sql(_knn_time_scores_sql('events', EV), EV)})
+        UNION ALL SELECT 'iqr_bounds', user_id, CAST(-1 AS BIGINT), CAST(n_outliers AS DOUBLE)
+        FROM ({_iqr_sql('events', EV, 'bounds')})
+        UNION ALL SELECT 'iqr_outliers_detailed', user_id, event_id, dist_from_bound
+        FROM ({_iqr_sql('events', EV, 'detailed')})""",
 }
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -588,6 +720,12 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cast_plan": q_cast_plan,
     "schema_census": q_schema_census,
     "stream_ingest": q_stream_ingest,
+    "sanitize_footer": q_sanitize_footer,
+    "sanitize_totals": q_sanitize_totals,
+    "prepare_strings": q_prepare_strings,
+    "prepare_epochs": q_prepare_epochs,
+    "create_table": q_create_table,
+    "detect_all_outputs": q_detect_all_outputs,
 }
 
 

@@ -1,7 +1,6 @@
 """Column expressions shared by the operators (all JVM-side built-ins)."""
 
 from tablewatch.functions.exprs import (  # noqa: F401
-    abs_diffs,
     epoch_micros_to_ts,
     mean_k_smallest,
     quote_ident,

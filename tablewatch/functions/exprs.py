@@ -1,8 +1,7 @@
 """Built-in column expressions.
 
-Nothing here leaves the JVM: the array helpers use Spark's higher-order
-functions (``filter``, ``aggregate``), so whole-stage code generation and
-vectorised reads stay in place and no Python worker is started.
+Nothing here leaves the JVM, so whole-stage code generation and vectorised
+reads stay in place and no Python worker is started.
 """
 
 from __future__ import annotations
@@ -11,34 +10,27 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
-# Rank keys are rounded to this many decimals before ordering, so that two
-# engines (or two summation orders) that differ in the last bits rank ties
-# the same way.
-RANK_DIGITS = 9
-
-
 def zscore_expr(x: Column, mean: Column, std: Column) -> Column:
     """0.0 when the spread is NULL (one row) or zero (constant system)."""
     return F.when(std.isNull() | (std == 0), F.lit(0.0)).otherwise((x - mean) / std)
 
 
-def abs_diffs(value: Column, others: list[Column]) -> Column:
-    """array(|value - o| for o in others); NULL where a neighbour is missing."""
-    return F.array(*[F.abs(value - o) for o in others])
-
-
 def mean_k_smallest(dists: Column, k: int) -> Column:
     """Mean of the ``k`` smallest non-NULL entries (fewer if fewer exist,
-    NULL if none).  NaN sorts after every number, as in ``array_sort``."""
-    present = F.filter(dists, lambda d: d.isNotNull())
-    n = F.size(present)
-    total = F.aggregate(F.slice(F.array_sort(present), 1, k), F.lit(0.0).cast(DoubleType()),
-                        lambda acc, d: acc + d)
-    return F.when(n > 0, total / F.least(F.lit(k), n))
-
-
-def rank_key(c: Column, digits: int = RANK_DIGITS) -> Column:
-    return F.round(c, digits)
+    NULL if none).  The array is sorted once (NULLs last, NaN after every
+    number) and its first entries are added up as plain columns, so the sum
+    stays in generated code."""
+    ordered = F.array_sort(dists)
+    nearest = [F.get(ordered, F.lit(i)) for i in range(k)]
+    found = sum((d.isNotNull().cast("int") for d in nearest), F.lit(0))
+    total = sum((F.coalesce(d, F.lit(0.0)) for d in nearest), F.lit(0.0))
+    return total / F.nullif(found, F.lit(0))
+
+
+def rank_key(c: Column, digits: int | None = None) -> Column:
+    """What a rank is taken on: the value itself or, to compare with an engine
+    that sums in another order, rounded to ``digits`` decimals."""
+    return c if digits is None else F.round(c, digits)
 
 
 def epoch_micros_to_ts(c: Column) -> Column:

@@ -1,123 +1,133 @@
-"""K2: per-system quartile bounds and the rows outside them."""
+"""K2: per-system quartile bounds and the rows outside them.
+
+Quartiles have one definition at every size: ``percentile_disc``, the smallest
+value with at least the asked share of the non-NULL values at or below it.
+Systems up to ``Scale.split_rows`` rows are aggregated plainly; larger ones
+are spread over many tasks by ``exact_quantiles``.  The plans differ, the
+answers do not.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablewatch.functions.exprs import quote_ident
-from tablewatch.operators.joins import attach_small, materialize_observed
+from tablewatch.operators.joins import (attach_small, estimate_row_bytes, materialize_observed,
+                                        should_broadcast)
 from tablewatch.operators.splits import _big_groups, exact_quantiles, group_sizes
 from tablewatch.params import Cols, Scale
 
+PROBS = {"q1": 0.25, "q3": 0.75}
+# Parts a system's rows are dealt to where the quartile table is too large to
+# broadcast and rows have to be shuffled to it.
+SALTS = 64
 
-def quartiles(df: DataFrame, cols: Cols, accuracy: int = 10_000, exact: bool = False,
-              scale: Scale = Scale(), sizes=None) -> DataFrame:
-    """q1/q3 per system.
 
-    Default: ``percentile_approx`` with the reference's accuracy for systems
-    up to ``Scale.split_rows`` rows.  Above that a sketch per map task would
-    all be merged by the one reducer of the system, so big systems get the
-    exact quartiles instead (within any approximation bound, and split over
-    many tasks).  ``exact``: ``percentile_disc`` semantics for every system.
-    ``sizes``: rows per system if already known (e.g. from the z-score)."""
-    part = [cols.sys]
-    if exact:
-        return exact_quantiles(df, part, cols.x, [0.25, 0.75], ["q1", "q3"], scale)
-    x = F.col(quote_ident(cols.x))
+def quartiles(df: DataFrame, cols: Cols, scale: Scale = Scale(), sizes=None) -> DataFrame:
+    """q1 and q3 per system (NULL where a system has no value).  ``sizes``:
+    rows per system if already known (e.g. from the z-score)."""
+    part, x = [cols.sys], quote_ident(cols.x)
 
-    def approx(d: DataFrame) -> DataFrame:
-        return d.groupBy(F.col(quote_ident(cols.sys))).agg(
-            F.percentile_approx(x, 0.25, accuracy).alias("q1"),
-            F.percentile_approx(x, 0.75, accuracy).alias("q3"))
+    def plain(d: DataFrame) -> DataFrame:
+        return d.groupBy(F.col(quote_ident(cols.sys))).agg(*[
+            F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY {x})").alias(name)
+            for name, p in PROBS.items()])
 
     if sizes is None:
         sizes = group_sizes(df, part, scale)
     big, g, _ = _big_groups(sizes, scale)
     if g == 0:
-        return approx(df)
+        return plain(df)
     keys = big.select(*part)
-    small_q = approx(attach_small(df, keys, part, "left_anti", scale=scale, n_rows=g))
+    small_q = plain(attach_small(df, keys, part, "left_anti", scale=scale, n_rows=g))
     big_q = exact_quantiles(attach_small(df, keys, part, "left_semi", scale=scale, n_rows=g),
-                            part, cols.x, [0.25, 0.75], ["q1", "q3"], scale)
-    # A big system whose values are all NULL has no exact row: NULL bounds,
-    # as percentile_approx would give.
+                            part, cols.x, list(PROBS.values()), list(PROBS), scale)
+    # A big system whose values are all NULL has no quantile row.
     return small_q.unionByName(attach_small(keys, big_q, part, "left", scale=scale, n_rows=g))
 
 
-def quartile_table(df: DataFrame, cols: Cols, accuracy: int = 10_000, exact: bool = False,
-                   scale: Scale = Scale(), sizes=None) -> tuple[DataFrame, int]:
+def quartile_table(df: DataFrame, cols: Cols, scale: Scale = Scale(),
+                   sizes=None) -> tuple[DataFrame, int]:
     """Checkpointed quartiles and their row count (observed, no extra job)."""
-    q, m = materialize_observed(quartiles(df, cols, accuracy, exact, scale, sizes),
-                                rows=F.count(F.lit(1)))
+    q, m = materialize_observed(quartiles(df, cols, scale, sizes), rows=F.count(F.lit(1)))
     return q, int(m["rows"])
 
 
-def with_bounds(df: DataFrame, cols: Cols, mult: float = 1.5, accuracy: int = 10_000,
-                scale: Scale = Scale(), null_safe: bool = False,
-                q: tuple[DataFrame, int] | None = None, exact: bool = False) -> DataFrame:
-    """Rows + q1, q3, iqr, low, high.  Like the reference's equi-join, a NULL
-    system matches nothing (NULL bounds) unless ``null_safe``.  ``q`` may be
-    a ``quartile_table`` computed once and shared by several outputs."""
-    if q is None:
-        q = quartile_table(df, cols, accuracy, exact, scale)
-    q_df, q_rows = q
-    out = attach_small(df, q_df, [cols.sys], "left", scale=scale, null_safe=null_safe,
-                       n_rows=q_rows)
-    iqr = F.col("q3") - F.col("q1")
-    return out.withColumns({"iqr": iqr}).withColumns({
-        "low": F.col("q1") - F.lit(mult) * F.col("iqr"),
-        "high": F.col("q3") + F.lit(mult) * F.col("iqr"),
-    })
-
-
-def _outside(cols: Cols):
-    x = F.col(quote_ident(cols.x))
-    return (x < F.col("low")) | (x > F.col("high"))
+def _bounds(mult: float) -> dict[str, Column]:
+    spread = F.col("q3") - F.col("q1")
+    return {"iqr": spread, "low": F.col("q1") - mult * spread, "high": F.col("q3") + mult * spread}
 
 
-def iqr_bounds(df: DataFrame, cols: Cols, mult: float = 1.5, accuracy: int = 10_000,
-               scale: Scale = Scale(), q: tuple[DataFrame, int] | None = None,
-               exact: bool = False) -> DataFrame:
-    """One row per system: q1, q3, iqr, low, high, n (all rows), n_outliers."""
-    b = with_bounds(df, cols, mult, accuracy, scale, q=q, exact=exact)
-    return b.groupBy(F.col(quote_ident(cols.sys))).agg(
-        F.first("q1").alias("q1"), F.first("q3").alias("q3"), F.first("iqr").alias("iqr"),
-        F.first("low").alias("low"), F.first("high").alias("high"),
-        F.count(F.lit(1)).alias("n"),
-        F.sum(F.when(_outside(cols), 1).otherwise(0)).cast("bigint").alias("n_outliers"),
-    )
-
-
-def iqr_outliers_detailed(df: DataFrame, cols: Cols, mult: float = 1.5,
-                          accuracy: int = 10_000, scale: Scale = Scale(),
-                          q: tuple[DataFrame, int] | None = None, exact: bool = False) -> DataFrame:
-    """Every row outside [low, high] with the side ("where") and the distance
-    from the violated bound."""
+def _outside(cols: Cols) -> Column:
     x = F.col(quote_ident(cols.x))
-    b = with_bounds(df, cols, mult, accuracy, scale, q=q, exact=exact)
-    below = x < F.col("low")
-    return (b.filter(_outside(cols))
-            .withColumn("where", F.when(below, F.lit("below_low")).otherwise(F.lit("above_high")))
-            .withColumn("dist_from_bound",
-                        F.when(below, F.col("low") - x).otherwise(x - F.col("high")))
-            .select(*[F.col(quote_ident(c)) for c in [cols.sys, cols.ts, cols.x, *cols.tie_break]],
-                    "q1", "q3", "iqr", "low", "high", "where", "dist_from_bound"))
-
-
-def iqr_outliers(df: DataFrame, cols: Cols, mult: float = 1.5, accuracy: int = 10_000,
-                 scale: Scale = Scale(), q: tuple[DataFrame, int] | None = None,
-                 exact: bool = False) -> DataFrame:
-    return iqr_outliers_detailed(df, cols, mult, accuracy, scale, q=q, exact=exact).select(
-        *[F.col(quote_ident(c)) for c in [cols.sys, cols.ts, cols.x, *cols.tie_break]])
+    return (x < F.col("low")) | (x > F.col("high"))
 
 
-def iqr_all(df: DataFrame, cols: Cols, mult: float = 1.5, accuracy: int = 10_000,
-            scale: Scale = Scale(), exact: bool = False, sizes=None) -> dict[str, DataFrame]:
+def with_bounds(df: DataFrame, cols: Cols, mult: float = 1.5, scale: Scale = Scale(),
+                null_safe: bool = False, q: tuple[DataFrame, int] | None = None) -> DataFrame:
+    """Rows + q1, q3, iqr, low, high.  As in an equi-join, a NULL system
+    matches nothing (NULL bounds) unless ``null_safe``.  ``q`` may be a
+    ``quartile_table`` computed once and shared by several outputs."""
+    table, n = q or quartile_table(df, cols, scale)
+    return attach_small(df, table.withColumns(_bounds(mult)), [cols.sys], "left", scale=scale,
+                        null_safe=null_safe, n_rows=n)
+
+
+def _salted(df: DataFrame, table: DataFrame, cols: Cols) -> DataFrame:
+    """Rows with their system's bounds by a shuffle that deals every system's
+    rows to ``SALTS`` tasks."""
+    salt = F.pmod(F.xxhash64(*[F.col(quote_ident(c)) for c in df.columns]), F.lit(SALTS))
+    side = table.withColumn("_tw_salt2", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))) \
+        .withColumnRenamed(cols.sys, "_tw_sys2")
+    rows = df.withColumn("_tw_salt", salt)
+    return rows.join(side, (F.col("_tw_salt") == F.col("_tw_salt2"))
+                     & (F.col(quote_ident(cols.sys)) == F.col("_tw_sys2")), "left")
+
+
+def iqr_bounds(df: DataFrame, cols: Cols, mult: float = 1.5, scale: Scale = Scale(),
+               q: tuple[DataFrame, int] | None = None) -> DataFrame:
+    """One row per system: q1, q3, iqr, low, high, n (all rows), n_outliers.
+
+    Rows and outliers are counted first; the counts then meet the bounds."""
+    df = df.select(F.col(quote_ident(cols.sys)), F.col(quote_ident(cols.x)))
+    table, n = q or quartile_table(df, cols, scale)
+    bounds = table.withColumns(_bounds(mult))
+    fits = should_broadcast(n, estimate_row_bytes(bounds), scale)
+    rows = attach_small(df, bounds, [cols.sys], "left", scale=scale, null_safe=False, n_rows=n) \
+        if fits else _salted(df, bounds, cols)
+    counts = rows.groupBy(F.col(quote_ident(cols.sys))).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(_outside(cols)).alias("n_outliers"))
+    # The NULL system has rows but, matching nothing, no bounds.
+    return attach_small(counts, bounds, [cols.sys], "left", scale=scale, null_safe=False, n_rows=n) \
+        .select(F.col(quote_ident(cols.sys)), *PROBS, "iqr", "low", "high", "n", "n_outliers")
+
+
+def iqr_outliers_detailed(df: DataFrame, cols: Cols, mult: float = 1.5, scale: Scale = Scale(),
+                          q: tuple[DataFrame, int] | None = None) -> DataFrame:
+    """Every row outside [low, high] with the violated side ("where") and how
+    far beyond that bound it lies."""
+    x, low, high = F.col(quote_ident(cols.x)), F.col("low"), F.col("high")
+    side = F.when(x < low, F.struct(F.lit("below_low").alias("name"), (low - x).alias("by"))) \
+        .when(x > high, F.struct(F.lit("above_high").alias("name"), (x - high).alias("by")))
+    rows = with_bounds(df, cols, mult, scale, q=q).withColumn("_tw_side", side)
+    return rows.filter(F.col("_tw_side").isNotNull()).select(
+        *[F.col(quote_ident(c)) for c in cols.key], *PROBS, "iqr", "low", "high",
+        F.col("_tw_side.name").alias("where"), F.col("_tw_side.by").alias("dist_from_bound"))
+
+
+def iqr_outliers(df: DataFrame, cols: Cols, mult: float = 1.5, scale: Scale = Scale(),
+                 q: tuple[DataFrame, int] | None = None) -> DataFrame:
+    return iqr_outliers_detailed(df, cols, mult, scale, q).select(
+        *[F.col(quote_ident(c)) for c in cols.key])
+
+
+def iqr_all(df: DataFrame, cols: Cols, mult: float = 1.5, scale: Scale = Scale(),
+            sizes=None) -> dict[str, DataFrame]:
     """The three IQR outputs from one quartile pass."""
-    q = quartile_table(df, cols, accuracy, exact, scale, sizes)
+    q = quartile_table(df, cols, scale, sizes)
     return {
-        "iqr_bounds": iqr_bounds(df, cols, mult, accuracy, scale, q=q),
-        "iqr_outliers_detailed": iqr_outliers_detailed(df, cols, mult, accuracy, scale, q=q),
-        "iqr_outliers": iqr_outliers(df, cols, mult, accuracy, scale, q=q),
+        "iqr_bounds": iqr_bounds(df, cols, mult, scale, q),
+        "iqr_outliers_detailed": iqr_outliers_detailed(df, cols, mult, scale, q),
+        "iqr_outliers": iqr_outliers(df, cols, mult, scale, q),
     }

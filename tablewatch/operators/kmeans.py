@@ -1,90 +1,92 @@
 """K3: one global k-means over the z-score; per-system percent rank of the
 distance to the assigned centre.
 
-MLlib fits the model (VectorAssembler + KMeans in a Pipeline, as in the
-reference).  Everything around the fit is native column arithmetic:
-
-* the global standardisation (the reference's StandardScaler: mean and
-  unbiased standard deviation) is one aggregate;
-* assignment and distance use the k centres as literals: the nearest centre
-  by squared distance (lowest index on ties, like ``KMeansModel.predict``),
-  instead of the reference's row-at-a-time Python UDF.
-
-``fit_digits`` (opt-in) fits on distinct values rounded to that many
-decimals, weighted by their counts: with one feature this is a histogram of
-at most a few million points however many rows there are, so the fitting
-input is not cached at full size.  ``None`` fits on every row.
+With one feature a clustering is k numbers, so it is fitted by aggregates:
+
+* standardisation (mean and unbiased standard deviation) is one aggregate;
+* the starting centres are the (2i+1)/2k discrete quantiles of the feature;
+* each step assigns rows to the nearest centre (lowest index on ties) and
+  takes the mean of every cluster, one aggregate of k sums over all rows;
+  centres are kept to ``CENTER_DIGITS`` decimals, so that the order in which
+  partial sums meet does not reach the result.
+
+Nothing is cached or sampled, and the outcome depends on the rows alone, not
+on how they are partitioned.  Assignment and distance are column arithmetic
+with the centres as literals.
 """
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablewatch.functions.exprs import quote_ident, rank_key
-from tablewatch.operators.splits import percent_rank_at_least
+from tablewatch.operators.splits import exact_quantiles, percent_rank_at_least
 from tablewatch.params import Cols, Scale
 
+CENTER_DIGITS = 9
+
 
-def kmeans_scores(scored: DataFrame, cols: Cols, k: int = 2, seed: int = 42,
-                  fit_partitions: int | None = None, fit_digits: int | None = None) -> DataFrame:
-    """Rows with a usable z + cluster (int) and km_dist.
+def fit_centers(rows: DataFrame, feature: str, k: int, max_iter: int = 50,
+                scale: Scale = Scale()) -> list[float]:
+    """Centres of Lloyd's iteration from quantile starts, ascending; fewer
+    than k if the feature has fewer distinct values (empty without rows)."""
+    probs = [(2 * i + 1) / (2 * k) for i in range(k)]
+    names = [f"_tw_q{i}" for i in range(k)]
+    start = exact_quantiles(rows.select(F.lit(0).alias("_tw_g"), F.col(feature)), ["_tw_g"],
+                            feature, probs, names, scale).first()
+    if start is None:
+        return []
+    centers = sorted({round(float(start[n]), CENTER_DIGITS) for n in names})
+    for _ in range(max_iter):
+        near, _ = _nearest(F.col(feature), centers)
+        sums = rows.groupBy(near.alias("c")).agg(F.avg(feature).alias("m")).collect()  # k rows
+        moved = {r["c"]: round(float(r["m"]), CENTER_DIGITS) for r in sums}
+        new = sorted({moved.get(i, c) for i, c in enumerate(centers)})
+        if new == centers:
+            break
+        centers = new
+    return centers
 
-    Rows whose z is NULL or NaN are skipped (the reference's assembler would
-    abort the run on them).  k-means with a fixed seed still depends on how
-    the fitting input is partitioned; ``fit_partitions`` range-partitions it
-    on the feature and sorts it, which makes the centres repeatable.
-    """
-    keep = [cols.sys, cols.ts, cols.x, *cols.tie_break, "z"]
+
+def _nearest(f, centers: list[float]):
+    """(index of the nearest centre, squared distance to it)."""
+    sq = F.array(*[(f - F.lit(c)) * (f - F.lit(c)) for c in centers])
+    best = F.array_min(sq)
+    return (F.array_position(sq, best) - 1).cast("int"), best
+
+
+def kmeans_scores(scored: DataFrame, cols: Cols, k: int = 2, max_iter: int = 50,
+                  scale: Scale = Scale()) -> DataFrame:
+    """Rows with a usable z + cluster (int, centres ascending) and km_dist.
+    Rows whose z is NULL or NaN are skipped."""
+    keep = [*cols.key, "z"]
     base = (scored.select(*[F.col(quote_ident(c)) for c in keep])
             .filter(F.col("z").isNotNull() & ~F.isnan(F.col("z"))))
     g = base.agg(F.avg("z").alias("m"), F.stddev_samp("z").alias("s")).first()
-    mean = g["m"] if g["m"] is not None else 0.0
-    std = g["s"]
+    mean, std = g["m"] or 0.0, g["s"]
     feat = (F.col("z") - F.lit(mean)) / F.lit(std) if std else F.lit(0.0)
-
-    if fit_digits is None:
-        fit_in = base.select(feat.alias("_tw_f"))
-        weight = None
-    else:
-        fit_in = (base.select(F.round(feat, fit_digits).alias("_tw_f"))
-                  .groupBy("_tw_f").agg(F.count(F.lit(1)).cast("double").alias("_tw_w")))
-        weight = "_tw_w"
-    if fit_partitions:
-        fit_in = fit_in.repartitionByRange(fit_partitions, "_tw_f").sortWithinPartitions("_tw_f")
-    km = KMeans(k=k, seed=seed, featuresCol="_tw_v", predictionCol="cluster")
-    if weight:
-        km = km.setWeightCol(weight)
-    model = Pipeline(stages=[VectorAssembler(inputCols=["_tw_f"], outputCol="_tw_v"), km]).fit(
-        fit_in)
-    centers = [float(c[0]) for c in model.stages[-1].clusterCenters()]  # k numbers
-
-    f = F.col("_tw_f")
-    sq = F.array(*[(f - F.lit(c)) * (f - F.lit(c)) for c in centers])
-    best = F.array_min(sq)
-    return (base.withColumn("_tw_f", feat)
-            .withColumn("cluster", (F.array_position(sq, best) - 1).cast("int"))
-            .withColumn("km_dist", F.sqrt(best))
-            .select(*[F.col(quote_ident(c)) for c in keep], "cluster", "km_dist"))
+    rows = base.withColumn("_tw_f", feat)
+    centers = fit_centers(rows, "_tw_f", k, max_iter, scale) or [0.0]
+    cluster, best = _nearest(F.col("_tw_f"), centers)
+    return rows.select(*[F.col(quote_ident(c)) for c in keep], cluster.alias("cluster"),
+                       F.sqrt(best).alias("km_dist"))
 
 
 def kmeans_anomalies(scored: DataFrame, cols: Cols, k: int = 2, pr_cutoff: float = 0.99,
-                     seed: int = 42, fit_partitions: int | None = None,
-                     fit_digits: int | None = None, scale: Scale = Scale()) -> DataFrame:
+                     max_iter: int = 50, scale: Scale = Scale(),
+                     rank_digits: int | None = None, sizes=None) -> DataFrame:
     """sys, ts, x, z, cluster, km_dist, km_pr for rows with km_pr >= cutoff."""
-    s = kmeans_scores(scored, cols, k, seed, fit_partitions, fit_digits)
-    return kmeans_cut(s, cols, pr_cutoff, scale)
+    s = kmeans_scores(scored, cols, k, max_iter, scale)
+    return kmeans_cut(s, cols, pr_cutoff, scale, rank_digits, sizes)
 
 
-def kmeans_cut(s: DataFrame, cols: Cols, pr_cutoff: float = 0.99,
-               scale: Scale = Scale()) -> DataFrame:
+def kmeans_cut(s: DataFrame, cols: Cols, pr_cutoff: float = 0.99, scale: Scale = Scale(),
+               rank_digits: int | None = None, sizes=None) -> DataFrame:
     """Rows of ``kmeans_scores`` whose per-system percent rank of km_dist is
-    >= ``pr_cutoff`` (ranked on km_dist rounded to 9 decimals)."""
-    ranked = percent_rank_at_least(s.withColumn("_tw_rk", rank_key(F.col("km_dist"))),
-                                   [cols.sys], "_tw_rk", pr_cutoff, "km_pr", scale)
-    return ranked.select(*[F.col(quote_ident(c)) for c in
-                           [cols.sys, cols.ts, cols.x, *cols.tie_break]],
+    >= ``pr_cutoff`` (see ``rank_key`` for ``rank_digits``).  ``sizes``: rows
+    of ``s`` per system if already known."""
+    ranked = percent_rank_at_least(s.withColumn("_tw_rk", rank_key(F.col("km_dist"), rank_digits)),
+                                   [cols.sys], "_tw_rk", pr_cutoff, "km_pr", scale, sizes=sizes)
+    return ranked.select(*[F.col(quote_ident(c)) for c in cols.key],
                          "z", "cluster", "km_dist", "km_pr")

@@ -10,8 +10,10 @@
                  cell are again the k before/after in value order within the
                  cell, and cells are contiguous in value order: the value-
                  ordered window over the system, counting only neighbours of
-                 the same cell, replaces the self-join.  Systems above
-                 ``max_group_rows`` use ``knn_time``, as in the reference.
+                 the same cell, replaces the self-join.  It is linear, so it
+                 serves systems of every size; ``max_group_rows`` (off by
+                 default) sends larger systems to ``knn_time``, the switch
+                 that guards a pairwise join.
 
 Every window goes through ``neighbor_diffs`` (hot groups are split into
 ranges) and every cut through ``percent_rank_at_least``.
@@ -60,29 +62,33 @@ def knn_exact_scores(scored: DataFrame, cols: Cols, k: int = 5, scale: Scale = S
 
 
 def knn_lsh_scores(scored: DataFrame, cols: Cols, k: int = 5, bucket: float = 1.0,
-                   dist_thresh: float = 1.5, max_group_rows: int = 250_000,
+                   dist_thresh: float = 1.5, max_group_rows: int | None = None,
                    isolated: float | None = 0.0, scale: Scale = Scale(),
                    sizes=None) -> DataFrame:
-    """Rows of non-NULL systems with knn_dist.  Small systems: k nearest
-    within the same grid cell and closer than ``dist_thresh``; a row with no
-    such neighbour gets ``isolated`` (0.0 in the reference).  Big systems:
-    time-adjacent distances."""
+    """Rows of non-NULL systems with knn_dist: k nearest within the same grid
+    cell and closer than ``dist_thresh``; a row with no such neighbour gets
+    ``isolated`` (0.0 in the reference).  Systems above ``max_group_rows``, if
+    given: time-adjacent distances."""
     base = _base(scored, cols)
     if sizes is None:
         sizes = group_sizes(base, [cols.sys], scale)
     sizes = _sizes_df(sizes).filter(F.col(quote_ident(cols.sys)).isNotNull())
-    small = sizes.filter(F.col(N) <= max_group_rows).select(cols.sys)
-    big = sizes.filter(F.col(N) > max_group_rows)
-    small_rows = attach_small(base, small, [cols.sys], "left_semi", scale=scale, null_safe=False)
-    big_rows = attach_small(base, big.select(cols.sys), [cols.sys], "left_semi", scale=scale,
-                            null_safe=False)
+    if max_group_rows is None:
+        small_rows, small_sizes = base.filter(F.col(quote_ident(cols.sys)).isNotNull()), sizes
+    else:
+        small = sizes.filter(F.col(N) <= max_group_rows).select(cols.sys)
+        big = sizes.filter(F.col(N) > max_group_rows)
+        small_rows = attach_small(base, small, [cols.sys], "left_semi", scale=scale,
+                                  null_safe=False)
+        small_sizes = attach_small(sizes, small, [cols.sys], "left_semi", scale=scale)
+        big_rows = attach_small(base, big.select(cols.sys), [cols.sys], "left_semi", scale=scale,
+                                null_safe=False)
 
     z = F.col("z")
     cell = F.when(z.isNull() | F.isnan(z), F.lit(None)).otherwise(F.floor(z / F.lit(bucket)))
     # Cells are contiguous in z order, so the window over the system in z
     # order, counting only neighbours of the same cell, is the per-cell
     # window; it shares the system partitioning with the rank cut.
-    small_sizes = attach_small(sizes, small, [cols.sys], "left_semi", scale=scale)
     nd = neighbor_diffs(small_rows.withColumn(CELL, cell), [cols.sys],
                         ["z", cols.ts, *cols.tie_break], "z", k, D, scale, sizes=small_sizes,
                         same=CELL)
@@ -91,43 +97,45 @@ def knn_lsh_scores(scored: DataFrame, cols: Cols, k: int = 5, bucket: float = 1.
     if isolated is not None:
         dist = F.coalesce(dist, F.lit(float(isolated)))
     small_scores = nd.withColumn("knn_dist", dist).select(*_out_cols(cols))
+    if max_group_rows is None:
+        return small_scores
     big_scores = knn_time_scores(big_rows, cols, k, scale, sizes=big)
     return small_scores.unionByName(big_scores)
 
 
 def knn_rank_cut(scores: DataFrame, cols: Cols, pr_cutoff: float = 0.99,
-                 scale: Scale = Scale(), sizes=None) -> DataFrame:
+                 scale: Scale = Scale(), sizes=None, rank_digits: int | None = None) -> DataFrame:
     """Keep rows whose percent_rank of knn_dist within the system is >=
-    ``pr_cutoff``.  Ranked on knn_dist rounded to 9 decimals.  ``sizes`` are
+    ``pr_cutoff`` (see ``rank_key`` for ``rank_digits``).  ``sizes`` are
     the per-system row counts of ``scores`` if already known."""
-    ranked = percent_rank_at_least(scores.withColumn(RK, rank_key(F.col("knn_dist"))),
+    ranked = percent_rank_at_least(scores.withColumn(RK, rank_key(F.col("knn_dist"), rank_digits)),
                                    [cols.sys], RK, pr_cutoff, "knn_pr", scale, sizes=sizes)
     return ranked.select(*_out_cols(cols), "knn_pr")
 
 
 def knn_time(scored: DataFrame, cols: Cols, k: int = 5, pr_cutoff: float = 0.99,
-             scale: Scale = Scale(), sizes=None) -> DataFrame:
+             scale: Scale = Scale(), sizes=None, rank_digits: int | None = None) -> DataFrame:
     """Time-adjacent KNN outliers.  ``sizes``: rows per system if known (e.g.
     ``sizes_from_stats`` of the z-score statistics), saving a counting pass."""
     if sizes is None:
         sizes = group_sizes(_base(scored, cols), [cols.sys], scale)
     return knn_rank_cut(knn_time_scores(scored, cols, k, scale, sizes), cols, pr_cutoff, scale,
-                        sizes)
+                        sizes, rank_digits)
 
 
 def knn_exact(scored: DataFrame, cols: Cols, k: int = 5, pr_cutoff: float = 0.99,
-              scale: Scale = Scale(), sizes=None) -> DataFrame:
+              scale: Scale = Scale(), sizes=None, rank_digits: int | None = None) -> DataFrame:
     """Exact (value-ordered) KNN outliers; ``sizes`` as in ``knn_time``."""
     if sizes is None:
         sizes = group_sizes(_base(scored, cols), [cols.sys], scale)
     return knn_rank_cut(knn_exact_scores(scored, cols, k, scale, sizes), cols, pr_cutoff, scale,
-                        sizes)
+                        sizes, rank_digits)
 
 
 def knn_lsh(scored: DataFrame, cols: Cols, k: int = 5, pr_cutoff: float = 0.99,
-            bucket: float = 1.0, dist_thresh: float = 1.5, max_group_rows: int = 250_000,
+            bucket: float = 1.0, dist_thresh: float = 1.5, max_group_rows: int | None = None,
             isolated: float | None = 0.0, scale: Scale = Scale(), sizes=None,
-            engine: str = "grid") -> DataFrame:
+            engine: str = "grid", rank_digits: int | None = None) -> DataFrame:
     """Grid-cell (LSH) KNN outliers; ``sizes`` as in ``knn_time``.
 
     ``engine``: only "grid" (the exact cell window).  MLlib's
@@ -142,7 +150,8 @@ def knn_lsh(scored: DataFrame, cols: Cols, k: int = 5, pr_cutoff: float = 0.99,
                             sizes)
     # NULL systems drop out of both branches (inner joins in the reference).
     return knn_rank_cut(scores, cols, pr_cutoff, scale,
-                        _sizes_df(sizes).filter(F.col(quote_ident(cols.sys)).isNotNull()))
+                        _sizes_df(sizes).filter(F.col(quote_ident(cols.sys)).isNotNull()),
+                        rank_digits)
 
 
 def knn(scored: DataFrame, cols: Cols, mode: str = "time", **kw) -> DataFrame:
@@ -150,9 +159,9 @@ def knn(scored: DataFrame, cols: Cols, mode: str = "time", **kw) -> DataFrame:
     exact 1-D neighbours, anything else -> the LSH plan."""
     m = mode.lower()
     if m == "time":
-        kw = {k: v for k, v in kw.items() if k in ("k", "pr_cutoff", "scale")}
+        kw = {k: v for k, v in kw.items() if k in ("k", "pr_cutoff", "scale", "rank_digits")}
         return knn_time(scored, cols, **kw)
     if m == "exact":
-        kw = {k: v for k, v in kw.items() if k in ("k", "pr_cutoff", "scale")}
+        kw = {k: v for k, v in kw.items() if k in ("k", "pr_cutoff", "scale", "rank_digits")}
         return knn_exact(scored, cols, **kw)
     return knn_lsh(scored, cols, **kw)

@@ -61,10 +61,11 @@ def zscore_outliers(scored: DataFrame, cols: Cols, z_thresh: float = 2.0,
             .select(*_out(cols, "z", "abs_z")))
 
 
-def suspects_topk(scored: DataFrame, cols: Cols, k: int = 50) -> DataFrame:
+def suspects_topk(scored: DataFrame, cols: Cols, k: int = 50,
+                  rank_digits: int | None = None) -> DataFrame:
     """Global top-k by abs_z regardless of thresholds.  Planned as
     TakeOrderedAndProject: each task keeps its own k best, no global sort.
     Ties are broken by system, time and the tie-break columns."""
-    order = [rank_key(F.col("abs_z")).desc_nulls_last()] + [
+    order = [rank_key(F.col("abs_z"), rank_digits).desc_nulls_last()] + [
         F.col(quote_ident(c)).asc_nulls_first() for c in [cols.sys, cols.ts, *cols.tie_break]]
     return scored.orderBy(*order).limit(k).select(*_out(cols, "z", "abs_z"))

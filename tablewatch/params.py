@@ -68,17 +68,15 @@ class Params:
     topk: int = 50
     kmeans_k: int = 2
     km_pr_cutoff: float = 0.99
-    kmeans_seed: int = 42
-    kmeans_fit_digits: int | None = None
     knn_mode: str = "time"
     knn_k: int = 5
     knn_pr_cutoff: float = 0.99
     lsh_bucket: float = 1.0
     lsh_thresh: float = 1.5
-    max_group_rows: int = 250_000
+    max_group_rows: int | None = None
+    rank_digits: int | None = None
     print_limit: int = 100
     iqr_mult: float = 1.5
-    iqr_exact: bool = False
     ts_unit: str = "s"
     nan_as_null: bool = False
     scale: Scale = field(default_factory=Scale)
@@ -112,17 +110,16 @@ class Params:
             min_points=int(g("MIN_POINTS", "20")),
             topk=int(g("TOPK", "50")),
             kmeans_k=int(g("KMEANS_K", "2")),
-            kmeans_fit_digits=int(g("KMEANS_FIT_DIGITS")) if g("KMEANS_FIT_DIGITS") else None,
             km_pr_cutoff=float(g("KM_PR_CUTOFF", "0.99")),
             knn_mode=g("KNN_MODE", "time"),
             knn_k=int(g("KNN_K", "5")),
             knn_pr_cutoff=float(g("KNN_PR_CUTOFF", "0.99")),
             lsh_bucket=float(g("LSH_BUCKET", "1.0")),
             lsh_thresh=float(g("LSH_THRESH", "1.5")),
-            max_group_rows=int(g("MAX_GROUP_ROWS", "250000")),
+            max_group_rows=int(g("MAX_GROUP_ROWS")) if g("MAX_GROUP_ROWS") else None,
+            rank_digits=int(g("RANK_DIGITS")) if g("RANK_DIGITS") else None,
             print_limit=int(g("PRINT_LIMIT", "100")),
             iqr_mult=float(g("IQR_MULT", "1.5")),
-            iqr_exact=g("IQR_EXACT", "0") in ("1", "true", "yes"),
             ts_unit=g("TS_UNIT", "s"),
             nan_as_null=g("NAN_AS_NULL", "0") in ("1", "true", "yes"),
             scale=Scale(

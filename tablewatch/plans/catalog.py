@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import AnalysisException, SparkRuntimeException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,37 +20,43 @@ REPORT_SCHEMA = ("name string, kind string, n_columns int, n_files bigint, bytes
 
 
 def run_sql(spark: SparkSession, text: str, namespace: str | None = None) -> DataFrame:
-    """``spark.sql`` after ``USE namespace``; consume with ``collect``,
+    """``spark.sql`` with ``namespace`` as the current one while the text is
+    analysed; the session's own is restored.  Consume with ``collect``,
     ``toLocalIterator`` (incremental) or a write."""
-    if namespace:
-        spark.catalog.setCurrentDatabase(namespace)
-    return spark.sql(text)
+    if not namespace:
+        return spark.sql(text)
+    before = spark.catalog.currentDatabase()
+    spark.catalog.setCurrentDatabase(namespace)
+    try:
+        return spark.sql(text)
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+
+
+def _entries(spark: SparkSession, namespace: str | None) -> dict[str, str]:
+    """Name -> catalog kind of what a namespace holds, temporary views aside."""
+    found = spark.catalog.listTables(quote_ident(namespace)) if namespace else []
+    return {t.name: t.tableType for t in found if not t.isTemporary}
 
 
 def list_tables(spark: SparkSession, namespace: str | None) -> list[str]:
     """Names of tables and views (empty namespace -> empty list)."""
-    if not namespace:
-        return []
-    return [r["tableName"] for r in spark.sql(f"SHOW TABLES IN {quote_ident(namespace)}").collect()
-            if not r["isTemporary"]]
+    return sorted(_entries(spark, namespace))
 
 
 def list_views(spark: SparkSession, namespace: str | None) -> list[str]:
-    if not namespace:
-        return []
-    return [r["viewName"] for r in spark.sql(f"SHOW VIEWS IN {quote_ident(namespace)}").collect()
-            if not r["isTemporary"]]
+    return sorted(n for n, kind in _entries(spark, namespace).items() if kind == "VIEW")
 
 
 def definition(spark: SparkSession, namespace: str | None, name: str) -> str | None:
-    """CREATE statement of a table or view; NULL on any failure."""
-    ident = quote_ident(namespace, name) if namespace else quote_ident(name)
+    """CREATE statement of a table or view; NULL where the catalog has none."""
+    ident = quote_ident(*filter(None, (namespace, name)))
+    if not spark.catalog.tableExists(ident):
+        return None
     try:
-        rows = spark.sql(f"SHOW CREATE TABLE {ident}").collect()
-    except Exception:  # noqa: BLE001 - the report shows NULL instead
+        return spark.sql(f"SHOW CREATE TABLE {ident}").first()["createtab_stmt"]
+    except (AnalysisException, SparkRuntimeException):  # what SQL cannot express
         return None
-    text = "\n".join(str(r[0]) for r in rows if r and r[0])
-    return text or None
 
 
 def _table_stats(df: DataFrame) -> DataFrame:

@@ -5,9 +5,8 @@ command line with the same flags and environment variables.
         --timestamp-col ts --system-col device -o preds
 
 Shared intermediate results: the per-system statistics and quartiles are
-small tables computed once (checkpointed) and joined back; rows are never
-cached — re-reading the pruned Parquet columns is cheaper than caching them
-at scale.
+small tables computed once (checkpointed) and joined back; the scored rows are
+written once to the scratch folder and every output reads its columns there.
 """
 
 from __future__ import annotations
@@ -28,6 +27,7 @@ from tablewatch.operators.splits import as_sizes, group_sizes
 from tablewatch.operators.zscore import (sizes_from_stats, suspects_topk, zscore_outliers,
                                          zscore_with_stats)
 from tablewatch.params import Params
+from tablewatch.session import scratch_path
 from tablewatch.sources.sinks import quicklook, write_all
 
 
@@ -53,7 +53,7 @@ def knn_outliers(scored: DataFrame, p: Params, sizes: DataFrame | None = None) -
         sizes = sizes.filter(F.col(quote_ident(cols.sys)).isNotNull())
     # No cache needed: the plain plan reads the scores once, and the split
     # plan checkpoints them itself before its several passes.
-    return knn_rank_cut(scores, cols, p.knn_pr_cutoff, scale, sizes)
+    return knn_rank_cut(scores, cols, p.knn_pr_cutoff, scale, sizes, p.rank_digits)
 
 
 def detect_all(spark: SparkSession, p: Params, df: DataFrame | None = None,
@@ -69,15 +69,20 @@ def detect_all(spark: SparkSession, p: Params, df: DataFrame | None = None,
     cols = p.cols
     scored, stats = zscore_with_stats(df, cols, p.scale)
     sizes = as_sizes(sizes_from_stats(stats, cols), p.scale)
-    iqr = iqr_all(df, cols, p.iqr_mult, scale=p.scale, exact=p.iqr_exact, sizes=sizes)
-    km = kmeans_scores(scored, cols, p.kmeans_k, p.kmeans_seed, fit_digits=p.kmeans_fit_digits)
+    # Score once: every output below reads pruned columns of this table.
+    path = scratch_path(spark, "scores")
+    scored.select(*[F.col(quote_ident(c)) for c in [*cols.key, "n", "z", "abs_z"]]) \
+        .write.parquet(path)
+    scored = spark.read.parquet(path)
+    iqr = iqr_all(scored, cols, p.iqr_mult, p.scale, sizes)
+    km = kmeans_scores(scored, cols, p.kmeans_k, scale=p.scale)
     if extras is not None:
         extras["kmeans_scores"] = km
     return {
         "temp_outliers_zscore": zscore_outliers(scored, cols, p.z_thresh, p.min_points),
-        "temp_suspects_topk": suspects_topk(scored, cols, p.topk),
+        "temp_suspects_topk": suspects_topk(scored, cols, p.topk, p.rank_digits),
         "temp_outliers_iqr": iqr["iqr_outliers"],
-        "temp_outliers_kmeans": kmeans_cut(km, cols, p.km_pr_cutoff, p.scale),
+        "temp_outliers_kmeans": kmeans_cut(km, cols, p.km_pr_cutoff, p.scale, p.rank_digits),
         "temp_outliers_knn": knn_outliers(scored, p, sizes),
         "iqr_bounds": iqr["iqr_bounds"],
         "iqr_outliers_detailed": iqr["iqr_outliers_detailed"],
@@ -108,11 +113,12 @@ def run(spark: SparkSession, p: Params, n_files: int | None = None, show: bool =
     paths = write_results(spark, results, p.out_dir, p.cols, n_files)
     prof = input_profile(df, p.cols).first()
     if show:
-        print("rows:", prof["rows"], "systems:", prof["systems"])
-        print(f"feature: {p.feature}, z-threshold: {p.z_thresh}, "
-              f"min points per system: {p.min_points}")
-        for name, view in quicklook(results, p.cols, extras, limit=p.print_limit).items():
-            print(f"\n--- {name} ---")
+        print(f"{prof['rows']} rows in {prof['systems']} systems; {p.feature} judged at "
+              f"|z| > {p.z_thresh} in systems of {p.min_points} rows or more")
+        # The views read what was just written, nothing is computed again.
+        written = {name: spark.read.parquet(path) for name, path in paths.items()}
+        for name, view in quicklook(written, p.cols, extras, limit=p.print_limit).items():
+            print(f"\n{name}:")
             view.show(p.print_limit, truncate=False)
     return {"paths": paths, "rows": prof["rows"], "systems": prof["systems"]}
 

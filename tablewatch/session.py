@@ -37,18 +37,24 @@ def get_session(master: str | None = None, app: str = "tablewatch",
     """Build (or reuse) a session with the package defaults.
 
     ``master`` is only set when given, so ``spark-submit`` keeps control on a
-    cluster.  ``shuffle_partitions`` defaults to 4x the default parallelism
-    once the context exists; on a cluster pass a value sized to the data
-    (about 128 MB of shuffle data per partition), AQE coalesces the rest.
+    cluster.  ``shuffle_partitions``: a value sized to the data (about 128 MB
+    of shuffle data per partition; AQE coalesces the rest), by default that of
+    the environment variable ``SHUFFLE_PARTITIONS`` or else four per core.
+    ``SPARK_DRIVER_MEMORY`` sets the driver's memory of a new session.
     """
+    shuffle_partitions = shuffle_partitions or int(os.environ.get("SHUFFLE_PARTITIONS") or 0)
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     for key, value in {**DEFAULT_CONF, **(conf or {})}.items():
         builder = builder.config(key, value)
+    if os.environ.get("SPARK_DRIVER_MEMORY"):
+        builder = builder.config("spark.driver.memory", os.environ["SPARK_DRIVER_MEMORY"])
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
+    if not shuffle_partitions and not spark.sparkContext.getConf().contains("spark.sql.shuffle.partitions"):
+        spark.conf.set("spark.sql.shuffle.partitions", str(max(8, 4 * spark.sparkContext.defaultParallelism)))
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     library_on_workers(spark)
@@ -74,6 +80,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all nodes share")
         configured = tempfile.mkdtemp(prefix="tablewatch-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -88,15 +96,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/tablewatch-scratch/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(path: str) -> str | None:
-    """Strip a ``file:`` scheme; None for remote filesystems."""
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-        return path
-    if "://" in path:
-        return None
-    return os.path.abspath(path)

@@ -14,11 +14,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def write_folders(folders: dict[str, DataFrame], root: str, files_per_folder: int = 2) -> str:
-    """Write each frame to ``root/<folder>`` (folder may contain '/')."""
+def write_folders(folders: dict[str, DataFrame], root: str) -> str:
+    """Write each frame to ``root/<folder>`` (folder may contain '/'), one
+    file per input partition."""
     for rel, df in folders.items():
-        df.repartition(files_per_folder).write.mode("overwrite").parquet(
-            f"{root.rstrip('/')}/{rel}")
+        df.write.mode("overwrite").parquet(f"{root.rstrip('/')}/{rel}")
     return root
 
 
@@ -37,13 +37,13 @@ def write_uint64(df: DataFrame, out_dir: str, uint64_cols: list[str]) -> DataFra
         from pyarrow import fs
         from pyspark import TaskContext
 
-        tables = [pa.Table.from_batches([b]) for b in batches]
-        if not tables:
-            return
-        table = pa.concat_tables(tables)
-        for c in cols:
-            i = table.schema.get_field_index(c)
-            table = table.set_column(i, c, table.column(i).cast(pa.uint64()))
+        def retyped(batch):
+            table = pa.Table.from_batches([batch])
+            for c in cols:
+                i = table.schema.get_field_index(c)
+                table = table.set_column(i, c, table.column(i).cast(pa.uint64()))
+            return table
+
         name = f"part-{TaskContext.get().partitionId():05d}.parquet"
         if target.startswith("file:"):
             filesystem, base = fs.LocalFileSystem(), target[5:].lstrip("/")
@@ -52,10 +52,18 @@ def write_uint64(df: DataFrame, out_dir: str, uint64_cols: list[str]) -> DataFra
             filesystem, base = fs.FileSystem.from_uri(target)
         filesystem.create_dir(base, recursive=True)
         tmp = f"{base}/.{name}.{uuid.uuid4().hex}.tmp"
-        pq.write_table(table, tmp, filesystem=filesystem)
+        rows, writer = 0, None
+        for batch in batches:  # one row group each, never the whole partition
+            table = retyped(batch)
+            writer = writer or pq.ParquetWriter(tmp, table.schema, filesystem=filesystem)
+            writer.write_table(table)
+            rows += table.num_rows
+        if writer is None:
+            return
+        writer.close()
         filesystem.move(tmp, f"{base}/{name}")
         yield pa.RecordBatch.from_pydict({"path": [f"{base}/{name}"],
-                                          "rows": [table.num_rows]},
+                                          "rows": [rows]},
                                          schema=pa.schema([("path", pa.string()),
                                                            ("rows", pa.int64())]))
 

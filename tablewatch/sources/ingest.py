@@ -103,8 +103,8 @@ def register_folders(spark: SparkSession, root: str, namespace: str = "nyc") ->
     names = list_subfolders(spark, root)
     if names is None:
         names = sorted(counted)
-    folders = [{"folder": n, "n_parquet": counted.get(n, 0)} for n in names
-               if not n.startswith((".", "_"))]
+    hidden = [n for n in names if n.startswith((".", "_"))]
+    folders = [{"folder": n, "n_parquet": counted.get(n, 0)} for n in names if n not in hidden]
     manifest = materialize(file_manifest(spark, root, listing))
     per_folder = {r["folder"]: r for r in manifest.groupBy("folder").agg(
         F.count(F.lit(1)).alias("n_files"),
@@ -114,7 +114,7 @@ def register_folders(spark: SparkSession, root: str, namespace: str = "nyc") ->
         F.count_distinct("schema").alias("n_schemas"),
     ).collect()}
     by_table: dict[str, list[tuple]] = {}
-    summary = []
+    summary = [(n, None, 0, 0, "skipped", "hidden: the name starts with '.' or '_'") for n in hidden]
     for f in folders:
         name = f["folder"]
         table = table_name(name)
@@ -133,27 +133,67 @@ def register_folders(spark: SparkSession, root: str, namespace: str = "nyc") ->
         # the files disagree (the census lists them, the sanitiser fixes them).
         return f"mixed schemas: {m['n_schemas']} distinct" if m["n_schemas"] > 1 else None
     for table, entries in by_table.items():
-        if len(entries) == 1:
-            name, path, m = entries[0]
-            try:
-                status = _register(spark, namespace, table, path)
-                summary.append((name, table, m["n_files"], m["n_rows"], status, note(m)))
-            except Exception as e:  # noqa: BLE001 - reported, other folders continue
-                summary.append((name, table, m["n_files"], None, "error", str(e)[:500]))
-            continue
-        parts = []
-        for i, (name, path, m) in enumerate(sorted(entries)):
-            part = f"{table}__{i}"
-            try:
-                status = _register(spark, namespace, part, path)
-                parts.append(part)
-                summary.append((name, table, m["n_files"], m["n_rows"], status, note(m)))
-            except Exception as e:  # noqa: BLE001
-                summary.append((name, table, m["n_files"], None, "error", str(e)[:500]))
+        summary += _register_all(spark, namespace, table, entries, set(by_table), note)
+    return spark.createDataFrame(summary, SUMMARY_SCHEMA)
+
+
+def _register_all(spark: SparkSession, namespace: str, table: str, entries: list[tuple],
+                  taken: set[str], note) -> list[tuple]:
+    """Registers the folders that share one table name; one summary row each.
+    A single folder is a table.  Several folders are tables of their own below
+    a view that unions them by column name.  What an earlier run left under
+    these names in the other form is dropped first."""
+    if len(entries) == 1:
+        name, path, m = entries[0]
+        try:
+            _drop(spark, namespace, table, "VIEW")
+            for part in _part_names(table, taken, 1000, spark, namespace):
+                _drop(spark, namespace, part, "TABLE")
+            status = _register(spark, namespace, table, path)
+            return [(name, table, m["n_files"], m["n_rows"], status, note(m))]
+        except Exception as e:  # noqa: BLE001 - reported, other folders continue
+            return [(name, table, m["n_files"], None, "error", str(e))]
+    rows, parts = [], []
+    for part, (name, path, m) in zip(_part_names(table, taken, len(entries)), sorted(entries, key=lambda x: x[0])):
+        try:
+            status = _register(spark, namespace, part, path)
+            parts.append(part)
+            rows.append((name, table, m["n_files"], m["n_rows"], status, note(m)))
+        except Exception as e:  # noqa: BLE001
+            rows.append((name, table, m["n_files"], None, "error", str(e)))
+    try:
+        _drop(spark, namespace, table, "TABLE")
         if parts:
-            union = " UNION ALL ".join(f"SELECT * FROM {quote_ident(namespace, p)}" for p in parts)
+            columns = {p: spark.table(quote_ident(namespace, p)).columns for p in parts}
+            every = list(dict.fromkeys(c for cs in columns.values() for c in cs))
+            union = " UNION ALL ".join(
+                "SELECT " + ", ".join(quote_ident(c) if c in columns[p] else f"NULL AS {quote_ident(c)}" for c in every)
+                + f" FROM {quote_ident(namespace, p)}" for p in parts)
             spark.sql(f"CREATE OR REPLACE VIEW {quote_ident(namespace, table)} AS {union}")
-    return spark.createDataFrame(summary, SUMMARY_SCHEMA)
+    except Exception as e:  # noqa: BLE001
+        rows = [(r[0], table, r[2], None, "error", r[5] if r[4] == "error" else str(e)) for r in rows]
+    return rows
+
+
+def _part_names(table: str, taken: set[str], n: int, spark: SparkSession | None = None,
+                namespace: str | None = None) -> list[str]:
+    """Names for the tables below a shared name, none of them a folder's own;
+    with a session, only those that exist."""
+    names = [f"{table}__part{i}" for i in range(n)]
+    free = [x if x not in taken else f"{x}_" for x in names]
+    if spark is None:
+        return free
+    known = {t.name for t in spark.catalog.listTables(quote_ident(namespace))}
+    return [x for x in free if x in known]
+
+
+def _drop(spark: SparkSession, namespace: str, name: str, kind: str) -> None:
+    """Drops a table or view of that name if it is of that kind."""
+    ident = quote_ident(namespace, name)
+    if spark.catalog.tableExists(ident):
+        is_view = spark.catalog.getTable(ident).tableType == "VIEW"
+        if is_view == (kind == "VIEW"):
+            spark.sql(f"DROP {kind} IF EXISTS {ident}")
 
 
 def create_table(spark: SparkSession, name: str, schema: str, replace: bool = True,
@@ -180,7 +220,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--namespace", default="nyc")
     a = ap.parse_args(argv)
     spark = get_session(app="tablewatch-ingest")
-    register_folders(spark, a.root, a.namespace).show(1000, truncate=False)
+    for row in register_folders(spark, a.root, a.namespace).toLocalIterator():
+        print(*row, sep="\t")
     spark.stop()
 
 

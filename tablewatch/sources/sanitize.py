@@ -10,12 +10,14 @@ driver only handles the group list (metadata), never rows.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewatch.functions.exprs import epoch_micros_to_ts, quote_ident
 from tablewatch.operators.joins import materialize
-from tablewatch.sources.files import qualify
+from tablewatch.sources.files import _strip_scheme, qualify
 from tablewatch.sources.footers import schema_census
 
 # The column name that carries epoch microseconds, the labels
@@ -52,6 +54,18 @@ def cast_expr(column: str, to_type: str | None) -> Column:
     return c
 
 
+@contextmanager
+def _micros(spark: SparkSession):
+    """Within, Parquet timestamps are written as TIMESTAMP_MICROS."""
+    name = "spark.sql.parquet.outputTimestampType"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "TIMESTAMP_MICROS")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def sanitize(spark: SparkSession, root: str, out: str, overwrite: bool = False,
              only_changed: bool = True, compression: str = "snappy",
              dry_run: bool = False) -> DataFrame:
@@ -59,8 +73,13 @@ def sanitize(spark: SparkSession, root: str, out: str, overwrite: bool = False,
     folder layout (one dataset per folder and schema).  Returns the report:
     path, rel_dir, column, from_type, to_type, out_path, written, error — one
     row per cast, plus one row per file whose footer could not be read.  An
-    existing output folder is an error unless ``overwrite``."""
+    existing output folder is an error unless ``overwrite``.  Timestamps are
+    stored as microseconds.  ``out`` must lie outside ``root`` and must not
+    contain it: an overwrite would delete files that are still to be read."""
     root, out = qualify(root), qualify(out)
+    inner, outer = f"{_strip_scheme(out).rstrip('/')}/", f"{_strip_scheme(root).rstrip('/')}/"
+    if inner.startswith(outer) or outer.startswith(inner):
+        raise ValueError(f"the output folder {out} overlaps the input folder {root}")
     census = materialize(schema_census(spark, root))
     plan = materialize(plan_casts(census))
     unreadable = (census.filter(F.col("error").isNotNull())
@@ -85,24 +104,21 @@ def sanitize(spark: SparkSession, root: str, out: str, overwrite: bool = False,
     groups = (sig.groupBy("rel_dir", "sig", "casts")
               .agg(F.array_sort(F.collect_list("path")).alias("paths"))
               .orderBy("rel_dir", "sig").collect())
-    per_dir: dict[str, int] = {}
-    for g in groups:
-        per_dir[g["rel_dir"]] = per_dir.get(g["rel_dir"], 0) + 1
-    seen: dict[str, int] = {}
+    started: set[str] = set()
     written = []
-    mode = "overwrite" if overwrite else "errorifexists"
-    for g in groups:
-        rel_dir, paths = g["rel_dir"], list(g["paths"])
-        idx = seen.get(rel_dir, 0)
-        seen[rel_dir] = idx + 1
-        dest = f"{out.rstrip('/')}/{rel_dir}" if rel_dir else out.rstrip("/")
-        if per_dir[rel_dir] > 1:
-            dest = f"{dest}/schema-{idx}"
-        casts = {c["column"]: c["to_type"] for c in (g["casts"] or [])}
-        df = spark.read.parquet(*paths)
-        df.select([cast_expr(c, casts.get(c)) for c in df.columns]) \
-          .write.mode(mode).option("compression", compression).parquet(dest)
-        written.extend((p, dest) for p in paths)
+    with _micros(spark):
+        # Parents first, so that replacing a folder cannot remove one written before.
+        for g in sorted(groups, key=lambda r: (r["rel_dir"].count("/"), r["rel_dir"], r["sig"])):
+            rel_dir, paths = g["rel_dir"], list(g["paths"])
+            dest = f"{out.rstrip('/')}/{rel_dir}" if rel_dir else out.rstrip("/")
+            # Files of other schemas join the same folder, as in the input.
+            mode = "append" if dest in started else "overwrite" if overwrite else "errorifexists"
+            started.add(dest)
+            casts = {c["column"]: c["to_type"] for c in (g["casts"] or [])}
+            df = spark.read.parquet(*paths)
+            df.select([cast_expr(c, casts.get(c)) for c in df.columns]) \
+              .write.mode(mode).option("compression", compression).parquet(dest)
+            written.extend((p, dest) for p in paths)
     done = spark.createDataFrame(written, "path string, out_path string") if written else \
         spark.createDataFrame([], "path string, out_path string")
     return (plan.join(done, "path", "left")
@@ -126,9 +142,7 @@ def main(argv: list[str] | None = None) -> None:
     import argparse
 
     from tablewatch.session import get_session
-    ap = argparse.ArgumentParser(description=(
-        "Rewrite Parquet files: UINT64 columns to DECIMAL(20,0), a column named 'timestamp' "
-        "(epoch micros) to TIMESTAMP."))
+    ap = argparse.ArgumentParser(description="Copy a Parquet tree with its unsigned and epoch columns retyped.")
     ap.add_argument("--in", dest="in_dir", required=True)
     ap.add_argument("--out", dest="out_dir", required=True)
     ap.add_argument("--overwrite", action="store_true")
@@ -137,10 +151,9 @@ def main(argv: list[str] | None = None) -> None:
     a = ap.parse_args(argv)
     spark = get_session(app="tablewatch-sanitize")
     census = materialize(schema_census(spark, a.in_dir))
-    if census.filter(F.col("path").isNotNull()).isEmpty():
-        raise FileNotFoundError(f"No Parquet files under {a.in_dir}")
     report = sanitize(spark, a.in_dir, a.out_dir, a.overwrite, True, a.compression, a.dry_run)
-    report.orderBy("path", "column").show(10_000, truncate=False)
+    for row in report.orderBy("path", "column").toLocalIterator():
+        print(*row, sep="\t")
     sanitize_summary(census, plan_casts(census)).show(truncate=False)
     spark.stop()
 

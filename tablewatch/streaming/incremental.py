@@ -9,7 +9,10 @@ resumes from the checkpoint; the file sink's log makes writes idempotent).
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import SparkSession
+from pyspark.sql.streaming import StreamingQueryListener
 from pyspark.sql.types import StructType
 
 from tablewatch.sources.files import PARQUET_GLOB
@@ -19,9 +22,8 @@ def ingest_new_files(spark: SparkSession, source_dir: str, sink_dir: str, checkp
                      schema: StructType | None = None, max_files_per_trigger: int | None = None
                      ) -> int:
     """Copy rows of not-yet-seen Parquet files under ``source_dir`` into the
-    Parquet dataset ``sink_dir``; returns the number of rows ingested, as
-    reported by the query's progress (its last
-    ``spark.sql.streaming.numRecentProgressUpdates`` micro-batches)."""
+    Parquet dataset ``sink_dir``; returns the number of rows ingested: each
+    micro-batch is counted while it is written."""
     if schema is None:
         schema = (spark.read.option("recursiveFileLookup", "true")
                   .option("pathGlobFilter", PARQUET_GLOB).parquet(source_dir).schema)
@@ -30,9 +32,42 @@ def ingest_new_files(spark: SparkSession, source_dir: str, sink_dir: str, checkp
               .option("pathGlobFilter", PARQUET_GLOB))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    query = (reader.parquet(source_dir).writeStream.format("parquet")
-             .option("checkpointLocation", checkpoint_dir)
-             .trigger(availableNow=True)
-             .start(sink_dir))
-    query.awaitTermination()
-    return int(sum(p.get("numInputRows", 0) for p in query.recentProgress))
+    counter = _RowCounter()
+    spark.streams.addListener(counter)
+    try:
+        query = (reader.parquet(source_dir).writeStream.format("parquet")
+                 .option("checkpointLocation", checkpoint_dir)
+                 .trigger(availableNow=True)
+                 .start(sink_dir))
+        query.awaitTermination()
+        counter.wait(query.id, query.lastProgress)
+    finally:
+        spark.streams.removeListener(counter)
+    return counter.rows(query.id)
+
+
+class _RowCounter(StreamingQueryListener):
+    """Adds up the input rows of every micro-batch (the query itself only
+    remembers its last few)."""
+
+    def __init__(self):
+        self.batches: dict[tuple[str, int], int] = {}
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        p = event.progress
+        self.batches[(str(p.id), p.batchId)] = p.numInputRows
+
+    def onQueryTerminated(self, event):
+        pass
+
+    def rows(self, query_id: str) -> int:
+        return sum(n for (q, _), n in self.batches.items() if q == str(query_id))
+
+    def wait(self, query_id: str, last, seconds: float = 30.0) -> None:
+        """Events arrive on another thread; wait for the query's last batch."""
+        end = time.time() + seconds
+        while last is not None and (str(query_id), last.batchId) not in self.batches and time.time() < end:
+            time.sleep(0.05)

@@ -161,7 +161,7 @@ def test_kmeans_on_constant_feature(spark):
     from tablewatch.operators import kmeans_anomalies, kmeans_scores
     rows = [(f"s{i % 3}", ts(i), 7.0, i) for i in range(60)]
     s = zscore(frame(spark, rows), C)
-    km = kmeans_scores(s, C, k=2, fit_partitions=1).collect()
+    km = kmeans_scores(s, C, k=2).collect()
     assert len(km) == 60 and all(r["km_dist"] == 0.0 for r in km)
     # all distances tie: percent_rank 0 everywhere, nothing reaches 0.99
-    assert kmeans_anomalies(s, C, k=2, fit_partitions=1).count() == 0
+    assert kmeans_anomalies(s, C, k=2).count() == 0

@@ -14,17 +14,17 @@ def test_params_defaults_match_reference_job():
     assert (p.z_thresh, p.min_points, p.topk, p.kmeans_k, p.km_pr_cutoff) == (2.0, 20, 50, 2, 0.99)
     assert (p.knn_mode, p.knn_k, p.knn_pr_cutoff, p.lsh_bucket, p.lsh_thresh) == (
         "time", 5, 0.99, 1.0, 1.5)
-    assert (p.max_group_rows, p.print_limit, p.kmeans_seed, p.iqr_mult) == (250000, 100, 42, 1.5)
+    assert (p.max_group_rows, p.rank_digits, p.print_limit, p.iqr_mult) == (None, None, 100, 1.5)
 
 
 def test_params_flags_and_env():
     p = Params.from_cli(["-i", "x/*.parquet", "-f", "cpu_temp", "--timestamp-col", "ts",
                          "--system-col", "device", "-o", "out", "--tie-break", "a,b"],
                         env={"Z_THRESH": "3", "KNN_MODE": "LSH", "MAX_GROUP_ROWS": "10",
-                             "SPLIT_ROWS": "99", "KMEANS_FIT_DIGITS": "4"})
+                             "SPLIT_ROWS": "99", "RANK_DIGITS": "4"})
     assert p.cols.key == ["device", "ts", "cpu_temp", "a", "b"]
     assert p.z_thresh == 3.0 and p.knn_mode == "LSH" and p.max_group_rows == 10
-    assert p.scale.split_rows == 99 and p.kmeans_fit_digits == 4 and p.out_dir == "out"
+    assert p.scale.split_rows == 99 and p.rank_digits == 4 and p.out_dir == "out"
 
 
 def test_ingest_new_files_is_exactly_once(spark, tmp):
