@@ -5,11 +5,12 @@
    sets form one node, so copies never meet in pairs.
 2. Signatures are cut into bands; nodes that agree in a whole band share a
    bucket.
-3. In each bucket every node meets one hub, first in a few bands, then in all;
-   nodes already in one component need no further pair.  What is left after
-   that - buckets with several components - is compared in blocks of at most
-   ``BLOCK`` x ``BLOCK`` nodes, so neither a bucket nor its pairs ever sit in
-   one task.
+3. In each bucket every node meets one hub.  Links found there make first
+   components, and nodes of one component need no further pair.  Buckets that
+   still hold several components are compared in blocks of at most ``BLOCK`` x
+   ``BLOCK`` nodes, so neither a bucket nor its pairs ever sit in one task.
+   Blocks of buckets beyond ``SMALL`` nodes carry the full sets and pass on one
+   confirmed link per node and component, not their candidates.
 4. A candidate pair's signatures are compared a batch of values at a time.
    With k of m equal, the similarity has a Beta(k+1, m-k+1) posterior; the pair
    is dropped as soon as the posterior puts less than ``miss`` on similarities
@@ -45,8 +46,10 @@ from tablewatch.llm.common import (WORD_PATTERN, Tokens, mix64, slices, text_key
 BANDS, BAND_ROWS = 28, 4
 VALUES = BANDS * BAND_ROWS
 STEP = 16  # signature values per posterior check
-FIRST_BANDS = 3
+HUB_ORDERS = 4  # hubs differ between bands of different remainder
+SMALL = 64
 BLOCK = 1024
+BLOCK_SHINGLES = 2_000_000
 SHINGLE = 5
 THRESHOLD = 75  # per cent
 MISS = 1e-6
@@ -214,21 +217,19 @@ def confirm(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """(node, root) of every linked node; root is the smallest of its component."""
     edges = write_scratch(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "cc")
-    mark = None
     while True:
-        state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == mark:
+        ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("down")) \
+            .unionAll(edges.select("v", F.lit(0), F.lit(1)))
+        ends = ends.groupBy("x").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+        if ends.filter("up > 1 OR (up = 1 AND down = 1)").isEmpty():  # stars only
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root")) \
-                .unionAll(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
-        mark = state
-        ways = edges.unionAll(edges.select(F.col("v"), F.col("u")).toDF("u", "v"))
+                .unionAll(edges.select(F.col("v"), F.col("v")).distinct())
+        ways = edges.unionAll(edges.select(F.col("v"), F.col("u")))
         low = ways.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = ways.join(low, "u").filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.filter("u != v").distinct()
+        large = ways.join(low, "u").filter("v > u AND v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").filter(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v")) \
-            .unionAll(low.select("u", F.col("m").alias("v"))).distinct()
-        edges = write_scratch(small, "cc")
+        small = large.join(low, "u").filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        edges = write_scratch(small.unionAll(low).distinct(), "cc")
 
 
 def labelled(rows: DataFrame, roots: DataFrame, column: str, to: str) -> DataFrame:
@@ -238,19 +239,39 @@ def labelled(rows: DataFrame, roots: DataFrame, column: str, to: str) -> DataFra
         .withColumn(to, F.coalesce("__r", column)).drop("__n", "__r")
 
 
-def block_pairs(members: DataFrame, nodes: DataFrame, least: list[int]) -> DataFrame:
-    """Plausible pairs across components of the same bucket, by blocks."""
-    chunks = F.ceil(F.col("cnt") / BLOCK).cast("int")
+def block_pairs(members: DataFrame, payload: DataFrame, least: list[int], threshold: int, exact: bool) -> DataFrame:
+    """Pairs across components of the same bucket, compared by blocks: the
+    plausible ones or, if ``exact``, one confirmed link per node and component."""
+    chunks = F.greatest(F.ceil(F.col("cnt") / BLOCK), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int")
+    extra = ["set"] if exact else []
     parts = (members.withColumn("ch", F.pmod(F.xxhash64("node"), chunks).cast("int"))
              .withColumn("o", F.explode(F.sequence(F.lit(0), chunks - 1)))
              .select("bucket", "band", F.least("ch", "o").alias("i"), F.greatest("ch", "o").alias("j"), "ch", "node", "label")
-             .join(nodes.select("node", "sig"), "node")
+             .join(payload.select("node", "sig", *extra), "node")
              .repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j"))
 
+    def confirmed(a: np.ndarray, b: np.ndarray, sets: list[np.ndarray], label: np.ndarray) -> tuple[list[int], list[int]]:
+        found_a, found_b = [], []
+        order = np.argsort(a, kind="stable")
+        a, b = a[order], b[order]
+        edge = np.flatnonzero(np.append(np.append(True, a[1:] != a[:-1]), True)) if len(a) else np.zeros(1, np.int64)
+        for lo, hi in zip(edge.tolist(), edge[1:].tolist()):
+            own = sets[a[lo]]
+            size = np.array([len(sets[y]) for y in b[lo:hi]])
+            other = np.concatenate([sets[y] for y in b[lo:hi]])
+            place = np.minimum(np.searchsorted(own, other), len(own) - 1)
+            common = np.add.reduceat((own[place] == other).astype(np.int64), np.cumsum(size) - size)
+            hits = b[lo:hi][100 * common >= threshold * (len(own) + size - common)]
+            for y in hits[np.unique(label[hits], return_index=True)[1]].tolist():
+                found_a.append(int(a[lo]))
+                found_b.append(y)
+        return found_a, found_b
+
     def compare(t: pa.Table) -> list[tuple[bytes, bytes]]:
         sig, ch = _matrix(t.column("sig").combine_chunks()), np.asarray(t.column("ch"))
         node, band = t.column("node").to_pylist(), t.column("band")[0].as_py()
         label = np.asarray(t.column("label").combine_chunks().dictionary_encode().indices)
+        sets = [np.frombuffer(x, np.uint64) for x in t.column("set").to_pylist()] if exact else None
         i, j = t.column("i")[0].as_py(), t.column("j")[0].as_py()
         left, right = np.flatnonzero(ch == i), np.flatnonzero(ch == j)
         out = []
@@ -264,7 +285,10 @@ def block_pairs(members: DataFrame, nodes: DataFrame, least: list[int]) -> DataF
             a, b = a[ok], b[ok]
             same = (sig[a] == sig[b]).reshape(len(a), BANDS, BAND_ROWS).all(2)
             ok = np.argmax(same, 1) == band if len(a) else np.zeros(0, bool)  # each pair in its first common bucket only
-            out += [(min(node[x], node[y]), max(node[x], node[y])) for x, y in zip(a[ok].tolist(), b[ok].tolist())]
+            a, b = a[ok], b[ok]
+            if exact:
+                a, b = confirmed(a, b, sets, label)
+            out += [(min(node[x], node[y]), max(node[x], node[y])) for x, y in zip(list(a), list(b))]
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -307,39 +331,31 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.min("__id").alias("rep"), F.first("n").alias("n"), F.first("sig").alias("sig"), F.count(F.lit(1)).alias("docs")),
         "mh-nodes")
 
-    def in_bands(frame: DataFrame, count: int) -> DataFrame:
-        pick = F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
-        cut = F.substring(F.col("sig"), F.col("band") * (4 * BAND_ROWS) + 1, F.lit(4 * BAND_ROWS))
-        return frame.select("node", "sig", pick.alias("band")).select("node", "band", F.xxhash64(cut, "band").alias("bucket"))
-
-    spread = in_bands(nodes, BANDS)
-    shared = (spread.groupBy("bucket").agg(F.count(F.lit(1)).alias("cnt"),
-                                           F.min(F.struct(F.xxhash64("node", "bucket").alias("h"), F.col("node"))).alias("hub"))
-              .filter("cnt > 1").select("bucket", "cnt", F.col("hub.node").alias("hub")))
+    cut = F.substring(F.col("sig"), F.col("band") * (4 * BAND_ROWS) + 1, F.lit(4 * BAND_ROWS))
+    spread = nodes.select("node", "sig", "n", F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band")) \
+        .select("node", "n", "band", F.xxhash64(cut, "band").alias("bucket"))
+    rank = F.xxhash64("node", F.col("band") % HUB_ORDERS)
+    shared = (spread.groupBy("bucket").agg(F.count(F.lit(1)).alias("cnt"), F.sum("n").alias("total"),
+                                           F.min(F.struct(rank.alias("h"), F.col("node"))).alias("hub"))
+              .filter("cnt > 1").select("bucket", "cnt", "total", F.col("hub.node").alias("hub")))
     members = write_scratch(spread.join(write_scratch(shared, "mh-buckets"), "bucket"), "mh-members")
-    sets = write_scratch(full_sets(docs, members.select("node").distinct().join(nodes, "node").select("node", "rep"),
-                                   id_col, text_col), "mh-sets")
-    links, roots = None, rows.sparkSession.createDataFrame([], "node binary, root binary")
-    tried = None
-    for found in ("first", "all", "blocks"):
-        if found == "blocks":
-            marked = write_scratch(labelled(members, roots, "node", "label"), "mh-marked")
-            mixed = marked.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")) \
-                .filter("lo != hi").select("bucket")
-            pairs = block_pairs(marked.join(mixed, "bucket"), nodes, least)
-            pairs = pairs.distinct().join(tried, ["a", "b"], "left_anti")
-        else:
-            star = members if found == "all" else members.filter(F.col("band") < FIRST_BANDS)
-            pairs = star.filter("node != hub").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-            if found == "all":
-                pairs = labelled(labelled(pairs, roots, "a", "la"), roots, "b", "lb").filter("la != lb").select("a", "b")
-            pairs = prune(pairs, nodes, least, threshold)
-        pairs = write_scratch(pairs, "mh-pairs")
-        tried = pairs if tried is None else tried.unionAll(pairs)
-        new = write_scratch(confirm(pairs, sets, threshold), "mh-links")
-        links = new if links is None else links.unionAll(new)
-        if not new.isEmpty():
-            roots = write_scratch(components(links), "mh-roots")
+    met = members.select("node").distinct()
+    sets = write_scratch(full_sets(docs, nodes.select("node", "rep").join(met, "node", "left_semi"), id_col, text_col)
+                         .join(nodes.select("node", "sig"), "node"), "mh-sets")
+    star = members.filter("node != hub").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+    pairs = write_scratch(prune(star, nodes, least, threshold), "mh-pairs")
+    links = write_scratch(confirm(pairs, sets.select("node", "set"), threshold), "mh-links")
+    roots = write_scratch(components(links), "mh-roots")
+    marked = write_scratch(labelled(members, roots, "node", "label"), "mh-marked")
+    mixed = marked.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo != hi")
+    open_ = write_scratch(marked.join(mixed.select("bucket"), "bucket", "left_semi"), "mh-open")
+    pairs = write_scratch(block_pairs(open_.filter(F.col("cnt") <= SMALL), nodes, least, threshold, False).distinct(), "mh-pairs")
+    more = write_scratch(confirm(pairs, sets.select("node", "set"), threshold)
+                         .unionAll(block_pairs(open_.filter(F.col("cnt") > SMALL), sets, least, threshold, True)), "mh-links")
+    if not more.isEmpty():
+        # The first components stand for their links.
+        joined = roots.filter("node != root").select(F.col("node").alias("a"), F.col("root").alias("b"))
+        roots = write_scratch(components(joined.unionAll(more)), "mh-roots")
     heads = labelled(nodes.select("node", "rep", "docs"), roots, "node", "root")
     # Only nodes of several documents or with links change an id.
     heads = heads.join(roots.select(F.col("node").alias("__l")), F.col("node") == F.col("__l"), "left") \

@@ -231,9 +231,10 @@ def near_rows():
     return rows
 
 
-@pytest.mark.parametrize("block", [1024, 4])
-def test_near_duplicates_brute_force(spark, monkeypatch, block):
+@pytest.mark.parametrize("block,small", [(1024, 64), (4, 64), (7, 1)])
+def test_near_duplicates_brute_force(spark, monkeypatch, block, small):
     monkeypatch.setattr(minhash_dedup, "BLOCK", block)
+    monkeypatch.setattr(minhash_dedup, "SMALL", small)
     rows = near_rows()
     docs = frame(spark, [(*r, "en", "s") for r in rows])
     got = Counter((r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in minhash_dedup.near_duplicates(docs).collect())
@@ -242,9 +243,11 @@ def test_near_duplicates_brute_force(spark, monkeypatch, block):
     assert minhash_dedup.near_duplicates(docs.limit(0)).count() == 0
 
 
-def test_near_duplicates_blocks_alone_find_links(spark, monkeypatch):
+@pytest.mark.parametrize("small", [64, 1])
+def test_near_duplicates_blocks_alone_find_links(spark, monkeypatch, small):
     """Without hubs, the block comparison has to find every link."""
     monkeypatch.setattr(minhash_dedup, "BLOCK", 8)
+    monkeypatch.setattr(minhash_dedup, "SMALL", small)
     rows = near_rows()
     docs = frame(spark, [(*r, "en", "s") for r in rows])
     monkeypatch.setattr(minhash_dedup, "prune", lambda pairs, *rest: pairs.limit(0))
