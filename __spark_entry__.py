@@ -274,7 +274,10 @@ def q_catalog_report(spark, sf_dir):
     spark.sql(f"CREATE OR REPLACE VIEW {quote_ident(ns, 'orphan_view')} AS "
               f"SELECT * FROM {quote_ident(ns, 'gone')}")
     spark.sql(f"DROP TABLE {quote_ident(ns, 'gone')}")
-    return catalog_report(spark, ns).select("name", "kind", "n_columns", "n_rows")
+    return catalog_report(spark, ns).select(
+        "name", "kind", "n_columns", "n_rows", F.col("definition").isNotNull().alias("defined"),
+        F.coalesce(F.col("n_files") > 0, F.lit(False)).alias("has_files"),
+        F.coalesce(F.col("bytes") > 0, F.lit(False)).alias("has_bytes"))
 
 
 def _sanitize_input(spark, sf_dir, unsigned: bool) -> str:
@@ -606,6 +609,7 @@ _ORACLE: dict[str, str] = {
         SELECT user_id, count(*) AS n, round(sum(value), 2) AS total_value
         FROM events GROUP BY user_id""",
     "catalog_report": """
+        SELECT *, true AS defined, kind = 'table' AS has_files, kind = 'table' AS has_bytes FROM (
         SELECT 'events' AS name, 'table' AS kind,
                CAST((SELECT count(*) FROM information_schema.columns
                      WHERE table_name = 'events') AS INTEGER) AS n_columns,
@@ -624,7 +628,7 @@ _ORACLE: dict[str, str] = {
                      WHERE table_name = 'events') AS INTEGER), count(*)
         FROM events WHERE value > 50
         UNION ALL
-        SELECT 'orphan_view', 'view', CAST(NULL AS INTEGER), CAST(NULL AS BIGINT)""",
+        SELECT 'orphan_view', 'view', CAST(NULL AS INTEGER), CAST(NULL AS BIGINT))""",
     "sanitize_timestamp": "SELECT * EXCLUDE (value), round(value, 6) AS value FROM events",
     "sanitize_decimal": """
         SELECT CAST(event_id AS DECIMAL(20,0)) AS event_id, CAST(user_id AS DECIMAL(20,0)) AS user_id,

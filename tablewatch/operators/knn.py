@@ -33,6 +33,7 @@ from tablewatch.params import Cols, Scale
 D = "_tw_d"
 RK = "_tw_rk"
 CELL = "_tw_cell"
+TIE = "_tw_tie"
 
 
 def _base(scored: DataFrame, cols: Cols) -> DataFrame:
@@ -40,6 +41,17 @@ def _base(scored: DataFrame, cols: Cols) -> DataFrame:
                            [cols.sys, cols.ts, cols.x, *cols.tie_break, "z"]])
 
 
+def _in_order(base: DataFrame, cols: Cols, *first: str) -> tuple[DataFrame, list[str]]:
+    """Rows with a total order: without tie-break columns, rows that tie are
+    ordered by a hash of the whole row, so that a large group of ties can
+    still be split and reruns agree."""
+    order = [*first, cols.ts, *cols.tie_break]
+    if cols.tie_break:
+        return base, order
+    row = F.xxhash64(*[F.col(quote_ident(c)) for c in base.columns])
+    return base.withColumn(TIE, row), [*order, TIE]
+
+
 def _out_cols(cols: Cols) -> list[str]:
     return [cols.sys, cols.ts, cols.x, *cols.tie_break, "z", "knn_dist"]
 
@@ -48,16 +60,16 @@ def knn_time_scores(scored: DataFrame, cols: Cols, k: int = 5, scale: Scale = Sc
                     sizes=None) -> DataFrame:
     """Every row with knn_dist = mean of the k smallest |z - z'| among the k
     previous and k next rows of its system in time (NULL if none)."""
-    nd = neighbor_diffs(_base(scored, cols), [cols.sys], [cols.ts, *cols.tie_break], "z", k, D,
-                        scale, sizes=sizes)
+    base, order = _in_order(_base(scored, cols), cols)
+    nd = neighbor_diffs(base, [cols.sys], order, "z", k, D, scale, sizes=sizes)
     return nd.withColumn("knn_dist", mean_k_smallest(F.col(D), k)).select(*_out_cols(cols))
 
 
 def knn_exact_scores(scored: DataFrame, cols: Cols, k: int = 5, scale: Scale = Scale(),
                      sizes=None) -> DataFrame:
     """knn_dist = mean distance to the k nearest rows of the system by z."""
-    nd = neighbor_diffs(_base(scored, cols), [cols.sys], ["z", cols.ts, *cols.tie_break], "z",
-                        k, D, scale, sizes=sizes)
+    base, order = _in_order(_base(scored, cols), cols, "z")
+    nd = neighbor_diffs(base, [cols.sys], order, "z", k, D, scale, sizes=sizes)
     return nd.withColumn("knn_dist", mean_k_smallest(F.col(D), k)).select(*_out_cols(cols))
 
 
@@ -89,9 +101,9 @@ def knn_lsh_scores(scored: DataFrame, cols: Cols, k: int = 5, bucket: float = 1.
     # Cells are contiguous in z order, so the window over the system in z
     # order, counting only neighbours of the same cell, is the per-cell
     # window; it shares the system partitioning with the rank cut.
-    nd = neighbor_diffs(small_rows.withColumn(CELL, cell), [cols.sys],
-                        ["z", cols.ts, *cols.tie_break], "z", k, D, scale, sizes=small_sizes,
-                        same=CELL)
+    ordered, order = _in_order(small_rows, cols, "z")
+    nd = neighbor_diffs(ordered.withColumn(CELL, cell), [cols.sys], order, "z", k, D, scale,
+                        sizes=small_sizes, same=CELL)
     near = F.filter(F.col(D), lambda d: d < F.lit(dist_thresh))
     dist = mean_k_smallest(near, k)
     if isolated is not None:

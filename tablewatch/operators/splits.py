@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 
 from tablewatch.functions.exprs import quote_ident
 from tablewatch.operators.joins import attach_small, materialize, materialize_observed
+from tablewatch.session import scratch_path
 from tablewatch.params import Scale
 
 N = "_tw_n"
@@ -243,12 +244,16 @@ def percent_rank_at_least(df: DataFrame, part: list[str], key: str, cutoff: floa
     big, g, _ = _big_groups(sizes, scale)
     if g == 0:
         return _plain_percent_rank(df, part, key, cutoff, out)
-    # The split plan reads its input several times; compute it once and cut
-    # the lineage (reliable checkpoint: survives a lost executor).
-    df = materialize(df)
-    small_rows = attach_small(df, big.select(*part), part, "left_anti", scale=scale, n_rows=g)
+    keys = big.select(*part)
+    small_rows = attach_small(df, keys, part, "left_anti", scale=scale, n_rows=g)
     ranked_small = _plain_percent_rank(small_rows, part, key, cutoff, out)
-    big_rows = attach_small(df, big, part, "inner", scale=scale, n_rows=g)
+    # The split plan reads the big groups' rows several times: they are kept
+    # as Parquet in the shared scratch folder.  The semi and anti joins on the
+    # group reach below windows over it, so no row is scored twice.
+    path = scratch_path(df.sparkSession, "ranked")
+    attach_small(df, keys, part, "left_semi", scale=scale, n_rows=g).write.parquet(path)
+    kept = df.sparkSession.read.schema(df.schema).parquet(path)
+    big_rows = attach_small(kept, big, part, "inner", scale=scale, n_rows=g)
 
     frac = cutoff - _margin(cutoff, scale)
     thresholds = None

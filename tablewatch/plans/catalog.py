@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewatch.functions.exprs import quote_ident
+from tablewatch.sources.files import PARQUET_GLOB, list_files
+from tablewatch.sources.footers import read_footers
 
 REPORT_SCHEMA = ("name string, kind string, n_columns int, n_files bigint, bytes bigint, "
                  "n_rows bigint, definition string")
@@ -59,9 +61,16 @@ def definition(spark: SparkSession, namespace: str | None, name: str) -> str | N
         return None
 
 
-def _table_stats(df: DataFrame) -> DataFrame:
-    """n_files, bytes, n_rows of a file-based table from ``_metadata``; no
-    column is read, row counts come from the Parquet row groups."""
+def _table_stats(spark: SparkSession, df: DataFrame, location: str | None) -> DataFrame:
+    """n_files, bytes and n_rows of a table over Parquet files from the files'
+    footers; of any other table by counting."""
+    if location:
+        files = list_files(spark, location, PARQUET_GLOB)
+        foot = read_footers(spark, files)
+        return files.join(foot, "path", "left").agg(
+            F.count(F.lit(1)).cast("bigint").alias("n_files"),
+            F.sum("size").cast("bigint").alias("bytes"),
+            F.coalesce(F.sum("n_rows"), F.lit(0)).cast("bigint").alias("n_rows"))
     per_file = df.select(F.col("_metadata.file_path").alias("p"),
                          F.col("_metadata.file_size").alias("s")).groupBy("p", "s").count()
     return per_file.agg(F.count(F.lit(1)).cast("bigint").alias("n_files"),
@@ -69,6 +78,13 @@ def _table_stats(df: DataFrame) -> DataFrame:
                         F.sum("count").cast("bigint").alias("n_rows"))
 
 
+def parquet_location(spark: SparkSession, namespace: str, name: str) -> str | None:
+    """Where a Parquet table's files are; None for other tables."""
+    rows = {r[0]: r[1] for r in
+            spark.sql(f"DESCRIBE TABLE EXTENDED {quote_ident(namespace, name)}").collect()}
+    return rows.get("Location") if (rows.get("Provider") or "").lower() == "parquet" else None
+
+
 def catalog_report(spark: SparkSession, namespace: str) -> DataFrame:
     """name, kind ('table'/'view'), n_columns, n_files, bytes, n_rows,
     definition for every table and view of ``namespace``.  A view whose
@@ -83,7 +99,7 @@ def catalog_report(spark: SparkSession, namespace: str) -> DataFrame:
             df = spark.table(quote_ident(namespace, name))
             n_cols = len(df.columns)
             if kind == "table":
-                stats = _table_stats(df)
+                stats = _table_stats(spark, df, parquet_location(spark, namespace, name))
             else:
                 stats = df.agg(F.lit(None).cast("bigint").alias("n_files"),
                                F.lit(None).cast("bigint").alias("bytes"),

@@ -8,7 +8,9 @@ a laptop — do we create a private one.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -83,6 +85,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder that all nodes share")
         configured = tempfile.mkdtemp(prefix="tablewatch-ckpt-")
+        atexit.register(shutil.rmtree, configured, ignore_errors=True)  # ours alone
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
