@@ -20,8 +20,8 @@ worst spans and its length (longer texts have a worse worst span by chance),
 fitted on a quarter of the sample that the SVM does not see.
 
 Bounds: at most ``sample`` toxic and three times as many clean labelled
-documents train (smallest hashes of the ids), and at most ``spans`` spans of
-each kind reach the driver.
+documents train (smallest hashes of the ids), near copies among them left out, and at most ``spans``
+spans of each kind reach the driver.
 
 Defined cases: null or empty text, or text without letters, has the score of
 a document without any span (low); repeated rows are scored one by one; null
@@ -43,9 +43,13 @@ from pyspark.sql import types as T
 
 from tablewatch.llm.common import (HashCache, fold, mix64, slices, text_key, texts_of, token_hashes, without,
                                    write_scratch)
+from tablewatch.llm.minhash_dedup import shingle_sets
 
 SAMPLE = 3000
-SPANS = 15_000
+SPANS = 12_000
+LEAST_TOXIC = 200  # toxic texts that are no copies, below which copies train too (if they are the larger half)
+SPAN_ROWS = 4000  # spans scored at a time
+KERNEL_ROWS = 100  # words whose kernel values are computed at a time
 LANDMARKS = 256
 DECAY = 0.6
 SPAN = 32
@@ -106,8 +110,10 @@ class Model:
         """Decision value per word: its worst window."""
         parts = [windows(normal(w)) for w in words]
         flat = [p for ps in parts for p in ps]
-        who, what, weight = subsequences(flat)
-        value = np.bincount(who, weight * self.table[what], len(flat)) + self.bias
+        value = np.full(len(flat), self.bias)
+        for k in range(0, len(flat), SPAN_ROWS):
+            who, what, weight = subsequences(flat[k:k + SPAN_ROWS])
+            value[k:k + SPAN_ROWS] += np.bincount(who, weight * self.table[what], len(flat[k:k + SPAN_ROWS]))
         if len(flat) == len(parts):
             return value
         begin = np.cumsum([0] + [len(ps) for ps in parts[:-1]])
@@ -183,8 +189,8 @@ def kernel(words: list[bytes], marks: list[bytes]) -> np.ndarray:
     side = np.zeros((len(ids), len(marks)), np.float32)
     np.add.at(side, (index[what], who), weight)
     out = np.zeros((len(words), len(marks)), np.float32)
-    for k in range(0, len(words), 500):
-        who, what, weight = subsequences(words[k:k + 500])
+    for k in range(0, len(words), KERNEL_ROWS):
+        who, what, weight = subsequences(words[k:k + KERNEL_ROWS])
         hit = np.flatnonzero(index[what] >= 0)
         hit = hit[np.argsort(who[hit], kind="stable")]
         if len(hit):
@@ -200,25 +206,32 @@ def farthest(words: list[bytes], count: int) -> list[bytes]:
     words = words[:600]
     if len(words) <= count:
         return words
-    k = kernel(words, words)
-    near, chosen = k[0].copy(), [0]
-    while len(chosen) < count:
-        i = int(np.argmin(near))
-        chosen.append(i)
-        near = np.maximum(near, k[i])
-    return [words[i] for i in chosen]
+    who, what, weight = subsequences(words)
+    near, chosen = np.full(len(words), -1.0), [0]
+    while True:
+        own = who == chosen[-1]
+        table = np.bincount(what[own], weight[own], 1 << TABLE_BITS)
+        near = np.maximum(near, np.bincount(who, weight * table[what], len(words)))
+        if len(chosen) == count:
+            return [words[i] for i in chosen]
+        chosen.append(int(np.argmin(near)))
 
 
 def svm(z: np.ndarray, y: np.ndarray, cost: np.ndarray) -> np.ndarray:
     """Weights of an L2 SVM with squared hinge loss (last column: bias)."""
-    z = np.concatenate([z, np.ones((len(z), 1), z.dtype)], 1).astype(np.float64)
-    w = np.zeros(z.shape[1])
-    ridge = np.eye(z.shape[1])
+    w = np.zeros(z.shape[1] + 1)
+    ridge = np.eye(len(w))
     ridge[-1, -1] = 1e-3
     for _ in range(25):
-        active = y * (z @ w) < 1
-        za = z[active] * cost[active][:, None]
-        new = np.linalg.solve(ridge + za.T @ z[active], za.T @ y[active])
+        active = np.flatnonzero(y * (z @ w[:-1] + w[-1]) < 1)
+        gram, goal = ridge.copy(), np.zeros(len(w))
+        for k in range(0, len(active), 2000):
+            rows = active[k:k + 2000]
+            part = np.concatenate([z[rows], np.ones((len(rows), 1), z.dtype)], 1).astype(np.float64)
+            weighed = part * cost[rows][:, None]
+            gram += weighed.T @ part
+            goal += weighed.T @ y[rows]
+        new = np.linalg.solve(gram, goal)
         done = np.allclose(new, w, atol=1e-6)
         w = new
         if done:
@@ -232,7 +245,7 @@ def train(positive: list[bytes], negative: list[bytes], marks: int = LANDMARKS,
     values, vectors = np.linalg.eigh(kernel(land, land).astype(np.float64))
     ok = values > 1e-4 * values.max()
     root = vectors[:, ok] / np.sqrt(values[ok])
-    z = kernel(words, land).astype(np.float64) @ root
+    z = kernel(words, land) @ root.astype(np.float32)
     y = np.concatenate([np.ones(len(positive)), -np.ones(len(negative))])
     w = svm(z, y, np.where(y > 0, cost * len(y) / (2 * len(positive)), cost * len(y) / (2 * len(negative))))
     beta = root @ w[:-1]
@@ -257,15 +270,40 @@ def calibrate(x: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, id_col: str, text_col: str, folds: int,
                     held: int, sample: int) -> DataFrame:
     """Texts and labels of at most ``sample`` toxic and three times as many
-    clean labelled documents."""
+    clean labelled documents, copies aside."""
     marked = labels.filter(F.col(label).isNotNull() & F.col(id_col).isNotNull() & (fold(F.col(id_col), folds) != held)) \
         .select(F.col(id_col).alias("__label_id"), F.col(label).cast("int").alias("__y"))
     order = (F.xxhash64("__label_id"), "__label_id")
     ids = write_scratch(marked.filter("__y = 1").orderBy(*order).limit(sample)
                         .unionAll(marked.filter("__y = 0").orderBy(*order).limit(3 * sample)), "tox-ids")
-    return write_scratch(docs.join(F.broadcast(ids), F.col(id_col) == F.col("__label_id"))
-                         .select(F.col(text_col).alias("__text"), "__y",
+    rows = write_scratch(docs.join(F.broadcast(ids), F.col(id_col) == F.col("__label_id"))
+                         .select(F.col(text_col).alias("__text"), "__y", F.xxhash64("__label_id", text_col).alias("__row"),
                                  (F.pmod(F.xxhash64("__label_id"), F.lit(4)) == 0).alias("__aside")), "tox-sample")
+    return without_copies(rows)
+
+
+def without_copies(rows: DataFrame) -> DataFrame:
+    """Drops sampled texts that share a MinHash value with another: many
+    copies of one toxic text would make all of its words look like insults."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, ids = texts_of(batch.column("__text")), batch.column("__row")
+            for lo, hi in slices(texts):
+                key, begin = shingle_sets(token_hashes(texts[lo:hi]), hi - lo)
+                some = np.flatnonzero(np.diff(begin))
+                least = [np.minimum.reduceat(mix64(key + np.uint64(k)), begin[some]).view(np.int64) for k in range(4)] \
+                    if len(some) else [np.zeros(0, np.int64)] * 4
+                yield pa.RecordBatch.from_arrays(
+                    [pa.concat_arrays([ids.slice(lo, hi - lo).take(pa.array(some))] * 4), pa.array(np.concatenate(least)),
+                     pa.array(np.repeat(np.arange(4), len(some)), pa.int32())], names=["id", "m", "k"])
+
+    marks = rows.select("__text", "__row").mapInArrow(run, "id bigint, m bigint, k int")
+    first = marks.groupBy("m", "k").agg(F.min("id").alias("first"))
+    copies = marks.join(first, ["m", "k"]).filter("id != first").select("id").distinct()
+    single = write_scratch(rows.join(copies, F.col("__row") == F.col("id"), "left_anti"), "tox-single")
+    # Where most of the sample is copies (boilerplate corpora), copies are all there is to learn from.
+    toxic, left = (x.filter("__y = 1").count() for x in (rows, single))
+    return single if left >= min(LEAST_TOXIC, toxic / 2) else rows
 
 
 def evidence_of(docs: DataFrame, model: Model, text_col: str) -> DataFrame:
