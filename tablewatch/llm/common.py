@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from tablewatch.session import scratch_path
 
+BROADCAST_KEYS = 500_000  # of an id and a 64-bit hash each
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 _WS = np.zeros(256, bool)
@@ -160,8 +161,13 @@ def text_key(text: Column) -> Column:
 
 def without(docs: DataFrame, rejected: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Rows of ``docs`` whose id and text are not among ``rejected`` (id and
-    ``__text_key``); null ids compare as equal."""
-    gone = rejected.select(F.col(id_col).alias("__gone_id"), F.col("__text_key").alias("__gone_key")).distinct()
+    ``__text_key``); null ids compare as equal.  The rejected keys are written
+    and counted first: up to ``BROADCAST_KEYS`` they are broadcast and no text
+    is shuffled."""
+    gone = write_scratch(rejected.select(F.col(id_col).alias("__gone_id"), F.col("__text_key").alias("__gone_key")).distinct(),
+                         "rejected")
+    if gone.count() <= BROADCAST_KEYS:
+        gone = F.broadcast(gone)
     return docs.join(gone, F.col(id_col).eqNullSafe(F.col("__gone_id"))
                      & (text_key(F.col(text_col)) == F.col("__gone_key")), "left_anti")
 
