@@ -127,7 +127,7 @@ def windows(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
     """One row per window: conversation, window, formatted text, loss mask
     (start and length of each target in code points), counts."""
     turns = turns.select(F.col(conv_col).alias("conv"), F.col(turn_col).alias("turn"), F.col(role_col).alias("role"), F.col(text_col).alias("text"))
-    rows = write_scratch(_sums(turns, tokenizers), "chat-sums")
+    rows = _sums(turns, tokenizers)  # a scan of what it has written
     lead = F.col("place").eqNullSafe(F.lit(0)) & (F.col("role") == "system")
     heads = rows.filter(lead).select(F.col("conv").alias("hc"), F.col("tokens").alias("ht"), F.struct("place", "role", "text", "tokens").alias("head"))
     body = rows.filter(~lead).join(heads.select("hc", "ht"), F.col("conv").eqNullSafe(F.col("hc")), "left").drop("hc")
