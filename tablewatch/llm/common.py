@@ -172,6 +172,24 @@ def without(docs: DataFrame, rejected: DataFrame, id_col: str, text_col: str) ->
                      & (text_key(F.col(text_col)) == F.col("__gone_key")), "left_anti")
 
 
+_HELD: dict = {}
+
+
+def held(key, make):
+    """A worker's large tables, one at a time: those of an earlier stage are
+    let go before ``make`` builds new ones."""
+    if key not in _HELD:
+        release()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
+def release() -> None:
+    """Lets go of held tables and of the Arrow pool's unused memory."""
+    _HELD.clear()
+    pa.default_memory_pool().release_unused()
+
+
 class HashCache:
     """A worker's memory of one number per word hash, emptied beyond
     ``limit`` words."""

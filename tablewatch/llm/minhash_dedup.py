@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewatch.llm.common import (WORD_PATTERN, Tokens, mix64, slices, text_key, texts_of, token_hashes, without,
+from tablewatch.llm.common import (WORD_PATTERN, Tokens, mix64, release, slices, text_key, texts_of, token_hashes, without,
                                    write_scratch)
 
 BANDS, BAND_ROWS = 28, 4
@@ -115,6 +115,7 @@ def signed(docs: DataFrame, id_col: str, text_col: str, keep: tuple[str, ...]) -
         T.StructField("n", T.LongType()), T.StructField("node", T.BinaryType()), T.StructField("sig", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             texts = texts_of(batch.column("__text"))
             rest = batch.drop_columns(["__text"])

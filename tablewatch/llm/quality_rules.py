@@ -25,6 +25,7 @@ from __future__ import annotations
 import base64
 import itertools
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewatch.llm.common import (Tokens, per_doc, repeated_words, slices, text_key, texts_of, token_hashes,
+from tablewatch.llm.common import (Tokens, held, per_doc, repeated_words, slices, text_key, texts_of, token_hashes,
                                    without, write_scratch)
 
 TOKENIZERS = "/opt/tokenizers"
@@ -41,7 +42,7 @@ BYTE_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|
 LANGUAGES = ("de", "en", "es", "fr", "it", "nl", "pl", "pt", "ru", "tr", "uk", "zh", "ja", "ko", "ar", "hi")
 SYMBOLS = b"#*$%&|<>"
 LONG_WORD = 128
-CACHE_WORDS = 500_000
+CACHE_WORDS = 300_000
 
 METRICS = ("chars_per_token", "chars_per_piece", "symbol_share", "fallback_share", "entropy")
 # Accepted distance from the quartiles, in interquartile ranges, below and
@@ -57,8 +58,6 @@ class Vocabularies:
     """Both vocabularies, built in a worker from the files' bytes, and what
     recent words encode to: arrays sorted by word hash."""
 
-    _made: dict[int, Vocabularies] = {}
-
     def __init__(self, ranks: bytes, model: bytes):
         import sentencepiece
         import tiktoken
@@ -75,10 +74,7 @@ class Vocabularies:
 
     @classmethod
     def get(cls, ranks: bytes, model: bytes) -> Vocabularies:
-        key = hash((ranks, model))
-        if key not in cls._made:
-            cls._made[key] = cls(ranks, model)
-        return cls._made[key]
+        return held((cls.__name__, hash((ranks, model))), lambda: cls(ranks, model))
 
     def clear(self) -> None:
         self.keys = np.zeros(0, np.uint64)
@@ -204,6 +200,7 @@ def fertility(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
                 yield pa.RecordBatch.from_arrays(
                     own.columns + [pa.array(m[c], pa.int64()) for c in _LONGS] + [pa.array(m[c], pa.float64()) for c in METRICS],
                     names=own.schema.names + list(_LONGS) + list(METRICS))
+        vocab.clear()
 
     return source.mapInArrow(run, schema)
 
@@ -243,14 +240,14 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     fence = bands(measured)
     edges = [c for c in fence.columns if c.startswith(("__lo_", "__hi_"))]
     rows = measured.withColumn("__len", length_class())
-    for level, keys in ((0, ("__group", "__len")), (1, ("__group",)), (3, ())):
+    for level, keys in ((0, ("__group", "__len")), (1, ("__group",))):
         part = fence.filter(F.col("__level") == level).select(
             *[F.col(k).alias(f"__{level}{k}") for k in keys], F.struct(*edges).alias(f"__e{level}"))
-        on = F.lit(True)
-        for k in keys:
-            on = on & (F.col(k) == F.col(f"__{level}{k}"))
+        on = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"__{level}{k}") for k in keys])
         rows = rows.join(F.broadcast(part), on, "left")
-    e = F.coalesce(F.col("__e0"), F.col("__e1"), F.col("__e3"))
+    widest = fence.filter(F.col("__level") == 3).first()  # one row, none without documents
+    e3 = F.struct(*[F.lit(widest[c] if widest else None).cast("double").alias(c) for c in edges])
+    e = F.coalesce(F.col("__e0"), F.col("__e1"), e3)
     inside = F.lit(True)
     for c in METRICS:
         inside = inside & F.coalesce((F.col(c) >= e[f"__lo_{c}"]) & (F.col(c) <= e[f"__hi_{c}"]), F.lit(True))

@@ -37,19 +37,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewatch.llm.common import hash_spans, slices, texts_of
+from tablewatch.llm.common import hash_spans, held, slices, texts_of
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-CACHE_SEGMENTS = 400_000
-BATCH_BYTES = 4 << 20
+CACHE_SEGMENTS = 250_000
+BATCH_BYTES = 3 << 20
+SEGMENTS = 50_000  # segments indexed at a time
 
 
 class Pieces:
     """A vocabulary: pieces, merge trees and the pair table."""
 
-    _made: dict[int, Pieces] = {}
-
     def __init__(self, pieces: list[str], scores: list[float], byte_ids: dict[int, int], n_special: int):
         self.byte_id = np.array([byte_ids[b] for b in range(256)], np.int64)
         special = set(range(n_special)) | set(byte_ids.values())
@@ -107,10 +106,7 @@ class Pieces:
 
     @classmethod
     def get(cls, spec: tuple) -> Pieces:
-        key = hash((tuple(spec[0]), tuple(spec[1])))
-        if key not in cls._made:
-            cls._made[key] = cls(*spec)
-        return cls._made[key]
+        return held((cls.__name__, hash((tuple(spec[0]), tuple(spec[1])))), lambda: cls(*spec))
 
     @staticmethod
     def _derive(piece: str, own: dict[str, int], scores: list[float]) -> tuple[int, int] | None:
@@ -197,7 +193,9 @@ class Pieces:
         known[known] = self.keys[place[known]] == hashes[known]
         new = np.flatnonzero(~known)
         if len(new):
-            ids, size = self.encode_segments([text_of(i) for i in new.tolist()])
+            made = [self.encode_segments([text_of(i) for i in new[k:k + SEGMENTS].tolist()])
+                    for k in range(0, len(new), SEGMENTS)]
+            ids, size = (np.concatenate([m[j] for m in made]) for j in (0, 1))
             keys = np.concatenate([self.keys, hashes[new]])
             order = np.argsort(keys, kind="stable")
             self.keys = keys[order]
@@ -389,7 +387,8 @@ def encode(docs: DataFrame, text_col: str = "text", out_col: str = "piece_ids",
                 columns = [*keep.slice(lo, hi - lo).columns, lists]
                 if check:
                     columns.append(pa.array([a == b for a, b in zip(pieces.decode(ids, begin), own)]))
-                yield pa.RecordBatch.from_arrays(columns, schema=None, names=schema.names)
+                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+        pieces.clear()
 
     return docs.select(*rest, text_col).mapInArrow(run, schema)
 

@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewatch.llm.common import (HashCache, fold, mix64, slices, text_key, texts_of, token_hashes, without,
+from tablewatch.llm.common import (HashCache, fold, mix64, release, slices, text_key, texts_of, token_hashes, without,
                                    write_scratch)
 from tablewatch.llm.minhash_dedup import shingle_sets
 
@@ -313,6 +313,7 @@ def evidence_of(docs: DataFrame, model: Model, text_col: str) -> DataFrame:
     schema = docs.select(*rest).schema.add("__evidence", T.ArrayType(T.DoubleType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         cache = HashCache()
         for batch in batches:
             texts = texts_of(batch.column(text_col))
