@@ -63,7 +63,8 @@ def texts_of(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
-def token_hashes(texts: list[bytes], lower: bool = True) -> Tokens:
+def token_bounds(texts: list[bytes], lower: bool = True) -> Tokens:
+    """The words without their hashes."""
     t = Tokens()
     raw = b"".join(texts)
     buf = np.frombuffer(raw, np.uint8)
@@ -84,13 +85,19 @@ def token_hashes(texts: list[bytes], lower: bool = True) -> Tokens:
     t.end = np.flatnonzero(ends) + 1
     t.first = np.searchsorted(t.start, t.bounds)
     t.doc = np.repeat(np.arange(len(texts)), np.diff(t.first))
+    return t
+
+
+def token_hashes(texts: list[bytes], lower: bool = True) -> Tokens:
+    t = token_bounds(texts, lower)
+    buf = t.buf
     size = t.end - t.start
     if not len(size):
         t.hash = np.zeros(0, np.uint64)
         return t
     at = np.cumsum(size) - size
     offset = np.arange(int(size.sum())) - np.repeat(at, size)
-    part = _BYTE[buf[inside]] * _POS[offset & 1023]
+    part = _BYTE[buf[np.repeat(t.start, size) + offset]] * _POS[offset & 1023]
     if size.max() > 1024:
         part *= _POS_HIGH[(offset >> 10) & 4095]
     t.hash = mix64(np.add.reduceat(part, at) + size.astype(np.uint64))

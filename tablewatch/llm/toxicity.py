@@ -6,22 +6,27 @@ so that an insult with dropped, inserted or separated characters still shares
 most of its subsequences with the plain one.  A sentence is compared through its best
 matching span: a word, a run of single letters read together, or a 32-byte
 window of something longer.  Letters only, lower case, common digit-for-letter
-swaps undone.
+swaps undone.  Spans also cross word borders: two and three consecutive words
+with letters are read together without the space between them, so that a split
+insult equals the whole one and a phrase of ordinary words is a span of its own.
 
 Training sees labelled documents only, so sentences are labelled by witness:
 spans that labelled toxic documents hold far more often than clean ones stand
-for the toxic sentences, spans of clean documents for the others; a second
+for the toxic sentences, spans of clean documents for the others.  A span of
+several words is a witness only if no single word in it is.  A second
 round adds the clean spans that score highest.  Landmarks are picked
 farthest-first among both.  A linear SVM (squared hinge, Newton steps) on the
 Nyström features follows.  Its decision is linear in the kernel values, so all
 landmarks collapse into one table over hashed subsequences and a span's score
 is a sum of lookups.  A document's score is a logistic function of its three
-worst spans and its length (longer texts have a worse worst span by chance),
-fitted on a quarter of the sample that the SVM does not see.
+worst places (of the spans that begin at a word, the worst) and its length (longer texts have a worse worst span by
+chance), fitted on a quarter of the sample that the SVM does not see.
 
 Bounds: at most ``sample`` toxic and three times as many clean labelled
 documents train (smallest hashes of the ids), near copies among them left out, and at most ``spans``
-spans of each kind reach the driver.
+words and as many spans across borders of each kind reach the driver (witnesses by
+their evidence, clean words by hash, clean spans across borders by hash from one
+in ``PART``).
 
 Defined cases: null or empty text, or text without letters, has the score of
 a document without any span (low); repeated rows are scored one by one; null
@@ -41,8 +46,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewatch.llm.common import (HashCache, fold, mix64, release, slices, text_key, texts_of, token_hashes, without,
-                                   write_scratch)
+from tablewatch.llm.common import (_BYTE, fold, mix64, release, slices, text_key, texts_of, token_bounds, token_hashes,
+                                   without, write_scratch)
 from tablewatch.llm.minhash_dedup import shingle_sets
 
 SAMPLE = 3000
@@ -54,6 +59,9 @@ LANDMARKS = 256
 DECAY = 0.6
 SPAN = 32
 TABLE_BITS = 20
+GRAM = 3  # words read together at most
+PART = 16  # one in so many spans across word borders stands for the clean ones
+BLOCK = 16_000  # words whose spans are scored at a time
 
 # Characters commonly written for letters.
 _SWAPS = {ord(a): ord(b) for a, b in zip("013457@$!", "oieastasi")}
@@ -62,6 +70,16 @@ _DROP = bytes(i for i in range(128) if not (97 <= _MAP[i] <= 122))
 # Offsets of the subsequences: length -> longest stretch of text.
 _SHAPES = [(0, *inner, last) for length, reach in ((3, 5), (4, 6), (5, 6), (6, 7))
            for last in range(length - 1, reach) for inner in itertools.combinations(range(1, last), length - 2)]
+_REACH = 7
+_DECAYED = {shape: DECAY ** (shape[-1] + 1 - len(shape)) for shape in _SHAPES}
+# Length of a span of so many bytes in the kernel's space.
+_NORM = np.sqrt(np.maximum(1e-9, sum(np.maximum(0, np.arange(SPAN + 1) - shape[-1]) * w * w for shape, w in _DECAYED.items())))
+# Subsequences are hashed by adding one random number per place and byte.
+_rng = np.random.Generator(np.random.PCG64(90417))
+_PLACE = _rng.integers(0, 2**32, (6, 256), dtype=np.uint32)
+_LENGTH = _rng.integers(0, 2**32, 7, dtype=np.uint32)
+_BASE = _rng.integers(0, 2**63, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_UNBASE = np.uint64(pow(int(_BASE), -1, 2**64))
 
 
 def normal(word: bytes) -> bytes:
@@ -73,30 +91,87 @@ def windows(word: bytes) -> list[bytes]:
     return [word] if len(word) <= SPAN else [word[k:k + SPAN] for k in range(0, len(word) - SPAN // 2, SPAN // 2)]
 
 
+def hashed(place) -> Iterator[tuple[tuple[int, ...], np.ndarray]]:
+    """Each shape and the hashed subsequences it picks; ``place(j, k)`` gives
+    the numbers of the bytes at offset k as a subsequence's j-th."""
+    start: dict[tuple[int, ...], np.ndarray] = {}
+
+    def key(shape):
+        if shape not in start:
+            own = place(len(shape) - 1, shape[-1])
+            start[shape] = key(shape[:-1]) + own if len(shape) > 1 else own
+        return start[shape]
+
+    for shape in _SHAPES:
+        yield shape, (key(shape[:-1]) + place(len(shape) - 1, shape[-1]) + _LENGTH[len(shape)]) >> np.uint32(32 - TABLE_BITS)
+
+
+def placed(codes: np.ndarray):
+    """``place`` of every byte of ``codes``."""
+    rows = [p[np.concatenate([codes, np.zeros(_REACH, np.uint8)])] for p in _PLACE]
+    return lambda j, k: rows[j][k:k + len(codes)]
+
+
 def subsequences(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(word, hashed subsequence, weight) of all words; weights scaled so that
     each word's squares sum to one."""
     size = np.fromiter(map(len, words), np.int64, len(words))
-    codes = np.frombuffer(b"".join(words) + bytes(8), np.uint8).astype(np.uint64)
     at = np.arange(int(size.sum()))
     of = np.repeat(np.arange(len(words)), size)
     end = np.repeat(np.cumsum(size), size)
     who, what, weight = [], [], []
-    for shape in _SHAPES:
+    for shape, key in hashed(placed(np.frombuffer(b"".join(words), np.uint8))):
         i = at[at + shape[-1] < end]
-        key = np.full(len(i), len(shape), np.uint64)
-        for k in shape:
-            key = key * np.uint64(257) + codes[i + k]
         who.append(of[i])
-        what.append((mix64(key) >> np.uint64(64 - TABLE_BITS)).astype(np.int64))
-        weight.append(np.full(len(i), DECAY ** (shape[-1] + 1 - len(shape))))
+        what.append(key[i].astype(np.int64))
+        weight.append(np.full(len(i), _DECAYED[shape]))
     who, what, weight = np.concatenate(who), np.concatenate(what), np.concatenate(weight)
     norm = np.sqrt(np.maximum(np.bincount(who, weight * weight, len(words)), 1e-9))
     return who, what, weight / norm[who]
 
 
+class Letters:
+    """The words with letters of a batch of texts, normalised and end to end.
+
+    ``codes`` the letters, ``start`` (words + 1) each word's first, ``doc``
+    the text each word is of, ``tokens`` the texts' words.
+    """
+
+    __slots__ = ("codes", "start", "doc", "tokens")
+
+    def __init__(self, texts: list[bytes]):
+        lowered = [x if x.isascii() else x.decode("utf-8", "ignore").lower().encode() for x in texts]
+        self.tokens = t = token_bounds(lowered)
+        codes = _AS_LETTER[t.buf]
+        keep = codes != 0
+        before = np.zeros(len(codes) + 1, np.int64)
+        np.cumsum(keep, out=before[1:])
+        some = np.flatnonzero(before[t.end] > before[t.start]) if len(t.start) else np.zeros(0, np.int64)
+        self.codes, self.doc = codes[keep], t.doc[some]
+        self.start = np.append(before[t.start[some]], before[-1])
+
+    def spans(self, n: int, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Spans of ``n`` words of one text that begin at the words lo to hi:
+        (word, first letter, end, whether it begins the word); long ones in
+        windows."""
+        word = np.arange(lo, min(hi, len(self.doc) - n + 1))
+        word = word[self.doc[word] == self.doc[word + n - 1]]
+        a, b = self.start[word], self.start[word + n]
+        step = SPAN // 2
+        times = np.where(b - a < SPAN, 1, -(-(b - a + 1 - step) // step))
+        k = np.arange(int(times.sum())) - np.repeat(np.cumsum(times) - times, times)
+        word, a, b = np.repeat(word, times), np.repeat(a, times), np.repeat(b, times)
+        return word, a + step * k - (k > 0), np.minimum(b, a + step * k + SPAN - 1), k == 0
+
+    def text(self, a: int, b: int, head: bool) -> bytes:
+        return b" " * head + self.codes[a:b].tobytes()
+
+
+_AS_LETTER = np.frombuffer(bytes(0 if i in _DROP else c for i, c in enumerate(_MAP)), np.uint8)
+
+
 NOTHING = -2.0  # stands for a span where a text has fewer
-EVIDENCE = 4  # the three worst spans and the length
+EVIDENCE = 4  # the three worst places and the length
 
 
 @dataclass
@@ -119,6 +194,36 @@ class Model:
         begin = np.cumsum([0] + [len(ps) for ps in parts[:-1]])
         return np.maximum.reduceat(value, begin)
 
+    def worst(self, letters: Letters, lo: int, hi: int) -> np.ndarray:
+        """For the words lo to hi: decision value of the worst span, of one
+        word or across word borders, that begins there."""
+        last = min(hi + GRAM - 1, len(letters.doc))
+        base = int(letters.start[lo])
+        codes = letters.codes[base:letters.start[last]]
+        total = np.zeros((_REACH, len(codes) + 1))  # of the subsequences that begin before a letter, by reach
+        for shape, key in hashed(placed(codes)):
+            total[shape[-1], 1:] += self.table[key] * np.float32(_DECAYED[shape])
+        np.cumsum(total, axis=1, out=total)
+        begin = letters.start[lo:hi] - base
+        padded = np.concatenate([codes, np.zeros(_REACH, np.uint8)])
+        head = np.zeros((_REACH, hi - lo))  # of the subsequences that begin with the space before a word
+        for shape, key in hashed(lambda j, k: _PLACE[j][padded[begin + k - 1]] if k else np.full(hi - lo, _PLACE[j][32])):
+            head[shape[-1]] += self.table[key] * np.float32(_DECAYED[shape])
+        out = np.full(hi - lo, -np.inf)
+        for n in range(1, GRAM + 1):
+            word, a, b, first = letters.spans(n, lo, hi)
+            if not len(word):
+                continue
+            a, b = a - base, b - base
+            value = np.zeros(len(word))
+            for reach in range(2, _REACH):
+                value += total[reach][np.maximum(b - reach, a)] - total[reach][a]
+                value += head[reach][word - lo] * (first & (b - a >= reach))
+            value = value / _NORM[b - a + first] + self.bias
+            new = np.flatnonzero(np.diff(word, prepend=-1))
+            out[word[new] - lo] = np.maximum(out[word[new] - lo], np.maximum.reduceat(value, new))
+        return out
+
 
 def spelled(t) -> tuple[list[int], list[bytes]]:
     """Runs of three or more single letters, read together: (text, letters)."""
@@ -135,19 +240,34 @@ def spelled(t) -> tuple[list[int], list[bytes]]:
     return docs, runs
 
 
-def evidence(texts: list[bytes], model: Model, cache: HashCache) -> np.ndarray:
-    """Per text the three largest decision values of its spans, and the log of
-    its word count."""
-    t = token_hashes(texts)
+def largest(doc: np.ndarray, value: np.ndarray, count: int = 3) -> tuple[np.ndarray, np.ndarray]:
+    """The largest values of every text; ``doc`` ascends."""
+    docs, values = [], []
+    value = value.copy()
+    for _ in range(count if len(doc) else 0):
+        begin = np.flatnonzero(np.diff(doc, prepend=-1))
+        most = np.repeat(np.maximum.reduceat(value, begin), np.diff(np.append(begin, len(doc))))
+        hit = np.flatnonzero(value == most)
+        hit = hit[np.diff(doc[hit], prepend=-1) != 0]
+        docs.append(doc[hit])
+        values.append(value[hit])
+        value[hit] = -np.inf
+    return np.concatenate([np.zeros(0, np.int64), *docs]), np.concatenate([np.zeros(0), *values])
+
+
+def evidence(texts: list[bytes], model: Model) -> np.ndarray:
+    """Per text the three largest decision values of its places, and the log
+    of its word count."""
+    letters = Letters(texts)
     out = np.full((len(texts), EVIDENCE), NOTHING)
-    out[:, 3] = np.log1p(np.diff(t.first))
-    if len(t.hash):
-        hashes, at, inverse = np.unique(t.hash, return_index=True, return_inverse=True)
-        value = cache.get(hashes, lambda new: model.spans([t.word(i) for i in at[new].tolist()]))[inverse]
-        doc = t.doc
-        docs, runs = spelled(t)
-        if docs:
-            value, doc = np.concatenate([value, model.spans(runs)]), np.concatenate([doc, np.array(docs)])
+    out[:, 3] = np.log1p(np.diff(letters.tokens.first))
+    docs, runs = spelled(letters.tokens)
+    found = [(np.array(docs, np.int64), model.spans(runs))] if docs else []
+    for lo in range(0, len(letters.doc), BLOCK):
+        hi = min(lo + BLOCK, len(letters.doc))
+        found.append(largest(letters.doc[lo:hi], model.worst(letters, lo, hi)))
+    if found:
+        doc, value = (np.concatenate(x) for x in zip(*found))
         order = np.lexsort((-value, doc))
         value, doc = value[order], doc[order]
         place = np.arange(len(doc)) - np.searchsorted(doc, doc)
@@ -156,6 +276,106 @@ def evidence(texts: list[bytes], model: Model, cache: HashCache) -> np.ndarray:
     return np.maximum(out, NOTHING)
 
 
+def gram_keys(letters: Letters) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Spans across word borders, by number of words: (number of words, word,
+    first letter, end, whether it begins the word, 64-bit hash)."""
+    size = len(letters.codes)
+    power, back = np.ones(size + 1, np.uint64), np.ones(size + 1, np.uint64)
+    power[1:], back[1:] = _BASE, _UNBASE
+    power, back = np.cumprod(power), np.cumprod(back)
+    total = np.zeros(size + 1, np.uint64)
+    np.cumsum(_BYTE[letters.codes] * power[:size], out=total[1:])
+    for n in range(2, GRAM + 1):
+        word, a, b, first = letters.spans(n, 0, len(letters.doc))
+        key = mix64((total[b] - total[a]) * back[a] + (b - a).astype(np.uint64) * np.uint64(2) + first.astype(np.uint64))
+        yield n, word, a, b, first, key.view(np.int64)
+
+
+def gram_counts(sample: DataFrame, sure: list[bytes], known: np.ndarray | None) -> DataFrame:
+    """(key, toxic documents, clean documents) of the spans across word
+    borders without a ``sure`` word.  ``known`` (sorted keys) are counted, and
+    one in ``PART`` of all others; without ``known``, all in toxic documents."""
+    shared = sample.sparkSession.sparkContext.broadcast((frozenset(sure), known))  # at most the keys of the bounded sample
+
+    def merged(parts: list[np.ndarray]) -> np.ndarray:
+        rows = np.concatenate(parts)
+        rows = rows[np.argsort(rows[:, 0], kind="stable")]
+        begin = np.flatnonzero(np.concatenate([[True], rows[1:, 0] != rows[:-1, 0]]))
+        return np.column_stack([rows[begin, 0], np.add.reduceat(rows[:, 1:], begin, axis=0)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bad, wanted = shared.value
+        parts, size = [], 0
+        for batch in batches:
+            texts, labels = texts_of(batch.column("__text")), np.asarray(batch.column("__y")).astype(np.int64)
+            for lo, hi in slices(texts, 1 << 20):
+                letters = Letters(texts[lo:hi])
+                if not len(letters.doc):
+                    continue
+                flags = np.concatenate([[0], np.cumsum(marked(letters, bad))])
+                for n, word, _, _, _, key in gram_keys(letters):
+                    ok = flags[word + n] == flags[word]
+                    label = labels[lo:hi][letters.doc[word]]
+                    if wanted is None:
+                        ok &= label == 1
+                    else:
+                        at = np.minimum(np.searchsorted(wanted, key), max(0, len(wanted) - 1))
+                        ok &= (key % PART == 0) | ((wanted[at] == key) if len(wanted) else False)
+                    key, label, doc = key[ok], label[ok], letters.doc[word[ok]]
+                    if len(key):
+                        order = np.lexsort((doc, key))
+                        key, label, doc = key[order], label[order], doc[order]
+                        new = np.concatenate([[True], (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])])
+                        parts.append(merged([np.column_stack([key[new], label[new], 1 - label[new]])]))
+                        size += len(parts[-1])
+                if size > 1_000_000:
+                    parts = [merged(parts)]
+                    if len(parts[0]) > 500_000:
+                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in parts.pop().T], names=["key", "toxic", "clean"])
+                    size = sum(map(len, parts))
+        if parts:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in merged(parts).T], names=["key", "toxic", "clean"])
+
+    return (sample.select("__text", "__y").mapInArrow(run, "key bigint, toxic bigint, clean bigint")
+            .groupBy("key").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")))
+
+
+def marked(letters: Letters, bad: frozenset[bytes]) -> np.ndarray:
+    """Which words hold a span in ``bad``."""
+    out = np.zeros(len(letters.doc), bool)
+    if bad:
+        raw, bounds = letters.codes.tobytes(), letters.start.tolist()
+        seen: dict[bytes, bool] = {}
+        for i, (a, b) in enumerate(zip(bounds, bounds[1:])):
+            word = b" " + raw[a:b]
+            if word not in seen:
+                seen[word] = not bad.isdisjoint(windows(word))
+            out[i] = seen[word]
+    return out
+
+
+def gram_spans(sample: DataFrame, keys: np.ndarray) -> DataFrame:
+    """(key, span) of the spans across word borders with the sorted ``keys``."""
+    shared = sample.sparkSession.sparkContext.broadcast(keys)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted, done = shared.value, np.zeros(len(shared.value), bool)
+        for batch in batches:
+            texts = texts_of(batch.column("__text"))
+            for lo, hi in slices(texts, 1 << 20):
+                letters = Letters(texts[lo:hi])
+                for _, _, a, b, first, key in gram_keys(letters) if len(letters.doc) else ():
+                    at = np.minimum(np.searchsorted(wanted, key), len(wanted) - 1)
+                    hit = np.flatnonzero((wanted[at] == key) & ~done[at])
+                    place, new = np.unique(at[hit], return_index=True)
+                    done[place] = True
+                    hit = hit[new]
+                    spans = [letters.text(*x) for x in zip(a[hit].tolist(), b[hit].tolist(), first[hit].tolist())]
+                    yield pa.RecordBatch.from_arrays([pa.array(key[hit]), pa.array(spans, pa.binary())], names=["key", "span"])
+
+    return sample.select("__text").mapInArrow(run, "key bigint, span binary").groupBy("key").agg(F.min("span").alias("span"))
+
+
 def span_counts(sample: DataFrame) -> DataFrame:
     """(span, toxic documents, clean documents) over a labelled sample."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -314,13 +534,12 @@ def evidence_of(docs: DataFrame, model: Model, text_col: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
-        cache = HashCache()
         for batch in batches:
             texts = texts_of(batch.column(text_col))
             keep = batch.drop_columns([text_col])
-            for lo, hi in slices(texts):
+            for lo, hi in slices(texts, 1 << 20):
                 own = keep.slice(lo, hi - lo)
-                values = pa.array(evidence(texts[lo:hi], shared.value, cache).ravel())
+                values = pa.array(evidence(texts[lo:hi], shared.value).ravel())
                 values = pa.FixedSizeListArray.from_arrays(values, EVIDENCE).cast(pa.list_(pa.float64()))
                 yield pa.RecordBatch.from_arrays(own.columns + [values], names=own.schema.names + ["__evidence"])
 
@@ -336,7 +555,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str =
     if not toxic or not clean:
         empty.prior = (toxic + 0.5) / (toxic + clean + 1)
         return empty
-    counts = write_scratch(span_counts(rows.filter("NOT __aside")), "tox-spans")
+    seen = rows.filter("NOT __aside")
+    counts = write_scratch(span_counts(seen), "tox-spans")
     # How much more often toxic documents hold the span, and the G statistic
     # of that difference (25: one in a million by chance).
     share = (F.col("toxic") + 0.5) / (toxic + 1.0) / ((F.col("clean") + 0.5) / (clean + 1.0))
@@ -345,13 +565,31 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str =
     def term(seen: str, of: int):
         return F.when(F.col(seen) > 0, F.col(seen) * F.log(F.col(seen) * (toxic + clean) / (both * of))).otherwise(0.0)
 
-    hits = (counts.withColumn("g", 2 * (term("toxic", toxic) + term("clean", clean)))
-            .filter((F.col("toxic") >= 2) & (share >= 8.0)).orderBy(F.col("g").desc(), "span").limit(spans).toArrow())
-    sure = np.asarray(hits.column("g")) >= 25.0
-    sure[:20] = True
-    positive = [bytes(s) for s, ok in zip(hits.column("span").to_pylist(), sure) if ok]
-    usual = counts.filter((F.col("clean") >= 1) & (share < 2.0))
+    def witnesses(found: DataFrame, name: str):
+        return (found.withColumn("g", 2 * (term("toxic", toxic) + term("clean", clean)))
+                .filter((F.col("toxic") >= 2) & (share >= 8.0)).orderBy(F.col("g").desc(), name).limit(spans).toArrow())
+
+    hits = witnesses(counts, "span")
+    single = list(zip(hits.column("g").to_pylist(), hits.column("span").to_pylist()))
+    sure = [bytes(s) for g, s in single if g >= 25.0]
+    known = gram_counts(seen, sure, None).filter("toxic >= 2").select("key").toArrow().column("key")
+    grams = write_scratch(gram_counts(seen, sure, np.sort(np.asarray(known).astype(np.int64))), "tox-grams")
+    hits = witnesses(grams, "key")
+    usual_grams = grams.filter((F.col("clean") >= 1) & (share < 2.0) & (F.col("key") % PART == 0)).select("key")
+    pool = usual_grams.orderBy(F.xxhash64("key"), "key").limit(2 * spans).toArrow().column("key").to_pylist()
+    wanted = np.array(sorted({*hits.column("key").to_pylist(), *pool}), np.int64)
+    texts = write_scratch(gram_spans(seen, wanted), "tox-gram-spans") if len(wanted) else None
+    span_of = {r["key"]: bytes(r["span"]) for r in texts.collect()} if texts is not None else {}
+    across = [(g, span_of[k]) for g, k in zip(hits.column("g").to_pylist(), hits.column("key").to_pylist())]
+    # Many more spans cross borders than there are words: those that chance explains are left out.
+    positive = [bytes(s) for i, (g, s) in enumerate(single) if g >= 25.0 or i < 20] + [s for g, s in across if g >= 25.0]
+    positive = list(dict.fromkeys(positive or [s for _, s in across[:20]]))
+    usual = counts.filter((F.col("clean") >= 1) & (share < 2.0)).select("span")
     negative = [bytes(s) for s in usual.orderBy(F.xxhash64("span"), "span").limit(spans).toArrow().column("span").to_pylist()]
+    negative = list(dict.fromkeys(negative + [span_of[k] for k in pool[:spans]]))
+    if pool:
+        usual = usual.unionAll(texts.filter(F.col("key") % PART == 0)
+                               .join(usual_grams, "key", "left_semi").select("span"))
     if not positive or not negative:
         empty.prior = (toxic + 0.5) / (toxic + clean + 1)
         return empty

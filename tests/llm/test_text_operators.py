@@ -141,6 +141,45 @@ def test_toxicity_finds_planted_and_disguised_insults(spark):
     assert (got[900], got[901], got[902], got[903], got[904]) == (1, 1, 1, 0, 0)
 
 
+def test_toxicity_finds_insults_across_word_borders(spark):
+    """Phrases of words that clean texts hold as often, and insults cut in pieces."""
+    rng = np.random.default_rng(11)
+    usual = ("the of a to go back under your stone table river quickly seven yellow house morning garden letter music paper summer "
+             "bridge window market silver doctor number people little great nothing between carry follow market winter open").split()
+
+    def table(put):
+        rows, marks = [], []
+        for i in range(600):
+            w = [str(x) for x in rng.choice(usual, 60)]
+            k = int(rng.integers(0, 55))
+            w[k:k] = put(i) if i % 4 == 0 else []
+            rows.append((i, " ".join(w), "en", "s"))
+            marks.append((i, int(i % 4 == 0)))
+        return rows, marks
+
+    for put in (lambda i: "go back under your stone".split(), lambda i: ["worthless"]):
+        rows, marks = table(put)
+        labels = spark.createDataFrame(marks, "doc_id long, toxic int")
+        split = [(900 + k, f"the morning garden {cut} of music paper seven", "en", "s")
+                 for k, cut in enumerate(["wor th less", "w orthless", "worth less", "winter table"])]
+        got = {r["doc_id"]: r["predicted"] for r in toxicity.classify(frame(spark, rows + split), labels).collect()}
+        assert sum(got[i] == y for i, y in marks) >= 590
+    assert [got[900 + k] for k in range(4)] == [1, 1, 1, 0]
+
+
+def test_toxicity_spans_are_scored_as_defined():
+    """Sums over the letters equal the spans scored one by one."""
+    rng = np.random.default_rng(3)
+    model = toxicity.Model(rng.normal(size=1 << toxicity.TABLE_BITS).astype(np.float32), 0.25)
+    texts = [b"Wor-th less 1diot, a b " + b"longword" * 9 + b" end", b"", b"... !", "Ünd Ärger x".encode(), b"one"]
+    out = toxicity.evidence(texts, model)
+    for row, raw in zip(out, texts):
+        ws = [w for w in (toxicity.normal(x)[1:] for x in raw.lower().split()) if w]
+        best = [max(model.spans([b"".join(ws[i:i + n])])[0] for n in (1, 2, 3) if i + n <= len(ws)) for i in range(len(ws))]
+        best = sorted(best + [toxicity.NOTHING] * 3, reverse=True)[:3]
+        assert row[:3] == pytest.approx(np.maximum(best, toxicity.NOTHING), abs=1e-4)
+
+
 def test_toxicity_kernel_against_definition():
     """Hashed, vectorised kernel values against subsequences counted one by one."""
     def features(w):
