@@ -16,7 +16,8 @@ and blocks are joined by a line break.  ``br`` is white space.
 
 Defined cases: null or empty html, or html without text, gives the empty text;
 markup cut off in the middle is read as far as it goes; unclosed scripts and
-comments run to the end; stray closing tags are ignored; if everything was set
+comments run to the end; stray closing tags are ignored; a class name does not
+set aside a wrapper of the article or of most of the text; if everything was set
 aside by class names alone, class names are disregarded; repeated rows are read
 one by one; an empty table gives an empty result; other columns are not read.
 """
@@ -25,6 +26,7 @@ from __future__ import annotations
 
 import html as html_lib
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -62,7 +64,7 @@ _PUNCT = re.compile(r"""[.,;:!?…。、，；：！？"'()«»“”-]""")
 
 
 class Element:
-    __slots__ = ("tag", "parent", "path", "depth", "hard", "soft", "article")
+    __slots__ = ("tag", "parent", "path", "depth", "hard", "mark", "section")
 
     def __init__(self, tag: str, parent: Element | None, hard: bool, soft: bool):
         self.tag, self.parent = tag, parent
@@ -70,8 +72,20 @@ class Element:
         self.depth = parent.depth + 1 if parent else 0
         up = parent is not None
         self.hard = hard or (up and parent.hard)
-        self.soft = soft or (up and parent.soft)
-        self.article = tag in ("article", "main") or (up and parent.article)
+        # The nearest element that a class or id word marks, and the nearest article or main.
+        self.mark: Element | None = self if soft else parent.mark if up else None
+        self.section: Element | None = self if tag in ("article", "main") else parent.section if up else None
+
+    @property
+    def article(self) -> bool:
+        return self.section is not None
+
+    def marks(self) -> Iterator[Element]:
+        """All marked elements around this one and itself, from the inside."""
+        mark = self.mark
+        while mark:
+            yield mark
+            mark = mark.parent.mark if mark.parent else None
 
 
 class Block:
@@ -208,8 +222,9 @@ def smooth(values: np.ndarray, radius: int = 2) -> np.ndarray:
     return total / np.convolve(np.ones(len(values)), weight)[radius:radius + len(values)]
 
 
-def content(found: list[Block], share: float = 0.3) -> np.ndarray:
-    """Which blocks are content by the smoothed, fused ratios of their paths."""
+def content(found: list[Block], share: float = 0.3) -> tuple[np.ndarray, np.ndarray]:
+    """Which blocks are content by the smoothed, fused ratios of their paths,
+    and the fused ratios."""
     paths = {p: i for i, p in enumerate(dict.fromkeys(b.element.path for b in found))}
     of = np.array([paths[b.element.path] for b in found])
     n = np.bincount(of)
@@ -220,7 +235,41 @@ def content(found: list[Block], share: float = 0.3) -> np.ndarray:
     punct = smooth((np.bincount(of, points) / n)[of])
     unlinked = 1 - np.bincount(of, links) / np.bincount(of, chars)
     fused = length * (1 + punct) * unlinked[of]
-    return fused >= min(share * fused.std(), 0.5 * fused.max()) if len(fused) else np.zeros(0, bool)
+    return fused >= min(share * fused.std(), 0.5 * fused.max()), fused
+
+
+def unmarked(found: list[Block]) -> list[Block]:
+    """The blocks that no class or id word sets aside.  A marked element that
+    holds a main, more text in articles than stands unmarked outside it, or
+    most of the page's text is a wrapper and sets nothing aside, unless an
+    unmarked article is longer than each of its articles and a quarter of its
+    other text (comments can outgrow what they are about).  Links do not count
+    as text."""
+    every = free = 0
+    held, plain, mains, sections = Counter(), Counter(), set(), Counter()
+    for b in found:
+        n, e = max(0, len(b.text) - b.link), b.element
+        every += n
+        if e.mark is None:
+            free += n
+            sections[None, e.section] += n * e.article
+        for m in e.marks():
+            held[m] += n
+            section = e.section if e.section and e.section.depth > m.depth else None
+            if section:
+                sections[m, section] += n
+            else:
+                plain[m] += n
+            while section and section.depth > m.depth:
+                if section.tag == "main":
+                    mains.add(m)
+                section = section.parent.section
+    longest = Counter()
+    for (m, _), n in sections.items():
+        longest[m] = max(longest[m], n)
+    wrappers = {m for m, n in held.items() if m in mains or (n - plain[m] > free or 2 * n > every)
+                and max(longest[m], plain[m] / 4) > longest[None]}
+    return [b for b in found if wrappers.issuperset(b.element.marks())]
 
 
 def _around(element: Element, other: Element) -> Element:
@@ -241,11 +290,12 @@ def _holds(outer: Element, inner: Element) -> bool:
 
 def extract(page: str) -> str:
     """The article's text."""
-    every = blocks(page)
-    found = [b for b in every if not b.element.hard and not b.element.soft] or [b for b in every if not b.element.hard]
+    every = [b for b in blocks(page) if not b.element.hard]
+    found = unmarked(every) or every
     if not found:
         return ""
-    chosen = [b for b, ok in zip(found, content(found)) if ok] or found
+    ok, _ = content(found)
+    chosen = [b for b, yes in zip(found, ok) if yes] or found
     within = [b for b in chosen if b.element.article] or chosen
     box = within[0].element
     for b in within[1:]:

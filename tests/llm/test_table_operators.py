@@ -82,6 +82,25 @@ def test_extract_without_semantics():
     assert html_extract.extract(page) == "Head\nText is here, and it goes on. And on.\nOk."
 
 
+STORY = "<p>Long text, with punctuation; and more. It goes on and on.</p><p>More of it, as said. And so on.</p>"
+READ = ["Long text, with punctuation; and more. It goes on and on.", "More of it, as said. And so on."]
+
+
+@pytest.mark.parametrize("name", ["site has-sidebar", "no-sidebar", "comments-open", "social-impact"])
+@pytest.mark.parametrize("box", ["<article>%s</article>", "<main>%s</main>", "<div id=story>%s</div>"])
+def test_extract_wrapper_with_class_word(name, box):
+    page = (f"<body><p>Skip to the content.</p><div class='{name}'>{box % STORY}<div class=sidebar><p>Read this, too.</p></div>"
+            "<div id=comments><p>Nice, really.</p></div></div><p>Copyright by us.</p></body>")
+    assert [x for x in html_extract.extract(page).split("\n") if x in READ] == READ
+    assert "too" not in html_extract.extract(page) and "Nice" not in html_extract.extract(page)
+
+
+def test_extract_comments_longer_than_the_article():
+    said = "<article><p>I say this, and this, and this; and that, too.</p></article>" * 9
+    page = f"<article>{STORY}</article><div id=comments>{said}</div>"
+    assert html_extract.extract(page).split("\n") == READ
+
+
 @pytest.mark.parametrize("page,want", [
     ("", ""), ("plain", "plain"), ("a < b <b>x</b> <", "a < b x <"), ("<p>open <!-- c", "open"), ("<script>x", ""),
     ("<p>a&ltb &am; &#233;&#x41;", "a<b &am; éA"), ("</p></div>x", "x"), ("<p>" * 300 + "deep", "deep"),
