@@ -7,7 +7,8 @@ aside.  Over the rest, text length and punctuation are added up per tag path
 and divided by the path's number of blocks; both ratios are smoothed along the
 page (Gaussian), fused by product, and blocks above a share of the page's
 spread are content.  The article is then the innermost article or main element
-around the content, or else the innermost element that holds it; all blocks in
+around the content, if such elements hold most of its weight, or else the
+innermost element that holds it; all blocks in
 it that are not set aside belong to it, so that short paragraphs and headings
 stay.
 
@@ -294,9 +295,12 @@ def extract(page: str) -> str:
     found = unmarked(every) or every
     if not found:
         return ""
-    ok, _ = content(found)
+    ok, fused = content(found)
     chosen = [b for b, yes in zip(found, ok) if yes] or found
-    within = [b for b in chosen if b.element.article] or chosen
+    # Teasers are articles too: a page's articles hold its text only if they weigh most.
+    inside = np.array([b.element.article for b in found])
+    most = 2 * fused[ok & inside].sum() >= fused[ok].sum()
+    within = [b for b in chosen if b.element.article and most] or chosen
     box = within[0].element
     for b in within[1:]:
         box = _around(box, b.element)

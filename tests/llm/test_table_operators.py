@@ -95,6 +95,12 @@ def test_extract_wrapper_with_class_word(name, box):
     assert "too" not in html_extract.extract(page) and "Nice" not in html_extract.extract(page)
 
 
+def test_extract_story_beside_teaser_articles():
+    for card in ("<article><p>A card, short.</p></article>", "<article><h2>One more</h2><p>A card, with a text; so it is long.</p></article>"):
+        for page in (f"<div id=story>{STORY * 3}</div>{card}", f"<div>{card}{card}<div id=story>{STORY * 3}</div></div>"):
+            assert [x for x in html_extract.extract(page).split("\n") if x in READ] == READ * 3
+
+
 def test_extract_comments_longer_than_the_article():
     said = "<article><p>I say this, and this, and this; and that, too.</p></article>" * 9
     page = f"<article>{STORY}</article><div id=comments>{said}</div>"
