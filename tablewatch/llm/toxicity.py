@@ -61,7 +61,7 @@ SPAN = 32
 TABLE_BITS = 20
 GRAM = 3  # words read together at most
 PART = 16  # one in so many spans across word borders stands for the clean ones
-BLOCK = 16_000  # words whose spans are scored at a time
+BLOCK = 6000  # words whose spans are scored at a time
 
 # Characters commonly written for letters.
 _SWAPS = {ord(a): ord(b) for a, b in zip("013457@$!", "oieastasi")}
@@ -308,7 +308,7 @@ def gram_counts(sample: DataFrame, sure: list[bytes], known: np.ndarray | None)
         parts, size = [], 0
         for batch in batches:
             texts, labels = texts_of(batch.column("__text")), np.asarray(batch.column("__y")).astype(np.int64)
-            for lo, hi in slices(texts, 1 << 20):
+            for lo, hi in slices(texts, 1 << 18):
                 letters = Letters(texts[lo:hi])
                 if not len(letters.doc):
                     continue
@@ -328,9 +328,9 @@ def gram_counts(sample: DataFrame, sure: list[bytes], known: np.ndarray | None)
                         new = np.concatenate([[True], (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])])
                         parts.append(merged([np.column_stack([key[new], label[new], 1 - label[new]])]))
                         size += len(parts[-1])
-                if size > 1_000_000:
+                if size > 300_000:
                     parts = [merged(parts)]
-                    if len(parts[0]) > 500_000:
+                    if len(parts[0]) > 200_000:
                         yield pa.RecordBatch.from_arrays([pa.array(c) for c in parts.pop().T], names=["key", "toxic", "clean"])
                     size = sum(map(len, parts))
         if parts:
@@ -362,7 +362,7 @@ def gram_spans(sample: DataFrame, keys: np.ndarray) -> DataFrame:
         wanted, done = shared.value, np.zeros(len(shared.value), bool)
         for batch in batches:
             texts = texts_of(batch.column("__text"))
-            for lo, hi in slices(texts, 1 << 20):
+            for lo, hi in slices(texts, 1 << 18):
                 letters = Letters(texts[lo:hi])
                 for _, _, a, b, first, key in gram_keys(letters) if len(letters.doc) else ():
                     at = np.minimum(np.searchsorted(wanted, key), len(wanted) - 1)
@@ -381,7 +381,7 @@ def span_counts(sample: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, labels = texts_of(batch.column("__text")), batch.column("__y").to_pylist()
-            for lo, hi in slices(texts, 1 << 20):
+            for lo, hi in slices(texts, 1 << 18):
                 t = token_hashes(texts[lo:hi])
                 seen: dict[bytes, list[int]] = {}
                 found = [set() for _ in range(hi - lo)]
@@ -537,7 +537,7 @@ def evidence_of(docs: DataFrame, model: Model, text_col: str) -> DataFrame:
         for batch in batches:
             texts = texts_of(batch.column(text_col))
             keep = batch.drop_columns([text_col])
-            for lo, hi in slices(texts, 1 << 20):
+            for lo, hi in slices(texts, 1 << 18):
                 own = keep.slice(lo, hi - lo)
                 values = pa.array(evidence(texts[lo:hi], shared.value).ravel())
                 values = pa.FixedSizeListArray.from_arrays(values, EVIDENCE).cast(pa.list_(pa.float64()))
