@@ -232,3 +232,88 @@ def hash_spans(buf: np.ndarray, start: np.ndarray) -> np.ndarray:
     if len(size) and size.max() > 1024:
         part *= _POS_HIGH[(offset >> 10) & 4095]
     return mix64(np.add.reduceat(part, start) + size.astype(np.uint64))
+
+
+class Texts:
+    """A run of consecutive texts of a column: ``raw`` their bytes end to end
+    (a view of the Arrow buffer), ``bounds`` where each begins (texts + 1)."""
+
+    __slots__ = ("raw", "bounds")
+
+    def __init__(self, raw: np.ndarray, bounds: np.ndarray):
+        self.raw, self.bounds = raw, bounds
+
+    def __len__(self) -> int:
+        return len(self.bounds) - 1
+
+    def text(self, i: int) -> bytes:
+        return self.raw[self.bounds[i]:self.bounds[i + 1]].tobytes()
+
+
+def text_runs(column: pa.Array | pa.ChunkedArray, budget: int = 2 << 20) -> Iterator[tuple[int, int, Texts]]:
+    """(first row, end row, texts) of runs of about ``budget`` bytes, read from
+    the Arrow buffers without a Python object per text; a longer text makes a
+    run of its own.  Null texts are empty."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    column = column.cast(pa.large_binary())
+    if column.null_count:
+        column = column.fill_null(b"")
+    n = len(column)
+    if not n:
+        return
+    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + n + 1]
+    data = column.buffers()[2]
+    raw = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    begin = 0
+    while begin < n:
+        end = int(np.searchsorted(offsets, offsets[begin] + budget, "right")) - 1
+        end = min(n, max(end, begin + 1))
+        yield begin, end, Texts(raw[offsets[begin]:offsets[end]], offsets[begin:end + 1] - offsets[begin])
+        begin = end
+
+
+def runs_of_bytes(texts: Texts, allowed: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(lower-cased bytes, start, end, text) of the maximal runs of bytes that
+    ``allowed`` (256 booleans, asked after A-Z are lower-cased) lets in."""
+    buf = _LOWER[texts.raw]
+    inside = np.zeros(len(buf) + 2, bool)
+    inside[1:-1] = allowed[buf]
+    change = inside[1:] != inside[:-1]
+    # a run cannot go on from one text into the next
+    inner = texts.bounds[1:-1]
+    inner = np.unique(inner[(inner > 0) & (inner < len(buf))])
+    cut = inner[inside[inner] & inside[inner + 1]]
+    edge = np.flatnonzero(change)
+    start, end = np.sort(np.concatenate([edge[::2], cut])), np.sort(np.concatenate([edge[1::2], cut]))
+    doc = np.searchsorted(texts.bounds, start, "right") - 1
+    return buf, start, end, doc
+
+
+def hash_runs(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the given non-empty byte runs (as ``token_hashes``)."""
+    size = end - start
+    if not len(size):
+        return np.zeros(0, np.uint64)
+    at = np.cumsum(size) - size
+    offset = np.arange(int(size.sum())) - np.repeat(at, size)
+    part = _BYTE[buf[np.repeat(start, size) + offset]] * _POS[offset & 1023]
+    if size.max() > 1024:
+        part *= _POS_HIGH[(offset >> 10) & 4095]
+    return mix64(np.add.reduceat(part, at) + size.astype(np.uint64))
+
+
+def spans_array(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
+    """The byte spans as a string array, gathered without Python objects."""
+    size = end - start
+    offsets = np.zeros(len(size) + 1, np.int64)
+    np.cumsum(size, out=offsets[1:])
+    data = buf[np.repeat(start - offsets[:-1], size) + np.arange(int(offsets[-1]))]
+    return pa.Array.from_buffers(pa.large_string(), len(size),
+                                 [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data.tobytes())])
+
+
+# Bytes of words of letters, digits and non-ASCII characters (after A-Z are
+# lower-cased): [^\x00-\x2F\x3A-\x60\x7B-\x7F].
+ALNUM = np.zeros(256, bool)
+ALNUM[48:58] = ALNUM[97:123] = ALNUM[128:] = True

@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablewatch.llm import (bloom_lm, chat_format, gam_quality, html_extract, minhash_dedup, mixing, quality_rules,
-                            sentencepiece_sa, topk_search, toxicity)
+from tablewatch.llm import (bloom_lm, chat_format, collocations, decontamination, gam_quality, html_extract, minhash_dedup,
+                            mixing, quality_rules, resampling, sentencepiece_sa, topk_search, toxicity)
 from tablewatch.llm.common import read_table
 
 
@@ -54,6 +54,19 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op11_fm_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.report(decontamination.find_leaks(read_table(spark, sf_dir, "documents"),
+                                                             read_table(spark, sf_dir, "benchmark")))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read_table(spark, sf_dir, "documents"))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fertility_rules": op1_fertility_rules,
     "op2_histogram_topk": op2_histogram_topk,
@@ -65,9 +78,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_toxicity": op9_toxicity,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
+    "op11_fm_decontamination": op11_fm_decontamination,
+    "op12_collocations": op12_collocations,
+    "op13_importance_resampling": op13_importance_resampling,
 }
 
 ORACLE: dict[str, str] = {
     "op2_histogram_topk": topk_search.ORACLE,
     "op5_source_mixing": mixing.ORACLE,
+    "op11_fm_decontamination": decontamination.ORACLE,
+    "op12_collocations": collocations.ORACLE,
+    "op13_importance_resampling": resampling.ORACLE,
 }
