@@ -30,8 +30,8 @@ from __future__ import annotations
 
 import math
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -162,6 +162,11 @@ def noise(id_text: Column, seed: int) -> Column:
     return F.floor(-1000 * F.log(-F.log((h + F.lit(0.5)) / F.lit(4294967296.0)))).cast("long")
 
 
+def id_key(down: int, own, row: int) -> tuple:
+    """The sort key: descending score, id (null first), row number."""
+    return down, own is not None, 0 if own is None else own, row
+
+
 def regular_samples(rows: DataFrame, step: int) -> list[tuple]:
     """Sort keys (descending score, id, row) of every ``step``-th row of each
     sorted run; a run begins at an offset of its own within the first step."""
@@ -178,43 +183,25 @@ def regular_samples(rows: DataFrame, step: int) -> list[tuple]:
     return [(r["down"], r["__id"], r["row"]) for r in rows.mapInArrow(run, rows.schema).collect()]
 
 
-def segment_of(splitters: list[tuple], id_type: T.DataType) -> Column:
-    """Number of splitters at or below the row's key, by a binary search that
-    unrolls into nested conditions over the sorted splitters."""
-
-    def below(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        down, own, row = splitters[mid]
-        own_lit = F.lit(own).cast(id_type)
-        same_id = F.col("row") >= row
-        if own is None:
-            later_id = F.when(F.col("__id").isNull(), same_id).otherwise(F.lit(True))
-        else:
-            later_id = F.when(F.col("__id").isNull(), F.lit(False)) \
-                .otherwise((F.col("__id") > own_lit) | ((F.col("__id") == own_lit) & same_id))
-        later = (F.col("down") > down) | ((F.col("down") == down) & later_id)
-        return F.when(later, below(mid + 1, hi)).otherwise(below(lo, mid))
-
-    return below(0, len(splitters))
-
-
-def with_segments(rows: DataFrame, splitters: list[tuple], fan: int = 64) -> DataFrame:
-    """Adds ``segment``.  Beyond ``fan`` splitters the search goes level by
-    level, so that no expression holds more than ``fan`` of them."""
-    id_type = rows.schema["__id"].dataType
-    if len(splitters) <= fan:
-        return rows.withColumn("segment", segment_of(splitters, id_type))
-    step = math.ceil(len(splitters) / fan)
-    coarse = splitters[step - 1::step]
-    rows = rows.withColumn("__part", segment_of(coarse, id_type))
-    parts = []
-    for i in range(len(coarse) + 1):
-        own = splitters[i * step:(i + 1) * step]
-        inner = with_segments(rows.filter(F.col("__part") == i).drop("__part"), own, fan)
-        parts.append(inner.withColumn("segment", F.col("segment") + i * step))
-    return reduce(DataFrame.unionAll, parts)
+def with_segments(rows: DataFrame, splitters: list[tuple]) -> DataFrame:
+    """Adds ``segment``, the number of splitters at or below the row's key.
+    Scores are searched as an array; only rows whose score a splitter shares
+    compare ids and row numbers."""
+    schema = T.StructType([*rows.schema.fields, T.StructField("segment", T.LongType())])
+    downs = np.array([x[0] for x in splitters], np.int64)
+    keys = [id_key(*x) for x in splitters]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            down = np.asarray(batch.column("down"))
+            segment, end = np.searchsorted(downs, down, "left"), np.searchsorted(downs, down, "right")
+            tied = np.flatnonzero(segment < end)
+            own = batch.select(["__id", "row"]).take(pa.array(tied))
+            for i, x, row in zip(tied.tolist(), own.column(0).to_pylist(), own.column(1).to_pylist()):
+                segment[i] = bisect_right(keys, id_key(int(down[i]), x, row), int(segment[i]), int(end[i]))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(segment.astype(np.int64))], names=schema.names)
+
+    return rows.mapInArrow(run, schema)
 
 
 def resample(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -239,7 +226,7 @@ def resample(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text_co
     order = [F.col("down").asc(), F.col("__id").asc_nulls_first(), F.col("row").asc()]
     p = max(1, min(segments or int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_SEGMENTS))
     runs = drawn.select("down", "__id", "row").sortWithinPartitions(*order)
-    samples = sorted(regular_samples(runs, max(1, n // (p * SAMPLES))), key=lambda x: (x[0], x[1] is not None, x[1] or 0, x[2])) \
+    samples = sorted(regular_samples(runs, max(1, n // (p * SAMPLES))), key=lambda x: id_key(*x)) \
         if p > 1 else []
     splitters = [samples[len(samples) * k // p] for k in range(1, p)] if samples else []
     dealt = with_segments(drawn, splitters)
