@@ -4,11 +4,14 @@
    it, or the fewer that are left of its piece.  A full gram is an edge from
    the node of its first words to the node of its last ones; a shorter gram is
    a correction for a piece that ends inside it.  Tasks count them per slice
-   of text; one shuffle adds them up.  Nothing else is counted in the texts.
+   of text and pack them by hash bucket and language, so that a shuffled row
+   holds thousands of grams; buckets are sized by the corpus and add up in
+   arrays.  Nothing else is counted in the texts.
 2. Shorter counts follow from the flow: a node's count is the sum of its
    outgoing edges and of the pieces that end in it, and so on down to words
-   and to the language's total.  Each level is one aggregate, combined before
-   its shuffle; grams below ``min_count`` only feed the level below and are
+   and to the language's total.  Each level is one such shuffle of packed
+   partial sums, so a node with very many edges meets as one sum a bucket;
+   grams below ``min_count`` only feed the level below and are
    then let go, so what is kept does not grow with the rare grams.
 3. A node is unary if one incoming and one outgoing edge both carry its whole
    flow.  Paths of edges through unary nodes are compacted by pointer
@@ -17,7 +20,8 @@
 4. Candidates meet the counts of their parts, the weakest cut gives their
    score, and those that mostly occur inside a longer candidate are dropped.
 
-Scores use exact decimals of 38 digits: counts up to 10^15 words fit.
+Grams are told apart by 128-bit hashes of their bytes.  Scores use exact
+decimals of 38 digits: counts up to 10^15 words fit.
 
 Defined cases: null texts are empty, a null language is ``und``; empty texts
 and pieces give no gram; ties of scores go to the smaller first part, ties of
@@ -27,6 +31,7 @@ count again; an empty table gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,13 +40,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewatch.functions.exprs import quote_ident
-from tablewatch.llm.common import Texts, hash_runs, mix64, runs_of_bytes, spans_array, text_runs, write_scratch
+from tablewatch.llm.common import Texts, hash_runs, mix64, runs_of_bytes, spans_array, text_runs, trimmed, write_scratch
 
 MAX_WORDS = 3
 MIN_COUNT = 10
 TOP = 2000
 CONTAINED = 50  # per cent of a phrase's occurrences inside one longer candidate
-SLICE = 8 << 20
+SLICE = 2 << 20
+BUCKET = 8 << 20  # bytes of text whose grams share a bucket
+MAX_BUCKETS = 1 << 24
 
 # Bytes that end a piece (fixed): . , ; : ! ? and \x0A-\x0D.  Space and tab
 # part words.
@@ -51,81 +58,189 @@ _WORD = ~_BREAK
 _WORD[[32, 9]] = False
 
 
-def longest_grams(texts: Texts, lang: np.ndarray, max_words: int) -> tuple[pa.Array, np.ndarray, np.ndarray]:
-    """(gram, its language's number, how often it begins in the slice)."""
+def byte_hashes(buf: np.ndarray, start: np.ndarray, end: np.ndarray, chunk: int = 1 << 15) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent 64-bit hashes of each byte span, a chunk of spans at a
+    time (the index arrays are eight times the bytes)."""
+    one, two = np.zeros(len(start), np.uint64), np.zeros(len(start), np.uint64)
+    for k in range(0, len(start), chunk):
+        own = slice(k, k + chunk)
+        one[own], two[own] = hash_runs(buf, start[own], end[own], both=True)
+    return one, two
+
+
+def same_before(order: np.ndarray, *keys: np.ndarray) -> np.ndarray:
+    """Which of the ordered entries equals its predecessor in every key."""
+    out = np.zeros(len(order), bool)
+    out[1:] = np.logical_and.reduce([k[order[1:]] == k[order[:-1]] for k in keys])
+    return out
+
+
+def packed(buf: np.ndarray, start: np.ndarray, end: np.ndarray, lang: np.ndarray, langs: list, count: np.ndarray,
+           one: np.ndarray, two: np.ndarray, buckets: int, chunk: int = 1 << 15) -> pa.RecordBatch | None:
+    """One row per bucket and language: its grams' bytes end to end, their
+    sizes and their counts.  Equal grams that meet here are added up."""
+    if not len(start):
+        return None
+    bucket = ((one >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+    key = (bucket << np.uint64(40)) | (lang.astype(np.uint64) << np.uint64(26)) | (one & np.uint64((1 << 26) - 1))
+    order = np.argsort(key)
+    head = np.flatnonzero(~same_before(order, key, one, two))
+    own, n = order[head], np.add.reduceat(count[order], head)
+    size = (end - start)[own]
+    at = np.zeros(len(own) + 1, np.int64)
+    np.cumsum(size, out=at[1:])
+    data = np.empty(int(at[-1]), np.uint8)
+    for k in range(0, len(own), chunk):
+        part = own[k:k + chunk]
+        move = start[part] - at[k:k + len(part)]
+        data[at[k]:at[k + len(part)]] = buf[np.repeat(move, size[k:k + chunk]) + np.arange(at[k], at[k + len(part)])]
+    group = key[own] >> np.uint64(26)
+    edge = np.append(np.flatnonzero(np.append(True, group[1:] != group[:-1])), len(own))
+    first = own[edge[:-1]]
+
+    def blobs(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
+        return pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1,
+                                     [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(values)]).cast(pa.binary())
+
+    return batch_of(len(first), bucket=pa.array(bucket[first].astype(np.int64)),
+                    lang=pa.array([langs[i] for i in lang[first].tolist()], pa.string()),
+                    grams=blobs(data, at[edge]), sizes=blobs(size.astype("<i4"), 4 * edge), counts=blobs(n.astype("<i8"), 8 * edge))
+
+
+COLUMNS = {"bucket": pa.int64(), "lang": pa.string(), "grams": pa.binary(), "sizes": pa.binary(), "counts": pa.binary(),
+           "gram": pa.string(), "words": pa.int32(), "f": pa.int64()}
+SCHEMA = "bucket long, lang string, grams binary, sizes binary, counts binary, gram string, words int, f long"
+
+
+def batch_of(rows: int, **columns: pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([columns.get(c, pa.nulls(rows, t)) for c, t in COLUMNS.items()], names=list(COLUMNS))
+
+
+def longest_grams(texts: Texts, lang: np.ndarray, langs: list, max_words: int, buckets: int) -> pa.RecordBatch | None:
+    """What begins at every word of a slice, counted and packed."""
     buf, start, end, doc = runs_of_bytes(texts, _WORD)
     n = len(start)
     if not n:
-        return pa.array([], pa.large_string()), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    piece = np.cumsum(_BREAK[buf])[start]
-    # Words of one piece lie end to end, so a gram's end is bounded by its piece's.
+        return None
+    piece = np.cumsum(_BREAK[buf], dtype=np.int32)[start]
     last = np.append((piece[1:] != piece[:-1]) | (doc[1:] != doc[:-1]), True)
     piece_end = np.flatnonzero(last)[np.cumsum(last) - last]
     final = np.minimum(np.arange(n) + max_words - 1, piece_end)
     h = hash_runs(buf, start, end)
-    key = mix64(lang[doc].astype(np.uint64) + np.uint64(0x9E37))
-    second = key ^ np.uint64(0x51ED270B)
-    for k in range(max_words):
-        at = np.minimum(np.arange(n) + k, n - 1)
-        part = np.where(np.arange(n) + k <= final, h[at], np.uint64(0))
-        key = mix64(key * np.uint64(0x100000001B3) + part)
-        second = second * np.uint64(0x9E3779B97F4A7C15) + mix64(part ^ np.uint64(k + 1))
-    order = np.lexsort((second, key))
-    fresh = np.append(True, (key[order[1:]] != key[order[:-1]]) | (second[order[1:]] != second[order[:-1]]))
-    head = np.flatnonzero(fresh)
-    count = np.diff(np.append(head, n))
-    own = order[head]
     # The words with one space after each; a gram is a stretch of that.
     size = end - start
-    clean = np.full(int(size.sum()) + n, 32, np.uint8)
     clean_at = np.cumsum(size + 1) - size - 1
+    clean = np.full(int(size.sum()) + n, 32, np.uint8)
     before = np.cumsum(size) - size
-    offset = np.arange(int(size.sum())) - np.repeat(before, size)
-    clean[np.repeat(clean_at, size) + offset] = buf[np.repeat(start, size) + offset]
-    return spans_array(clean, clean_at[own], clean_at[final[own]] + size[final[own]]), lang[doc[own]], count
+    offset = np.arange(int(size.sum()), dtype=np.int64)
+    clean[np.repeat(clean_at - before, size) + offset] = buf[np.repeat(start - before, size) + offset]
+    one = mix64(lang[doc].astype(np.uint64))
+    one, two = np.take(language_hashes(langs), lang[doc]), one
+    for k in range(max_words):
+        inside = np.arange(n) + k <= final
+        part = np.where(inside, h[np.minimum(np.arange(n) + k, n - 1)], np.uint64(0))
+        one = mix64(one * np.uint64(0x100000001B3) + part)
+        two = two * np.uint64(0x9E3779B97F4A7C15) + mix64(part ^ np.uint64(k + 1))
+    return packed(clean, clean_at, clean_at[final] + size[final], lang[doc], langs, np.ones(n, np.int64), one, two, buckets)
 
 
-def counted(docs: DataFrame, text_col: str, lang_col: str, max_words: int, slice_bytes: int) -> DataFrame:
-    """(lang, gram, f): longest grams and piece ends with their counts."""
+def language_hashes(langs: list) -> np.ndarray:
+    return np.array([int.from_bytes(hashlib.blake2b(x.encode(), digest_size=8).digest(), "little") for x in langs], np.uint64)
+
+
+def counted(docs: DataFrame, text_col: str, lang_col: str, max_words: int, slice_bytes: int, buckets: int) -> DataFrame:
+    """Longest grams and piece ends with their counts, packed by bucket."""
     source = docs.select(F.coalesce(F.col(quote_ident(lang_col)).cast("string"), F.lit("und")).alias("lang"),
                          F.col(quote_ident(text_col)).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             langs = batch.column(0).dictionary_encode()
-            number = np.asarray(langs.indices)
+            number, names = np.asarray(langs.indices), langs.dictionary.to_pylist()
             for lo, hi, texts in text_runs(batch.column(1), slice_bytes):
-                gram, lang, n = longest_grams(texts, number[lo:hi], max_words)
-                yield pa.RecordBatch.from_arrays([langs.dictionary.take(pa.array(lang)).cast(pa.string()),
-                                                  gram.cast(pa.string()), pa.array(n)], names=["lang", "gram", "n"])
-
-    return source.mapInArrow(run, "lang string, gram string, n long") \
-        .groupBy("lang", "gram").agg(F.sum("n").alias("f"))
+                got = longest_grams(texts, number[lo:hi].astype(np.int64), names, max_words, buckets)
+                if got is not None:
+                    yield got
+
+    return source.mapInArrow(trimmed(run), SCHEMA)
+
+
+def by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, str, list[list[bytes]]] | pa.RecordBatch]:
+    """Rows of finished grams as they come, and the packed rows of each bucket
+    and language once they are together."""
+    now, held = None, []
+    for batch in batches:
+        done = batch.column("gram").is_valid()
+        finished = batch.filter(done)
+        if finished.num_rows:
+            yield finished
+        bucket, lang = np.asarray(batch.column("bucket")), batch.column("lang")
+        for i in np.flatnonzero(~np.asarray(done)).tolist():  # no copy of the packed rows but the one bucket's
+            key = (int(bucket[i]), lang[i].as_py())
+            if key != now:
+                if held:
+                    yield *now, held
+                now, held = key, []
+            held.append([batch.column(c)[i].as_py() for c in ("grams", "sizes", "counts")])
+    if held:
+        yield *now, held
+
+
+def level(rows: DataFrame, words: int, min_count: int, buckets: int) -> DataFrame:
+    """Adds up the grams of up to ``words`` words.  Full ones that are frequent
+    are finished rows; what all of them carry to their first words, with the
+    pieces that end earlier, is packed for the next level."""
 
-
-def n_words(gram: Column) -> Column:
-    return F.when(gram == "", F.lit(0)).otherwise(F.length(gram) - F.length(F.replace(gram, F.lit(" "))) + 1)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for got in by_bucket(batches):
+            if isinstance(got, pa.RecordBatch):
+                yield got
+                continue
+            bucket, lang, held = got
+            buf = np.frombuffer(b"".join(x[0] for x in held), np.uint8)
+            size = np.frombuffer(b"".join(x[1] for x in held), "<i4").astype(np.int64)
+            count = np.frombuffer(b"".join(x[2] for x in held), "<i8")
+            held.clear()
+            end = np.cumsum(size)
+            start = end - size
+            one, two = byte_hashes(buf, start, end)
+            order = np.argsort(one)
+            if (same_before(order, one) & ~same_before(order, two)).any():
+                order = np.lexsort((two, one))
+            head = np.flatnonzero(~same_before(order, one, two))
+            own, f = order[head], np.add.reduceat(count[order], head)
+            start, end = start[own], end[own]
+            space = np.flatnonzero(buf == 32)
+            upto = np.searchsorted(space, end)
+            full = upto - np.searchsorted(space, start) + 1 == words
+            keep = full & (f >= min_count)
+            n = int(keep.sum())
+            if n:
+                yield batch_of(n, bucket=pa.array(np.full(n, bucket)), lang=pa.array([lang] * n, pa.string()),
+                               gram=spans_array(buf, start[keep], end[keep]).cast(pa.string()),
+                               words=pa.array(np.full(n, words, np.int32)), f=pa.array(f[keep]))
+            if words == 1:
+                yield batch_of(1, bucket=pa.array([bucket]), lang=pa.array([lang]), gram=pa.array([""]),
+                               words=pa.array([0], pa.int32()), f=pa.array([int(f.sum())]))
+                continue
+            short = np.where(full, space[upto - 1] if len(space) else end, end)
+            one, two = byte_hashes(buf, start, short)
+            one = one ^ language_hashes([lang])[0]
+            yield packed(buf, start, short, np.zeros(len(start), np.int64), [lang], f, mix64(one), two, buckets)
+
+    return rows.repartition("bucket").sortWithinPartitions("bucket", "lang").mapInArrow(trimmed(run), SCHEMA)
+
+
+def flows(grams: DataFrame, max_words: int, min_count: int, buckets: int) -> DataFrame:
+    """(lang, gram, words, f) of all grams of up to ``max_words`` words that
+    occur at least ``min_count`` times, and the total (0 words) per language."""
+    for words in range(max_words, 0, -1):
+        grams = level(grams, words, min_count, buckets)
+    return grams.groupBy("lang", "words", "gram").agg(F.sum("f").alias("f"))
 
 
 def prefix(gram: Column, k: int) -> Column:
-    return F.substring_index(gram, " ", k) if k else F.lit("")
-
-
-def flows(grams: DataFrame, max_words: int, min_count: int) -> DataFrame:
-    """(lang, gram, words, f) of all grams of up to ``max_words`` words that
-    occur at least ``min_count`` times, and the total (0 words) per language.
-    ``grams`` holds what begins at every word; level by level the grams of k
-    words are kept and their first k-1 words carry their counts on."""
-    now = grams.withColumn("words", F.lit(max_words))
-    for k in range(max_words, 0, -1):
-        full = (F.col("words") == k) & (n_words(F.col("gram")) == k)
-        carried = F.struct(F.lit(k - 1).alias("words"), prefix(F.col("gram"), k - 1).alias("gram"))
-        kept = F.struct(F.col("words").alias("words"), F.col("gram").alias("gram"))
-        both = F.when(F.col("words") > k, F.array(kept)) \
-            .when(full & (F.col("f") >= min_count), F.array(kept, carried)).otherwise(F.array(carried))
-        now = now.select("lang", "f", F.explode(both).alias("g")) \
-            .groupBy("lang", F.col("g.words").alias("words"), F.col("g.gram").alias("gram")).agg(F.sum("f").alias("f"))
-    return now
+    return F.substring_index(gram, " ", k)
 
 
 def suffix(gram: Column) -> Column:
@@ -177,7 +292,11 @@ def compact_paths(edges: DataFrame, nodes: DataFrame) -> DataFrame:
 def graph(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", max_words: int = MAX_WORDS,
           min_count: int = MIN_COUNT, slice_bytes: int = SLICE) -> DataFrame:
     """All frequent grams with their counts (and each language's total)."""
-    return write_scratch(flows(counted(docs, text_col, lang_col, max_words, slice_bytes), max_words, min_count), "grams")
+    size = docs.select(F.sum(F.octet_length(F.col(quote_ident(text_col)))).alias("n")).first()["n"] or 0
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = min(MAX_BUCKETS, max(partitions, -(-size // BUCKET)))
+    return write_scratch(flows(counted(docs, text_col, lang_col, max_words, slice_bytes, buckets), max_words, min_count, buckets),
+                         "grams")
 
 
 def scored(candidates: DataFrame, heavy: DataFrame) -> DataFrame:

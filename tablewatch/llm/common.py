@@ -8,8 +8,9 @@ Python object per word.
 
 from __future__ import annotations
 
+import ctypes
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -192,9 +193,31 @@ def held(key, make):
 
 
 def release() -> None:
-    """Lets go of held tables and of the Arrow pool's unused memory."""
+    """Lets go of held tables and of unused memory."""
     _HELD.clear()
+    give_back()
+
+
+def give_back() -> None:
+    """Returns memory that freed arrays left with the allocators to the
+    system (where the C library can: glibc)."""
     pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def trimmed(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``run`` for mapInArrow that gives memory back when a task ends."""
+
+    def inner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return inner
 
 
 class HashCache:
@@ -290,17 +313,24 @@ def runs_of_bytes(texts: Texts, allowed: np.ndarray) -> tuple[np.ndarray, np.nda
     return buf, start, end, doc
 
 
-def hash_runs(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the given non-empty byte runs (as ``token_hashes``)."""
+def hash_runs(buf: np.ndarray, start: np.ndarray, end: np.ndarray, both: bool = False):
+    """64-bit hashes of the given non-empty byte runs (as ``token_hashes``);
+    with ``both`` a second, independent one too."""
     size = end - start
     if not len(size):
-        return np.zeros(0, np.uint64)
+        none = np.zeros(0, np.uint64)
+        return (none, none) if both else none
     at = np.cumsum(size) - size
     offset = np.arange(int(size.sum())) - np.repeat(at, size)
-    part = _BYTE[buf[np.repeat(start, size) + offset]] * _POS[offset & 1023]
+    part = _BYTE[buf[np.repeat(start, size) + offset]]
+    place = _POS[offset & 1023]
     if size.max() > 1024:
-        part *= _POS_HIGH[(offset >> 10) & 4095]
-    return mix64(np.add.reduceat(part, at) + size.astype(np.uint64))
+        place *= _POS_HIGH[(offset >> 10) & 4095]
+    one = mix64(np.add.reduceat(part * place, at) + size.astype(np.uint64))
+    if not both:
+        return one
+    part = mix64(part) * (place ^ np.uint64(0xA5A5A5A5A5A5A5A4))
+    return one, mix64(np.add.reduceat(part, at) ^ size.astype(np.uint64))
 
 
 def spans_array(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
