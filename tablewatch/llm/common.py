@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablewatch.functions.exprs import quote_ident
 from tablewatch.session import scratch_path
 
 BROADCAST_KEYS = 500_000  # of an id and a 64-bit hash each
@@ -128,6 +129,18 @@ def repeated_words(t: Tokens) -> np.ndarray:
     return per_doc(covered, t.first)
 
 
+def text_lists(column: pa.Array | pa.ChunkedArray, budget: int = 2 << 20) -> Iterator[tuple[int, int, list[bytes]]]:
+    """(first row, end row, texts) of runs of about ``budget`` bytes; only one
+    run's texts are Python objects at a time.  Null texts are empty."""
+    for lo, hi, texts in text_runs(column, budget):
+        yield lo, hi, [texts.text(i) for i in range(hi - lo)]
+
+
+def col(name: str) -> Column:
+    """A column by its whole name, dots and all."""
+    return F.col(quote_ident(name))
+
+
 def slices(texts: list[bytes], budget: int = 2 << 20) -> Iterator[tuple[int, int]]:
     """Runs of consecutive texts of about ``budget`` bytes; a longer text
     makes a run of its own."""
@@ -172,12 +185,12 @@ def without(docs: DataFrame, rejected: DataFrame, id_col: str, text_col: str) ->
     ``__text_key``); null ids compare as equal.  The rejected keys are written
     and counted first: up to ``BROADCAST_KEYS`` they are broadcast and no text
     is shuffled."""
-    gone = write_scratch(rejected.select(F.col(id_col).alias("__gone_id"), F.col("__text_key").alias("__gone_key")).distinct(),
+    gone = write_scratch(rejected.select(col(id_col).alias("__gone_id"), F.col("__text_key").alias("__gone_key")).distinct(),
                          "rejected")
     if gone.count() <= BROADCAST_KEYS:
         gone = F.broadcast(gone)
-    return docs.join(gone, F.col(id_col).eqNullSafe(F.col("__gone_id"))
-                     & (text_key(F.col(text_col)) == F.col("__gone_key")), "left_anti")
+    return docs.join(gone, col(id_col).eqNullSafe(F.col("__gone_id"))
+                     & (text_key(col(text_col)) == F.col("__gone_key")), "left_anti")
 
 
 _HELD: dict = {}

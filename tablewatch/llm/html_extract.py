@@ -35,6 +35,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from tablewatch.llm.common import col, trimmed
+
 # Element classes of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title iframe noembed noframes xmp".split())
@@ -337,4 +339,4 @@ def extract_pages(pages: DataFrame, html_col: str = "html", out_col: str = "text
                     [*batch.select(rest).slice(k, 500).columns, pa.array(texts, pa.string()), pa.array([len(x) for x in texts], pa.int64())],
                     names=schema.names)
 
-    return pages.select(*rest, html_col).mapInArrow(run, schema)
+    return pages.select(*map(col, rest), col(html_col)).mapInArrow(trimmed(run), schema)

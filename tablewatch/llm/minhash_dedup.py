@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewatch.llm.common import (WORD_PATTERN, Tokens, mix64, release, slices, text_key, texts_of, token_hashes, without,
+from tablewatch.llm.common import (WORD_PATTERN, Tokens, col, mix64, release, text_key, text_lists, token_hashes, trimmed, without,
                                    write_scratch)
 
 BANDS, BAND_ROWS = 28, 4
@@ -109,18 +109,17 @@ def _binary(rows: np.ndarray) -> list[bytes]:
 
 def signed(docs: DataFrame, id_col: str, text_col: str, keep: tuple[str, ...]) -> DataFrame:
     """id, n_shingles, node and signature (null for empty sets) per row."""
-    source = docs.select(F.col(id_col).alias("__id"), *[F.col(c).alias(f"__keep_{c}") for c in keep],
-                         F.col(text_col).alias("__text"))
+    source = docs.select(col(id_col).alias("__id"), *[col(c).alias(f"__keep_{c}") for c in keep],
+                         col(text_col).alias("__text"))
     schema = T.StructType(source.schema.fields[:-1] + [
         T.StructField("n", T.LongType()), T.StructField("node", T.BinaryType()), T.StructField("sig", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
         for batch in batches:
-            texts = texts_of(batch.column("__text"))
             rest = batch.drop_columns(["__text"])
-            for lo, hi in slices(texts):
-                key, begin = shingle_sets(token_hashes(texts[lo:hi]), hi - lo)
+            for lo, hi, texts in text_lists(batch.column("__text")):
+                key, begin = shingle_sets(token_hashes(texts), hi - lo)
                 some, node = nodes_of(key, begin)
                 nodes, sigs = [None] * (hi - lo), [None] * (hi - lo)
                 for i, a, b in zip(some.tolist(), _binary(node), _binary(signatures(key, begin, some))):
@@ -130,7 +129,7 @@ def signed(docs: DataFrame, id_col: str, text_col: str, keep: tuple[str, ...]) -
                     own.columns + [pa.array(np.diff(begin)), pa.array(nodes, pa.binary()), pa.array(sigs, pa.binary())],
                     names=own.schema.names + ["n", "node", "sig"])
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(trimmed(run), schema)
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -138,22 +137,22 @@ def full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) ->
     smallest document's text."""
     if wanted.count() <= BROADCAST_IDS:
         wanted = F.broadcast(wanted)
-    source = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")) \
+    source = docs.select(col(id_col).alias("__id"), col(text_col).alias("__text")) \
         .join(wanted.select("rep", F.col("node").alias("want")), F.col("__id").eqNullSafe(F.col("rep"))) \
         .select("want", "__text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, want = texts_of(batch.column("__text")), batch.column("want").to_pylist()
-            for lo, hi in slices(texts):
-                key, begin = shingle_sets(token_hashes(texts[lo:hi]), hi - lo)
+            want = batch.column("want").to_pylist()
+            for lo, hi, texts in text_lists(batch.column("__text")):
+                key, begin = shingle_sets(token_hashes(texts), hi - lo)
                 some, node = nodes_of(key, begin)
                 rows = [(a, key[begin[i]:begin[i + 1]].tobytes()) for i, a in zip(some.tolist(), _binary(node))
                         if a == want[lo + i]]  # another row may bear the same id
                 yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.binary()),
                                                   pa.array([r[1] for r in rows], pa.binary())], names=["node", "set"])
 
-    return source.mapInArrow(run, "node binary, set binary").dropDuplicates(["node"])
+    return source.mapInArrow(trimmed(run), "node binary, set binary").dropDuplicates(["node"])
 
 
 def least_matches(threshold: float, miss: float) -> list[int]:
@@ -195,7 +194,7 @@ def prune(pairs: DataFrame, nodes: DataFrame, least: list[int], threshold: int)
             ok = pa.array(plausible(_matrix(batch.column("sa")), _matrix(batch.column("sb")), least))
             yield batch.select(["a", "b"]).take(ok)
 
-    return both.select("a", "b", "sa", "sb").mapInArrow(run, "a binary, b binary")
+    return both.select("a", "b", "sa", "sb").mapInArrow(trimmed(run), "a binary, b binary")
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
@@ -212,7 +211,7 @@ def confirm(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
                 keep.append(100 * common >= threshold * (len(x) + len(y) - common))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return both.select("a", "b", "xa", "xb").mapInArrow(run, "a binary, b binary")
+    return both.select("a", "b", "xa", "xb").mapInArrow(trimmed(run), "a binary, b binary")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -320,7 +319,7 @@ def block_pairs(members: DataFrame, payload: DataFrame, least: list[int], thresh
         yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.binary()),
                                           pa.array([x[1] for x in found], pa.binary())], names=["a", "b"])
 
-    return parts.mapInArrow(run, "a binary, b binary")
+    return parts.mapInArrow(trimmed(run), "a binary, b binary")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD,
@@ -366,22 +365,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     heads = heads.join(top, "root").select(F.col("node").alias("__n"), "top")
     got = rows.drop("sig").join(heads, F.col("node") == F.col("__n"), "left")
     component = F.coalesce("top", "__id")
-    return got.select(F.col("__id").alias(id_col), *[F.col(f"__keep_{c}").alias(c) for c in keep],
+    return got.select(F.col("__id").alias(id_col), *[col(f"__keep_{c}").alias(c) for c in keep],
                       F.col("n").alias("n_shingles"), component.alias("component_id"),
                       F.col("__id").eqNullSafe(component).alias("kept"))
 
 
 def filter_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The input's rows and columns, one document of each component."""
-    keyed = docs.select(*docs.columns, text_key(F.col(text_col)).alias("__text_key"))
+    keyed = docs.select("*", text_key(col(text_col)).alias("__text_key"))
     verdicts = write_scratch(near_duplicates(keyed, id_col, text_col, keep=("__text_key",), **options), "mh-verdicts")
     out = without(docs, verdicts.filter(~F.col("kept")), id_col, text_col)
-    again = verdicts.filter("kept AND n_shingles > 0").groupBy(id_col, "component_id").count().filter("count > 1")
+    again = verdicts.filter("kept AND n_shingles > 0").groupBy(col(id_col), "component_id").count().filter("count > 1")
     if not again.isEmpty():  # rows that repeat a kept id: texts without words stay, of the others one
-        text = F.col(text_col)
+        text = col(text_col)
         bare = F.coalesce(F.regexp_count(text, F.lit(WORD_PATTERN)), F.lit(0)) == 0
-        twice = again.select(F.col(id_col).alias("__twice")).distinct()
-        repeated = F.col(id_col).eqNullSafe(F.col("__twice"))
+        twice = again.select(col(id_col).alias("__twice")).distinct()
+        repeated = col(id_col).eqNullSafe(F.col("__twice"))
         first = out.filter(~bare).join(twice, repeated, "left_semi").dropDuplicates([id_col])
         out = out.filter(bare).unionAll(out.filter(~bare).join(twice, repeated, "left_anti")).unionAll(first)
     return out

@@ -23,7 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablewatch.llm.common import WORD_PATTERN, write_scratch
+from tablewatch.llm.common import WORD_PATTERN, col, write_scratch
 
 WEIGHTS = (3, 1, 2)
 KEY_BITS = 60
@@ -120,8 +120,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         weights: Sequence[float] = WEIGHTS, share: float = 1.5, max_repeat: float = 2.0) -> DataFrame:
     """One row per input row: id, size, source_size, target, copies, taken."""
     sized = write_scratch(docs.select(
-        F.col(id_col).alias("__id"), F.col(source_col).alias("__source"),
-        text_size(F.col(text_col)).alias("__size"), hash_key(F.col(id_col)).alias("__key")), "mix-sizes")
+        col(id_col).alias("__id"), col(source_col).alias("__source"),
+        text_size(col(text_col)).alias("__size"), hash_key(col(id_col)).alias("__key")), "mix-sizes")
     plan, few = thresholds(sized, source_targets(sized, weights, share, max_repeat))
     copies = F.col("__full") + (F.col("__key") < F.col("__below")).cast("long")
     return (_with_sources(sized, plan, few)
@@ -134,14 +134,14 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """The mix itself: the input's rows and columns, each row as often as it
     is taken.  Texts are not shuffled; only the per-source plan meets them."""
     sized = write_scratch(docs.select(
-        F.col(source_col).alias("__source"), text_size(F.col(text_col)).alias("__size"),
-        hash_key(F.col(id_col)).alias("__key")), "mix-sizes")
+        col(source_col).alias("__source"), text_size(col(text_col)).alias("__size"),
+        hash_key(col(id_col)).alias("__key")), "mix-sizes")
     plan, few = thresholds(sized, source_targets(sized, **options))
     plan = plan.select("__source", "__full", "__below")
-    keyed = docs.withColumns({"__source": F.col(source_col), "__key": hash_key(F.col(id_col))})
+    keyed = docs.withColumns({"__source": col(source_col), "__key": hash_key(col(id_col))})
     copies = (F.col("__full") + (F.col("__key") < F.col("__below")).cast("long")).cast("int")
     return (_with_sources(keyed, plan, few).withColumn("__n", F.explode(F.array_repeat(F.lit(1), copies)))
-            .select(*docs.columns))
+            .select(*map(col, docs.columns)))
 
 
 ORACLE = r"""

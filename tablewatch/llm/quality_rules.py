@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewatch.llm.common import (Tokens, held, per_doc, repeated_words, slices, text_key, texts_of, token_hashes,
+from tablewatch.llm.common import (Tokens, col, held, per_doc, repeated_words, text_key, text_lists, token_hashes, trimmed,
                                    without, write_scratch)
 
 TOKENIZERS = "/opt/tokenizers"
@@ -179,12 +179,12 @@ def fertility(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     with open(f"{tokenizers}/piece_bpe_32k.model", "rb") as f:
         model = f.read()
     shared = docs.sparkSession.sparkContext.broadcast((ranks, model))  # two files, 1.3 MB
-    text = F.col(text_col)
+    text = col(text_col)
     group = script_of(text)
     if lang_col and lang_col in docs.columns:
-        group = F.when(F.col(lang_col).isin(*LANGUAGES), F.col(lang_col)).otherwise(group)
-    source = docs.select(F.col(id_col).alias("__id"), text.alias("__text"), group.alias("__group"),
-                         *[F.col(c).alias(f"__keep_{c}") for c in keep])
+        group = F.when(col(lang_col).isin(*LANGUAGES), col(lang_col)).otherwise(group)
+    source = docs.select(col(id_col).alias("__id"), text.alias("__text"), group.alias("__group"),
+                         *[col(c).alias(f"__keep_{c}") for c in keep])
     carried = [f for f in source.schema.fields if f.name != "__text"]
     schema = T.StructType(carried + [T.StructField(c, T.LongType()) for c in _LONGS]
                           + [T.StructField(c, T.DoubleType()) for c in METRICS])
@@ -192,17 +192,16 @@ def fertility(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = Vocabularies.get(*shared.value)
         for batch in batches:
-            texts = texts_of(batch.column("__text"))
             rest = batch.drop_columns(["__text"])
-            for lo, hi in slices(texts):
-                m = measure(texts[lo:hi], vocab)
+            for lo, hi, texts in text_lists(batch.column("__text")):
+                m = measure(texts, vocab)
                 own = rest.slice(lo, hi - lo)
                 yield pa.RecordBatch.from_arrays(
                     own.columns + [pa.array(m[c], pa.int64()) for c in _LONGS] + [pa.array(m[c], pa.float64()) for c in METRICS],
                     names=own.schema.names + list(_LONGS) + list(METRICS))
         vocab.clear()
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(trimmed(run), schema)
 
 
 def bands(measured: DataFrame, min_group: int = 40) -> DataFrame:
@@ -251,12 +250,12 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     inside = F.lit(True)
     for c in METRICS:
         inside = inside & F.coalesce((F.col(c) >= e[f"__lo_{c}"]) & (F.col(c) <= e[f"__hi_{c}"]), F.lit(True))
-    return rows.select(F.col("__id").alias(id_col), *[F.col(f"__keep_{c}").alias(c) for c in keep], *_LONGS, *METRICS,
+    return rows.select(F.col("__id").alias(id_col), *[col(f"__keep_{c}").alias(c) for c in keep], *_LONGS, *METRICS,
                        F.col("__group").alias("band"), "base_failed", (~F.col("base_failed") & inside).alias("kept"))
 
 
 def filter_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The input's rows and columns, without those not kept."""
-    keyed = docs.select(*docs.columns, text_key(F.col(text_col)).alias("__text_key"))
+    keyed = docs.select("*", text_key(col(text_col)).alias("__text_key"))
     verdicts = judge(keyed, id_col, text_col, keep=("__text_key",), **options)
     return without(docs, verdicts.filter(~F.col("kept")), id_col, text_col)

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewatch.llm.common import hash_spans, held, slices, texts_of
+from tablewatch.llm.common import col, hash_spans, held, text_lists, trimmed
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
@@ -378,10 +378,8 @@ def encode(docs: DataFrame, text_col: str = "text", out_col: str = "piece_ids",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = Pieces.get(shared.value)
         for batch in batches:
-            texts = texts_of(batch.column(text_col))
             keep = batch.select(rest)
-            for lo, hi in slices(texts, BATCH_BYTES):
-                own = texts[lo:hi]
+            for lo, hi, own in text_lists(batch.column(text_col), BATCH_BYTES):
                 ids, begin = pieces.encode(own)
                 lists = pa.ListArray.from_arrays(pa.array(begin, pa.int32()), pa.array(ids, pa.int32()))
                 columns = [*keep.slice(lo, hi - lo).columns, lists]
@@ -390,7 +388,7 @@ def encode(docs: DataFrame, text_col: str = "text", out_col: str = "piece_ids",
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
         pieces.clear()
 
-    return docs.select(*rest, text_col).mapInArrow(run, schema)
+    return docs.select(*map(col, rest), col(text_col)).mapInArrow(trimmed(run), schema)
 
 
 def decode(encoded: DataFrame, ids_col: str = "piece_ids", out_col: str = "text", model: str = MODEL) -> DataFrame:
@@ -411,10 +409,10 @@ def decode(encoded: DataFrame, ids_col: str = "piece_ids", out_col: str = "text"
             texts = [x.decode("utf-8", "replace") for x in pieces.decode(ids, begin)]
             yield pa.RecordBatch.from_arrays([*batch.select(rest).columns, pa.array(texts, pa.string())], names=schema.names)
 
-    return encoded.select(*rest, ids_col).mapInArrow(run, schema)
+    return encoded.select(*map(col, rest), col(ids_col)).mapInArrow(trimmed(run), schema)
 
 
 def encode_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: str = MODEL) -> DataFrame:
     """Per row: id, n_pieces, piece_ids and whether decoding gives the text back."""
-    got = encode(docs.select(id_col, text_col), text_col, "piece_ids", model, check="round_trip")
-    return got.select(id_col, F.size("piece_ids").cast("long").alias("n_pieces"), "piece_ids", "round_trip")
+    got = encode(docs.select(col(id_col), col(text_col)), text_col, "piece_ids", model, check="round_trip")
+    return got.select(col(id_col), F.size("piece_ids").cast("long").alias("n_pieces"), "piece_ids", "round_trip")

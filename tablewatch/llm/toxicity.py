@@ -46,7 +46,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewatch.llm.common import (_BYTE, fold, mix64, release, slices, text_key, texts_of, token_bounds, token_hashes,
+from tablewatch.llm.common import (_BYTE, col, fold, mix64, release, text_key, text_lists, token_bounds, token_hashes, trimmed,
                                    without, write_scratch)
 from tablewatch.llm.minhash_dedup import shingle_sets
 
@@ -307,9 +307,9 @@ def gram_counts(sample: DataFrame, sure: list[bytes], known: np.ndarray | None)
         bad, wanted = shared.value
         parts, size = [], 0
         for batch in batches:
-            texts, labels = texts_of(batch.column("__text")), np.asarray(batch.column("__y")).astype(np.int64)
-            for lo, hi in slices(texts, 1 << 18):
-                letters = Letters(texts[lo:hi])
+            labels = np.asarray(batch.column("__y")).astype(np.int64)
+            for lo, hi, texts in text_lists(batch.column("__text"), 1 << 18):
+                letters = Letters(texts)
                 if not len(letters.doc):
                     continue
                 flags = np.concatenate([[0], np.cumsum(marked(letters, bad))])
@@ -336,7 +336,7 @@ def gram_counts(sample: DataFrame, sure: list[bytes], known: np.ndarray | None)
         if parts:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in merged(parts).T], names=["key", "toxic", "clean"])
 
-    return (sample.select("__text", "__y").mapInArrow(run, "key bigint, toxic bigint, clean bigint")
+    return (sample.select("__text", "__y").mapInArrow(trimmed(run), "key bigint, toxic bigint, clean bigint")
             .groupBy("key").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")))
 
 
@@ -361,9 +361,8 @@ def gram_spans(sample: DataFrame, keys: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted, done = shared.value, np.zeros(len(shared.value), bool)
         for batch in batches:
-            texts = texts_of(batch.column("__text"))
-            for lo, hi in slices(texts, 1 << 18):
-                letters = Letters(texts[lo:hi])
+            for lo, hi, texts in text_lists(batch.column("__text"), 1 << 18):
+                letters = Letters(texts)
                 for _, _, a, b, first, key in gram_keys(letters) if len(letters.doc) else ():
                     at = np.minimum(np.searchsorted(wanted, key), len(wanted) - 1)
                     hit = np.flatnonzero((wanted[at] == key) & ~done[at])
@@ -373,16 +372,16 @@ def gram_spans(sample: DataFrame, keys: np.ndarray) -> DataFrame:
                     spans = [letters.text(*x) for x in zip(a[hit].tolist(), b[hit].tolist(), first[hit].tolist())]
                     yield pa.RecordBatch.from_arrays([pa.array(key[hit]), pa.array(spans, pa.binary())], names=["key", "span"])
 
-    return sample.select("__text").mapInArrow(run, "key bigint, span binary").groupBy("key").agg(F.min("span").alias("span"))
+    return sample.select("__text").mapInArrow(trimmed(run), "key bigint, span binary").groupBy("key").agg(F.min("span").alias("span"))
 
 
 def span_counts(sample: DataFrame) -> DataFrame:
     """(span, toxic documents, clean documents) over a labelled sample."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, labels = texts_of(batch.column("__text")), batch.column("__y").to_pylist()
-            for lo, hi in slices(texts, 1 << 18):
-                t = token_hashes(texts[lo:hi])
+            labels = batch.column("__y").to_pylist()
+            for lo, hi, texts in text_lists(batch.column("__text"), 1 << 18):
+                t = token_hashes(texts)
                 seen: dict[bytes, list[int]] = {}
                 found = [set() for _ in range(hi - lo)]
                 for i, d in enumerate(t.doc.tolist()):
@@ -396,7 +395,7 @@ def span_counts(sample: DataFrame) -> DataFrame:
                     [pa.array(seen.keys(), pa.binary()), pa.array([v[0] for v in seen.values()], pa.int64()),
                      pa.array([v[1] for v in seen.values()], pa.int64())], names=["span", "toxic", "clean"])
 
-    return (sample.select("__text", "__y").mapInArrow(run, "span binary, toxic bigint, clean bigint")
+    return (sample.select("__text", "__y").mapInArrow(trimmed(run), "span binary, toxic bigint, clean bigint")
             .groupBy("span").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")))
 
 
@@ -496,8 +495,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, id_col: str,
     order = (F.xxhash64("__label_id"), "__label_id")
     ids = write_scratch(marked.filter("__y = 1").orderBy(*order).limit(sample)
                         .unionAll(marked.filter("__y = 0").orderBy(*order).limit(3 * sample)), "tox-ids")
-    rows = write_scratch(docs.join(F.broadcast(ids), F.col(id_col) == F.col("__label_id"))
-                         .select(F.col(text_col).alias("__text"), "__y", F.xxhash64("__label_id", text_col).alias("__row"),
+    rows = write_scratch(docs.join(F.broadcast(ids), col(id_col) == F.col("__label_id"))
+                         .select(col(text_col).alias("__text"), "__y", F.xxhash64("__label_id", col(text_col)).alias("__row"),
                                  (F.pmod(F.xxhash64("__label_id"), F.lit(4)) == 0).alias("__aside")), "tox-sample")
     return without_copies(rows)
 
@@ -507,9 +506,9 @@ def without_copies(rows: DataFrame) -> DataFrame:
     copies of one toxic text would make all of its words look like insults."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, ids = texts_of(batch.column("__text")), batch.column("__row")
-            for lo, hi in slices(texts):
-                key, begin = shingle_sets(token_hashes(texts[lo:hi]), hi - lo)
+            ids = batch.column("__row")
+            for lo, hi, texts in text_lists(batch.column("__text")):
+                key, begin = shingle_sets(token_hashes(texts), hi - lo)
                 some = np.flatnonzero(np.diff(begin))
                 least = [np.minimum.reduceat(mix64(key + np.uint64(k)), begin[some]).view(np.int64) for k in range(4)] \
                     if len(some) else [np.zeros(0, np.int64)] * 4
@@ -517,7 +516,7 @@ def without_copies(rows: DataFrame) -> DataFrame:
                     [pa.concat_arrays([ids.slice(lo, hi - lo).take(pa.array(some))] * 4), pa.array(np.concatenate(least)),
                      pa.array(np.repeat(np.arange(4), len(some)), pa.int32())], names=["id", "m", "k"])
 
-    marks = rows.select("__text", "__row").mapInArrow(run, "id bigint, m bigint, k int")
+    marks = rows.select("__text", "__row").mapInArrow(trimmed(run), "id bigint, m bigint, k int")
     first = marks.groupBy("m", "k").agg(F.min("id").alias("first"))
     copies = marks.join(first, ["m", "k"]).filter("id != first").select("id").distinct()
     single = write_scratch(rows.join(copies, F.col("__row") == F.col("id"), "left_anti"), "tox-single")
@@ -530,20 +529,19 @@ def evidence_of(docs: DataFrame, model: Model, text_col: str) -> DataFrame:
     """``__evidence`` per row beside all other columns but the text."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # a table of 4 MB
     rest = [c for c in docs.columns if c != text_col]
-    schema = docs.select(*rest).schema.add("__evidence", T.ArrayType(T.DoubleType()))
+    schema = docs.select(*map(col, rest)).schema.add("__evidence", T.ArrayType(T.DoubleType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
         for batch in batches:
-            texts = texts_of(batch.column(text_col))
             keep = batch.drop_columns([text_col])
-            for lo, hi in slices(texts, 1 << 18):
+            for lo, hi, texts in text_lists(batch.column(text_col), 1 << 18):
                 own = keep.slice(lo, hi - lo)
-                values = pa.array(evidence(texts[lo:hi], shared.value).ravel())
+                values = pa.array(evidence(texts, shared.value).ravel())
                 values = pa.FixedSizeListArray.from_arrays(values, EVIDENCE).cast(pa.list_(pa.float64()))
                 yield pa.RecordBatch.from_arrays(own.columns + [values], names=own.schema.names + ["__evidence"])
 
-    return docs.select(text_col, *rest).mapInArrow(run, schema)
+    return docs.select(col(text_col), *map(col, rest)).mapInArrow(trimmed(run), schema)
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text",
@@ -609,8 +607,8 @@ def classify(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: s
              folds: int = 3, held: int = 1, cut: float = 0.7, keep: tuple[str, ...] = (), **bounds) -> DataFrame:
     """Per row: id, held_out, score, predicted."""
     model = fit(docs, labels, label, id_col, text_col, folds, held, **bounds)
-    got = evidence_of(docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"),
-                                  *[F.col(c).alias(f"__keep_{c}") for c in keep]), model, "__text")
+    got = evidence_of(docs.select(col(id_col).alias("__id"), col(text_col).alias("__text"),
+                                  *[col(c).alias(f"__keep_{c}") for c in keep]), model, "__text")
     if model.prior is not None:
         score = F.lit(float(model.prior))
     else:
@@ -618,7 +616,7 @@ def classify(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: s
         for k, w in enumerate(model.weights[:-1]):
             odds = odds + F.col("__evidence")[k] * w
         score = 1 / (1 + F.exp(-odds))
-    return got.select(F.col("__id").alias(id_col), *[F.col(f"__keep_{c}").alias(c) for c in keep],
+    return got.select(F.col("__id").alias(id_col), *[col(f"__keep_{c}").alias(c) for c in keep],
                       (fold(F.col("__id"), folds) == held).alias("held_out"), score.alias("score")) \
         .withColumn("predicted", (F.col("score") >= cut).cast("int"))
 
@@ -626,6 +624,6 @@ def classify(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: s
 def filter_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      **options) -> DataFrame:
     """The input's rows and columns, without those predicted toxic."""
-    keyed = docs.select(*docs.columns, text_key(F.col(text_col)).alias("__text_key"))
+    keyed = docs.select("*", text_key(col(text_col)).alias("__text_key"))
     verdicts = classify(keyed, labels, "toxic", id_col, text_col, keep=("__text_key",), **options)
     return without(docs, verdicts.filter("predicted = 1"), id_col, text_col)

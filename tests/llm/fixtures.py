@@ -5,7 +5,8 @@ from pyspark.sql import types as T
 DOCS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()),
                      T.StructField("lang", T.StringType()), T.StructField("source", T.StringType()),
                      # names that operators use for columns of their own
-                     *[T.StructField(c, T.StringType()) for c in ("kept", "score", "node", "size", "hash", "bucket", "n", "label")]])
+                     *[T.StructField(c, T.StringType()) for c in ("kept", "score", "node", "size", "hash", "bucket", "n", "label",
+                                                                        "x.y", "doc_id.text")]])  # the last two need quoting
 
 SENTENCE = "The quick brown fox number %d jumps over the lazy dog near river %d while seven birds sing in tree %d . "
 
@@ -27,7 +28,7 @@ def awkward_rows():
 
 
 def frame(spark, rows):
-    return spark.createDataFrame([(*r, *["x"] * 8) for r in rows], DOCS)
+    return spark.createDataFrame([(*r, *["x"] * 10) for r in rows], DOCS)
 
 
 def words(value: str | None) -> list[bytes]:
