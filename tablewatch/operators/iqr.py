@@ -1,10 +1,8 @@
 """K2: per-system quartile bounds and the rows outside them.
 
 Quartiles have one definition at every size: ``percentile_disc``, the smallest
-value with at least the asked share of the non-NULL values at or below it.
-Systems up to ``Scale.split_rows`` rows are aggregated plainly; larger ones
-are spread over many tasks by ``exact_quantiles``.  The plans differ, the
-answers do not.
+value with at least the asked share of the non-NULL values at or below it, and
+one plan: radix selection (``quantiles``) for all systems at once.
 """
 
 from __future__ import annotations
@@ -15,7 +13,7 @@ from pyspark.sql import functions as F
 from tablewatch.functions.exprs import quote_ident
 from tablewatch.operators.joins import (attach_small, estimate_row_bytes, materialize_observed,
                                         should_broadcast)
-from tablewatch.operators.splits import _big_groups, exact_quantiles, group_sizes
+from tablewatch.operators.quantiles import radix_quantiles
 from tablewatch.params import Cols, Scale
 
 PROBS = {"q1": 0.25, "q3": 0.75}
@@ -25,26 +23,9 @@ SALTS = 64
 
 
 def quartiles(df: DataFrame, cols: Cols, scale: Scale = Scale(), sizes=None) -> DataFrame:
-    """q1 and q3 per system (NULL where a system has no value).  ``sizes``:
-    rows per system if already known (e.g. from the z-score)."""
-    part, x = [cols.sys], quote_ident(cols.x)
-
-    def plain(d: DataFrame) -> DataFrame:
-        return d.groupBy(F.col(quote_ident(cols.sys))).agg(*[
-            F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY {x})").alias(name)
-            for name, p in PROBS.items()])
-
-    if sizes is None:
-        sizes = group_sizes(df, part, scale)
-    big, g, _ = _big_groups(sizes, scale)
-    if g == 0:
-        return plain(df)
-    keys = big.select(*part)
-    small_q = plain(attach_small(df, keys, part, "left_anti", scale=scale, n_rows=g))
-    big_q = exact_quantiles(attach_small(df, keys, part, "left_semi", scale=scale, n_rows=g),
-                            part, cols.x, list(PROBS.values()), list(PROBS), scale)
-    # A big system whose values are all NULL has no quantile row.
-    return small_q.unionByName(attach_small(keys, big_q, part, "left", scale=scale, n_rows=g))
+    """q1 and q3 per system (NULL where a system has no value).  ``sizes`` is
+    accepted for symmetry with the neighbour operators; it is not needed."""
+    return radix_quantiles(df, [cols.sys], cols.x, list(PROBS.values()), list(PROBS), scale)
 
 
 def quartile_table(df: DataFrame, cols: Cols, scale: Scale = Scale(),

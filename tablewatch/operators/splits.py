@@ -7,18 +7,15 @@ ordered ranges:
 
 * ``neighbor_diffs``: |v - lead/lag(v, 1..k)| in a given order.  Rows of a big
   group get a range index (binary search over boundaries taken from a sorted
-  sample of the whole order key); the window runs per (group, range).  Only
-  the first/last k rows of each range can miss neighbours; they are
-  recomputed from the first/last 2k rows of every range (at most 4k rows per
-  range) and unioned back.  The main shuffle is shared by both parts.
+  sample of the whole order key).  Rows near a boundary are copied into the
+  neighbouring range (a halo that holds k rows at least), one window runs per
+  (group, range), and the copies are dropped after it.
 * ``percent_rank_at_least``: ``percent_rank() >= cutoff`` per group.  Small
   groups use the plain window.  For a big group the rank of a row is the
   count of smaller values: a threshold from a bounded sample discards rows
   below the cut, the survivors are ranked by distinct value (split into
   ranges with running offsets), and a threshold that was too high is
   detected from exact counts and the group re-ranked over all its rows.
-* ``exact_quantiles``: ``percentile_disc`` per group, by the same
-  bracket-count-verify pattern.
 
 Sketches only ever see bounded samples, so no reducer merges one partial
 sketch per map task.  Groups up to ``Scale.split_rows`` rows take the
@@ -29,7 +26,6 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -41,10 +37,10 @@ from tablewatch.params import Scale
 
 N = "_tw_n"
 SPLIT = "_tw_split"
-HAS_SPLIT = "_tw_has_split"
+HALO = "_tw_halo"
+OWN = "_tw_own"
+FROM, TO = "_tw_from", "_tw_to"
 BOUNDS = "_tw_bounds"
-RN = "_tw_rn"
-CN = "_tw_cn"
 
 
 def _c(name: str) -> Column:
@@ -118,46 +114,68 @@ def sample_quantiles(df: DataFrame, part: list[str], key: str, fractions: list[f
         F.first(N).alias(N), F.percentile_approx(_c(key), fractions, accuracy).alias(out))
 
 
-def range_splits(df: DataFrame, part: list[str], keys, sizes,
-                 scale: Scale, seed: int = 23) -> tuple[DataFrame, bool]:
+PER_RANGE = 256  # sampled rows of a range
+
+
+def range_splits(df: DataFrame, part: list[str], keys, sizes, scale: Scale, seed: int = 23,
+                 halo: int = 0) -> tuple[DataFrame, bool]:
     """Add ``_tw_split`` (range index in the order of ``keys``, 0 for small
-    groups) and ``_tw_has_split``.  Returns (frame, any_group_split).
-
-    Boundaries are values of the whole order key (a struct when there are
-    several columns), every 64th of a sorted per-group sample of about 64
-    rows per range.  With a unique order key no two rows tie, so even a
-    group that is constant in its first order column splits evenly; rows
-    with equal keys always share a range.  NULLs sort first, as in the
-    windows (ascending, nulls first)."""
+    groups).  Returns (frame, any_group_split).
+
+    Boundaries are values of the whole order key (a struct of the columns),
+    regular members of a sorted per-group sample of ``PER_RANGE`` rows a
+    range.  With a unique order key no two rows tie, so even a group that is
+    constant in its first order column splits evenly; rows with equal keys
+    always share a range.  NULLs sort first, as in the windows.
+
+    ``halo``: a row less than that many rows away from a boundary (and some
+    around it) is also copied into the neighbouring range, with ``_tw_halo``
+    true.  How far a range reaches beyond a boundary is read off the sample:
+    the stretch between the boundary and the ``halo``-th sampled row before or
+    after it holds at least that many rows."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     big, g, max_n = _big_groups(sizes, scale)
     if g == 0:
-        return df.withColumn(SPLIT, F.lit(0)).withColumn(HAS_SPLIT, F.lit(False)), False
+        return df.withColumns({SPLIT: F.lit(0), HALO: F.lit(False)}), False
     m = max(2, min(scale.max_splits, math.ceil(max_n / scale.split_rows)))
-    per = 64
-    key = F.struct(*[_c(k) for k in keys]) if len(keys) > 1 else _c(keys[0])
+    key = F.struct(*[_c(k) for k in keys])
     rows = attach_small(df.select(*[_c(p) for p in part], key.alias("_tw_key")), big, part,
                         "inner", scale=scale, n_rows=g)
     want = F.least(F.lit(m), F.ceil(F.col(N) / F.lit(scale.split_rows))).cast("int")
-    frac = F.least(F.lit(1.0), F.lit(per) * want / F.col(N))
+    frac = F.least(F.lit(1.0), F.lit(PER_RANGE) * want / F.col(N))
     sample = rows.filter((frac >= 1.0) | (F.rand(seed) < frac))
+    # Distinct keys, so that members of the sample count rows strictly before.
     srt = sample.groupBy(*[_c(p) for p in part]).agg(
-        F.array_sort(F.collect_list("_tw_key")).alias("_tw_s"), F.first(want).alias("_tw_w"))
-    n_s, w = F.size("_tw_s"), F.col("_tw_w")
-    def pick(j):
-        return F.element_at("_tw_s", F.greatest(F.lit(1), F.floor(j * n_s / w).cast("int")))
+        F.array_sort(F.collect_set("_tw_key")).alias("_tw_s"), F.first(want).alias("_tw_w"))
+    # Every range holds as many sampled rows as the halo at least, so a halo
+    # ends inside the next range.
+    n_s = F.size("_tw_s")
+    w = F.greatest(F.lit(1), F.least(F.col("_tw_w"), F.floor(n_s / max(halo, 1)).cast("int")))
+    srt = srt.select(*[_c(p) for p in part], "_tw_s", n_s.alias("_tw_ns"), w.alias("_tw_w")).filter("_tw_w > 1")
+    at = F.transform(F.sequence(F.lit(1), F.col("_tw_w") - 1), lambda j: F.floor(j * F.col("_tw_ns") / F.col("_tw_w")).cast("int") + 1)
+
+    def member(i):
+        return F.when((i >= 1) & (i <= F.col("_tw_ns")), F.get("_tw_s", i - 1))
 
-    picks = F.transform(F.sequence(F.lit(1), w - 1), pick)
     bounds, m_obs = materialize_observed(
-        srt.select(*[_c(p) for p in part], F.when(n_s > 0, picks).alias(BOUNDS)),
+        srt.withColumn("_tw_i", at).select(
+            *[_c(p) for p in part], F.transform("_tw_i", member).alias(BOUNDS),
+            # NULL: too few sampled rows on that side, all of them are near.
+            F.transform("_tw_i", lambda i: member(i - halo)).alias(FROM),
+            F.transform("_tw_i", lambda i: member(i + halo - 1)).alias(TO)),
         total=F.sum(F.size(BOUNDS)))
     total = m_obs["total"] or 0
-    with_b = attach_small(df, bounds, part, "left", scale=scale, n_rows=g,
-                          row_bytes=64 + (8 * len(keys) + 16) * (int(total) // max(g, 1) + 1))
-    out = (with_range_index(with_b, F.col(BOUNDS), key, m - 1, SPLIT)
-           .withColumn(HAS_SPLIT, F.col(BOUNDS).isNotNull())
-           .drop(BOUNDS))
-    return out, True
+    side = bounds if halo else bounds.select(*[_c(p) for p in part], BOUNDS)
+    with_b = attach_small(df, side, part, "left", scale=scale, n_rows=g,
+                          row_bytes=64 + (3 if halo else 1) * (24 * len(keys) + 16) * (int(total) // max(g, 1) + 1))
+    out = with_range_index(with_b, F.col(BOUNDS), key, m - 1, OWN)
+    if not halo:
+        return out.withColumnRenamed(OWN, SPLIT).withColumn(HALO, F.lit(False)).drop(BOUNDS), True
+    own, cuts = F.col(OWN), F.coalesce(F.size(BOUNDS), F.lit(0))
+    after = F.when((own < cuts) & F.coalesce(F.get(FROM, own) <= key, F.lit(True)), 1).otherwise(0)
+    before = F.when((own > 0) & F.coalesce(F.get(TO, own - 1) >= key, F.lit(True)), 1).otherwise(0)
+    out = out.select(*[_c(c) for c in df.columns], OWN, F.explode(F.sequence(own - before, own + after)).alias(SPLIT))
+    return out.withColumn(HALO, F.col(SPLIT) != own).drop(OWN), True
 
 
 def with_range_index(df: DataFrame, bounds: Column, key: Column, max_len: int,
@@ -198,35 +216,13 @@ def neighbor_diffs(df: DataFrame, part: list[str], order: list[str], value: str,
     this column (used for grid cells that are contiguous in ``order``)."""
     if sizes is None:
         sizes = group_sizes(df, part, scale)
-    sdf, split = range_splits(df, part, order, sizes, scale)
+    sdf, _ = range_splits(df, part, order, sizes, scale, halo=k)
     v = _c(value)
-
-    def diffs(w):
-        near = [(F.lead(v, i).over(w), F.lead(_c(same), i).over(w) if same else None)
-                for i in range(1, k + 1)]
-        near += [(F.lag(v, i).over(w), F.lag(_c(same), i).over(w) if same else None)
-                 for i in range(1, k + 1)]
-        return F.array(*[F.abs(v - nv) if same is None else
-                         F.when(ns == _c(same), F.abs(v - nv)) for nv, ns in near])
-
     w = Window.partitionBy(*[_c(p) for p in part], F.col(SPLIT)).orderBy(*[_c(o) for o in order])
-    if not split:
-        return sdf.withColumn(out, diffs(w)).drop(SPLIT, HAS_SPLIT)
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    a = sdf.select("*", diffs(w).alias(out), F.row_number().over(w).alias(RN),
-                   F.count(F.lit(1)).over(whole).alias(CN))
-
-    def ends(r: int) -> Column:
-        return (F.col(RN) <= r) | (F.col(RN) > F.col(CN) - r)
-
-    fix = F.col(HAS_SPLIT) & ends(k)
-    rest = a.filter(~fix)
-    # Rows within 2k of a range end, ordered across ranges: every neighbour of
-    # a row within k of an end is in this set and in the same relative order.
-    edges = a.filter(F.col(HAS_SPLIT) & ends(2 * k)).drop(out)
-    w2 = Window.partitionBy(*[_c(p) for p in part]).orderBy(F.col(SPLIT), *[_c(o) for o in order])
-    fixed = edges.withColumn(out, diffs(w2)).filter(ends(k))
-    return rest.unionByName(fixed).drop(RN, CN, SPLIT, HAS_SPLIT)
+    near = [(F.lead(v, i).over(w), F.lead(_c(same), i).over(w) if same else None) for i in range(1, k + 1)]
+    near += [(F.lag(v, i).over(w), F.lag(_c(same), i).over(w) if same else None) for i in range(1, k + 1)]
+    diffs = F.array(*[F.abs(v - nv) if same is None else F.when(ns == _c(same), F.abs(v - nv)) for nv, ns in near])
+    return sdf.withColumn(out, diffs).filter(~F.col(HALO)).drop(SPLIT, HALO)
 
 
 def _plain_percent_rank(df: DataFrame, part: list[str], key: str, cutoff: float,
@@ -349,91 +345,4 @@ def running_below(dv: DataFrame, part: list[str], key: str, count_col: str, out:
         dvs = attach_small(dvs, offsets, [*part, SPLIT], "left", scale=scale,
                            n_rows=int(om["rows"]))
         dvs = dvs.withColumn(out, F.col(out) + F.col("_tw_off")).drop("_tw_off")
-    return dvs.drop(SPLIT, HAS_SPLIT)
-
-
-def exact_quantiles(df: DataFrame, part: list[str], x: str, probs: list[float],
-                    names: list[str], scale: Scale) -> DataFrame:
-    """Exact discrete quantiles per group: for each p the smallest value v
-    with count(x <= v) >= max(1, ceil(p * n)), n = non-NULL values (the
-    definition of ``percentile_disc``).
-
-    No group is gathered in one task: a bounded sample brackets each
-    quantile, only rows inside the bracket are counted by distinct value,
-    and those counts get running sums (split for big groups).  A bracket
-    that misses its quantile is detected and its group recomputed without a
-    bracket, so the answer is exact whatever the sample."""
-    xs = _c(x)
-    rows = df.select(*[_c(p) for p in part], xs).filter(xs.isNotNull())
-    sizes, sm = materialize_observed(
-        rows.groupBy(*[_c(p) for p in part]).agg(F.count(F.lit(1)).alias(N)),
-        groups=F.count(F.lit(1)))
-    ng = int(sm["groups"] or 0)
-    tight = [3.0 / scale.quantile_accuracy for _ in probs]
-    wide = [_margin(p, scale) for p in probs]
-    fr = ([max(0.0, p - t) for p, t in zip(probs, tight)]
-          + [min(1.0, p + t) for p, t in zip(probs, tight)]
-          + [max(0.0, p - w) for p, w in zip(probs, wide)]
-          + [min(1.0, p + w) for p, w in zip(probs, wide)])
-    q = sample_quantiles(rows, part, x, fr, sizes, F.lit(scale.sample_rows),
-                         scale.quantile_accuracy, "_tw_qs", scale, n_groups=ng)
-    k = len(probs)
-    whole = F.col(N) <= scale.sample_rows   # not sampled: only sketch error
-    pick = lambda off_t, off_w: F.array(*[
-        F.when(whole, F.element_at("_tw_qs", off_t + i + 1))
-         .otherwise(F.element_at("_tw_qs", off_w + i + 1)) for i in range(k)])
-    stats = materialize(q.select(*part, N, pick(0, 2 * k).alias("_tw_lo"),
-                                 pick(k, 3 * k).alias("_tw_hi")))
-    missing = reduce(lambda a, b: a | b, [F.col(n).isNull() for n in names])
-    result, rm = materialize_observed(
-        _quantiles_in_brackets(rows, part, x, probs, names, stats, scale, ng),
-        missed=F.count_if(missing))
-    if int(rm["missed"] or 0) == 0:
-        return result
-    # Groups whose bracket missed: redo them with open brackets.
-    bad = materialize(result.filter(missing).select(*part))
-    open_stats = attach_small(stats, bad, part, "left_semi", scale=scale).select(
-        *part, N, F.lit(None).cast("array<double>").alias("_tw_lo"),
-        F.lit(None).cast("array<double>").alias("_tw_hi"))
-    redo = _quantiles_in_brackets(attach_small(rows, bad, part, "left_semi", scale=scale),
-                                  part, x, probs, names, materialize(open_stats), scale, ng)
-    good = attach_small(result, bad, part, "left_anti", scale=scale)
-    return good.unionByName(redo)
-
-
-def _quantiles_in_brackets(rows: DataFrame, part, x, probs, names, stats, scale,
-                           n_groups: int) -> DataFrame:
-    """``n_groups`` bounds the row count of every per-group table here."""
-    xs = _c(x)
-    with_b = attach_small(rows, stats, part, "left", scale=scale, n_rows=n_groups)
-    lo = [F.element_at("_tw_lo", i + 1) for i in range(len(probs))]
-    hi = [F.element_at("_tw_hi", i + 1) for i in range(len(probs))]
-    inside = [(F.col("_tw_lo").isNull() | (xs >= lo[i]))
-              & (F.col("_tw_hi").isNull() | (xs <= hi[i])) for i in range(len(probs))]
-    below = materialize(with_b.groupBy(*[_c(p) for p in part]).agg(
-        *[F.count_if(F.col("_tw_lo").isNotNull() & (xs < lo[i])).alias(f"_tw_below{i}")
-          for i in range(len(probs))]))
-    which = F.filter(F.array(*[F.when(inside[i], F.lit(i)) for i in range(len(probs))]),
-                     lambda v: v.isNotNull())
-    cand = (with_b.select(*[_c(p) for p in part], xs, F.explode(which).alias("_tw_i")))
-    dv = materialize(cand.groupBy(*[_c(p) for p in part], F.col("_tw_i"), xs)
-                     .agg(F.count(F.lit(1)).alias("_tw_c")))
-    ranked = running_below(dv, [*part, "_tw_i"], x, "_tw_c", "_tw_lt", scale)
-    ranked = attach_small(ranked, below, part, "left", scale=scale, n_rows=n_groups)
-    ranked = attach_small(ranked, stats.select(*part, N), part, "left", scale=scale,
-                          n_rows=n_groups)
-    base = F.element_at(F.array(*[F.col(f"_tw_below{i}") for i in range(len(probs))]),
-                        F.col("_tw_i") + 1)
-    target = F.element_at(F.array(*[F.greatest(F.lit(1), F.ceil(F.lit(p) * F.col(N)))
-                                    for p in probs]), F.col("_tw_i") + 1)
-    # First value whose cumulative count reaches the target rank; the
-    # bracket is valid when fewer than target rows lie below it.
-    hit = (base < target) & (base + F.col("_tw_lt") < target) & \
-          (base + F.col("_tw_lt") + F.col("_tw_c") >= target)
-    found = (ranked.filter(hit).groupBy(*[_c(p) for p in part], "_tw_i")
-             .agg(F.min(xs).alias("_tw_q")))
-    groups = stats.select(*part)
-    out = found.groupBy(*[_c(p) for p in part]).agg(
-        *[F.max(F.when(F.col("_tw_i") == i, F.col("_tw_q"))).alias(n) for i, n in enumerate(names)])
-    # Groups with no hit at all still appear (with NULLs) so they are redone.
-    return attach_small(groups, out, part, "left", scale=scale, n_rows=n_groups)
+    return dvs.drop(SPLIT, HALO)

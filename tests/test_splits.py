@@ -63,12 +63,12 @@ def test_percent_rank_split_equals_window(spark, cutoff, ties, nulls):
 
 @pytest.mark.parametrize("ties,accuracy", [(False, 10_000), (True, 10_000), (True, 50),
                                            (False, 50)])
-def test_exact_quantiles_equal_percentile_disc(spark, ties, accuracy):
-    from tablewatch.operators.splits import exact_quantiles
+def test_radix_quantiles_equal_percentile_disc(spark, ties, accuracy):
+    from tablewatch.operators.quantiles import radix_quantiles
     df = data(spark, 21, n_groups=4, n=300, ties=ties, nulls=True)
     scale = Scale(split_rows=25, max_splits=16, quantile_accuracy=accuracy)
     got = {r["g"]: (r["q1"], r["q3"]) for r in
-           exact_quantiles(df, ["g"], "v", [0.25, 0.75], ["q1", "q3"], scale).collect()}
+           radix_quantiles(df, ["g"], "v", [0.25, 0.75], ["q1", "q3"], scale).collect()}
     want = {r["g"]: (r["q1"], r["q3"]) for r in df.groupBy("g").agg(
         F.expr("percentile_disc(0.25) WITHIN GROUP (ORDER BY v)").alias("q1"),
         F.expr("percentile_disc(0.75) WITHIN GROUP (ORDER BY v)").alias("q3")).collect()}
@@ -91,17 +91,28 @@ def test_percent_rank_exact_when_sampled_threshold_misses(spark, monkeypatch, cu
     assert set(got) == set(want)
 
 
-def test_exact_quantiles_when_sampled_bracket_misses(spark, monkeypatch):
-    from tablewatch.operators import splits
-    monkeypatch.setattr(splits, "_margin", lambda p, scale: 0.0)
-    df = data(spark, 41, n_groups=4, n=300, ties=False)
-    scale = Scale(split_rows=25, max_splits=16, sample_rows=5, quantile_accuracy=100)
-    got = {r["g"]: (r["q1"], r["q3"]) for r in
-           splits.exact_quantiles(df, ["g"], "v", [0.25, 0.75], ["q1", "q3"], scale).collect()}
-    want = {r["g"]: (r["q1"], r["q3"]) for r in df.groupBy("g").agg(
-        F.expr("percentile_disc(0.25) WITHIN GROUP (ORDER BY v)").alias("q1"),
-        F.expr("percentile_disc(0.75) WITHIN GROUP (ORDER BY v)").alias("q3")).collect()}
-    assert got == want
+def test_radix_quantiles_refine_every_digit(spark):
+    """Open buckets of a single value only: all four digits are counted."""
+    from tablewatch.operators.quantiles import radix_quantiles
+    rows = [("a", 1.0 + k * 2.0 ** -50) for k in range(40)] + [("a", -5e-324), ("a", float("nan")), ("b", None), ("b", None),
+            (None, 3.0), (None, float("-inf")), ("c", -0.0), ("c", 0.0), ("d", 1e308), ("d", -1e308), ("d", 1e-310)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {tuple(r) for r in radix_quantiles(df, ["g"], "v", [0.25, 0.5, 1.0], ["a", "m", "z"], Scale(split_rows=1))
+           .selectExpr("g", "string(a)", "string(m)", "string(z)").collect()}
+    want = {tuple(r) for r in df.groupBy("g").agg(*[
+        F.expr(f"string(percentile_disc({p}) WITHIN GROUP (ORDER BY v))") for p in (0.25, 0.5, 1.0)]).collect()}
+    assert {tuple("0.0" if x == "-0.0" else x for x in r) for r in got} == \
+        {tuple("0.0" if x == "-0.0" else x for x in r) for r in want}
+
+
+def test_order_bits_sort_as_doubles(spark):
+    import struct
+    from tablewatch.operators.quantiles import order_bits
+    rnd = random.Random(4)
+    xs = [struct.unpack("d", struct.pack("Q", rnd.getrandbits(64)))[0] for _ in range(500)]
+    xs = [x for x in xs if x == x] + [0.0, 1.0, -1.0, 5e-324, -5e-324, 1e308, float("inf"), float("-inf")]
+    got = [r["v"] for r in spark.createDataFrame([(x,) for x in set(xs)], "v double").orderBy(order_bits(F.col("v"))).collect()]
+    assert got == sorted(set(xs))
 
 
 def test_neighbor_diffs_with_sampled_bounds(spark):
@@ -220,12 +231,12 @@ def test_neighbor_diffs_property_random(spark):
     check()
 
 
-def test_exact_quantiles_property_random(spark):
+def test_radix_quantiles_property_random(spark):
     """Hypothesis: random sizes, tie density, NULLs, probabilities and sample
     sizes (small ones make brackets miss); always equal to percentile_disc."""
     from hypothesis import HealthCheck, given, settings
     from hypothesis import strategies as st
-    from tablewatch.operators.splits import exact_quantiles
+    from tablewatch.operators.quantiles import radix_quantiles
 
     @settings(max_examples=6, deadline=None,
               suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -238,7 +249,7 @@ def test_exact_quantiles_property_random(spark):
                 for g, n in enumerate(sizes) for _ in range(n)]
         df = spark.createDataFrame(rows, "g string, v double")
         scale = Scale(split_rows=20, max_splits=16, sample_rows=sample)
-        got = {r["g"]: r["q"] for r in exact_quantiles(df, ["g"], "v", [p], ["q"], scale).collect()}
+        got = {r["g"]: r["q"] for r in radix_quantiles(df, ["g"], "v", [p], ["q"], scale).collect()}
         want = {r["g"]: r["q"] for r in df.groupBy("g").agg(
             F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY v)").alias("q")).collect()
             if r["q"] is not None}
