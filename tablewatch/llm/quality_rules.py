@@ -14,10 +14,10 @@ Words repeat, so each worker encodes a word once and keeps the result in a
 bounded cache; documents are then numpy sums over their words.
 
 Defined cases: null text counts as empty (no words, base_failed); rows are
-judged one by one, so repeated ids or texts get a row each; a word longer than
-``LONG_WORD`` bytes is encoded in pieces of that many bytes; groups with fewer
-than ``min_group`` documents use the fences of their language, then of the
-whole table; a language column is optional.
+judged one by one, so repeated ids or texts get a row each; words of any length
+are encoded whole; groups with fewer than ``min_group``
+documents use the fences of their language, then of the whole table; a language
+column is optional.
 """
 
 from __future__ import annotations
@@ -35,13 +35,13 @@ from pyspark.sql import types as T
 
 from tablewatch.llm.common import (Tokens, col, held, per_doc, repeated_words, text_key, text_lists, token_hashes, trimmed,
                                    without, write_scratch)
+from tablewatch.operators.quantiles import radix_quantiles
 
 TOKENIZERS = "/opt/tokenizers"
 # The split pattern that belongs to the byte-level vocabulary.
 BYTE_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 LANGUAGES = ("de", "en", "es", "fr", "it", "nl", "pl", "pt", "ru", "tr", "uk", "zh", "ja", "ko", "ar", "hi")
 SYMBOLS = b"#*$%&|<>"
-LONG_WORD = 128
 CACHE_WORDS = 300_000
 
 METRICS = ("chars_per_token", "chars_per_piece", "symbol_share", "fallback_share", "entropy")
@@ -96,27 +96,24 @@ class Vocabularies:
         return place
 
     def _add(self, hashes: np.ndarray, words: list[bytes]) -> None:
-        parts = [(w.decode("utf-8", "replace"),) if len(w) <= LONG_WORD
-                 else [w[k:k + LONG_WORD].decode("utf-8", "replace") for k in range(0, len(w), LONG_WORD)] for w in words]
-        flat = [p for ps in parts for p in ps]
+        flat = [w.decode("utf-8", "replace") for w in words]
         # One text with a space before each word encodes as the words do one by
         # one; a token's word follows from the tokens' byte lengths.
         ids = np.array(self.bytes_.encode_ordinary(" " + " ".join(flat)), np.int64)
-        word = np.repeat(np.arange(len(parts)), [len(ps) for ps in parts])
         end = np.cumsum([len(p.encode()) + 1 for p in flat])
-        of = word[np.searchsorted(end, np.cumsum(self.length[ids]) - self.length[ids], side="right")]
-        tokens = np.bincount(of, minlength=len(parts))
+        of = np.searchsorted(end, np.cumsum(self.length[ids]) - self.length[ids], side="right")
+        tokens = np.bincount(of, minlength=len(flat))
         pieces = self.pieces.encode(flat)
         size = np.fromiter(map(len, pieces), np.int64, len(pieces))
         low = self.is_byte[np.fromiter(itertools.chain.from_iterable(pieces), np.int64, int(size.sum()))]
-        own = np.repeat(word, size)
+        own = np.repeat(np.arange(len(flat)), size)
         keys = np.concatenate([self.keys, hashes])
         order = np.argsort(keys, kind="stable")
         self.keys = keys[order]
         self.begin = np.concatenate([self.begin, len(self.ids) + np.cumsum(tokens) - tokens])[order]
         self.tokens = np.concatenate([self.tokens, tokens])[order]
-        self.n_pieces = np.concatenate([self.n_pieces, np.bincount(own, minlength=len(parts))])[order]
-        self.n_fallback = np.concatenate([self.n_fallback, np.bincount(own[low], minlength=len(parts))])[order]
+        self.n_pieces = np.concatenate([self.n_pieces, np.bincount(own, minlength=len(flat))])[order]
+        self.n_fallback = np.concatenate([self.n_fallback, np.bincount(own[low], minlength=len(flat))])[order]
         self.ids = np.concatenate([self.ids, ids.astype(np.int32)])
 
 
@@ -206,19 +203,30 @@ def fertility(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
 
 def bands(measured: DataFrame, min_group: int = 40) -> DataFrame:
     """Fences per language (or script) and length class, over all documents
-    that pass the base rules; null group or class: the wider fallbacks."""
+    that pass the base rules; null group or class: the wider fallbacks.  The
+    quartiles are exact, so the fences are a function of the rows alone."""
     ok = measured.filter(~F.col("base_failed")).select("__group", length_class().alias("__len"), *METRICS)
-    quart = [F.percentile_approx(c, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 2000).alias(f"__q_{c}") for c in METRICS]
-    per = (ok.groupingSets([[F.col("__group"), F.col("__len")], [F.col("__group")], []], F.col("__group"), F.col("__len"))
-           .agg(F.count(F.lit(1)).alias("__n"), F.grouping_id().alias("__level"), *quart))
+    levels = F.array(*[F.struct(F.lit(level).alias("__level"), group.alias("__g"), size.alias("__l")) for level, group, size in (
+        (0, F.col("__group"), F.col("__len")), (1, F.col("__group"), F.lit(None).cast("int")),
+        (3, F.lit(None).cast("string"), F.lit(None).cast("int")))])
+    metrics = F.array(*[F.struct(F.lit(c).alias("__metric"), F.col(c).alias("__value")) for c in METRICS])
+    part = ["__level", "__g", "__l"]
+    long = ok.withColumn("__in", F.explode(levels)).withColumn("__m", F.explode(metrics)).select("__in.*", "__m.*")
+    quart = radix_quantiles(long, [*part, "__metric"], "__value", [0.25, 0.75], ["__q1", "__q3"])
+    sizes = ok.withColumn("__in", F.explode(levels)).select("__in.*").groupBy(*part).agg(F.count(F.lit(1)).alias("__n"))
+    per = quart.groupBy(*part).agg(*[F.max(F.when(F.col("__metric") == c, F.struct("__q1", "__q3"))).alias(f"__q_{c}")
+                                     for c in METRICS])
+    same = reduce(lambda a, b: a & b, [per[c].eqNullSafe(sizes[c]) for c in part])
+    per = per.join(sizes, same).select(per["*"], sizes["__n"])
     out = []
     for c in METRICS:
         q = F.col(f"__q_{c}")
-        iqr = F.greatest(q[2] - q[0], F.lit(LEAST_IQR[c]))
+        iqr = F.greatest(q["__q3"] - q["__q1"], F.lit(LEAST_IQR[c]))
         low, high = FENCES[c]
-        out.append((q[0] - iqr * low if low is not None else F.lit(float("-inf"))).alias(f"__lo_{c}"))
-        out.append((q[2] + iqr * high if high is not None else F.lit(float("inf"))).alias(f"__hi_{c}"))
-    return per.filter((F.col("__n") >= min_group) | (F.col("__level") == 3)).select("__group", "__len", "__level", *out)
+        out.append((q["__q1"] - iqr * low if low is not None else F.lit(float("-inf"))).alias(f"__lo_{c}"))
+        out.append((q["__q3"] + iqr * high if high is not None else F.lit(float("inf"))).alias(f"__hi_{c}"))
+    return write_scratch(per.filter((F.col("__n") >= min_group) | (F.col("__level") == 3)).select(
+        F.col("__g").alias("__group"), F.col("__l").alias("__len"), "__level", *out), "fences")
 
 
 def length_class():

@@ -76,6 +76,39 @@ def test_quality_filter_keeps_columns_and_empty_table(spark):
     assert quality_rules.filter_documents(docs.limit(0)).count() == 0
 
 
+def test_fences_do_not_depend_on_partitions(spark):
+    rng = np.random.default_rng(8)
+    rows = [(f"{'en' if k % 3 else 'de'}", int(60 + k % 900), *[float(x) for x in rng.normal(size=5)], k % 17 == 0) for k in range(4000)]
+    df = spark.createDataFrame(rows, ["__group", "n_words", *quality_rules.METRICS, "base_failed"])
+    got = [sorted(map(str, quality_rules.bands(df.repartition(n)).collect())) for n in (2, 9, 40)]
+    assert got[0] == got[1] == got[2] and len(got[0]) > 4
+    plain = np.sort([r[2] for r in rows if not r[7]])
+    q1, q3 = (plain[max(1, math.ceil(p * len(plain))) - 1] for p in (0.25, 0.75))
+    whole = quality_rules.bands(df).filter("__level = 3").first()
+    assert whole["__lo_chars_per_token"] == q1 - (q3 - q1) * 7.0
+
+
+def test_long_words_are_encoded_whole():
+    import base64
+
+    import tiktoken
+    with open(f"{quality_rules.TOKENIZERS}/byte_bpe_50k.tiktoken", "rb") as f:
+        ranks = f.read()
+    with open(f"{quality_rules.TOKENIZERS}/piece_bpe_32k.model", "rb") as f:
+        model = f.read()
+    table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.splitlines())}
+    plain = tiktoken.Encoding("own", pat_str=quality_rules.BYTE_PATTERN, mergeable_ranks=table, special_tokens={})
+    pieces = sentencepiece.SentencePieceProcessor(model_proto=model)
+    vocab = quality_rules.Vocabularies(ranks, model)
+    for word in ("漢字かなカナ" * 90, "abcdefgh" * 70, "ünïcödé" * 60):
+        got = quality_rules.measure([word.encode()], vocab)
+        ids = pieces.encode(word)
+        assert got["n_tokens"][0] == len(plain.encode_ordinary(" " + word))
+        assert got["chars_per_piece"][0] == pytest.approx(len(word) / len(ids))
+        assert got["fallback_share"][0] == pytest.approx(sum(pieces.is_byte(i) for i in ids) / len(ids))
+
+
+
 def test_gam_tables_add_up():
     rng = np.random.default_rng(1)
     x = rng.normal(size=(3000, 4))
