@@ -32,6 +32,7 @@ from tablewatch.params import Cols, Params, Scale
 from tablewatch.plans.catalog import catalog_report, run_sql
 from tablewatch.plans.detect import run as run_job
 from tablewatch.session import library_on_workers, scratch_path
+from tablewatch.sources.append import append_new_files, appended, stage
 from tablewatch.sources.derived import epoch_micros, write_folders, write_uint64
 from tablewatch.sources.footers import schema_census
 from tablewatch.sources.ingest import create_table, file_manifest, register_folders
@@ -399,6 +400,63 @@ def q_stream_ingest(spark, sf_dir):
             .withColumn("ingested", F.lit(sum(counts)).cast("bigint")))
 
 
+def q_append_new_files(spark, sf_dir):
+    """Two arrivals, a run that dies before its commit, its repetition and an
+    idle run: every row once."""
+    ev = _table(spark, sf_dir, "events")
+    src, sink = scratch_path(spark, "append-src"), scratch_path(spark, "append-sink")
+    early = F.coalesce(F.col("event_type").isin("click", "view"), F.lit(False))
+    ev.filter(early).write.parquet(f"{src}/first")
+    counts = [append_new_files(spark, src, sink)]
+    ev.filter(~early).write.parquet(f"{src}/second")
+    stage(spark, src, sink)  # staged, never committed
+    counts += [append_new_files(spark, src, sink), append_new_files(spark, src, sink)]
+    return (appended(spark, sink).groupBy("event_type")
+            .agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 6).alias("total"))
+            .withColumns({"ingested": F.lit(sum(counts)).cast("bigint"), "idle": F.lit(counts[-1]).cast("bigint")}))
+
+
+def q_mixed_folder_rows(spark, sf_dir):
+    """A folder whose files store user_id as int32, uint64 and int64, value as
+    float or not at all, read back as one table."""
+    ev = _table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
+    root, ns = scratch_path(spark, "mixed"), _namespace()
+    kind = F.col("event_type")
+    small, big = F.coalesce(kind == "click", F.lit(False)), F.coalesce(kind == "view", F.lit(False))
+    write_folders({"Mixed/a": ev.filter(small).select("event_id", F.col("user_id").cast("int"), "event_type"),
+                   "Mixed/c": ev.filter(~small & ~big)}, root)
+    write_uint64(ev.filter(big).withColumn("value", F.col("value").cast("float")), f"{root}/Mixed/b", ["user_id"]).collect()
+    done = register_folders(spark, root, ns).first()
+    got = spark.table(quote_ident(ns, "mixed"))
+    return got.select("event_id", F.col("user_id").cast("string").alias("user_id"), "event_type",
+                      F.round("value", 3).alias("value"), F.lit(done["status"]).alias("status"),
+                      F.lit(got.schema["user_id"].dataType.simpleString()).alias("user_type"))
+
+
+def q_broken_tree_summary(spark, sf_dir):
+    """Good, empty, hidden, unreadable and case-pair folders in one tree."""
+    ev = _table(spark, sf_dir, "events")
+    root = scratch_path(spark, "broken")
+    write_folders({"good": ev, "Pair": ev.filter("value > 50"), "pair": ev.filter("NOT coalesce(value > 50, false)"),
+                   ".hidden": ev, "_also": ev}, root)
+    ev.select(F.col("event_type").cast("string").alias("value")).write.text(f"{root}/bad")
+    ev.select(F.col("event_type").cast("string").alias("value")).write.text(f"{root}/none")
+    _rename_parts(spark, f"{root}/bad", ".parquet")
+    got = register_folders(spark, root, _namespace())
+    return got.select("folder", "table", (F.col("n_files") > 0).alias("has_files"), "n_rows", "status",
+                      F.col("error").isNotNull().alias("noted"))
+
+
+def _rename_parts(spark, folder: str, suffix: str) -> None:
+    """Gives the text files of a folder another extension (through Hadoop)."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for st in fs.listStatus(path):
+        if st.getPath().getName().startswith("part-"):
+            fs.rename(st.getPath(), jvm.org.apache.hadoop.fs.Path(st.getPath().toString() + suffix))
+
+
 # --------------------------------------------------------------------------
 # Oracle SQL (DuckDB)
 # --------------------------------------------------------------------------
@@ -638,6 +696,25 @@ _ORACLE: dict[str, str] = {
         SELECT event_type, count(*) AS n, round(sum(value), 6) AS total,
                (SELECT count(*) FROM events) AS ingested
         FROM events GROUP BY event_type""",
+    "append_new_files": """
+        SELECT event_type, count(*) AS n, round(sum(value), 6) AS total,
+               (SELECT count(*) FROM events) AS ingested, CAST(0 AS BIGINT) AS idle
+        FROM events GROUP BY event_type""",
+    "mixed_folder_rows": """
+        SELECT event_id, CAST(user_id AS VARCHAR) AS user_id, event_type,
+               round(CASE WHEN event_type = 'click' THEN NULL WHEN event_type = 'view' THEN CAST(CAST(value AS FLOAT) AS DOUBLE)
+                          ELSE value END, 3) AS value,
+               'created' AS status, 'decimal(20,0)' AS user_type
+        FROM events""",
+    "broken_tree_summary": """
+        SELECT 'good' AS folder, 'good' AS "table", true AS has_files, count(*) AS n_rows, 'created' AS status,
+               false AS noted FROM events
+        UNION ALL SELECT 'Pair', 'pair', true, count(*), 'created', false FROM events WHERE value > 50
+        UNION ALL SELECT 'pair', 'pair', true, count(*), 'created', false FROM events WHERE NOT coalesce(value > 50, false)
+        UNION ALL SELECT '.hidden', NULL, false, 0, 'skipped', true
+        UNION ALL SELECT '_also', NULL, false, 0, 'skipped', true
+        UNION ALL SELECT 'none', NULL, false, 0, 'skipped', true
+        UNION ALL SELECT 'bad', 'bad', true, NULL, 'error', true""",
     "sanitize_footer": """
         SELECT 'counters/2024' AS rel_dir, c AS "column", t AS arrow_type,
                (SELECT count(*) FROM events) AS n_rows
@@ -724,6 +801,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cast_plan": q_cast_plan,
     "schema_census": q_schema_census,
     "stream_ingest": q_stream_ingest,
+    "append_new_files": q_append_new_files,
+    "mixed_folder_rows": q_mixed_folder_rows,
+    "broken_tree_summary": q_broken_tree_summary,
     "sanitize_footer": q_sanitize_footer,
     "sanitize_totals": q_sanitize_totals,
     "prepare_strings": q_prepare_strings,

@@ -10,6 +10,8 @@
   again (the reference appends every file a second time).  Two folders whose
   names differ only by case share one table name: each gets its own table
   and the shared name becomes a UNION ALL view over them.
+* Files of several schemas (U2): the table takes the least type of every column
+  that all files can be read as; a column some files lack is NULL there.
 * Summary (S8): folder, table, n_files, n_rows, status, error.  One
   unreadable file fails its whole folder; the other folders continue.
 """
@@ -20,12 +22,14 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tablewatch.functions.exprs import quote_ident
 from tablewatch.operators.joins import materialize
 from tablewatch.sources.files import (PARQUET_GLOB, _strip_scheme, is_parquet_path, list_files,
                                       list_subfolders, qualify, with_relative)
 from tablewatch.sources.footers import read_footers
+from tablewatch.sources.widen import column_types, ddl, widened_schema
 
 SUMMARY_SCHEMA = ("folder string, table string, n_files bigint, n_rows bigint, status string, "
                   "error string")
@@ -33,7 +37,8 @@ SUMMARY_SCHEMA = ("folder string, table string, n_files bigint, n_rows bigint, s
 
 def file_manifest(spark: SparkSession, root: str, listing: DataFrame | None = None) -> DataFrame:
     """folder, table, path, size, n_rows, format, error for every Parquet file
-    under an immediate sub-folder of ``root``.  ``listing``: a file listing
+    under an immediate sub-folder of ``root`` (and its footer's schema as text
+    and as fields).  ``listing``: a file listing
     with relative paths already taken (reused instead of listing again)."""
     if listing is None:
         listing = with_relative(list_files(spark, root, PARQUET_GLOB), root)
@@ -45,7 +50,7 @@ def file_manifest(spark: SparkSession, root: str, listing: DataFrame | None = No
             .select("folder",
                     F.regexp_replace(F.lower("folder"), "[^0-9a-z_]", "_").alias("table"),
                     "path", "size", "n_rows",
-                    F.lit("PARQUET").alias("format"), schema.alias("schema"), "error"))
+                    F.lit("PARQUET").alias("format"), schema.alias("schema"), "error", "fields"))
 
 
 def table_name(folder: str) -> str:
@@ -73,15 +78,19 @@ def _norm(path: str) -> str:
     return _strip_scheme(path).rstrip("/")
 
 
-def _register(spark: SparkSession, namespace: str, table: str, path: str) -> str:
+def _register(spark: SparkSession, namespace: str, table: str, path: str, schema: StructType | None = None) -> str:
+    """``schema``: what the table's files widen to, if they differ; a table
+    whose columns no longer are these is made anew (its files stay)."""
     ident = quote_ident(namespace, table)
     current = _location(spark, namespace, table)
-    if current is not None and _norm(current) != _norm(path):
+    if current is not None and (_norm(current) != _norm(path) or (
+            schema is not None and ddl(spark.table(ident).schema) != ddl(schema))):
         spark.sql(f"DROP TABLE IF EXISTS {ident}")
         current = None
     if current is None:
         escaped = path.replace("\\", "\\\\").replace("'", "\\'")
-        spark.sql(f"""CREATE TABLE IF NOT EXISTS {ident} USING parquet
+        columns = f"({ddl(schema)})" if schema is not None else ""
+        spark.sql(f"""CREATE TABLE IF NOT EXISTS {ident} {columns} USING parquet
                       OPTIONS (recursiveFileLookup 'true', pathGlobFilter '{PARQUET_GLOB}')
                       LOCATION '{escaped}'""")
         return "created"
@@ -113,6 +122,8 @@ def register_folders(spark: SparkSession, root: str, namespace: str = "nyc") ->
         F.first(F.when(F.col("error").isNotNull(), F.col("path")), ignorenulls=True).alias("bad"),
         F.count_distinct("schema").alias("n_schemas"),
     ).collect()}
+    mixed = [n for n, m in per_folder.items() if m["n_schemas"] > 1 and m["error"] is None]
+    types = column_types(spark, manifest.filter(F.col("folder").isin(mixed))) if mixed else {}
     by_table: dict[str, list[tuple]] = {}
     summary = [(n, None, 0, 0, "skipped", "hidden: the name starts with '.' or '_'") for n in hidden]
     for f in folders:
@@ -126,12 +137,15 @@ def register_folders(spark: SparkSession, root: str, namespace: str = "nyc") ->
             summary.append((name, table, m["n_files"], None, "error", f"{m['bad']}: {m['error']}"))
             continue
         path = f"{root.rstrip('/')}/{name}"
-        by_table.setdefault(table, []).append((name, path, m))
+        try:
+            schema = widened_schema(spark, types[name]) if name in types else None
+        except ValueError as e:
+            summary.append((name, table, m["n_files"], None, "error", str(e)))
+            continue
+        by_table.setdefault(table, []).append((name, path, m, schema))
 
     def note(m):
-        # Like the reference, the table takes one file's schema; say so when
-        # the files disagree (the census lists them, the sanitiser fixes them).
-        return f"mixed schemas: {m['n_schemas']} distinct" if m["n_schemas"] > 1 else None
+        return f"mixed schemas: {m['n_schemas']} distinct, widened" if m["n_schemas"] > 1 else None
     for table, entries in by_table.items():
         summary += _register_all(spark, namespace, table, entries, set(by_table), note)
     return spark.createDataFrame(summary, SUMMARY_SCHEMA)
@@ -144,19 +158,19 @@ def _register_all(spark: SparkSession, namespace: str, table: str, entries: list
     a view that unions them by column name.  What an earlier run left under
     these names in the other form is dropped first."""
     if len(entries) == 1:
-        name, path, m = entries[0]
+        name, path, m, schema = entries[0]
         try:
             _drop(spark, namespace, table, "VIEW")
             for part in _part_names(table, taken, 1000, spark, namespace):
                 _drop(spark, namespace, part, "TABLE")
-            status = _register(spark, namespace, table, path)
+            status = _register(spark, namespace, table, path, schema)
             return [(name, table, m["n_files"], m["n_rows"], status, note(m))]
         except Exception as e:  # noqa: BLE001 - reported, other folders continue
             return [(name, table, m["n_files"], None, "error", str(e))]
     rows, parts = [], []
-    for part, (name, path, m) in zip(_part_names(table, taken, len(entries)), sorted(entries, key=lambda x: x[0])):
+    for part, (name, path, m, schema) in zip(_part_names(table, taken, len(entries)), sorted(entries, key=lambda x: x[0])):
         try:
-            status = _register(spark, namespace, part, path)
+            status = _register(spark, namespace, part, path, schema)
             parts.append(part)
             rows.append((name, table, m["n_files"], m["n_rows"], status, note(m)))
         except Exception as e:  # noqa: BLE001

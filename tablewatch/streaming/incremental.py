@@ -67,7 +67,13 @@ class _RowCounter(StreamingQueryListener):
         return sum(n for (q, _), n in self.batches.items() if q == str(query_id))
 
     def wait(self, query_id: str, last, seconds: float = 30.0) -> None:
-        """Events arrive on another thread; wait for the query's last batch."""
+        """Events arrive on another thread; wait for the query's last batch.
+        A run that found no file ends with a progress without rows, which no
+        event announces."""
+        if last is None or not last.numInputRows:
+            return
         end = time.time() + seconds
-        while last is not None and (str(query_id), last.batchId) not in self.batches and time.time() < end:
+        while (str(query_id), last.batchId) not in self.batches:
+            if time.time() > end:
+                raise TimeoutError("rows were ingested, but their count did not arrive")
             time.sleep(0.05)
