@@ -42,7 +42,7 @@ from tablewatch.llm.common import col, hash_spans, held, text_lists, trimmed
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 CACHE_SEGMENTS = 250_000
-BATCH_BYTES = 3 << 20
+BATCH_BYTES = 1 << 20
 SEGMENTS = 50_000  # segments indexed at a time
 
 

@@ -53,7 +53,7 @@ from tablewatch.llm.minhash_dedup import shingle_sets
 SAMPLE = 3000
 SPANS = 12_000
 LEAST_TOXIC = 200  # toxic texts that are no copies, below which copies train too (if they are the larger half)
-SPAN_ROWS = 4000  # spans scored at a time
+SPAN_ROWS = 1000  # spans scored at a time
 KERNEL_ROWS = 100  # words whose kernel values are computed at a time
 LANDMARKS = 256
 DECAY = 0.6
@@ -61,7 +61,7 @@ SPAN = 32
 TABLE_BITS = 20
 GRAM = 3  # words read together at most
 PART = 16  # one in so many spans across word borders stands for the clean ones
-BLOCK = 6000  # words whose spans are scored at a time
+BLOCK = 2000  # words whose spans are scored at a time
 
 # Characters commonly written for letters.
 _SWAPS = {ord(a): ord(b) for a, b in zip("013457@$!", "oieastasi")}
@@ -535,7 +535,7 @@ def evidence_of(docs: DataFrame, model: Model, text_col: str) -> DataFrame:
         release()
         for batch in batches:
             keep = batch.drop_columns([text_col])
-            for lo, hi, texts in text_lists(batch.column(text_col), 1 << 18):
+            for lo, hi, texts in text_lists(batch.column(text_col), 1 << 17):
                 own = keep.slice(lo, hi - lo)
                 values = pa.array(evidence(texts, shared.value).ravel())
                 values = pa.FixedSizeListArray.from_arrays(values, EVIDENCE).cast(pa.list_(pa.float64()))
