@@ -18,8 +18,8 @@ and blocks are joined by a line break.  ``br`` is white space.
 Defined cases: null or empty html, or html without text, gives the empty text;
 markup cut off in the middle is read as far as it goes; unclosed scripts and
 comments run to the end; stray closing tags are ignored; a class name does not
-set aside a wrapper of the article or of most of the text; if everything was set
-aside by class names alone, class names are disregarded; repeated rows are read
+set aside a wrapper of the article or of most of the text, nor does a form or dialog round the article;
+if everything was set aside by class names alone, class names are disregarded; repeated rows are read
 one by one; an empty table gives an empty result; other columns are not read.
 """
 
@@ -47,11 +47,14 @@ CLOSES_P = frozenset("address article aside blockquote center details dialog dir
 IMPLIED = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
            "th": {"td", "th"}, "option": {"option"}, "tbody": {"thead", "tbody", "tr", "td", "th"},
            "tfoot": {"thead", "tbody", "tr", "td", "th"}}
+P_SCOPE = frozenset("article body table td th button main section div".split())
 SCOPE = {"li": {"ul", "ol", "menu"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}, "tbody": {"table"}, "tfoot": {"table"}}
 # Elements, roles and class or id words that mark what is not the article.
-ASIDE_TAGS = frozenset("aside audio button canvas datalist dialog footer form head header iframe input map menu nav noembed "
+ASIDE_TAGS = frozenset("aside audio button canvas datalist footer head header iframe input map menu nav noembed "
                        "noframes noscript object script select style svg template textarea title video".split())
-ASIDE_ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
+ASIDE_ROLES = frozenset("alert banner complementary contentinfo menu menubar navigation search toolbar".split())
+# Tags and roles of what is set aside unless it is wrapped round the article.
+FORMS = frozenset("alertdialog dialog form".split())
 ASIDE_WORDS = frozenset("ad ads advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs byline comment comments "
                         "consent cookie cookies disclaimer disqus footer gdpr header login masthead menu modal nav navbar navigation "
                         "newsletter notice notification notifications overlay pager pagination popup promo promotion recommended "
@@ -67,28 +70,28 @@ _PUNCT = re.compile(r"""[.,;:!?…。、，；：！？"'()«»“”-]""")
 
 
 class Element:
-    __slots__ = ("tag", "parent", "path", "depth", "hard", "mark", "section")
+    """``path`` numbers the page's tag paths, ``enter`` its elements in order;
+    ``leave`` is the number of the first element after this one's own."""
 
-    def __init__(self, tag: str, parent: Element | None, hard: bool, soft: bool):
-        self.tag, self.parent = tag, parent
-        self.path = f"{parent.path}/{tag}" if parent else tag
+    __slots__ = ("tag", "parent", "path", "depth", "hard", "mark", "firm", "section", "para", "enter", "leave")
+
+    def __init__(self, tag: str, parent: Element | None, path: int, enter: int, hard: bool, soft: bool, firm: bool):
+        self.tag, self.parent, self.path, self.enter, self.leave = tag, parent, path, enter, None
         self.depth = parent.depth + 1 if parent else 0
         up = parent is not None
         self.hard = hard or (up and parent.hard)
         # The nearest element that a class or id word marks, and the nearest article or main.
-        self.mark: Element | None = self if soft else parent.mark if up else None
+        self.mark: Element | None = self if soft or firm else parent.mark if up else None
+        self.firm = firm
         self.section: Element | None = self if tag in ("article", "main") else parent.section if up else None
+        self.para: Element | None = self if tag == "p" else None if tag in P_SCOPE or not up else parent.para
 
     @property
     def article(self) -> bool:
         return self.section is not None
 
-    def marks(self) -> Iterator[Element]:
-        """All marked elements around this one and itself, from the inside."""
-        mark = self.mark
-        while mark:
-            yield mark
-            mark = mark.parent.mark if mark.parent else None
+    def holds(self, inner: Element) -> bool:
+        return self.enter <= inner.enter and (self.leave is None or inner.enter < self.leave)
 
 
 class Block:
@@ -98,12 +101,12 @@ class Block:
         self.element, self.text, self.link = element, text, link
 
 
-def set_aside(tag: str, attrs: str, parent: Element) -> tuple[bool, bool]:
-    """Whether an element is set aside by its tag, role or hidden state, and
-    whether by its class or id words."""
-    hard = tag in ASIDE_TAGS
+def set_aside(tag: str, attrs: str, parent: Element) -> tuple[bool, bool, bool]:
+    """Whether an element is set aside by its tag, role or hidden state,
+    whether by its class or id words, and whether as a form or dialog."""
+    hard, firm = tag in ASIDE_TAGS, tag in FORMS
     if tag in KEEP_TAGS:
-        return False, False
+        return False, False, False
     if hard and tag == "header" and parent.article:
         hard = False  # an article's own header: only its headings are text
     if parent.tag == "header" and parent.article and tag not in HEADINGS and tag not in ("div", "hgroup"):
@@ -113,17 +116,21 @@ def set_aside(tag: str, attrs: str, parent: Element) -> tuple[bool, bool]:
         name, value = (name or bare).lower(), (a or b or c).lower()
         if name == "role":
             hard |= value.strip() in ASIDE_ROLES
+            firm |= value.strip() in FORMS
         elif name == "hidden" or name == "aria-hidden" and value == "true" or \
                 name == "style" and "display:none" in value.replace(" ", ""):
             hard = True
         elif name in ("class", "id"):
             soft |= not ASIDE_WORDS.isdisjoint(_WORD.findall(value))
-    return hard, soft
+    return hard, soft, firm
 
 
 def blocks(page: str) -> list[Block]:
     """Text blocks of a page in order."""
-    here = Element("#", None, False, False)
+    here = Element("#", None, 0, 0, False, False, False)
+    paths: dict[tuple[int, str], int] = {}
+    is_open: Counter = Counter()  # elements open by tag
+    made = 0
     out: list[Block] = []
     text: list[str] = []
     owner, link, linked = here, 0, 0
@@ -153,14 +160,16 @@ def blocks(page: str) -> list[Block]:
                 flush()
             linked -= here.tag == "a"
             last, here = here, here.parent
+            last.leave = made + 1
+            is_open[last.tag] -= 1
             if last is to:
                 return
 
     def opened(tags, stop) -> Element | None:
-        at, found = here, None
-        while at.parent:
+        at, found, left = here, None, sum(is_open[t] for t in tags)
+        while left and at.parent:
             if at.tag in tags:
-                found = at
+                found, left = at, left - 1
             if at.tag in stop:
                 break
             at = at.parent
@@ -178,6 +187,8 @@ def blocks(page: str) -> list[Block]:
         if tag is None:
             continue
         if m[1]:
+            if not is_open[tag]:
+                continue
             found = here
             while found.parent and found.tag != tag:
                 if found.tag in ("article", "main", "body", "table") and tag in INLINE:
@@ -203,9 +214,8 @@ def blocks(page: str) -> list[Block]:
                 add(" ")
             continue
         if tag in CLOSES_P:
-            p = opened({"p"}, {"article", "body", "table", "td", "th", "button", "main", "section", "div"})
-            if p:
-                close(p)
+            if here.para:
+                close(here.para)
         if tag in IMPLIED:
             old = opened(IMPLIED[tag], SCOPE.get(tag, {"dl", "select", "table"}))
             if old:
@@ -214,7 +224,10 @@ def blocks(page: str) -> list[Block]:
             flush()
         if tag == "a":
             linked += 1
-        here = Element(tag, here, *set_aside(tag, m[3], here))
+        made += 1
+        is_open[tag] += 1
+        path = paths.setdefault((here.path, tag), len(paths) + 1)
+        here = Element(tag, here, path, made, *set_aside(tag, m[3], here))
     flush()
     return out
 
@@ -242,59 +255,74 @@ def content(found: list[Block], share: float = 0.3) -> tuple[np.ndarray, np.ndar
 
 
 def unmarked(found: list[Block]) -> list[Block]:
-    """The blocks that no class or id word sets aside.  A marked element that
+    """The blocks that no class or id word, form or dialog sets aside.  A
+    marked element that
     holds a main, more text in articles than stands unmarked outside it, or
     most of the page's text is a wrapper and sets nothing aside, unless an
     unmarked article is longer than each of its articles and a quarter of its
-    other text (comments can outgrow what they are about).  Links do not count
-    as text."""
+    other text (comments can outgrow what they are about).  A form or dialog
+    is a wrapper only if it also holds an article or main, or half of its text
+    stands in paragraphs.  Links do not count as text.  If nothing is left,
+    class and id words are disregarded, forms and dialogs are not.
+
+    Sums run once up the tree of marked elements, so that time does not grow
+    with the nesting depth."""
     every = free = 0
-    held, plain, mains, sections = Counter(), Counter(), set(), Counter()
+    held, within, prose, longest, own, alone = Counter(), Counter(), Counter(), Counter(), Counter(), Counter()
+    marks: set[Element] = set()
+    seen: set[Element] = set()
+    mains: set[Element | None] = set()
     for b in found:
         n, e = max(0, len(b.text) - b.link), b.element
         every += n
-        if e.mark is None:
+        section, mark = e.section, e.mark
+        if mark is None:
             free += n
-            sections[None, e.section] += n * e.article
-        for m in e.marks():
-            held[m] += n
-            section = e.section if e.section and e.section.depth > m.depth else None
             if section:
-                sections[m, section] += n
-            else:
-                plain[m] += n
-            while section and section.depth > m.depth:
-                if section.tag == "main":
-                    mains.add(m)
-                section = section.parent.section
-    longest = Counter()
-    for (m, _), n in sections.items():
-        longest[m] = max(longest[m], n)
-    wrappers = {m for m, n in held.items() if m in mains or (n - plain[m] > free or 2 * n > every)
-                and max(longest[m], plain[m] / 4) > longest[None]}
-    return [b for b in found if wrappers.issuperset(b.element.marks())]
-
-
-def _around(element: Element, other: Element) -> Element:
-    while element.depth > other.depth:
-        element = element.parent
-    while other.depth > element.depth:
-        other = other.parent
-    while element is not other:
-        element, other = element.parent, other.parent
-    return element
-
-
-def _holds(outer: Element, inner: Element) -> bool:
-    while inner.depth > outer.depth:
-        inner = inner.parent
-    return inner is outer
+                alone[section] += n
+        else:
+            held[mark] += n
+            prose[mark] += n * (e.para is not None)
+        if section:
+            own[section] += n
+            within[section.parent.mark] += n
+        while mark and mark not in marks:
+            marks.add(mark)
+            mark = mark.parent.mark
+        while section and section not in seen:
+            seen.add(section)
+            if section.tag == "main":
+                mains.add(section.parent.mark)
+            section = section.parent.section
+    for section, n in own.items():
+        outer = section.parent.mark
+        longest[outer] = max(longest[outer], n)
+    most = max(alone.values(), default=0)
+    downward = sorted(marks, key=lambda m: m.depth)
+    for m in reversed(downward):
+        up = m.parent.mark
+        if up:
+            for sums in (held, within, prose):
+                sums[up] += sums[m]
+            longest[up] = max(longest[up], longest[m])
+            if m in mains:
+                mains.add(up)
+    passes, passes_words = {None: True}, {None: True}
+    for m in downward:
+        n, plain = held[m], held[m] - within[m]
+        wrapper = m in mains or (within[m] > free or 2 * n > every) and max(longest[m], plain / 4) > most
+        if m.firm:
+            wrapper = wrapper and (m in mains or longest[m] > 0 or 2 * prose[m] >= n)
+        up = m.parent.mark
+        passes[m] = wrapper and passes[up]
+        passes_words[m] = (wrapper or not m.firm) and passes_words[up]
+    return [b for b in found if passes[b.element.mark]] or [b for b in found if passes_words[b.element.mark]]
 
 
 def extract(page: str) -> str:
     """The article's text."""
     every = [b for b in blocks(page) if not b.element.hard]
-    found = unmarked(every) or every
+    found = unmarked(every)
     if not found:
         return ""
     ok, fused = content(found)
@@ -305,14 +333,15 @@ def extract(page: str) -> str:
     within = [b for b in chosen if b.element.article and most] or chosen
     box = within[0].element
     for b in within[1:]:
-        box = _around(box, b.element)
+        while not box.holds(b.element):
+            box = box.parent
     if box.article:
         while box.tag not in ("article", "main"):
             box = box.parent
     elif box.tag not in ("body", "html", "#") and (box.tag in INLINE or box.tag in CLOSES_P - {"div", "section", "td"}):
         while box.tag not in ("div", "section", "td", "body", "html", "#"):
             box = box.parent
-    inside = [b for b in found if _holds(box, b.element)]
+    inside = [b for b in found if box.holds(b.element)]
     if box.tag in ("body", "html", "#"):
         # No section of its own: from the first to the last content block,
         # with a heading before it, without lists of links.

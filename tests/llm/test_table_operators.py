@@ -115,6 +115,31 @@ def test_extract_odd_html(page, want):
     assert html_extract.extract(page) == want
 
 
+@pytest.mark.parametrize("page, size", [("<div>" * 100_000 + "deep text" + "</div>" * 100_000, 9),
+                                        ("<div class=ad>some text. " * 50_000, 25_000 * 11 - 1),
+                                        ("<ul><li>a" * 30_000, 59_999), ("<div>" * 30_000 + "</span>" * 30_000, 0),
+                                        ("<div>" * 30_000 + "<option>a" * 20_000, 39_999)])
+def test_extract_deep_nesting(page, size):
+    # of nested marked elements, those that hold most of the text are wrappers
+    assert len(html_extract.extract(page)) == size
+
+
+ARTICLE = "<h1>Title</h1><p>A long paragraph, with text. And more of it, so.</p><p>A second paragraph, as well.</p>"
+ARTICLE_TEXT = "Title\nA long paragraph, with text. And more of it, so.\nA second paragraph, as well."
+
+
+@pytest.mark.parametrize("wrap", ["<form id=aspnetForm>%s</form>", "<div role=dialog><div>%s</div></div>",
+                                  "<form><article>%s<form><label>Mail</label></form></article></form>",
+                                  "<article>%s<form><p>Join us.</p><input></form></article>"])
+def test_extract_form_round_the_page(wrap):
+    page = "<body><nav><a href=x>Home</a></nav>" + wrap % ARTICLE + "<footer>All rights</footer></body>"
+    assert html_extract.extract(page) == ARTICLE_TEXT
+
+
+def test_extract_form_alone_is_no_text():
+    assert html_extract.extract("<body><form><label>Name</label><input><label>Mail</label></form></body>") == ""
+
+
 def test_extract_given_pages(spark):
     """The pages of the test tables hold one article each; reading it plainly
     gives the same text."""
