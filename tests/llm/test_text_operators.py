@@ -302,6 +302,67 @@ def check_language_model(docs, got):
     assert all(r["score"] <= 0 and math.isfinite(r["score"]) for r in got)
 
 
+def pair_model(docs):
+    """Exact pair counts, kinds and quantised masses of the training rows."""
+    words, pairs = Counter(), Counter()
+    for r in docs:
+        if zlib.crc32(("" if r["doc_id"] is None else str(r["doc_id"])).encode()) % 7 != 2:
+            tokens = lower(r["text"]) + [b"\n"]
+            words.update(tokens)
+            pairs.update(zip([None] + tokens[:-1], tokens))
+    kinds, mass = Counter(), Counter()
+    for (v, _), c in pairs.items():
+        kinds[v] += 1
+        mass[v] += rounded(c, bloom_lm.LEVELS, bloom_lm.MIDDLE)
+    return words, pairs, kinds, mass
+
+
+def rounded(c, levels, middle):
+    return middle[np.searchsorted(levels, c, side="right") - 1] if c else 0.0
+
+
+def fine(c):
+    return rounded(math.floor(c + 0.5), bloom_lm.FINE, bloom_lm.FINE_MIDDLE)
+
+
+def test_language_model_score_against_plain_counts(spark):
+    docs = frame(spark, awkward_rows()).unionByName(
+        spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text"), allowMissingColumns=True)
+    rows = docs.collect()
+    words, pairs, kinds, mass = pair_model(rows)
+    total = sum(words.values()) + len(words) + 1
+    want = []
+    for r in rows:
+        tokens, s = lower(r["text"]) + [b"\n"], 0.0
+        for v, w in zip([None] + tokens[:-1], tokens):
+            uni = (words[w] + 1) / total
+            if v not in kinds:
+                s += math.log10(uni)
+                continue
+            m = fine(2 * mass[v]) / 2
+            k = min(fine(kinds[v]), m)
+            seen = max(min(rounded(pairs[v, w], bloom_lm.LEVELS, bloom_lm.MIDDLE), m - k + 1) - bloom_lm.DISCOUNT, 0)
+            s += math.log10((seen + bloom_lm.DISCOUNT * k * uni) / m)
+        want.append((str(r["doc_id"]), len(tokens), s))
+    # At 100 bits an element the filter hardly errs; two parts at least.
+    got = [(str(r["doc_id"]), r["n_tokens"], r["score"]) for r in
+           bloom_lm.score_documents(docs.select("doc_id", "text"), part_bytes=200_000, bits_per_element=100).collect()]
+    off = [(a, b) for a, b in zip(sorted(want), sorted(got)) if a[:2] != b[:2] or abs(a[2] - b[2]) > 1e-6 * abs(a[2]) + 1e-9]
+    assert len(want) == len(got) and len(off) <= 0.02 * len(want), off[:5]
+    assert all(a[:2] == b[:2] and abs(a[2] - b[2]) < 0.01 * abs(a[2]) + 1 for a, b in off)
+
+
+def test_language_model_probabilities_add_up(spark):
+    words, _, kinds, mass = pair_model(spark.read.parquet(f"{SF}/documents.parquet").collect())
+    unseen = sum(c + 1 for c in words.values()) / (sum(words.values()) + len(words) + 1)
+    sums = []
+    for v in kinds:
+        m = fine(2 * mass[v]) / 2
+        sums.append((mass[v] - bloom_lm.DISCOUNT * kinds[v] + bloom_lm.DISCOUNT * min(fine(kinds[v]), m) * unseen) / m)
+    assert 0.93 < min(sums) and max(sums) < 1.07
+    assert abs(np.mean(sums) - 1) < 0.01
+
+
 def test_language_model_predicts_held_out_better_than_words(spark):
     got = bloom_lm.score_documents(spark.read.parquet(f"{SF}/documents.parquet")).toPandas()
     held = got[got.held_out]
