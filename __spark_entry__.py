@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewatch.functions.exprs import quote_ident, round_doubles
-from tablewatch.operators import (input_profile, iqr_bounds, iqr_outliers, iqr_outliers_detailed,
+from tablewatch.operators import (absent_columns, input_profile, iqr_bounds, iqr_outliers, iqr_outliers_detailed,
                                   kmeans_anomalies, knn_exact, knn_exact_scores, knn_lsh,
                                   knn_lsh_scores, knn_time, knn_time_scores, prepare,
                                   sizes_from_stats, suspects_topk, system_sizes, zscore,
@@ -37,6 +37,7 @@ from tablewatch.sources.derived import epoch_micros, write_folders, write_uint64
 from tablewatch.sources.footers import schema_census
 from tablewatch.sources.ingest import create_table, file_manifest, register_folders
 from tablewatch.sources.sanitize import plan_casts, sanitize, sanitize_summary
+from tablewatch.sources.sinks import VIEWS, fetch_page, fetch_pages, stage_pages
 from tablewatch.streaming.incremental import ingest_new_files
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -370,6 +371,50 @@ def q_detect_all_outputs(spark, sf_dir):
     return round_doubles(reduce(DataFrame.unionByName, frames))
 
 
+def _job(spark, sf_dir) -> dict:
+    return run_job(spark, Params(input_path=f"{sf_dir}/events.parquet", feature="value", ts_col="ts", sys_col="user_id",
+                                 tie_break=("event_id",), out_dir=scratch_path(spark, "job"), rank_digits=RANK_DIGITS,
+                                 print_limit=40), show=False)
+
+
+def q_quicklook_views(spark, sf_dir):
+    """The five console views of the job, 40 rows each."""
+    frames = []
+    for view, got in _job(spark, sf_dir)["views"].items():
+        row = F.col("event_id") if "event_id" in got.columns else F.lit(-1).cast("bigint")
+        measure = F.col(VIEWS[view][1] or "n_outliers").cast("double")
+        frames.append(got.select(F.lit(view).alias("view"), "user_id", row.alias("event_id"), measure.alias("measure")))
+    return round_doubles(reduce(DataFrame.unionByName, frames))
+
+
+def q_fetch_pages(spark, sf_dir):
+    """All events in five pages; the client leaves after two of them, and
+    the result is staged again, to no effect, before it goes on."""
+    path, order = scratch_path(spark, "pages"), ["user_id", "ts", "event_id"]
+    ev = _table(spark, sf_dir, "events")
+    rows = ev.count() // 5 + 1
+    stage_pages(ev, path, order)
+    early = [fetch_page(spark, path, k * rows, rows) for k in range(2)]
+    stage_pages(ev.limit(0), path, order)
+    pages = early + (list(fetch_pages(spark, path, early[-1][1], rows)) if early[-1][1] is not None else [])
+    return round_doubles(reduce(DataFrame.unionByName, [p.withColumn("page", F.lit(k).cast("bigint")) for k, (p, _) in enumerate(pages)]))
+
+
+def q_required_columns(spark, sf_dir):
+    """Which tables the job takes, and the columns that the others lack."""
+    frames = []
+    for name, cols in (("events", EV), ("lineitem", LI), ("orders", EV), ("events", Cols("USER_ID", "ts", "value"))):
+        df = _table(spark, sf_dir, name)
+        lacking = absent_columns(df, [cols.sys, cols.ts, cols.x])
+        try:
+            rows = prepare(df, cols)
+        except ValueError:
+            rows = df.limit(0)
+        frames.append(rows.agg(F.count(F.lit(1)).alias("n_rows")).select(
+            F.lit(name).alias("table"), F.lit(cols.sys).alias("system"), F.lit(",".join(lacking)).alias("lacking"), "n_rows"))
+    return reduce(DataFrame.unionByName, frames)
+
+
 def q_cast_plan(spark, sf_dir):
     root = _sanitize_input(spark, sf_dir, unsigned=True)
     return plan_casts(schema_census(spark, root)).select("rel_dir", "column", "from_type",
@@ -480,20 +525,20 @@ def _scored_sql(table: str, c: Cols) -> str:
             FROM {table})"""
 
 
-def _r(expr: str, alias: str) -> str:
-    return f"round({expr}, 6) AS {alias}"
+def _r(expr: str, alias: str, digits: int = 6) -> str:
+    return f"round({expr}, {digits}) AS {alias}"
 
 
 def _base_sel(c: Cols) -> str:
     return ", ".join([c.sys, c.ts, _r(c.x, c.x), *c.tie_break])
 
 
-def _zscore_outliers_sql(table: str, c: Cols, z_thresh: float = 2.0) -> str:
-    return f"""SELECT {_base_sel(c)}, {_r('z', 'z')}, {_r('abs(z)', 'abs_z')}
+def _zscore_outliers_sql(table: str, c: Cols, z_thresh: float = 2.0, digits: int = 6) -> str:
+    return f"""SELECT {_base_sel(c)}, {_r('z', 'z')}, {_r('abs(z)', 'abs_z', digits)}
                FROM ({_scored_sql(table, c)}) WHERE n >= 20 AND abs(z) > {z_thresh}"""
 
 
-def _iqr_sql(table: str, c: Cols, detailed: str, mult: float = 1.5) -> str:
+def _iqr_sql(table: str, c: Cols, detailed: str, mult: float = 1.5, digits: int = 6) -> str:
     withb = f"""
       SELECT t.{c.sys} AS {c.sys}, t.{c.ts} AS {c.ts}, t.{c.x} AS {c.x},
              {', '.join('t.' + b + ' AS ' + b for b in c.tie_break)},
@@ -516,7 +561,7 @@ def _iqr_sql(table: str, c: Cols, detailed: str, mult: float = 1.5) -> str:
                       {_r('low', 'low')}, {_r('high', 'high')},
                       CASE WHEN {c.x} < low THEN 'below_low' ELSE 'above_high' END AS "where",
                       {_r(f'CASE WHEN {c.x} < low THEN low - {c.x} ELSE {c.x} - high END',
-                          'dist_from_bound')}
+                          'dist_from_bound', digits)}
                FROM ({outl})"""
 
 
@@ -560,9 +605,9 @@ def _knn_lsh_scores_sql(table: str, c: Cols, max_group_rows: int = 2**62) -> str
     return f"{small} UNION ALL {big}"
 
 
-def _knn_cut_sql(scores: str, c: Cols, cutoff: float = 0.99) -> str:
+def _knn_cut_sql(scores: str, c: Cols, cutoff: float = 0.99, digits: int = 6) -> str:
     return f"""
-      SELECT {_base_sel(c)}, {_r('z', 'z')}, {_r('knn_dist', 'knn_dist')},
+      SELECT {_base_sel(c)}, {_r('z', 'z')}, {_r('knn_dist', 'knn_dist', digits)},
              {_r('knn_pr', 'knn_pr')}
       FROM (SELECT *, percent_rank() OVER (PARTITION BY {c.sys}
                                            ORDER BY round(knn_dist, 9) ASC NULLS FIRST) AS knn_pr
@@ -570,7 +615,7 @@ def _knn_cut_sql(scores: str, c: Cols, cutoff: float = 0.99) -> str:
       WHERE knn_pr >= {cutoff}"""
 
 
-def _kmeans_cut_sql(steps: int = 50) -> str:
+def _kmeans_cut_sql(steps: int = 50, cutoff: float = 0.99) -> str:
     """Lloyd's iteration for two centres from the quarter and three-quarter
     quantiles of the standardised z."""
     return f"""
@@ -589,7 +634,7 @@ def _kmeans_cut_sql(steps: int = 50) -> str:
         SELECT *, percent_rank() OVER (PARTITION BY user_id ORDER BY round(km_dist, 9) NULLS FIRST) AS km_pr
         FROM (SELECT f.*, CASE WHEN abs(f - c0) <= abs(f - c1) THEN 0 ELSE 1 END AS cluster,
                      least(abs(f - c0), abs(f - c1)) AS km_dist FROM f, c))
-      WHERE km_pr >= 0.99"""
+      WHERE km_pr >= {cutoff}"""
 
 
 # What each result folder of the job is compared by.
@@ -597,6 +642,8 @@ JOB_MEASURES = {"temp_outliers_zscore": "abs_z", "temp_suspects_topk": "abs_z",
                 "temp_outliers_kmeans": "km_dist", "temp_outliers_knn": "knn_dist", "iqr_bounds": "n_outliers",
                 "iqr_outliers_detailed": "dist_from_bound"}
 
+_TIES = ", ts NULLS FIRST, event_id NULLS FIRST"
+
 _ORACLE: dict[str, str] = {
     "zscore_scores": f"""
         SELECT user_id, ts, {_r('value', 'value')}, event_id, n, {_r('mean_feat', 'mean_feat')},
@@ -757,6 +804,33 @@ _ORACLE: dict[str, str] = {
         FROM ({_iqr_sql('events', EV, 'bounds')})
         UNION ALL SELECT 'iqr_outliers_detailed', user_id, event_id, dist_from_bound
         FROM ({_iqr_sql('events', EV, 'detailed')})""",
+    "quicklook_views": " UNION ALL ".join(f"""
+        SELECT * FROM (SELECT '{view}' AS view, user_id, {row} AS event_id, {measure} AS measure FROM ({sql})
+                       ORDER BY {order} user_id NULLS FIRST{ties} LIMIT 40)"""
+        for view, sql, row, measure, order, ties in (
+            ("kmeans_top", _kmeans_cut_sql(cutoff=-1), "event_id", "round(km_dist, 6)", "round(km_dist, 9) DESC NULLS LAST,", _TIES),
+            ("knn_top", _knn_cut_sql(_knn_time_scores_sql("events", EV), EV, digits=12), "event_id", "round(knn_dist, 6)",
+             "round(knn_dist, 9) DESC NULLS LAST,", _TIES),
+            ("iqr_bounds", _iqr_sql("events", EV, "bounds"), "CAST(-1 AS BIGINT)", "CAST(n_outliers AS DOUBLE)", "", ""),
+            ("iqr_top", _iqr_sql("events", EV, "detailed", digits=12), "event_id", "round(dist_from_bound, 6)",
+             "round(dist_from_bound, 9) DESC NULLS LAST,", _TIES),
+            ("zscore_top", _zscore_outliers_sql("events", EV, digits=12), "event_id", "round(abs_z, 6)",
+             "round(abs_z, 9) DESC NULLS LAST,", _TIES))),
+    "fetch_pages": """
+        SELECT * EXCLUDE (value), round(value, 6) AS value,
+               CAST((row_number() OVER (ORDER BY user_id NULLS FIRST, ts NULLS FIRST, event_id NULLS FIRST) - 1)
+                    // ((SELECT count(*) FROM events) // 5 + 1) AS BIGINT) AS page
+        FROM events""",
+    "required_columns": """
+        SELECT t AS "table", s AS system, coalesce(lacking, '') AS lacking,
+               CASE WHEN lacking IS NOT NULL THEN 0 WHEN t = 'events' THEN (SELECT count(*) FROM events)
+                    ELSE (SELECT count(*) FROM lineitem) END AS n_rows
+        FROM (SELECT t, s, string_agg(c, ',' ORDER BY c) FILTER (column_name IS NULL) AS lacking
+              FROM (VALUES ('events', 'user_id', ['user_id', 'ts', 'value']), ('orders', 'user_id', ['user_id', 'ts', 'value']),
+                           ('lineitem', 'l_suppkey', ['l_suppkey', 'l_shipdate', 'l_extendedprice']),
+                           ('events', 'USER_ID', ['USER_ID', 'ts', 'value'])) v(t, s, cs), unnest(cs) u(c)
+              LEFT JOIN information_schema.columns i ON i.table_name = t AND i.column_name = c
+              GROUP BY t, s)""",
 }
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -810,6 +884,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "prepare_epochs": q_prepare_epochs,
     "create_table": q_create_table,
     "detect_all_outputs": q_detect_all_outputs,
+    "quicklook_views": q_quicklook_views,
+    "fetch_pages": q_fetch_pages,
+    "required_columns": q_required_columns,
 }
 
 

@@ -13,10 +13,14 @@ from tablewatch.params import Cols
 _TS_FROM_NUMBER = {"s": F.timestamp_seconds, "ms": F.timestamp_millis, "us": F.timestamp_micros}
 
 
+def absent_columns(df: DataFrame, names: list[str]) -> list[str]:
+    """Those of ``names`` that ``df`` lacks, by exact, case-sensitive name
+    (Spark itself would resolve names case-insensitively)."""
+    return sorted(set(names).difference(df.columns))
+
+
 def require_columns(df: DataFrame, names: list[str]) -> None:
-    """Exact, case-sensitive presence check (Spark itself would resolve
-    names case-insensitively)."""
-    absent = sorted(set(names).difference(df.columns))
+    absent = absent_columns(df, names)
     if absent:
         raise ValueError(f"input lacks column(s) {', '.join(absent)}; it has {', '.join(df.columns)}")
 

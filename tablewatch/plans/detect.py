@@ -112,15 +112,16 @@ def run(spark: SparkSession, p: Params, n_files: int | None = None, show: bool =
     results = detect_all(spark, p, df, extras)
     paths = write_results(spark, results, p.out_dir, p.cols, n_files)
     prof = input_profile(df, p.cols).first()
+    # The views read what was just written, nothing is computed again.
+    written = {name: spark.read.parquet(path) for name, path in paths.items()}
+    views = quicklook(written, p.cols, extras, p.print_limit, p.rank_digits)
     if show:
         print(f"{prof['rows']} rows in {prof['systems']} systems; {p.feature} judged at "
               f"|z| > {p.z_thresh} in systems of {p.min_points} rows or more")
-        # The views read what was just written, nothing is computed again.
-        written = {name: spark.read.parquet(path) for name, path in paths.items()}
-        for name, view in quicklook(written, p.cols, extras, limit=p.print_limit).items():
+        for name, view in views.items():
             print(f"\n{name}:")
             view.show(p.print_limit, truncate=False)
-    return {"paths": paths, "rows": prof["rows"], "systems": prof["systems"]}
+    return {"paths": paths, "rows": prof["rows"], "systems": prof["systems"], "views": views}
 
 
 def main(argv: list[str] | None = None) -> None:
