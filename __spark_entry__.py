@@ -290,7 +290,8 @@ def _sanitize_input(spark, sf_dir, unsigned: bool) -> str:
     micros = epoch_micros("ts") if unsigned else epoch_micros("ts").cast("decimal(20,0)")
     src = ev.select("event_id", "user_id", micros.alias("timestamp"), *rest)
     if unsigned:
-        write_uint64(src, f"{root}/counters/2024", ["event_id", "user_id", "timestamp"]).collect()
+        write_uint64(src, f"{root}/counters/2024", ["event_id", "user_id", "timestamp"],
+                     required={"event_id": {"unit": "id"}}).collect()
     else:
         src.write.parquet(f"{root}/counters")
     return root
@@ -318,7 +319,7 @@ def q_sanitize_footer(spark, sf_dir):
     """What the sanitised files store, from their footers, and their rows."""
     census = schema_census(spark, _sanitized(spark, sf_dir, True))
     return (census.filter(F.col("column").isin("event_id", "user_id", "timestamp"))
-            .groupBy("rel_dir", "column", "arrow_type")
+            .groupBy("rel_dir", "column", "arrow_type", "nullable", "field_metadata")
             .agg(F.sum("n_rows").cast("bigint").alias("n_rows")))
 
 
@@ -763,10 +764,11 @@ _ORACLE: dict[str, str] = {
         UNION ALL SELECT 'none', NULL, false, 0, 'skipped', true
         UNION ALL SELECT 'bad', 'bad', true, NULL, 'error', true""",
     "sanitize_footer": """
-        SELECT 'counters/2024' AS rel_dir, c AS "column", t AS arrow_type,
+        SELECT 'counters/2024' AS rel_dir, c AS "column", t AS arrow_type, o AS nullable, m AS field_metadata,
                (SELECT count(*) FROM events) AS n_rows
-        FROM (VALUES ('event_id', 'decimal128(20, 0)'), ('user_id', 'decimal128(20, 0)'),
-                     ('timestamp', 'timestamp[us, tz=UTC]')) v(c, t)""",
+        FROM (VALUES ('event_id', 'decimal128(20, 0)', false, '{"unit": "id"}'),
+                     ('user_id', 'decimal128(20, 0)', true, NULL),
+                     ('timestamp', 'timestamp[us, tz=UTC]', true, NULL)) v(c, t, o, m)""",
     "sanitize_totals": "SELECT count(*) > 0 AS all_changed, 3 AS casts_per_file FROM events",
     "prepare_strings": "SELECT event_id, user_id, ts, event_type, round(value, 6) AS value, "
                        "* EXCLUDE (event_id, user_id, ts, event_type, value) FROM events",

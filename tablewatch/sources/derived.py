@@ -22,12 +22,14 @@ def write_folders(folders: dict[str, DataFrame], root: str) -> str:
     return root
 
 
-def write_uint64(df: DataFrame, out_dir: str, uint64_cols: list[str]) -> DataFrame:
+def write_uint64(df: DataFrame, out_dir: str, uint64_cols: list[str],
+                 required: dict[str, dict[str, str]] | None = None) -> DataFrame:
     """Write ``df`` under ``out_dir`` with ``uint64_cols`` stored as Parquet
-    UINT64 (values must be non-negative integers).  Returns a frame of the
+    UINT64 (values must be non-negative integers).  ``required``: those of them
+    that are stored as required, with the metadata of the field.  Returns a frame of the
     written paths and row counts (evaluate it to perform the write)."""
     target = out_dir.rstrip("/")
-    cols = list(uint64_cols)
+    cols, required = list(uint64_cols), dict(required or {})
 
     def write(batches):
         import uuid
@@ -41,7 +43,8 @@ def write_uint64(df: DataFrame, out_dir: str, uint64_cols: list[str]) -> DataFra
             table = pa.Table.from_batches([batch])
             for c in cols:
                 i = table.schema.get_field_index(c)
-                table = table.set_column(i, c, table.column(i).cast(pa.uint64()))
+                kind = pa.field(c, pa.uint64(), nullable=c not in required, metadata=required.get(c))
+                table = table.set_column(i, kind, table.column(i).cast(pa.uint64()))
             return table
 
         name = f"part-{TaskContext.get().partitionId():05d}.parquet"

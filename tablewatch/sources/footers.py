@@ -3,8 +3,7 @@
 Spark reads a folder with the schema of one file, so mixed files (int32 in
 one, uint64 in another) need a look at every footer.  The file list is a
 DataFrame; each task opens its files' footers with pyarrow (footer only, no
-data pages) and returns one row per file.  This is the only Python-side step
-in the package and it touches metadata, not rows.
+data pages) and returns one row per file.
 """
 
 from __future__ import annotations
@@ -18,7 +17,7 @@ from pyspark.sql import functions as F
 from tablewatch.sources.files import PARQUET_GLOB, list_files, with_relative
 
 FIELD = ("struct<name:string, arrow_type:string, type_name:string, precision:int, scale:int, "
-         "nullable:boolean>")
+         "nullable:boolean, field_metadata:string>")
 FOOTER_SCHEMA = (f"path string, n_rows bigint, n_row_groups int, fields array<{FIELD}>, "
                  "error string")
 
@@ -45,8 +44,17 @@ def _describe(t) -> tuple[str, int | None, int | None]:
 
 
 def _footers(batches):
+    import json
+
     import pandas as pd
     import pyarrow.parquet as pq
+
+    def described(metadata):
+        """Keys and values of a field as JSON; the format's own keys aside."""
+        own = {k.decode(): v.decode(errors="replace") for k, v in (metadata or {}).items()
+               if not k.startswith(b"PARQUET:")}
+        return json.dumps(own, sort_keys=True) if own else None
+
     for pdf in batches:
         out = []
         for path in pdf["path"]:
@@ -59,7 +67,8 @@ def _footers(batches):
                 for fld in schema:
                     tn, prec, sc = _describe(fld.type)
                     fields.append({"name": fld.name, "arrow_type": str(fld.type), "type_name": tn,
-                                   "precision": prec, "scale": sc, "nullable": fld.nullable})
+                                   "precision": prec, "scale": sc, "nullable": fld.nullable,
+                                   "field_metadata": described(fld.metadata)})
                 out.append({"path": path, "n_rows": md.num_rows, "n_row_groups": md.num_row_groups,
                             "fields": fields, "error": None})
             except Exception as e:  # noqa: BLE001 - reported per file
@@ -87,8 +96,8 @@ def parquet_files(spark: SparkSession, root: str) -> DataFrame:
 
 def schema_census(spark: SparkSession, root: str) -> DataFrame:
     """One row per (file, top-level column): path, rel, folder, rel_dir, size,
-    n_rows, column, arrow_type, type_name, precision, scale, nullable, error.
-    A file whose footer cannot be read appears once with its error."""
+    n_rows, column, arrow_type, type_name, precision, scale, nullable,
+    field_metadata (JSON, NULL if none), error.  A file whose footer cannot be read appears once with its error."""
     files = parquet_files(spark, root)
     foot = read_footers(spark, files)
     joined = files.join(foot, "path", "left")
@@ -99,5 +108,6 @@ def schema_census(spark: SparkSession, root: str) -> DataFrame:
         "path", "rel", "folder", "rel_dir", "size", "n_rows",
         F.col("f.name").alias("column"), F.col("f.arrow_type").alias("arrow_type"),
         F.col("f.type_name").alias("type_name"), F.col("f.precision").alias("precision"),
-        F.col("f.scale").alias("scale"), F.col("f.nullable").alias("nullable"), "error",
+        F.col("f.scale").alias("scale"), F.col("f.nullable").alias("nullable"),
+        F.col("f.field_metadata").alias("field_metadata"), "error",
     )

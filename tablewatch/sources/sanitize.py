@@ -3,22 +3,25 @@ microseconds in a column named ``timestamp`` -> TIMESTAMP).
 
 Plan: the footer census gives every file's physical types; ``plan_casts``
 turns them into per-file cast rows (a DataFrame, also the dry-run report).
-Files are grouped by (relative folder, full schema); each group is one Spark
-read of its files, one ``select`` of casts and one parallel write.  The
-driver only handles the group list (metadata), never rows.
+Paths and their casts stay in a table.  One job deals its rows to tasks; a task
+reads a file in stretches of bounded size, casts the listed columns and writes
+the file of the same relative path.  Parquet details that Spark's own writer
+does not carry (required columns, field metadata) stay as they were.
 """
 
 from __future__ import annotations
 
-from contextlib import contextmanager
+import sys
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark import cloudpickle
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewatch.functions.exprs import epoch_micros_to_ts, quote_ident
-from tablewatch.operators.joins import materialize
+from tablewatch.operators.joins import materialize, materialize_observed
+from tablewatch.sources import footers
 from tablewatch.sources.files import _strip_scheme, qualify
-from tablewatch.sources.footers import schema_census
+from tablewatch.sources.footers import parquet_files, schema_census
 
 # The column name that carries epoch microseconds, the labels
 # of the two target types in reports, and the smallest decimal precision
@@ -28,6 +31,15 @@ TO_TIMESTAMP = "timestamp(us, tz='UTC')"
 TO_DECIMAL = "decimal128(20,0)"
 MIN_EPOCH_DECIMAL_PRECISION = 18
 
+# Where Spark keeps a file's schema a second time (fixed value), and its names
+# of the two target types.
+SPARK_SCHEMA_KEY = b"org.apache.spark.sql.parquet.row.metadata"
+SPARK_NAMES = {TO_TIMESTAMP: "timestamp", TO_DECIMAL: "decimal(20,0)"}
+
+STRETCH_BYTES = 64 << 20    # decoded data that a task holds, and size of a row group
+TASK_BYTES = 128 << 20      # input of one task, unless one file is larger
+REWRITE_SCHEMA = "path string, out_path string, n_rows bigint"
+
 
 def plan_casts(census: DataFrame) -> DataFrame:
     """path, rel_dir, column, from_type, to_type for every column that
@@ -44,38 +56,126 @@ def plan_casts(census: DataFrame) -> DataFrame:
             .filter(F.col("to_type").isNotNull()))
 
 
-def cast_expr(column: str, to_type: str | None) -> Column:
-    c = F.col(quote_ident(column))
-    if to_type == TO_TIMESTAMP:
-        return epoch_micros_to_ts(c).alias(column)
-    if to_type == TO_DECIMAL:
-        # Spark already reads UINT64 as DECIMAL(20,0); the cast pins the type.
-        return c.cast("decimal(20,0)").alias(column)
-    return c
-
-
-@contextmanager
-def _micros(spark: SparkSession):
-    """Within, Parquet timestamps are written as TIMESTAMP_MICROS."""
-    name = "spark.sql.parquet.outputTimestampType"
-    before = spark.conf.get(name)
-    spark.conf.set(name, "TIMESTAMP_MICROS")
+def _target_types():
+    import pyarrow as pa
+    return {TO_TIMESTAMP: pa.timestamp("us", tz="UTC"), TO_DECIMAL: pa.decimal128(20, 0)}
+
+
+def _retyped_schema(pf, casts: dict[str, str]):
+    """The file's schema after the casts.  INT96 holds instants, so such a
+    column stays one (UTC) when it is stored as microseconds."""
+    import json
+
+    import pyarrow as pa
+    targets = _target_types()
+    int96 = {c.path for c in (pf.schema.column(i) for i in range(len(pf.schema)))
+             if c.physical_type == "INT96"}
+    old = pf.schema_arrow
+    fields = [f.with_type(targets[casts[f.name]]) if f.name in casts
+              else f.with_type(pa.timestamp("us", tz="UTC")) if f.name in int96 else f
+              for f in old]
+    metadata = dict(old.metadata or {})
+    if SPARK_SCHEMA_KEY in metadata:
+        stored = json.loads(metadata[SPARK_SCHEMA_KEY])
+        for f in stored["fields"]:
+            if f["name"] in casts:
+                f["type"] = SPARK_NAMES[casts[f["name"]]]
+        metadata[SPARK_SCHEMA_KEY] = json.dumps(stored).encode()
+    return pa.schema(fields, metadata=metadata or None)
+
+
+def _retyped(column, kind):
+    """Checked casts: a value that does not fit raises."""
+    import pyarrow as pa
+    if column.type == kind:
+        return column
+    if pa.types.is_timestamp(kind) and not pa.types.is_timestamp(column.type):
+        return column.cast(pa.int64()).cast(kind)
+    return column.cast(kind, safe=not pa.types.is_timestamp(kind))
+
+
+def _rewrite_file(path: str, dest: str, casts: dict[str, str], compression: str) -> int:
+    """Rows written to ``dest``.  The file appears under its name only when it
+    is complete, so a task that is lost or runs twice leaves no part of one."""
+    import uuid
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    source, p = footers._open_args(path)
+    sink, d = footers._open_args(dest if ":" in dest.split("/")[0] else f"file:{dest}")
+    folder, name = d.rsplit("/", 1)
+    tmp = f"{folder}/.{name}.{uuid.uuid4().hex}.tmp"
+    sink.create_dir(folder, recursive=True)
+    rows = 0
+    try:
+        with source.open_input_file(p) as f:
+            pf = pq.ParquetFile(f, buffer_size=1 << 20, pre_buffer=False)
+            schema = _retyped_schema(pf, casts)
+            md = pf.metadata
+            decoded = sum(md.row_group(i).total_byte_size for i in range(md.num_row_groups))
+            stretch = max(1, min(1 << 20, STRETCH_BYTES * max(md.num_rows, 1) // max(decoded, 1)))
+            with pq.ParquetWriter(tmp, schema, filesystem=sink, compression=compression,
+                                  coerce_timestamps="us", allow_truncated_timestamps=True) as out:
+                for batch in pf.iter_batches(batch_size=stretch):
+                    columns = [_retyped(c, k.type) for c, k in zip(batch.columns, schema)]
+                    out.write_table(pa.Table.from_arrays(columns, schema=schema))
+                    rows += batch.num_rows
+        if sink.get_file_info(d).type != pa.fs.FileType.NotFound:
+            sink.delete_file(d)
+        sink.move(tmp, d)
+    except BaseException:
+        if sink.get_file_info(tmp).type != pa.fs.FileType.NotFound:
+            sink.delete_file(tmp)
+        raise
+    return rows
+
+
+# Tasks need not have the package installed (as in ``footers``).
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+def _rewrite(files: DataFrame, out: str, compression: str, n_tasks: int) -> DataFrame:
+    """files (path, rel, casts) -> path, out_path, n_rows; evaluate to write."""
+    base = out.rstrip("/")
+
+    def write(batches):
+        import pyarrow as pa
+        import pyarrow.fs  # noqa: F401 - named as pa.fs
+        for batch in batches:
+            for row in batch.to_pylist():
+                dest = f"{base}/{row['rel']}"
+                casts = {c["column"]: c["to_type"] for c in row["casts"] or []}
+                n = _rewrite_file(row["path"], dest, casts, compression)
+                yield pa.RecordBatch.from_pydict(
+                    {"path": [row["path"]], "out_path": [dest], "n_rows": [n]},
+                    schema=pa.schema([("path", pa.string()), ("out_path", pa.string()), ("n_rows", pa.int64())]))
+
+    return files.select("path", "rel", "casts").repartition(n_tasks).mapInArrow(write, REWRITE_SCHEMA)
+
+
+def _refuse_existing(spark: SparkSession, files: DataFrame, out: str) -> None:
     try:
-        yield
-    finally:
-        spark.conf.set(name, before)
+        there = parquet_files(spark, out)
+    except AnalysisException:       # no such folder yet
+        return
+    clash = files.select("rel").join(there.select("rel"), "rel", "left_semi").first()
+    if clash:
+        raise FileExistsError(f"{out}/{clash['rel']} exists; pass overwrite to replace it")
 
 
 def sanitize(spark: SparkSession, root: str, out: str, overwrite: bool = False,
              only_changed: bool = True, compression: str = "snappy",
              dry_run: bool = False) -> DataFrame:
-    """Rewrite the Parquet files under ``root`` into ``out``, mirroring the
-    folder layout (one dataset per folder and schema).  Returns the report:
-    path, rel_dir, column, from_type, to_type, out_path, written, error — one
-    row per cast, plus one row per file whose footer could not be read.  An
-    existing output folder is an error unless ``overwrite``.  Timestamps are
-    stored as microseconds.  ``out`` must lie outside ``root`` and must not
-    contain it: an overwrite would delete files that are still to be read."""
+    """Rewrite the Parquet files under ``root`` into ``out``, each to the same
+    relative path.  Returns the report: path, rel_dir, column, from_type,
+    to_type, out_path, written, error — one row per cast, plus one row per
+    file whose footer could not be read.  A file that exists there is an error
+    unless ``overwrite``; other files in ``out`` are left alone.  Nullability,
+    field and file metadata are kept; timestamps are stored as microseconds; a
+    value that does not fit its new type raises.  ``out`` must lie outside
+    ``root`` and must not contain it: an overwrite would replace files that are
+    still to be read.  One file is one task's work, in stretches of
+    ``STRETCH_BYTES``."""
     root, out = qualify(root), qualify(out)
     inner, outer = f"{_strip_scheme(out).rstrip('/')}/", f"{_strip_scheme(root).rstrip('/')}/"
     if inner.startswith(outer) or outer.startswith(inner):
@@ -93,35 +193,15 @@ def sanitize(spark: SparkSession, root: str, out: str, overwrite: bool = False,
                 .withColumn("written", F.lit(False))
                 .withColumn("error", F.lit(None).cast("string"))
                 .unionByName(unreadable))
-    ok = census.filter(F.col("error").isNull())
-    sig = ok.groupBy("path", "rel_dir").agg(
-        F.array_sort(F.collect_list(F.concat_ws(":", "column", "arrow_type"))).alias("sig"))
-    file_casts = plan.groupBy("path").agg(
-        F.array_sort(F.collect_list(F.struct("column", "to_type"))).alias("casts"))
-    how = "inner" if only_changed else "left"
-    sig = sig.join(file_casts, "path", how)
-    # Same schema => same casts, so a group carries one cast list.
-    groups = (sig.groupBy("rel_dir", "sig", "casts")
-              .agg(F.array_sort(F.collect_list("path")).alias("paths"))
-              .orderBy("rel_dir", "sig").collect())
-    started: set[str] = set()
-    written = []
-    with _micros(spark):
-        # Parents first, so that replacing a folder cannot remove one written before.
-        for g in sorted(groups, key=lambda r: (r["rel_dir"].count("/"), r["rel_dir"], r["sig"])):
-            rel_dir, paths = g["rel_dir"], list(g["paths"])
-            dest = f"{out.rstrip('/')}/{rel_dir}" if rel_dir else out.rstrip("/")
-            # Files of other schemas join the same folder, as in the input.
-            mode = "append" if dest in started else "overwrite" if overwrite else "errorifexists"
-            started.add(dest)
-            casts = {c["column"]: c["to_type"] for c in (g["casts"] or [])}
-            df = spark.read.parquet(*paths)
-            df.select([cast_expr(c, casts.get(c)) for c in df.columns]) \
-              .write.mode(mode).option("compression", compression).parquet(dest)
-            written.extend((p, dest) for p in paths)
-    done = spark.createDataFrame(written, "path string, out_path string") if written else \
-        spark.createDataFrame([], "path string, out_path string")
-    return (plan.join(done, "path", "left")
+    casts = plan.groupBy("path").agg(F.collect_list(F.struct("column", "to_type")).alias("casts"))
+    readable = census.filter(F.col("error").isNull()).select("path", "rel", "size").distinct()
+    files, total = materialize_observed(readable.join(casts, "path", "inner" if only_changed else "left"),
+                                        n=F.count(F.lit(1)), size=F.sum("size"))
+    if not overwrite:
+        _refuse_existing(spark, files, out)
+    n_tasks = max(4 * spark.sparkContext.defaultParallelism, (total["size"] or 0) // TASK_BYTES)
+    done = materialize(_rewrite(files, out, compression, max(1, min(total["n"], n_tasks))))
+    return (plan.join(done.select("path", "out_path"), "path", "left")
             .withColumn("written", F.col("out_path").isNotNull())
             .withColumn("error", F.lit(None).cast("string"))
             .unionByName(unreadable))

@@ -210,3 +210,46 @@ def test_sanitize_can_rewrite_unchanged_files_too(spark, tmp):
     assert report.filter("written").count() == 3          # casts of the changed files
     other = spark.read.parquet(f"{out}/other")              # unchanged file copied as is
     assert dict(other.dtypes)["timestamp"] == "decimal(20,2)" and other.count() == 1
+
+
+def test_sanitised_files_keep_names_nullability_and_metadata(spark, tmp):
+    schema = pa.schema([pa.field("id", pa.uint64(), nullable=False, metadata={"unit": "id"}),
+                        pa.field("timestamp", pa.uint64()), pa.field("a.b", pa.int32(), nullable=False)],
+                       metadata={"owner": "ops"})
+    rows = pa.table([pa.array(range(5000), pa.uint64()), pa.array([None] * 5000, pa.uint64()),
+                     pa.array([7] * 5000, pa.int32())], schema=schema)
+    write(f"{tmp}/in/x y/deep/one.PRQ", rows)
+    write(f"{tmp}/in/x y/none.parquet", rows.slice(0, 0))
+    report = sanitize(spark, f"{tmp}/in", f"{tmp}/out")
+    assert report.filter("written").count() == 4
+    for rel, n in (("x y/deep/one.PRQ", 5000), ("x y/none.parquet", 0)):
+        got = pq.ParquetFile(f"{tmp}/out/{rel}")
+        fields = got.schema_arrow
+        assert got.metadata.num_rows == n
+        assert (fields.field("id").nullable, fields.field("id").metadata[b"unit"]) == (False, b"id")
+        assert str(fields.field("timestamp").type) == "timestamp[us, tz=UTC]" and not fields.field("a.b").nullable
+        assert fields.metadata[b"owner"] == b"ops"
+    assert os.listdir(f"{tmp}/out/x y/deep") == ["one.PRQ"]          # nothing half-written is left
+
+
+def test_sanitiser_keeps_the_types_spark_noted_and_instants(spark, tmp):
+    spark.conf.set("spark.sql.parquet.outputTimestampType", "INT96")
+    spark.sql("SELECT CAST(1700000000000000 AS DECIMAL(20,0)) AS timestamp, "
+              "TIMESTAMP'2024-01-02 03:04:05.678901' AS seen, 1 AS k").write.parquet(f"{tmp}/in/f")
+    spark.conf.unset("spark.sql.parquet.outputTimestampType")
+    sanitize(spark, f"{tmp}/in", f"{tmp}/out")
+    got = spark.read.parquet(f"{tmp}/out/f")
+    assert dict(got.dtypes) == {"timestamp": "timestamp", "seen": "timestamp", "k": "int"}
+    assert got.selectExpr("unix_micros(timestamp)", "CAST(seen AS STRING)").first()[:] == \
+        (1700000000000000, "2024-01-02 03:04:05.678901")
+
+
+def test_overwriting_replaces_files_and_spares_others(spark, tmp):
+    write(f"{tmp}/in/a.parquet", pa.table({"u": pa.array([1], pa.uint64())}))
+    write(f"{tmp}/out/other.parquet", pa.table({"u": pa.array([9], pa.int64())}))
+    sanitize(spark, f"{tmp}/in", f"{tmp}/out")
+    write(f"{tmp}/in/a.parquet", pa.table({"u": pa.array([1, 2], pa.uint64())}))
+    with pytest.raises(FileExistsError):
+        sanitize(spark, f"{tmp}/in", f"{tmp}/out")
+    sanitize(spark, f"{tmp}/in", f"{tmp}/out", overwrite=True)
+    assert pq.read_table(f"{tmp}/out/a.parquet").num_rows == 2 and os.path.exists(f"{tmp}/out/other.parquet")
