@@ -28,6 +28,7 @@ from tablewatch.operators import (absent_columns, input_profile, iqr_bounds, iqr
                                   knn_lsh_scores, knn_time, knn_time_scores, prepare,
                                   sizes_from_stats, suspects_topk, system_sizes, zscore,
                                   zscore_outliers, zscore_with_stats)
+from tablewatch.operators.grid import knn_grid
 from tablewatch.params import Cols, Params, Scale
 from tablewatch.plans.catalog import catalog_report, run_sql
 from tablewatch.plans.detect import run as run_job
@@ -224,6 +225,14 @@ def q_knn_lsh_outliers_hot(spark, sf_dir):
     return round_doubles(knn_lsh(s, LR, 5, 0.99, scale=SPLIT_HOT, sizes=sizes, rank_digits=RANK_DIGITS))
 
 
+def q_knn_grid2_outliers(spark, sf_dir):
+    """Neighbours in two standardised features, price and quantity."""
+    li = prepare(_table(spark, sf_dir, "lineitem"), LI)
+    got = knn_grid(li.withColumn("l_quantity", F.col("l_quantity").cast("double")), LI,
+                   ["l_extendedprice", "l_quantity"], 5, 0.99, rank_digits=RANK_DIGITS)
+    return round_doubles(got)
+
+
 def q_input_profile(spark, sf_dir):
     return input_profile(prepare(_table(spark, sf_dir, "events"), EV), EV)
 
@@ -763,6 +772,27 @@ _ORACLE: dict[str, str] = {
         UNION ALL SELECT '_also', NULL, false, 0, 'skipped', true
         UNION ALL SELECT 'none', NULL, false, 0, 'skipped', true
         UNION ALL SELECT 'bad', 'bad', true, NULL, 'error', true""",
+    "knn_grid2_outliers": """
+        WITH s AS (
+            SELECT l_suppkey, avg(l_extendedprice) AS m1, stddev_samp(l_extendedprice) AS s1,
+                   avg(CAST(l_quantity AS DOUBLE)) AS m2, stddev_samp(CAST(l_quantity AS DOUBLE)) AS s2
+            FROM lineitem GROUP BY l_suppkey),
+        r AS (
+            SELECT row_number() OVER () AS i, l.l_suppkey, l_shipdate, l_extendedprice, CAST(l_quantity AS DOUBLE) AS l_quantity,
+                   l_orderkey, l_linenumber, l_partkey,
+                   CASE WHEN s1 IS NULL OR s1 = 0 THEN 0.0 ELSE (l_extendedprice - m1) / s1 END AS z1,
+                   CASE WHEN s2 IS NULL OR s2 = 0 THEN 0.0 ELSE (l_quantity - m2) / s2 END AS z2
+            FROM lineitem l JOIN s ON l.l_suppkey = s.l_suppkey),
+        d AS (
+            SELECT a.i, list_avg(min(sqrt((a.z1 - b.z1) * (a.z1 - b.z1) + (a.z2 - b.z2) * (a.z2 - b.z2)), 5)) AS knn_dist
+            FROM r a JOIN r b ON a.l_suppkey = b.l_suppkey AND a.i <> b.i GROUP BY a.i),
+        k AS (
+            SELECT r.*, d.knn_dist, percent_rank() OVER (PARTITION BY l_suppkey ORDER BY round(d.knn_dist, 9) NULLS FIRST) AS knn_pr
+            FROM r LEFT JOIN d ON r.i = d.i)
+        SELECT l_suppkey, l_shipdate, round(l_extendedprice, 6) AS l_extendedprice, round(l_quantity, 6) AS l_quantity,
+               l_orderkey, l_linenumber, l_partkey, round(z1, 6) AS z_l_extendedprice, round(z2, 6) AS z_l_quantity,
+               round(knn_dist, 6) AS knn_dist, round(knn_pr, 6) AS knn_pr
+        FROM k WHERE knn_pr >= 0.99""",
     "sanitize_footer": """
         SELECT 'counters/2024' AS rel_dir, c AS "column", t AS arrow_type, o AS nullable, m AS field_metadata,
                (SELECT count(*) FROM events) AS n_rows
@@ -866,6 +896,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "knn_time_outliers_hot": q_knn_time_outliers_hot,
     "knn_exact_outliers_hot": q_knn_exact_outliers_hot,
     "knn_lsh_outliers_hot": q_knn_lsh_outliers_hot,
+    "knn_grid2_outliers": q_knn_grid2_outliers,
     "input_profile": q_input_profile,
     "small_big_systems": q_small_big_systems,
     "folder_ingest_summary": q_folder_ingest_summary,
