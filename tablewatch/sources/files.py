@@ -32,10 +32,11 @@ def is_parquet_path(path: Column) -> Column:
     return low.endswith(PARQUET_EXTENSIONS[0]) | low.endswith(PARQUET_EXTENSIONS[1])
 
 
-def list_files(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
-    """Every file under ``root`` at any depth: path, size, modified.
-    ``glob`` filters file names (e.g. ``PARQUET_GLOB``)."""
-    root = qualify(root)
+def list_files(spark: SparkSession, root: str | list[str], glob: str | None = None) -> DataFrame:
+    """Every file under ``root`` (one folder or several, listed together) at
+    any depth: path, size, modified.  ``glob`` filters file names (e.g.
+    ``PARQUET_GLOB``)."""
+    root = qualify(root) if isinstance(root, str) else [qualify(r) for r in root]
     reader = (spark.read.format("binaryFile").option("recursiveFileLookup", "true"))
     if glob:
         reader = reader.option("pathGlobFilter", glob)

@@ -253,3 +253,21 @@ def test_overwriting_replaces_files_and_spares_others(spark, tmp):
         sanitize(spark, f"{tmp}/in", f"{tmp}/out")
     sanitize(spark, f"{tmp}/in", f"{tmp}/out", overwrite=True)
     assert pq.read_table(f"{tmp}/out/a.parquet").num_rows == 2 and os.path.exists(f"{tmp}/out/other.parquet")
+
+
+def test_catalog_report_reads_all_tables_together(spark, tmp):
+    import shutil
+    spark.sql("CREATE DATABASE IF NOT EXISTS tw_rep")
+    for n in range(6):
+        write(f"{tmp}/t{n}/x y/a.parquet", pa.table({"a": list(range(n))}))
+    for name, folder in [*((f"t{n}", f"t{n}") for n in range(6)), ("again", "t3"), ("part", "t4/x y")]:
+        spark.sql(f"CREATE TABLE tw_rep.{name} (a BIGINT) USING parquet LOCATION '{tmp}/{folder}'")
+    shutil.rmtree(f"{tmp}/t5")
+    os.remove(f"{tmp}/t2/x y/a.parquet")
+    report = catalog_report(spark, "tw_rep")
+    got = {r["name"]: (r["n_files"], r["n_rows"]) for r in report.collect()}
+    assert got == {"t0": (1, 0), "t1": (1, 1), "t2": (0, 0), "t3": (1, 3), "again": (1, 3), "t4": (1, 4),
+                   "part": (1, 4), "t5": (None, None)}
+    plan = report._jdf.queryExecution().toString()
+    assert plan.split("== Optimized")[1].split("== Physical")[0].count("MapInPandas") == 1
+    spark.sql("DROP DATABASE tw_rep CASCADE")
