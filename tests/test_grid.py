@@ -67,3 +67,28 @@ def test_empty_table_and_bad_features(spark):
     for wrong in ([], ["a", "a"]):
         with pytest.raises(ValueError):
             knn_grid_scores(df, COLS, wrong)
+
+
+def test_kept_tables_have_about_a_row_per_point(spark, monkeypatch):
+    """Neither pairs of points nor all cells in a point's reach are kept."""
+    from tablewatch.operators import grid
+    n = 6000
+    r = np.random.default_rng(3)
+    pdf = pd.DataFrame({"sys": "one", "t": 0, "a": r.uniform(0, 1, n), "b": r.uniform(0, 1, n), "id": range(n)})
+    df = spark.createDataFrame(pdf.to_dict("records"), "sys string, t long, a double, b double, id long")
+    kept = []
+
+    def counted(keep):
+        def run(*args):
+            out = keep(*args)
+            kept.append(out.count())
+            return out
+        return run
+
+    for name in ("materialize", "_stored"):
+        monkeypatch.setattr(grid, name, counted(getattr(grid, name, None)), raising=False)
+    got = {x["id"]: x["knn_dist"] for x in grid.knn_grid(df, COLS, ["a", "b"], 5, 0.99).collect()}
+    assert max(kept) <= 1.5 * n
+    want = plain(pdf, ["a", "b"], 5)
+    assert set(got) == set(sorted(want, key=want.get)[-len(got):]) and len(got) == 60
+    assert all(abs(got[i] - want[i]) < 1e-9 for i in got)
