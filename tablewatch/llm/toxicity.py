@@ -36,6 +36,7 @@ smoothed share of label 1; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import functools
 import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -62,6 +63,7 @@ TABLE_BITS = 20
 GRAM = 3  # words read together at most
 PART = 16  # one in so many spans across word borders stands for the clean ones
 BLOCK = 2000  # words whose spans are scored at a time
+RUNS = 1 << 14  # runs of letters whose subsequences are weighed at a time
 
 # Characters commonly written for letters.
 _SWAPS = {ord(a): ord(b) for a, b in zip("013457@$!", "oieastasi")}
@@ -194,32 +196,51 @@ class Model:
         begin = np.cumsum([0] + [len(ps) for ps in parts[:-1]])
         return np.maximum.reduceat(value, begin)
 
-    def worst(self, letters: Letters, lo: int, hi: int) -> np.ndarray:
+    def starts(self, letters: Letters) -> tuple[np.ndarray, ...]:
+        """Weights of the subsequences that begin at a letter, and of those
+        that begin with the space before a word, by reach.  Both depend on the
+        next few letters alone, so each run of letters is worked out once:
+        (weights per run, run of every letter, the same of every word)."""
+        codes = np.concatenate([letters.codes, np.zeros(_REACH, np.uint8)]).astype(np.uint64)
+        size, begin = len(letters.codes), letters.start[:-1]
+        ahead = np.zeros(size, np.uint64)
+        for k in range(_REACH):
+            ahead |= codes[k:k + size] << np.uint64(8 * k)
+        out = []
+        for run, space in ((ahead, False), (ahead[begin], True)):
+            some, which = np.unique(run, return_inverse=True)
+            weight = np.zeros((_REACH, len(some)))
+            for at in range(0, len(some), RUNS):
+                part = some[at:at + RUNS]
+                byte = [((part >> np.uint64(8 * k)) & np.uint64(255)).astype(np.int64) for k in range(_REACH)]
+                byte = [np.full(len(part), 32), *byte] if space else byte
+                for shape, key in hashed(functools.cache(lambda j, k: _PLACE[j].take(byte[k]))):
+                    weight[shape[-1], at:at + RUNS] += self.table[key] * np.float32(_DECAYED[shape])
+            out += [weight, which]
+        return tuple(out)
+
+    def worst(self, letters: Letters, lo: int, hi: int, starts: tuple[np.ndarray, ...] | None = None) -> np.ndarray:
         """For the words lo to hi: decision value of the worst span, of one
         word or across word borders, that begins there."""
+        weight, which, head_weight, head = starts or self.starts(letters)
         last = min(hi + GRAM - 1, len(letters.doc))
-        base = int(letters.start[lo])
-        codes = letters.codes[base:letters.start[last]]
-        total = np.zeros((_REACH, len(codes) + 1))  # of the subsequences that begin before a letter, by reach
-        for shape, key in hashed(placed(codes)):
-            total[shape[-1], 1:] += self.table[key] * np.float32(_DECAYED[shape])
-        np.cumsum(total, axis=1, out=total)
-        begin = letters.start[lo:hi] - base
-        padded = np.concatenate([codes, np.zeros(_REACH, np.uint8)])
-        head = np.zeros((_REACH, hi - lo))  # of the subsequences that begin with the space before a word
-        for shape, key in hashed(lambda j, k: _PLACE[j][padded[begin + k - 1]] if k else np.full(hi - lo, _PLACE[j][32])):
-            head[shape[-1]] += self.table[key] * np.float32(_DECAYED[shape])
+        base, end = int(letters.start[lo]), int(letters.start[last])
+        total = np.zeros((_REACH, end - base + 1))
+        for reach in range(2, _REACH):
+            np.cumsum(weight[reach].take(which[base:end]), out=total[reach, 1:])
+        head = head[lo:hi]
         out = np.full(hi - lo, -np.inf)
         for n in range(1, GRAM + 1):
             word, a, b, first = letters.spans(n, lo, hi)
             if not len(word):
                 continue
             a, b = a - base, b - base
+            begin, size = head.take(word - lo), b - a
             value = np.zeros(len(word))
             for reach in range(2, _REACH):
-                value += total[reach][np.maximum(b - reach, a)] - total[reach][a]
-                value += head[reach][word - lo] * (first & (b - a >= reach))
-            value = value / _NORM[b - a + first] + self.bias
+                value += total[reach].take(np.maximum(b - reach, a)) - total[reach].take(a)
+                value += head_weight[reach].take(begin) * (first & (size >= reach))
+            value = value / _NORM[size + first] + self.bias
             new = np.flatnonzero(np.diff(word, prepend=-1))
             out[word[new] - lo] = np.maximum(out[word[new] - lo], np.maximum.reduceat(value, new))
         return out
@@ -263,9 +284,10 @@ def evidence(texts: list[bytes], model: Model) -> np.ndarray:
     out[:, 3] = np.log1p(np.diff(letters.tokens.first))
     docs, runs = spelled(letters.tokens)
     found = [(np.array(docs, np.int64), model.spans(runs))] if docs else []
+    starts = model.starts(letters)
     for lo in range(0, len(letters.doc), BLOCK):
         hi = min(lo + BLOCK, len(letters.doc))
-        found.append(largest(letters.doc[lo:hi], model.worst(letters, lo, hi)))
+        found.append(largest(letters.doc[lo:hi], model.worst(letters, lo, hi, starts)))
     if found:
         doc, value = (np.concatenate(x) for x in zip(*found))
         order = np.lexsort((-value, doc))

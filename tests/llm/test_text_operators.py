@@ -389,3 +389,16 @@ def test_bloom_counts_come_back():
     out = np.zeros(len(other))
     bloom_lm.Part(0, n, np.array(sizes), b"".join(raw)).counts(other, out)
     assert (out > 0).mean() < 0.04
+
+
+def test_toxicity_weighs_each_run_of_letters_once():
+    r = np.random.default_rng(2)
+    model = toxicity.Model(r.normal(0, 1, 1 << toxicity.TABLE_BITS).astype(np.float32), -0.5)
+    letters = toxicity.Letters([b"some plain words here " * 40, b"words of a text", b"", "straße".encode()])
+    weight, which, head, words = model.starts(letters)
+    assert len(which) == len(letters.codes) and len(words) == len(letters.doc)
+    assert weight.shape[1] < 60 and head.shape[1] < 20
+    whole = model.worst(letters, 0, len(letters.doc))
+    assert np.array_equal(whole[40:90], model.worst(letters, 40, 90, model.starts(letters)))
+    alone = toxicity.Letters([b"words of a text"])
+    assert np.allclose(model.worst(alone, 0, 4), whole[160:164])
