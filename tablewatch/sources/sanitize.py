@@ -36,7 +36,8 @@ MIN_EPOCH_DECIMAL_PRECISION = 18
 SPARK_SCHEMA_KEY = b"org.apache.spark.sql.parquet.row.metadata"
 SPARK_NAMES = {TO_TIMESTAMP: "timestamp", TO_DECIMAL: "decimal(20,0)"}
 
-STRETCH_BYTES = 64 << 20    # decoded data that a task holds, and size of a row group
+STRETCH_BYTES = 8 << 20     # decoded data that a task holds, and size of a row group
+STRETCH_ROWS = 1 << 16      # and its rows, as long values that repeat take few of those bytes
 TASK_BYTES = 128 << 20      # input of one task, unless one file is larger
 REWRITE_SCHEMA = "path string, out_path string, n_rows bigint"
 
@@ -113,7 +114,7 @@ def _rewrite_file(path: str, dest: str, casts: dict[str, str], compression: str)
             schema = _retyped_schema(pf, casts)
             md = pf.metadata
             decoded = sum(md.row_group(i).total_byte_size for i in range(md.num_row_groups))
-            stretch = max(1, min(1 << 20, STRETCH_BYTES * max(md.num_rows, 1) // max(decoded, 1)))
+            stretch = max(1, min(STRETCH_ROWS, STRETCH_BYTES * max(md.num_rows, 1) // max(decoded, 1)))
             with pq.ParquetWriter(tmp, schema, filesystem=sink, compression=compression,
                                   coerce_timestamps="us", allow_truncated_timestamps=True) as out:
                 for batch in pf.iter_batches(batch_size=stretch):
@@ -127,6 +128,8 @@ def _rewrite_file(path: str, dest: str, casts: dict[str, str], compression: str)
         if sink.get_file_info(tmp).type != pa.fs.FileType.NotFound:
             sink.delete_file(tmp)
         raise
+    finally:
+        pa.default_memory_pool().release_unused()
     return rows
 
 

@@ -271,3 +271,26 @@ def test_catalog_report_reads_all_tables_together(spark, tmp):
     plan = report._jdf.queryExecution().toString()
     assert plan.split("== Optimized")[1].split("== Physical")[0].count("MapInPandas") == 1
     spark.sql("DROP DATABASE tw_rep CASCADE")
+
+
+def test_rewriting_holds_a_stretch_of_a_file(tmp):
+    """Few encoded bytes may decode to many: rows bound a stretch, too."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from tablewatch.sources.sanitize import _rewrite_file
+    n = 600_000
+    values = pa.DictionaryArray.from_arrays(pa.array([0] * n, pa.int32()), pa.array(["x" * 300]))
+    pq.write_table(pa.table({"id": pa.array(range(n), pa.uint64()), "v": values.cast(pa.string())}), f"{tmp}/in.parquet")
+    usual = pa.default_memory_pool()
+    pool = pa.proxy_memory_pool(usual)
+    pa.set_memory_pool(pool)
+    try:
+        assert _rewrite_file(f"file:{tmp}/in.parquet", f"{tmp}/out.parquet", {"id": TO_DECIMAL}, "snappy") == n
+    finally:
+        pa.set_memory_pool(usual)
+    assert pool.max_memory() < 100 << 20
+    got = pq.ParquetFile(f"{tmp}/out.parquet")
+    assert got.metadata.num_rows == n
+    assert got.schema_arrow.field("id").type == pa.decimal128(20, 0)
+    assert got.read(["id"]).column("id").cast(pa.int64()).to_pylist() == list(range(n))
