@@ -237,17 +237,15 @@ def percent_rank_at_least(df: DataFrame, part: list[str], key: str, cutoff: floa
     nulls first) is >= cutoff, with that rank in ``out``."""
     if sizes is None:
         sizes = group_sizes(df, part, scale)
+    sizes = as_sizes(sizes, scale)
     big, g, _ = _big_groups(sizes, scale)
     if g == 0:
         return _plain_percent_rank(df, part, key, cutoff, out)
-    keys = big.select(*part)
-    small_rows = attach_small(df, keys, part, "left_anti", scale=scale, n_rows=g)
-    ranked_small = _plain_percent_rank(small_rows, part, key, cutoff, out)
-    # The split plan reads the big groups' rows several times: they are kept
-    # as Parquet in the shared scratch folder.  The semi and anti joins on the
-    # group reach below windows over it, so no row is scored twice.
+    # The split plan reads the rows several times and the plain window once
+    # more: they are computed once and kept as Parquet in the shared scratch
+    # folder.
     path = scratch_path(df.sparkSession, "ranked")
-    attach_small(df, keys, part, "left_semi", scale=scale, n_rows=g).write.parquet(path)
+    df.write.parquet(path)
     kept = df.sparkSession.read.schema(df.schema).parquet(path)
     big_rows = attach_small(kept, big, part, "inner", scale=scale, n_rows=g)
 
@@ -266,7 +264,11 @@ def percent_rank_at_least(df: DataFrame, part: list[str], key: str, cutoff: floa
         redo, _ = _rank_candidates(redo_rows, part, key, cutoff, out, scale, None, g)
         ranked_big = attach_small(ranked_big, missed, part, "left_anti", scale=scale).unionByName(
             redo)
-    return ranked_small.unionByName(ranked_big.select(*ranked_small.columns))
+    ranked_big = ranked_big.select(*[_c(c) for c in [*df.columns, out]])
+    if g == sizes.groups:
+        return ranked_big
+    small_rows = attach_small(kept, big.select(*[_c(p) for p in part]), part, "left_anti", scale=scale, n_rows=g)
+    return _plain_percent_rank(small_rows, part, key, cutoff, out).unionByName(ranked_big)
 
 
 def _rank_candidates(big_rows: DataFrame, part: list[str], key: str, cutoff: float, out: str,

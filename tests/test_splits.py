@@ -256,3 +256,22 @@ def test_radix_quantiles_property_random(spark):
         assert got == want
 
     check()
+
+
+@pytest.mark.parametrize("groups", [["a", "b"], ["a", "b", "few"]])
+def test_rank_cut_scores_rows_once(spark, groups):
+    """Big and small groups are ranked from one kept copy of the scored rows."""
+    from tablewatch.operators.splits import neighbor_diffs, percent_rank_at_least
+    from tablewatch.params import Scale
+    rows = [(g, i, float((i * 7919) % 1009)) for g in groups for i in range(8 if g == "few" else 400)]
+    df = spark.createDataFrame(rows, "g string, i long, v double")
+    scale = Scale(split_rows=50, max_splits=8)
+    scored = neighbor_diffs(df, ["g"], ["i"], "v", 1, "near", scale).withColumn("key", F.get("near", F.lit(1)))
+    got = percent_rank_at_least(scored.drop("near"), ["g"], "key", 0.9, "pr", scale)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "lag(" not in plan and ("LeftAnti" in plan) == ("few" in groups)
+    w = Window.partitionBy("g")
+    want = df.withColumn("key", F.abs(F.col("v") - F.lag("v").over(w.orderBy("i")))) \
+        .withColumn("pr", F.percent_rank().over(w.orderBy("key"))).filter("pr >= 0.9")
+    assert got.columns == ["g", "i", "v", "key", "pr"]
+    assert sorted(got.collect()) == sorted(want.select(*got.columns).collect())
