@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewatch.llm.common import (WORD_PATTERN, Tokens, col, mix64, release, text_key, text_lists, token_hashes, trimmed, without,
+from tablewatch.llm.common import (WORD_PATTERN, Tokens, col, map_batches, mix64, release, text_key, text_lists, token_hashes, without,
                                    write_scratch)
 
 BANDS, BAND_ROWS = 28, 4
@@ -129,7 +129,7 @@ def signed(docs: DataFrame, id_col: str, text_col: str, keep: tuple[str, ...]) -
                     own.columns + [pa.array(np.diff(begin)), pa.array(nodes, pa.binary()), pa.array(sigs, pa.binary())],
                     names=own.schema.names + ["n", "node", "sig"])
 
-    return source.mapInArrow(trimmed(run), schema)
+    return map_batches(source, run, schema)
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -152,7 +152,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) ->
                 yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.binary()),
                                                   pa.array([r[1] for r in rows], pa.binary())], names=["node", "set"])
 
-    return source.mapInArrow(trimmed(run), "node binary, set binary").dropDuplicates(["node"])
+    return map_batches(source, run, "node binary, set binary").dropDuplicates(["node"])
 
 
 def least_matches(threshold: float, miss: float) -> list[int]:
@@ -194,7 +194,7 @@ def prune(pairs: DataFrame, nodes: DataFrame, least: list[int], threshold: int)
             ok = pa.array(plausible(_matrix(batch.column("sa")), _matrix(batch.column("sb")), least))
             yield batch.select(["a", "b"]).take(ok)
 
-    return both.select("a", "b", "sa", "sb").mapInArrow(trimmed(run), "a binary, b binary")
+    return map_batches(both.select("a", "b", "sa", "sb"), run, "a binary, b binary")
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
@@ -211,7 +211,7 @@ def confirm(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
                 keep.append(100 * common >= threshold * (len(x) + len(y) - common))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return both.select("a", "b", "xa", "xb").mapInArrow(trimmed(run), "a binary, b binary")
+    return map_batches(both.select("a", "b", "xa", "xb"), run, "a binary, b binary")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -319,7 +319,7 @@ def block_pairs(members: DataFrame, payload: DataFrame, least: list[int], thresh
         yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.binary()),
                                           pa.array([x[1] for x in found], pa.binary())], names=["a", "b"])
 
-    return parts.mapInArrow(trimmed(run), "a binary, b binary")
+    return map_batches(parts, run, "a binary, b binary")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD,

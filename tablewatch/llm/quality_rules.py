@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewatch.llm.common import (Tokens, col, held, per_doc, repeated_words, text_key, text_lists, token_hashes, trimmed,
+from tablewatch.llm.common import (Tokens, col, held, map_batches, per_doc, repeated_words, text_key, text_lists, token_hashes,
                                    without, write_scratch)
 from tablewatch.operators.quantiles import radix_quantiles
 
@@ -198,7 +198,7 @@ def fertility(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
                     names=own.schema.names + list(_LONGS) + list(METRICS))
         vocab.clear()
 
-    return source.mapInArrow(trimmed(run), schema)
+    return map_batches(source, run, schema)
 
 
 def bands(measured: DataFrame, min_group: int = 40) -> DataFrame:

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewatch.llm.common import col, hash_spans, held, text_lists, trimmed
+from tablewatch.llm.common import col, hash_spans, held, map_batches, text_lists
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
@@ -388,7 +388,7 @@ def encode(docs: DataFrame, text_col: str = "text", out_col: str = "piece_ids",
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
         pieces.clear()
 
-    return docs.select(*map(col, rest), col(text_col)).mapInArrow(trimmed(run), schema)
+    return map_batches(docs.select(*map(col, rest), col(text_col)), run, schema)
 
 
 def decode(encoded: DataFrame, ids_col: str = "piece_ids", out_col: str = "text", model: str = MODEL) -> DataFrame:
@@ -409,7 +409,7 @@ def decode(encoded: DataFrame, ids_col: str = "piece_ids", out_col: str = "text"
             texts = [x.decode("utf-8", "replace") for x in pieces.decode(ids, begin)]
             yield pa.RecordBatch.from_arrays([*batch.select(rest).columns, pa.array(texts, pa.string())], names=schema.names)
 
-    return encoded.select(*map(col, rest), col(ids_col)).mapInArrow(trimmed(run), schema)
+    return map_batches(encoded.select(*map(col, rest), col(ids_col)), run, schema)
 
 
 def encode_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: str = MODEL) -> DataFrame:

@@ -47,7 +47,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewatch.llm.common import (_BYTE, col, fold, mix64, release, text_key, text_lists, token_bounds, token_hashes, trimmed,
+from tablewatch.llm.common import (_BYTE, col, fold, map_batches, mix64, release, text_key, text_lists, token_bounds, token_hashes,
                                    without, write_scratch)
 from tablewatch.llm.minhash_dedup import shingle_sets
 
@@ -358,7 +358,7 @@ def gram_counts(sample: DataFrame, sure: list[bytes], known: np.ndarray | None)
         if parts:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in merged(parts).T], names=["key", "toxic", "clean"])
 
-    return (sample.select("__text", "__y").mapInArrow(trimmed(run), "key bigint, toxic bigint, clean bigint")
+    return (map_batches(sample.select("__text", "__y"), run, "key bigint, toxic bigint, clean bigint")
             .groupBy("key").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")))
 
 
@@ -394,7 +394,7 @@ def gram_spans(sample: DataFrame, keys: np.ndarray) -> DataFrame:
                     spans = [letters.text(*x) for x in zip(a[hit].tolist(), b[hit].tolist(), first[hit].tolist())]
                     yield pa.RecordBatch.from_arrays([pa.array(key[hit]), pa.array(spans, pa.binary())], names=["key", "span"])
 
-    return sample.select("__text").mapInArrow(trimmed(run), "key bigint, span binary").groupBy("key").agg(F.min("span").alias("span"))
+    return map_batches(sample.select("__text"), run, "key bigint, span binary").groupBy("key").agg(F.min("span").alias("span"))
 
 
 def span_counts(sample: DataFrame) -> DataFrame:
@@ -417,7 +417,7 @@ def span_counts(sample: DataFrame) -> DataFrame:
                     [pa.array(seen.keys(), pa.binary()), pa.array([v[0] for v in seen.values()], pa.int64()),
                      pa.array([v[1] for v in seen.values()], pa.int64())], names=["span", "toxic", "clean"])
 
-    return (sample.select("__text", "__y").mapInArrow(trimmed(run), "span binary, toxic bigint, clean bigint")
+    return (map_batches(sample.select("__text", "__y"), run, "span binary, toxic bigint, clean bigint")
             .groupBy("span").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")))
 
 
@@ -538,7 +538,7 @@ def without_copies(rows: DataFrame) -> DataFrame:
                     [pa.concat_arrays([ids.slice(lo, hi - lo).take(pa.array(some))] * 4), pa.array(np.concatenate(least)),
                      pa.array(np.repeat(np.arange(4), len(some)), pa.int32())], names=["id", "m", "k"])
 
-    marks = rows.select("__text", "__row").mapInArrow(trimmed(run), "id bigint, m bigint, k int")
+    marks = map_batches(rows.select("__text", "__row"), run, "id bigint, m bigint, k int")
     first = marks.groupBy("m", "k").agg(F.min("id").alias("first"))
     copies = marks.join(first, ["m", "k"]).filter("id != first").select("id").distinct()
     single = write_scratch(rows.join(copies, F.col("__row") == F.col("id"), "left_anti"), "tox-single")
@@ -563,7 +563,7 @@ def evidence_of(docs: DataFrame, model: Model, text_col: str) -> DataFrame:
                 values = pa.FixedSizeListArray.from_arrays(values, EVIDENCE).cast(pa.list_(pa.float64()))
                 yield pa.RecordBatch.from_arrays(own.columns + [values], names=own.schema.names + ["__evidence"])
 
-    return docs.select(col(text_col), *map(col, rest)).mapInArrow(trimmed(run), schema)
+    return map_batches(docs.select(col(text_col), *map(col, rest)), run, schema)
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text",

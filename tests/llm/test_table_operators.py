@@ -7,11 +7,12 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
-from tablewatch.llm import (chat_format, html_extract, minhash_dedup, mixing, quality_rules, queries,
-                            topk_search)
+from tablewatch.llm import (chat_format, common, html_extract, minhash_dedup, mixing, quality_rules, queries,
+                            sentencepiece_sa, topk_search)
 from tests.llm.fixtures import awkward_rows, frame, lower, text, words
 
 SF = "/root/testdata/sf0.01"
@@ -350,6 +351,32 @@ def test_pipeline_stages(spark):
     assert out.filter("NOT round_trip").isEmpty()
 
 
+@pytest.fixture()
+def unset_batches(spark):
+    spark.conf.unset(common.ARROW_SETTING)
+    yield
+    spark.conf.unset(common.ARROW_SETTING)
+
+
+def test_workers_get_small_batches(spark, unset_batches):
+    def batch_bytes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], names=["rows", "size"])
+
+    long = spark.range(150, numPartitions=1).selectExpr("id AS doc_id", "repeat('word ', 20000) AS text", "'en' AS lang")  # 15 MB
+    for operator in (sentencepiece_sa.encode_documents, quality_rules.fertility, minhash_dedup.near_duplicates):
+        spark.conf.unset(common.ARROW_SETTING)
+        operator(long)  # says how its texts reach the workers
+        got = long.mapInArrow(batch_bytes, "rows long, size long").collect()
+        assert sum(r["rows"] for r in got) == 150
+        assert max(r["size"] for r in got) <= common.ARROW_BYTES + 110_000
+    spark.conf.unset(common.ARROW_SETTING)
+    got = common.map_batches(long, batch_bytes, "rows long, size long").collect()
+    assert sum(r["rows"] for r in got) == 150 and max(r["size"] for r in got) <= common.ARROW_BYTES + 110_000
+    spark.conf.set(common.ARROW_SETTING, "1m")  # a user's own size stays
+    assert max(r["size"] for r in common.map_batches(long, batch_bytes, "rows long, size long").collect()) < 1_300_000
+
+
 def test_pipeline_run(spark):
     assert corpus_pipeline.run(spark, "/root/testdata/sf0.001").filter("n_pieces = 0").isEmpty()
 
