@@ -96,16 +96,15 @@ def windows(word: bytes) -> list[bytes]:
 def hashed(place) -> Iterator[tuple[tuple[int, ...], np.ndarray]]:
     """Each shape and the hashed subsequences it picks; ``place(j, k)`` gives
     the numbers of the bytes at offset k as a subsequence's j-th."""
+    # A loop, not a function that calls itself: that would be a cycle, which
+    # keeps these arrays until Python next looks for cycles.
     start: dict[tuple[int, ...], np.ndarray] = {}
-
-    def key(shape):
-        if shape not in start:
-            own = place(len(shape) - 1, shape[-1])
-            start[shape] = key(shape[:-1]) + own if len(shape) > 1 else own
-        return start[shape]
-
     for shape in _SHAPES:
-        yield shape, (key(shape[:-1]) + place(len(shape) - 1, shape[-1]) + _LENGTH[len(shape)]) >> np.uint32(32 - TABLE_BITS)
+        for k in range(1, len(shape)):
+            if shape[:k] not in start:
+                own = place(k - 1, shape[k - 1])
+                start[shape[:k]] = start[shape[:k - 1]] + own if k > 1 else own
+        yield shape, (start[shape[:-1]] + place(len(shape) - 1, shape[-1]) + _LENGTH[len(shape)]) >> np.uint32(32 - TABLE_BITS)
 
 
 def placed(codes: np.ndarray):

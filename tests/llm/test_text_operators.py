@@ -1,6 +1,7 @@
 """Quality rules, classifiers, pieces and the language model on awkward rows
 and against plain computations."""
 
+import gc
 import math
 import re
 import zlib
@@ -402,3 +403,18 @@ def test_toxicity_weighs_each_run_of_letters_once():
     assert np.array_equal(whole[40:90], model.worst(letters, 40, 90, model.starts(letters)))
     alone = toxicity.Letters([b"words of a text"])
     assert np.allclose(model.worst(alone, 0, 4), whole[160:164])
+
+
+def test_toxicity_scoring_leaves_no_cycles():
+    """Arrays in a cycle stay until Python looks for cycles, which it seldom
+    does for few large objects: workers grew by hundreds of MB."""
+    model = toxicity.Model(np.ones(1 << toxicity.TABLE_BITS, np.float32), 0.25)
+    gc.collect()
+    gc.disable()
+    try:
+        toxicity.evidence([b"plain words of a text " * 20, b"s p e l l e d"], model)
+        assert gc.collect() == 0
+        toxicity.kernel([b" one", b" other"], [b" one"])
+        assert gc.collect() == 0
+    finally:
+        gc.enable()
