@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewatch.llm.common import (WORD_PATTERN, Tokens, col, map_batches, mix64, release, text_key, text_lists, token_hashes, without,
+from tablewatch.llm.common import (SLICE_BYTES, WORD_PATTERN, Tokens, col, map_batches, mix64, release, text_key, text_lists, token_hashes, without,
                                    write_scratch)
 
 BANDS, BAND_ROWS = 28, 4
@@ -118,7 +118,7 @@ def signed(docs: DataFrame, id_col: str, text_col: str, keep: tuple[str, ...]) -
         release()
         for batch in batches:
             rest = batch.drop_columns(["__text"])
-            for lo, hi, texts in text_lists(batch.column("__text")):
+            for lo, hi, texts in text_lists(batch.column("__text"), SLICE_BYTES):
                 key, begin = shingle_sets(token_hashes(texts), hi - lo)
                 some, node = nodes_of(key, begin)
                 nodes, sigs = [None] * (hi - lo), [None] * (hi - lo)
@@ -144,7 +144,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             want = batch.column("want").to_pylist()
-            for lo, hi, texts in text_lists(batch.column("__text")):
+            for lo, hi, texts in text_lists(batch.column("__text"), SLICE_BYTES):
                 key, begin = shingle_sets(token_hashes(texts), hi - lo)
                 some, node = nodes_of(key, begin)
                 rows = [(a, key[begin[i]:begin[i + 1]].tobytes()) for i, a in zip(some.tolist(), _binary(node))

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewatch.llm.common import (Tokens, col, held, map_batches, per_doc, repeated_words, text_key, text_lists, token_hashes,
+from tablewatch.llm.common import (SLICE_BYTES, Tokens, col, held, map_batches, per_doc, repeated_words, text_key, text_lists, token_hashes,
                                    without, write_scratch)
 from tablewatch.operators.quantiles import radix_quantiles
 
@@ -190,7 +190,7 @@ def fertility(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
         vocab = Vocabularies.get(*shared.value)
         for batch in batches:
             rest = batch.drop_columns(["__text"])
-            for lo, hi, texts in text_lists(batch.column("__text")):
+            for lo, hi, texts in text_lists(batch.column("__text"), SLICE_BYTES):
                 m = measure(texts, vocab)
                 own = rest.slice(lo, hi - lo)
                 yield pa.RecordBatch.from_arrays(

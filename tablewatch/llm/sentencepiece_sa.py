@@ -42,8 +42,8 @@ from tablewatch.llm.common import col, hash_spans, held, map_batches, text_lists
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 CACHE_SEGMENTS = 250_000
-BATCH_BYTES = 1 << 20
-SEGMENTS = 50_000  # segments indexed at a time
+BATCH_BYTES = 1 << 19
+SEGMENTS = 20_000  # segments indexed at a time
 
 
 class Pieces:

@@ -47,7 +47,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewatch.llm.common import (_BYTE, col, fold, map_batches, mix64, release, text_key, text_lists, token_bounds, token_hashes,
+from tablewatch.llm.common import (_BYTE, SLICE_BYTES, col, fold, map_batches, mix64, release, text_key, text_lists, token_bounds, token_hashes,
                                    without, write_scratch)
 from tablewatch.llm.minhash_dedup import shingle_sets
 
@@ -528,7 +528,7 @@ def without_copies(rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column("__row")
-            for lo, hi, texts in text_lists(batch.column("__text")):
+            for lo, hi, texts in text_lists(batch.column("__text"), SLICE_BYTES):
                 key, begin = shingle_sets(token_hashes(texts), hi - lo)
                 some = np.flatnonzero(np.diff(begin))
                 least = [np.minimum.reduceat(mix64(key + np.uint64(k)), begin[some]).view(np.int64) for k in range(4)] \

@@ -398,3 +398,23 @@ def test_query_against_its_sql(spark, name):
     want = con.sql(queries.ORACLE[name])
     got = queries.QUERIES[name](spark, SF).select(*want.columns)
     assert Counter(tuple(r) for r in got.collect()) == Counter(want.fetchall())
+
+
+def test_memory_goes_back_after_every_batch(monkeypatch):
+    given = []
+    monkeypatch.setattr(common, "give_back", lambda: given.append(len(given)))
+    seen = []
+    for batch in common.one_by_one(iter("abc")):
+        seen.append((batch, len(given)))
+    assert seen == [("a", 0), ("b", 1), ("c", 2)] and len(given) == 3
+
+
+def test_slices_do_not_change_results(spark, monkeypatch):
+    docs = frame(spark, awkward_rows())
+    texts = [(r["text"] or "").encode() for r in docs.collect()]
+    pieces = sentencepiece_sa.Pieces(*sentencepiece_sa.Pieces.load(open(sentencepiece_sa.MODEL, "rb").read()))
+    ids, begin = pieces.encode(texts)
+    pieces.clear()
+    monkeypatch.setattr(sentencepiece_sa, "SEGMENTS", 7)
+    again, first = pieces.encode(texts)
+    assert (ids == again).all() and (begin == first).all()
