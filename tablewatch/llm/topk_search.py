@@ -14,8 +14,10 @@ matrix product per meeting.  Rounds:
 
 A block's kth score is never above the global one, so bins below it are not
 sent: a meeting sends at most k bins per query, however many rows tie.  Query
-blocks are replicated to a fixed number of shards and joined to the candidate
-blocks there; nothing is collected and no side is broadcast.
+blocks are replicated to shards of the candidate blocks and joined to them
+there.  Shards follow the cores, and beyond that the candidates by
+``SHARD_BYTES``, which a task buffers.  Nothing is collected, and every join is
+a merge join: the driver gets nothing that grows with the queries.
 
 Scores are integers (components floor(64 x)), computed in single or double
 precision as long as the norms show that to be exact, else in 64-bit integers.
@@ -38,13 +40,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablewatch.llm.common import write_scratch
+from tablewatch.llm.common import map_batches, write_scratch
 
 BLOCK = 4096
 QUERY_BITS = 8
 QUERIES = 1 << QUERY_BITS
 BINS = 256
 SCALE = 64.0
+SHARD_BYTES = 32 << 20  # of candidates in a shard, which a task buffers
+SHARDS_PER_CORE = 8
+SPREAD = 4  # partitions to a shard, so that few of them hold two
 NO_ID = np.iinfo(np.int64).max
 
 
@@ -68,19 +73,21 @@ def _vectors(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _pack(bid: int, ids: np.ndarray, rows: np.ndarray, x: np.ndarray) -> dict:
-    small = np.abs(x).max(initial=0) < 2**31
+    most = np.abs(x).max(initial=0)
+    item = next((b for b in (1, 2, 4) if most < 2 ** (8 * b - 1)), 8)
     return {"bid": bid, "ids": ids.astype(np.int64).tobytes(), "rows": rows.astype(np.int64).tobytes(),
-            "mat": x.astype(np.int32 if small else np.int64).tobytes(), "wide": not small, "n": len(ids), "dim": x.shape[1],
+            "mat": x.astype(f"i{item}").tobytes(), "item": item, "n": len(ids), "dim": x.shape[1],
             "norm": float(np.sqrt((x * x).sum(1)).max(initial=0))}
 
 
-_BLOCK = "bid bigint, ids binary, rows binary, mat binary, wide boolean, n int, dim int, norm double"
+_BLOCK = "bid bigint, ids binary, rows binary, mat binary, item int, n int, dim int, norm double"
 _BATCH = pa.schema([("bid", pa.int64()), ("ids", pa.binary()), ("rows", pa.binary()), ("mat", pa.binary()),
-                    ("wide", pa.bool_()), ("n", pa.int32()), ("dim", pa.int32()), ("norm", pa.float64())])
+                    ("item", pa.int32()), ("n", pa.int32()), ("dim", pa.int32()), ("norm", pa.float64())])
 
 
-def _matrix(raw: bytes, wide: bool, n: int) -> np.ndarray:
-    return np.frombuffer(raw, np.int64 if wide else np.int32).reshape(n, -1)
+def _matrix(raw: bytes, item: int, n: int) -> np.ndarray:
+    """``item`` bytes a component."""
+    return np.frombuffer(raw, f"i{item}").reshape(n, -1)
 
 
 def blocks(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -107,37 +114,47 @@ def query_blocks(candidates: DataFrame, every: int) -> DataFrame:
             for r in batch.to_pylist():
                 ids, rows = np.frombuffer(r["ids"], np.int64), np.frombuffer(r["rows"], np.int64)
                 pick = np.flatnonzero((ids % every == 0) & (ids != NO_ID))
-                x = _matrix(r["mat"], r["wide"], r["n"])[pick].astype(float)
+                x = _matrix(r["mat"], r["item"], r["n"])[pick].astype(float)
                 for k in range(0, len(pick), QUERIES):
                     own = pick[k:k + QUERIES]
                     yield pa.RecordBatch.from_pylist([_pack((part << 24) | seq, ids[own], rows[own], x[k:k + QUERIES])], _BATCH)
                     seq += 1
 
-    return candidates.mapInArrow(run, _BLOCK)
+    return map_batches(candidates, run, _BLOCK)
 
 
 def _scores(r: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(scores with own rows masked out, mask, query rows, candidate rows, candidate ids) of a meeting."""
-    q, c = _matrix(r["q_mat"], r["q_wide"], r["q_n"]), _matrix(r["c_mat"], r["c_wide"], r["c_n"])
+    q, c = _matrix(r["q_mat"], r["q_item"], r["q_n"]), _matrix(r["c_mat"], r["c_item"], r["c_n"])
     dim = min(q.shape[1], c.shape[1])
     q, c = q[:, :dim], c[:, :dim]
     bound = r["q_norm"] * r["c_norm"]
     kind = np.float32 if bound < 2**23 else np.float64 if bound < 2**52 else np.int64
-    s = (q.astype(kind) @ c.astype(kind).T).astype(np.int64)
+    s = (q.astype(kind) @ c.astype(kind).T).astype(np.int32 if kind is np.float32 else np.int64)
     rows, other = np.frombuffer(r["q_rows"], np.int64), np.frombuffer(r["c_rows"], np.int64)
     return s, rows[:, None] == other[None, :], rows, other, np.frombuffer(r["c_ids"], np.int64)
 
 
+def _per_query(values, like: np.ndarray) -> np.ndarray:
+    """A column of the type of the scores ``like``; what is beyond that type
+    is beyond all of them."""
+    most = np.iinfo(like.dtype)
+    return np.clip(values, most.min, most.max).astype(like.dtype)[:, None]
+
+
 def _meetings(queries: DataFrame, candidates: DataFrame, state: DataFrame | None, shards: int) -> DataFrame:
     q = queries.select(*[F.col(c).alias(f"q_{c}") for c in queries.columns])
     if state is not None:
         per = state.groupBy(F.shiftright("q", QUERY_BITS).alias("__b")).agg(
             F.sort_array(F.collect_list(F.struct(F.col("q").bitwiseAND(QUERIES - 1).alias("i"), "lo", "width", "span", "above"))).alias("q_state"))
-        q = q.join(per, F.col("q_bid") == F.col("__b")).drop("__b")
+        q = q.join(per.hint("merge"), F.col("q_bid") == F.col("__b")).drop("__b")
     q = q.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
     c = candidates.select(*[F.col(x).alias(f"c_{x}") for x in candidates.columns],
                           F.pmod(F.xxhash64("bid"), F.lit(shards)).cast("int").alias("shard"))
-    return q.join(c, "shard").drop("shard", "q_dim", "c_dim")
+    # Partitions of a given number: adaptive execution joins what is small in bytes, and these few bytes take long.
+    # The right side is what a merge join buffers.
+    q, c = (x.repartition(SPREAD * shards, "shard") for x in (q, c))
+    return q.join(c.hint("merge"), "shard").drop("shard", "q_dim", "c_dim")
 
 
 _COUNTS = "q bigint, bin bigint, n bigint"
@@ -150,31 +167,34 @@ def _count(meetings: DataFrame, k: int) -> DataFrame:
         for batch in batches:
             for r in batch.to_pylist():
                 s, own, *_ = _scores(r)
-                lo = np.array([x["lo"] for x in r["q_state"]])[:, None]
-                width = np.array([x["width"] for x in r["q_state"]])[:, None]
-                span = np.array([x["span"] for x in r["q_state"]])[:, None]
-                ok = ~own & (s >= lo) & (s < lo + span)
-                if s.shape[1] > k:
-                    least = np.partition(np.where(ok, s, -2**62), -k, axis=1)[:, -k][:, None]
-                    ok &= s >= np.where(least > -2**62, lo + (least - lo) // width * width, -2**62)
-                i, j = np.nonzero(ok)
-                bins = (s[i, j] - lo[i, 0]) // width[i, 0]
+                lo, width, span = (np.array([x[c] for x in r["q_state"]]) for c in ("lo", "width", "span"))
+                ok = ~own & (s >= _per_query(lo, s)) & (s < _per_query(lo + span, s))
+                many = np.flatnonzero(np.count_nonzero(ok, axis=1) > k)
+                if len(many):
+                    np.copyto(s, np.iinfo(s.dtype).min, where=~ok)
+                    least = np.partition(s[many], -k, axis=1)[:, -k].astype(np.int64)
+                    low = lo.copy()
+                    low[many] += (least - lo[many]) // width[many] * width[many]
+                    ok &= s >= _per_query(low, s)
+                at = np.flatnonzero(ok)
+                i = at // s.shape[1]
+                bins = (s.ravel()[at] - lo[i]) // width[i]
                 key, n = np.unique(i * BINS + bins, return_counts=True)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array((r["q_bid"] << QUERY_BITS) + key // BINS), pa.array(key % BINS), pa.array(n)], names=["q", "bin", "n"])
 
-    return meetings.mapInArrow(run, _COUNTS).groupBy("q", "bin").agg(F.sum("n").alias("n"))
+    return map_batches(meetings, run, _COUNTS).groupBy("q", "bin").agg(F.sum("n").alias("n"))
 
 
 def _narrow(state: DataFrame, counts: DataFrame, k: int) -> DataFrame:
     """The bin that holds each query's kth score becomes its range."""
     run = Window.partitionBy("q").orderBy(F.col("bin").desc())
-    edge = (counts.join(state.select("q", "above"), "q").withColumn("cum", F.sum("n").over(run) + F.col("above"))
+    edge = (counts.join(state.select("q", "above").hint("merge"), "q").withColumn("cum", F.sum("n").over(run) + F.col("above"))
             .filter(F.col("cum") >= k).groupBy("q")
             .agg(F.max_by(F.struct("bin", (F.col("cum") - F.col("n")).alias("above")), "bin").alias("e"))
             .select(F.col("q").alias("__q"), "e"))
     wide = F.col("width") > 1
-    return state.join(edge, F.col("q") == F.col("__q"), "left").select(
+    return state.join(edge.hint("merge"), F.col("q") == F.col("__q"), "left").select(
         "q", F.when(F.col("e").isNull(), F.col("lo")).otherwise(F.col("lo") + F.col("e.bin") * F.col("width")).alias("lo"),
         F.when(F.col("e").isNull(), F.lit(0)).when(wide, F.ceil(F.col("width") / BINS)).otherwise(F.lit(0)).cast("long").alias("width"),
         F.col("width").alias("span"), F.when(F.col("e").isNull(), F.col("above")).otherwise(F.col("e.above")).alias("above"),
@@ -187,18 +207,27 @@ def _pass(meetings: DataFrame, k: int) -> DataFrame:
         for batch in batches:
             for r in batch.to_pylist():
                 s, own, rows, other, ids = _scores(r)
-                kth = np.array([x["lo"] for x in r["q_state"]])[:, None]
+                kth = _per_query(np.array([x["lo"] for x in r["q_state"]]), s)
+                room = k - np.array([x["above"] for x in r["q_state"]])
                 above = ~own & (s > kth)
                 tie = ~own & (s == kth)
-                order = np.lexsort((other, ids))
-                place = np.cumsum(tie[:, order], axis=1)
-                tie[:, order] &= place <= k - np.array([x["above"] for x in r["q_state"]])[:, None]
+                many = np.flatnonzero(np.count_nonzero(tie, axis=1) > room)
+                if len(many):
+                    order = np.lexsort((other, ids))
+                    some = tie[np.ix_(many, order)]
+                    tie[np.ix_(many, order)] = some & (np.cumsum(some, axis=1) <= room[many, None])
                 i, j = np.nonzero(above | tie)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array((r["q_bid"] << QUERY_BITS) + i), pa.array(np.frombuffer(r["q_ids"], np.int64)[i]), pa.array(ids[j]),
-                     pa.array(other[j]), pa.array(s[i, j])], names=["q", "query_id", "vec_id", "row", "score"])
+                     pa.array(other[j]), pa.array(s[i, j].astype(np.int64))], names=["q", "query_id", "vec_id", "row", "score"])
+
+    return map_batches(meetings, run, "q bigint, query_id bigint, vec_id bigint, row bigint, score bigint")
+
 
-    return meetings.mapInArrow(run, "q bigint, query_id bigint, vec_id bigint, row bigint, score bigint")
+def _shards(blocks: int, size: int, cores: int) -> int:
+    """A query block goes to every shard, so more input on as many cores means
+    longer shards and not, below ``SHARD_BYTES`` each, more copies."""
+    return max(1, min(blocks, max(SHARDS_PER_CORE * cores, -(-size // SHARD_BYTES))))
 
 
 def search(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -206,8 +235,9 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_
     spark = vectors.sparkSession
     candidates = write_scratch(blocks(vectors, id_col, vector_col), "topk-blocks")
     queries = write_scratch(query_blocks(candidates, every), "topk-queries")
-    total, norm = candidates.agg(F.count(F.lit(1)), F.max("norm")).first()
-    shards = max(1, min(total, 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    total, norm, size = candidates.agg(F.count(F.lit(1)), F.max("norm"),
+                                       F.sum(F.col("n").cast("long") * (F.col("dim") * F.col("item") + 16))).first()
+    shards = _shards(total, size or 0, spark.sparkContext.defaultParallelism)
     reach = F.ceil(F.col("norm") * F.lit(float(norm or 0))).cast("long") + 1
     state = write_scratch(queries.select(
         F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("i"), "bid", reach.alias("r"))

@@ -63,6 +63,45 @@ def test_topk_many_blocks(spark, monkeypatch):
     assert as_rows(got) == want
 
 
+def test_topk_sends_nothing_through_the_driver(spark, monkeypatch):
+    """No join broadcasts a side, however small, in any round."""
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    seen, write = [], topk_search.write_scratch
+    monkeypatch.setattr(topk_search, "write_scratch", lambda df, name: seen.append(plan(df)) or write(df, name))
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.normal(size=8).tolist()) for i in range(300)]
+    got = topk_search.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3), k=5, every=10)
+    seen.append(plan(got))
+    assert as_rows(got) == brute_topk(rows, 5, 10)
+    assert len(seen) > 4 and sum("SortMergeJoin" in x for x in seen) >= 2
+    assert not [x for x in seen if "Broadcast" in x]
+
+
+def test_topk_copies_of_queries_follow_the_cores():
+    """Ten times the input does not mean ten times the copies of each query block."""
+    mb = 1 << 20
+    assert topk_search._shards(400, 100 * mb, 6) == topk_search._shards(4000, 1000 * mb, 6) == 48
+    assert topk_search._shards(5, 3 * mb, 6) == 5 and topk_search._shards(0, 0, 6) == 1
+    assert topk_search._shards(100_000, 3200 * mb, 6) == 100  # what a task buffers stays bounded
+
+
+def test_topk_components_of_all_sizes(spark):
+    """Blocks of 1, 2, 4 and 8 bytes a component meet one another."""
+    rng = np.random.default_rng(4)
+    rows = [(i, (rng.normal(size=4) * scale).tolist()) for part, scale in enumerate((0.2, 50.0, 1e4)) for i in range(part * 40, part * 40 + 40)]
+    rows += [(5 * i + 1, (rng.normal(size=4) * 5e7).tolist()) for i in range(30, 70)]  # candidates only
+    df = spark.createDataFrame(spark.sparkContext.parallelize(rows, 4), "vec_id long, embedding array<double>")
+    assert {r["item"] for r in topk_search.blocks(df, "vec_id", "embedding").select("item").collect()} == {1, 2, 4, 8}
+    assert as_rows(topk_search.search(df, k=6, every=5)) == brute_topk(rows, 6, 5)
+
+
+def test_topk_many_ties_in_a_block(spark):
+    """More equal scores than places, by repeated ids too, above and below others."""
+    rows = [(i % 90, [1.0, 0.0]) for i in range(120)] + [(i, [2.0, 0.5]) for i in range(200, 203)] + [(i, [0.5, 1.0]) for i in range(300, 310)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").coalesce(1)
+    assert as_rows(topk_search.search(df, k=8, every=10)) == brute_topk(rows, 8, 10)
+
+
 # Tag-path extraction
 
 PAGE = """<html><body class="has-sidebar"><header><h1>Site</h1></header><nav><a href=x>Home</a></nav>
